@@ -1,114 +1,113 @@
-"""Fixed-width field formats as native column expressions.
+"""Fixed-width field formats as native SQL expressions.
 
-Each ``*_field`` function returns ``code + value`` and NULL for a NULL value,
-so absent fields drop out when a line is packed.  An empty string is a value
-and comes out as padding.  Widths may be numbers or columns.
+The builders take and return SQL expression text, because formats are generated
+from specification rows; use them with ``selectExpr`` or ``F.expr``.  Each
+``*_field`` yields ``code + value`` and NULL for a NULL value, so absent fields
+drop out when a line is packed.  An empty string is a value and comes out as
+padding.  ``code`` and ``width`` are SQL text too, so they may be columns.
 """
 
-from pyspark.sql import Column, functions as F
-
 # Characters that an overlong name keeps in front of and behind its mark.
 NAME_CHARACTERS = 20
 
 
-def _lit(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+def quote(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def trimmed(value: Column) -> Column:
-    return F.trim(value.cast("string"))
+def trimmed(value: str) -> str:
+    return f"trim(CAST({value} AS STRING))"
 
 
-def text_field(code, value: Column, width: int | None, pad: str = "right") -> Column:
+def text_field(code: str, value: str, width: int | None, pad: str = "right") -> str:
     """Text cut or padded to ``width``; no width keeps the trimmed text."""
     text = trimmed(value)
     if width and width > 0:
         # lpad and rpad cut an overlong value to its first characters.
-        text = F.lpad(text, width, " ") if pad == "left" else F.rpad(text, width, " ")
-    return F.concat(_lit(code), text)
+        text = f"{'lpad' if pad == 'left' else 'rpad'}({text}, {width}, ' ')"
+    return f"concat({code}, {text})"
 
 
-def identity_field(code, value: Column) -> Column:
+def identity_field(code: str, value: str) -> str:
     """Nine digits become NNN-NN-NNNN; anything else stays as it is."""
     text = trimmed(value)
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    dashed = F.concat_ws(
-        "-", F.substring(digits, 1, 3), F.substring(digits, 4, 2), F.substring(digits, 6, 4)
-    )
-    return F.concat(_lit(code), F.when(F.length(digits) == 9, dashed).otherwise(text))
+    digits = f"regexp_replace({text}, '[^0-9]', '')"
+    dashed = f"regexp_replace({digits}, '^(...)(..)(....)$', '$1-$2-$3')"
+    return f"concat({code}, CASE WHEN length({digits}) = 9 THEN {dashed} ELSE {text} END)"
 
 
-def overflow_field(code, value: Column, width: int, mark: str, head: int) -> Column:
+def overflow_field(code: str, value: str, width: int, mark: str, head: int) -> str:
     """Names longer than ``width``: ``head`` characters, the mark, then the rest."""
     text = trimmed(value)
     tail = NAME_CHARACTERS - head
-    split = F.concat(
-        F.substring(text, 1, head), F.lit(mark), F.rpad(F.substring(text, head + 1, tail), tail, " ")
-    )
-    return F.concat(
-        _lit(code), F.when(F.length(text) <= width, F.rpad(text, width, " ")).otherwise(split)
-    )
+    split = f"concat(left({text}, {head}), {quote(mark)}, rpad(substring({text}, {head + 1}, {tail}), {tail}, ' '))"
+    return f"concat({code}, CASE WHEN length({text}) <= {width} THEN rpad({text}, {width}, ' ') ELSE {split} END)"
 
 
-def sign_of(value: Column) -> Column:
-    return F.when(value >= 0, F.lit("+")).otherwise(F.lit("-"))
+def sign_of(value: str) -> str:
+    return f"CASE WHEN {value} >= 0 THEN '+' ELSE '-' END"
 
 
-def number_field(code, value: Column, width: int, signed: bool) -> Column:
+def number_field(code: str, value: str, width: int, signed: bool) -> str:
     """Whole number, zero-padded; the sign takes one position."""
     if signed:
-        digits = F.lpad(F.abs(value).cast("string"), width - 1, "0")
-        return F.concat(_lit(code), sign_of(value), digits)
-    return F.concat(_lit(code), F.lpad(value.cast("string"), width, "0"))
+        return f"concat({code}, {sign_of(value)}, lpad(CAST(abs({value}) AS STRING), {width - 1}, '0'))"
+    return f"concat({code}, lpad(CAST({value} AS STRING), {width}, '0'))"
 
 
-def scaled(value: Column, decimals: int) -> Column:
+def scaled(value: str, decimals: int) -> str:
     """Implied-decimal integer, extra digits cut off."""
-    return (value * F.lit(10**decimals)).cast("long")
+    shifted = f"{value} * {10**decimals}" if decimals else value
+    return f"CAST({shifted} AS BIGINT)"
 
 
-def decimal_field(code, value: Column, width: int, decimals: int, signed: bool) -> Column:
+def decimal_field(code: str, value: str, width: int, decimals: int, signed: bool) -> str:
     if signed:
-        digits = F.lpad(scaled(F.abs(value), decimals).cast("string"), width - 1, "0")
-        return F.concat(_lit(code), sign_of(value), digits)
-    return F.concat(_lit(code), F.lpad(scaled(value, decimals).cast("string"), width, "0"))
+        digits = f"CAST({scaled(f'abs({value})', decimals)} AS STRING)"
+        return f"concat({code}, {sign_of(value)}, lpad({digits}, {width - 1}, '0'))"
+    return f"concat({code}, lpad(CAST({scaled(value, decimals)} AS STRING), {width}, '0'))"
 
 
-def date_field(code, value: Column, pattern: str) -> Column:
-    return F.concat(_lit(code), F.date_format(value, pattern))
+def date_field(code: str, value: str, pattern: str) -> str:
+    return f"concat({code}, date_format({value}, {quote(pattern)}))"
 
 
-def amount_field(code: Column, value: Column, width: Column, mandatory: Column, decimals: int) -> Column:
+def amount_digits(value: str, decimals: int) -> str:
+    return f"CAST({scaled(f'abs({value})', decimals)} AS STRING)"
+
+
+def amount_field(code: str, value: str, width: str, mandatory: str, decimals: int) -> str:
     """Signed amount of a tax row.
 
     Absent (NULL) without a code or a value; a zero is absent unless the code
     is mandatory.
     """
-    digits = F.lpad(scaled(F.abs(value), decimals).cast("string"), width - F.lit(1), "0")
-    shown = (value != 0) | F.coalesce(mandatory, F.lit(False))
-    return F.when(shown, F.concat(code, sign_of(value), digits))
+    digits = f"lpad({amount_digits(value, decimals)}, {width} - 1, '0')"
+    return (
+        f"CASE WHEN {value} <> 0 OR coalesce({mandatory}, false) "
+        f"THEN concat({code}, {sign_of(value)}, {digits}) END"
+    )
 
 
-def amount_overflows(value: Column, width: Column, decimals: int) -> Column:
+def amount_overflows(value: str, width: str, decimals: int) -> str:
     """True when the digits of an amount do not fit, so the field was cut."""
-    return F.length(scaled(F.abs(value), decimals).cast("string")) > width - F.lit(1)
+    return f"length({amount_digits(value, decimals)}) > {width} - 1"
 
 
-def flag_text_field(code: Column, value: Column, width: int = 1) -> Column:
-    return F.concat(code, F.rpad(trimmed(value), width, " "))
+def flag_text_field(code: str, value: str, width: int = 1) -> str:
+    return f"concat({code}, rpad({trimmed(value)}, {width}, ' '))"
 
 
-def count_field(code: Column, value: Column, width: int = 2) -> Column:
-    return F.concat(code, F.lpad(value.cast("long").cast("string"), width, "0"))
+def count_field(code: str, value: str, width: int = 2) -> str:
+    return f"concat({code}, lpad(CAST(CAST({value} AS BIGINT) AS STRING), {width}, '0'))"
 
 
-def place_field(code: str, value: Column, width: int = 6) -> Column:
+def place_field(code: str, value: str, width: int = 6) -> str:
     """Lived-in place: blank or NULL is absent."""
-    return F.when(F.trim(value) != "", F.concat(F.lit(code), F.lpad(F.trim(value), width, "0")))
+    return f"CASE WHEN trim({value}) <> '' THEN concat({code}, lpad(trim({value}), {width}, '0')) END"
 
 
-def zero_text(width: Column, signed: Column) -> Column:
+def zero_text(width: str, signed: str) -> str:
     """Default value of a field: zeros, led by a plus sign when signed."""
-    return F.when(signed, F.concat(F.lit("+"), F.repeat(F.lit("0"), width - 1))).otherwise(
-        F.repeat(F.lit("0"), width)
-    )
+    return f"CASE WHEN {signed} THEN concat('+', repeat('0', {width} - 1)) ELSE repeat('0', {width}) END"

@@ -1,91 +1,82 @@
-"""Packing of coded fields into lines, as native array expressions."""
-
-from pyspark.sql import Column, functions as F
+"""Packing of coded fields into lines, as native SQL array expressions."""
 
 from quartermill.specs.fixed_values import LINE_MARK, LINE_WIDTH, PREFIX_WIDTH
 
-_STATE = "struct<done:array<string>,line:string>"
+WORKER_PREFIX = f"'{LINE_MARK.ljust(PREFIX_WIDTH)}'"
+NO_LINES = "CAST(array() AS ARRAY<STRING>)"
 
 
-def worker_prefix() -> Column:
-    return F.rpad(F.lit(LINE_MARK), PREFIX_WIDTH, " ")
+def tax_prefix(jurisdiction_key: str) -> str:
+    return f"concat('{LINE_MARK}', {jurisdiction_key})"
 
 
-def tax_prefix(jurisdiction_key: Column) -> Column:
-    return F.concat(F.lit(LINE_MARK), jurisdiction_key)
+def _state(done: str, line: str) -> str:
+    return f"named_struct('done', {done}, 'line', {line})"
 
 
-def pack(items: Column, width: int = LINE_WIDTH) -> Column:
-    """Greedy packing of ``array<struct<prefix,text>>`` into lines.
+_START = _state(NO_LINES, "''")
+_FINISH = "s -> CASE WHEN s.line = '' THEN s.done ELSE array_append(s.done, s.line) END"
 
-    A field is never split.  A new line starts where the prefix changes or the
-    next field would pass ``width``; a single field longer than the line gets
-    an overlong line of its own.
-    """
 
-    def add(state, item):
-        fits = (F.length(state["line"]) + F.length(item["text"]) <= width) & state["line"].startswith(
-            item["prefix"]
-        )
-        fresh = F.concat(item["prefix"], item["text"])
-        return (
-            F.when(
-                state["line"] == "",
-                F.struct(state["done"].alias("done"), fresh.alias("line")),
-            )
-            .when(
-                fits,
-                F.struct(
-                    state["done"].alias("done"), F.concat(state["line"], item["text"]).alias("line")
-                ),
-            )
-            .otherwise(
-                F.struct(
-                    F.array_append(state["done"], state["line"]).alias("done"), fresh.alias("line")
-                )
-            )
-        )
-
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit("").alias("line")
-    ).cast(_STATE)
-    return F.aggregate(
-        items,
-        start,
-        add,
-        lambda state: F.when(state["line"] == "", state["done"]).otherwise(
-            F.array_append(state["done"], state["line"])
-        ),
-    )
+def _add_field(prefix: str, text: str, width: int) -> str:
+    """State after one more field."""
+    return f"""CASE
+        WHEN {text} = '' OR {text} IS NULL THEN s
+        WHEN s.line = '' THEN {_state('s.done', f'concat({prefix}, {text})')}
+        WHEN startswith(s.line, {prefix}) AND length(s.line) + length({text}) <= {width}
+            THEN {_state('s.done', f'concat(s.line, {text})')}
+        ELSE {_state('array_append(s.done, s.line)', f'concat({prefix}, {text})')} END"""
 
 
-def present(fields: Column) -> Column:
-    """Fields without the NULL and empty ones."""
-    return F.filter(fields, lambda text: text != "")
+def pack(fields: str, prefix: str, width: int = LINE_WIDTH) -> str:
+    """Greedy packing of an array of fields into lines with a common prefix.
 
+    A field is never split; NULL and empty fields are left out.  A new line
+    starts where the next field would pass ``width``, and a single field longer
+    than the line gets an overlong line of its own.
+    """
+    return f"aggregate({fields}, {_START}, (s, x) -> {_add_field(prefix, 'x', width)}, {_FINISH})"
 
-def with_prefix(fields: Column, prefix: Column) -> Column:
-    return F.transform(
-        present(fields), lambda text: F.struct(prefix.alias("prefix"), text.alias("text"))
-    )
 
+def pack_rows(rows: str, prefix: str, width: int = LINE_WIDTH) -> str:
+    """Packing of ``array<struct<text,fields,..>>``, row by row, as one sequence.
 
-def worker_lines(fields: Column) -> Column:
+    ``prefix`` is SQL over the row ``r``; a change of prefix starts a line.  A
+    row whose whole text fits the open line is appended at once, which is what
+    adding its fields one by one would give; only the others go field by field.
+    """
+    return f"""aggregate({rows}, {_START},
+        (s, r) -> CASE
+            WHEN r.text = '' THEN s
+            WHEN startswith(s.line, {prefix}) THEN CASE
+                WHEN length(s.line) + length(r.text) <= {width}
+                    THEN {_state('s.done', 'concat(s.line, r.text)')}
+                ELSE aggregate(r.fields, s, (s, x) -> {_add_field(prefix, 'x', width)}) END
+            WHEN length(r.text) <= {width - PREFIX_WIDTH} THEN {_state(
+                "CASE WHEN s.line = '' THEN s.done ELSE array_append(s.done, s.line) END",
+                f"concat({prefix}, r.text)")}
+            ELSE aggregate(r.fields, s, (s, x) -> {_add_field(prefix, 'x', width)}) END,
+        {_FINISH})"""
+
+
+def worker_lines(fields: str) -> str:
     """Employee lines; a worker without fields still gets the bare prefix line."""
-    lines = pack(with_prefix(fields, worker_prefix()))
-    return F.when(F.size(lines) == 0, F.array(worker_prefix())).otherwise(lines)
+    return (
+        f"CASE WHEN exists({fields}, f -> f <> '') THEN {pack(fields, WORKER_PREFIX)} "
+        f"ELSE array({WORKER_PREFIX}) END"
+    )
 
 
-def tax_lines(fields: Column, jurisdiction_key: Column) -> Column:
+def tax_lines(fields: str, jurisdiction_key: str) -> str:
     """Lines of one jurisdiction; no fields, no line."""
-    return pack(with_prefix(fields, tax_prefix(jurisdiction_key)))
+    return pack(fields, tax_prefix(jurisdiction_key))
 
 
 # Two upper-case alphanumerics of which at least one is a letter: a field code.
-_CODE_AHEAD = r"(?=[A-Z0-9]{2})(?![0-9]{2})"
+_CODE_AHEAD = "(?=[A-Z0-9]{2})(?![0-9]{2})"
 
 
-def rewrap(line: Column, width: int = LINE_WIDTH) -> Column:
+def rewrap(line: str, width: int = LINE_WIDTH) -> str:
     """Split an already built long line at the last code that still fits.
 
     The first piece may use the whole width; later pieces carry the employee
@@ -93,16 +84,13 @@ def rewrap(line: Column, width: int = LINE_WIDTH) -> Column:
     every piece makes progress.
     """
     room = width - PREFIX_WIDTH
-    first = F.regexp_extract(line, rf"(?s)\A(?:.{{1,{width - 2}}}{_CODE_AHEAD}|.{{1,{width}}})", 0)
-    rest = F.substring(line, F.length(first) + 1, F.length(line))
-    pieces = F.regexp_extract_all(
-        rest, F.lit(rf"(?s).{{1,{room}}}\z|.{{1,{room - 2}}}{_CODE_AHEAD}|.{{1,{room}}}"), 0
-    )
-    wrapped = F.concat(
-        F.array(first), F.transform(pieces, lambda piece: F.concat(worker_prefix(), piece))
+    first = f"regexp_extract({line}, r'(?s)\\A(?:.{{1,{width - 2}}}{_CODE_AHEAD}|.{{1,{width}}})', 0)"
+    rest = f"substring({line}, length({first}) + 1)"
+    pieces = (
+        f"regexp_extract_all({rest}, r'(?s).{{1,{room}}}\\z|.{{1,{room - 2}}}{_CODE_AHEAD}|.{{1,{room}}}', 0)"
     )
     return (
-        F.when(F.coalesce(line, F.lit("")) == "", F.array().cast("array<string>"))
-        .when(F.length(line) <= width, F.array(line))
-        .otherwise(wrapped)
+        f"CASE WHEN coalesce({line}, '') = '' THEN {NO_LINES} "
+        f"WHEN length({line}) <= {width} THEN array({line}) "
+        f"ELSE concat(array({first}), transform({pieces}, p -> concat({WORKER_PREFIX}, p))) END"
     )

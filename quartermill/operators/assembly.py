@@ -12,6 +12,8 @@ from quartermill.specs import fixed_values as fixed
 FILE = ("site_id", "year", "quarter")
 COMPANY = (*FILE, "branch_code", "company_code")
 PACKET = (*COMPANY, "worker_sk", "packet")
+# A worker belongs to one company, so these identify a packet.
+PACKET_ID = (*FILE, "worker_sk", "packet")
 DEFAULT_TAG = "QTRFILINGS"
 WORKER_BLOCKS = 4096
 
@@ -80,7 +82,7 @@ def _starts(packets: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     packet_starts = (
         counts.withColumn("in_block", F.coalesce(F.sum("n_lines").over(inside), F.lit(0)))
         .join(blocks.select(*COMPANY, "block", "block_start"), [*COMPANY, "block"])
-        .select(*PACKET, (F.col("block_start") + F.col("in_block")).alias("start"))
+        .select(*PACKET_ID, (F.col("block_start") + F.col("in_block")).alias("start"))
     )
     companies = blocks.filter("opens = 1").select(*COMPANY, F.col("block_start").alias("line_no"))
     return packet_starts, companies
@@ -114,7 +116,7 @@ def numbered_lines(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) ->
     ``packets`` should be staged: counting reads only keys and line counts.
     """
     packet_starts, companies = _starts(packets, block_width(packets))
-    body = packets.join(packet_starts, list(PACKET)).select(
+    body = packets.join(packet_starts, list(PACKET_ID)).select(
         *FILE, "start", F.posexplode("lines").alias("pos", "value")
     ).select(*FILE, (F.col("start") + F.col("pos") + 1).alias("line_no"), "value")
     headers = companies.select(

@@ -3,8 +3,10 @@
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from quartermill.functions.formats import quote
+from quartermill.functions.packing import NO_LINES
 from quartermill.session import values_frame
 from quartermill.specs.compile import Specs
 
@@ -17,27 +19,28 @@ ZERO_MEASURES = (
 )
 
 
-def covers(measure: str, tax_type: str) -> Column:
-    """Does a (canonical) tax row provide this mandatory field?"""
-    same = F.col("tax_type") == tax_type
-    return same if measure == "qtd_amount" else same & F.col(measure).isNotNull()
+def covers(measure: str, tax_type: str) -> str:
+    """SQL text: does a (canonical) tax row provide this mandatory field?"""
+    same = f"tax_type = {quote(tax_type)}"
+    return same if measure == "qtd_amount" else f"({same} AND {measure} IS NOT NULL)"
 
 
-def covered_codes(specs: Specs) -> Column:
-    """Array of the mandatory codes a tax row provides."""
-    codes = [F.when(covers(m, t), F.lit(code)) for code, (m, t) in specs.mandatory().items()]
-    return F.array_compact(F.array(*codes)) if codes else F.array().cast("array<string>")
+def covered_codes(specs: Specs) -> str:
+    """SQL text: array of the mandatory codes a tax row provides."""
+    codes = [f"CASE WHEN {covers(m, t)} THEN {quote(code)} END" for code, (m, t) in specs.mandatory().items()]
+    return f"array_compact(array({', '.join(codes)}))" if codes else NO_LINES
 
 
 def coverage_flags(rows: DataFrame, worker_periods: DataFrame, specs: Specs) -> DataFrame:
     """Per worker and period, one flag per mandatory code, in one aggregation for all codes."""
     flags = [
-        F.max(covers(measure, tax_type)).alias(f"has_{code}")
+        F.expr(f"max({covers(measure, tax_type)}) AS has_{code}")
         for code, (measure, tax_type) in specs.mandatory().items()
     ]
     seen = rows.groupBy(*PERIOD_KEYS).agg(*flags)
-    filled = [F.coalesce(f"has_{code}", F.lit(False)).alias(f"has_{code}") for code in specs.mandatory()]
-    return worker_periods.join(seen, list(PERIOD_KEYS), "left").select(*worker_periods.columns, *filled)
+    return worker_periods.join(seen, list(PERIOD_KEYS), "left").selectExpr(
+        *worker_periods.columns, *(f"coalesce(has_{code}, false) AS has_{code}" for code in specs.mandatory())
+    )
 
 
 def _per_code(flags: DataFrame, specs: Specs, keys) -> DataFrame:

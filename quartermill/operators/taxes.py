@@ -1,7 +1,7 @@
 """Tax side: latest run, jurisdictions, profile, canonical types, coded fields."""
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quartermill.functions import formats
 from quartermill.functions.text import jurisdiction
@@ -22,85 +22,99 @@ RUN_KEYS = (
     "worker_sk", "organization_unit_sk", "state_code", "local_code", "tax_type",
     "is_employer_tax", "year", "quarter",
 )
-AMOUNT = "decimal(18,2)"
+PROFILE_KEYS = ("worker_sk", "branch_code", "company_code")
+PROFILE_VALUES = ("filing_status", "number_of_allowances", "sui_exempt_flag", "sdi_exempt_flag")
+AMOUNT = "DECIMAL(18,2)"
+FILING_CODE = (
+    "CASE filing_status WHEN 'MarriedFilingJointly' THEN 'M' WHEN 'HeadOfHousehold' THEN 'H' ELSE 'S' END"
+)
+COMPLETE = " AND ".join(f"{key} IS NOT NULL" for key in STRICT_KEYS)
 
 
-def latest_run(snapshot: DataFrame) -> DataFrame:
+def rank_one(snapshot: DataFrame) -> DataFrame:
     """Rows of the last payroll run per key; ties stay, NULL jurisdictions are equal.
 
     A rank instead of the aggregate-and-join-back of the same table: one scan,
     one shuffle, and Spark limits each key to rank 1 before shuffling too.
     """
-    complete = snapshot.dropna(subset=list(STRICT_KEYS))
     window = Window.partitionBy(*RUN_KEYS).orderBy(F.desc("payroll_run_sk"))
-    return complete.withColumn("run_rank", F.rank().over(window)).filter("run_rank = 1").drop("run_rank")
+    return snapshot.withColumn("run_rank", F.rank().over(window)).filter("run_rank = 1").drop("run_rank")
 
 
-def out_of_state_amounts(df: DataFrame) -> DataFrame:
-    """Four amounts out of the JSON column; absent and unreadable values are zero."""
-    parsed = df.withColumn(
-        "_oos",
-        F.from_json("out_of_state", ", ".join(f"{key} string" for key in fixed.OUT_OF_STATE_KEYS.values())),
-    )
-    for name, key in fixed.OUT_OF_STATE_KEYS.items():
-        amount = F.col(f"_oos.{key}").try_cast(AMOUNT)
-        parsed = parsed.withColumn(name, F.coalesce(amount, F.lit(0).cast(AMOUNT)))
-    return parsed.drop("_oos", "out_of_state")
+def latest_run(snapshot: DataFrame) -> DataFrame:
+    """Latest rows; rows with a NULL strict key never match themselves and drop out."""
+    return rank_one(snapshot.filter(COMPLETE))
 
 
 def with_amounts(latest: DataFrame) -> DataFrame:
-    """Jurisdiction, zero defaults and non-zero counts."""
-    zeros = {name: F.coalesce(name, F.lit(0).cast(AMOUNT)) for name in ZERO_DEFAULT}
-    return latest.withColumns(zeros).withColumns(
-        {
-            "jurisdiction": jurisdiction(F.col("state_code"), F.col("local_code")),
-            "qtd_amount_count": F.when(F.col("qtd_amount") != 0, 1),
-            "ytd_amount_count": F.when(F.col("ytd_amount") != 0, 1),
-        }
+    """Jurisdiction, zero defaults, non-zero counts and the out-of-state amounts.
+
+    The JSON column is parsed once; absent and unreadable values are zero.
+    """
+    keys = fixed.OUT_OF_STATE_KEYS
+    fields = ", ".join(f"{key} STRING" for key in keys.values())
+    kept = [n for n in latest.columns if n not in (*ZERO_DEFAULT, "out_of_state")]
+    parsed = latest.selectExpr(
+        *kept,
+        *(f"coalesce({n}, CAST(0 AS {AMOUNT})) AS {n}" for n in ZERO_DEFAULT),
+        f"{jurisdiction('state_code', 'local_code')} AS jurisdiction",
+        f"from_json(out_of_state, '{fields}') AS oos",
+    )
+    return parsed.selectExpr(
+        *(n for n in parsed.columns if n != "oos"),
+        "CASE WHEN qtd_amount <> 0 THEN 1 END AS qtd_amount_count",
+        "CASE WHEN ytd_amount <> 0 THEN 1 END AS ytd_amount_count",
+        *(f"coalesce(try_cast(oos.{key} AS {AMOUNT}), CAST(0 AS {AMOUNT})) AS {n}" for n, key in keys.items()),
     )
 
 
-def filing_code(filing_status: Column) -> Column:
-    return (
-        F.when(filing_status == "MarriedFilingJointly", "M")
-        .when(filing_status == "HeadOfHousehold", "H")
-        .otherwise("S")
+def join_profile(rows: DataFrame, profile: DataFrame) -> DataFrame:
+    """Left join of the tax profile; NULL jurisdictions match each other."""
+    left = rows.alias("t")
+    right = profile.select(*PROFILE_KEYS, "state_code", "local_code", *PROFILE_VALUES).alias("p")
+    condition = F.expr(
+        " AND ".join(f"t.{key} = p.{key}" for key in PROFILE_KEYS)
+        + " AND t.state_code <=> p.state_code AND t.local_code <=> p.local_code"
+    )
+    values = [f"p.{name}" for name in PROFILE_VALUES[1:]]
+    return left.join(right, condition, "left").selectExpr(
+        "t.*", f"{FILING_CODE} AS filing_status", *values
     )
 
 
-PROFILE_VALUES = ("filing_status", "number_of_allowances", "sui_exempt_flag", "sdi_exempt_flag")
-
+def join_profile_by_worker(rows: DataFrame, profile: DataFrame) -> DataFrame:
+    """The same join for rows already partitioned by worker.
 
-def join_profile(latest: DataFrame, profile: DataFrame) -> DataFrame:
-    """Left join of the tax profile; NULL jurisdictions match each other."""
-    keys = ("worker_sk", "branch_code", "company_code")
-    left, right = latest.alias("t"), profile.select(
-        *keys, "state_code", "local_code", *PROFILE_VALUES
-    ).alias("p")
-    condition = F.col("t.state_code").eqNullSafe(F.col("p.state_code")) & F.col("t.local_code").eqNullSafe(
-        F.col("p.local_code")
+    Joining on ``worker_sk`` alone keeps that partitioning; the few profiles of
+    a worker travel as an array and the matching ones are picked from it.
+    """
+    values = ", ".join(PROFILE_VALUES)
+    profiles = profile.groupBy("worker_sk").agg(
+        F.expr(f"collect_list(struct(branch_code, company_code, state_code, local_code, {values})) AS profiles")
     )
-    for key in keys:
-        condition &= F.col(f"t.{key}") == F.col(f"p.{key}")
-    joined = left.join(right, condition, "left")
-    return joined.select("t.*", *(F.col(f"p.{name}") for name in PROFILE_VALUES)).withColumn(
-        "filing_status", filing_code(F.col("filing_status"))
+    match = (
+        "filter(profiles, p -> p.branch_code = branch_code AND p.company_code = company_code "
+        "AND p.state_code <=> state_code AND p.local_code <=> local_code)"
     )
+    joined = rows.join(profiles, "worker_sk", "left")
+    picked = joined.selectExpr(*rows.columns, f"explode_outer({match}) AS p")
+    return picked.selectExpr(
+        *rows.columns, *(f"p.{name}" for name in PROFILE_VALUES)
+    ).withColumn("filing_status", F.expr(FILING_CODE))
 
 
 def tax_rows(snapshot: DataFrame, profile: DataFrame) -> DataFrame:
     """Latest tax rows with amounts, JSON amounts and profile values."""
-    return join_profile(out_of_state_amounts(with_amounts(latest_run(snapshot))), profile)
+    return join_profile(with_amounts(latest_run(snapshot)), profile)
 
 
 def canonical_types(rows: DataFrame, specs: Specs) -> DataFrame:
     """Base tax types become their employee or employer type."""
     pairs = specs.pair_frame(rows.sparkSession).withColumnRenamed("base_type", "tax_type")
-    canonical = F.when(F.col("is_employer_tax"), F.col("employer_type")).otherwise(F.col("employee_type"))
-    return (
-        rows.join(pairs, "tax_type", "left")
-        .withColumn("tax_type", F.coalesce(canonical, "tax_type"))
-        .drop("employee_type", "employer_type")
+    others = [n for n in rows.columns if n != "tax_type"]
+    return rows.join(pairs, "tax_type", "left").selectExpr(
+        *others,
+        "coalesce(CASE WHEN is_employer_tax THEN employer_type ELSE employee_type END, tax_type) AS tax_type",
     )
 
 
@@ -130,23 +144,32 @@ def cells_by_type(spark: SparkSession, specs: Specs) -> DataFrame:
     return values_frame(spark, schema, rows)
 
 
-def slot_text(measure: str, kind: str, width: int, decimals: int) -> Column:
-    """Coded text of one slot; NULL when the slot is not shown."""
+def shown_slots(specs: Specs, columns) -> list[tuple[int, str, str, int, int]]:
+    """Slots that some tax type has a code for; the others are never shown."""
+    used = {row[0] for row in specs.tax}
+    return [s for s in slots() if s[1] in columns and (s[2] == "place" or s[1] in used)]
+
+
+def slot_text(measure: str, kind: str, width: int, decimals: int) -> str:
+    """SQL text of one coded slot; NULL when the slot is not shown."""
     if kind == "place":
-        return formats.place_field(fixed.LIVED_IN_CODE, F.col(measure), width)
-    cell = F.col(f"cell_{measure}")
-    code, value = cell["code"], F.col(measure)
+        return formats.place_field(slot_code(measure, kind), measure, width)
+    code = slot_code(measure, kind)
     if kind == "text":
-        return formats.flag_text_field(code, value, width)
+        return formats.flag_text_field(code, measure, width)
     if kind == "count":
-        return formats.count_field(code, value, width)
+        return formats.count_field(code, measure, width)
     return formats.amount_field(
-        code, value, F.coalesce(cell["width"], F.lit(width)), cell["mandatory"], decimals
+        code, measure, slot_width(measure, width), f"cell_{measure}.mandatory", decimals
     )
 
 
-def slot_code(measure: str, kind: str) -> Column:
-    return F.lit(fixed.LIVED_IN_CODE) if kind == "place" else F.col(f"cell_{measure}.code")
+def slot_code(measure: str, kind: str) -> str:
+    return f"'{fixed.LIVED_IN_CODE}'" if kind == "place" else f"cell_{measure}.code"
+
+
+def slot_width(measure: str, width: int) -> str:
+    return f"coalesce(cell_{measure}.width, {width})"
 
 
 def with_cells(rows: DataFrame, specs: Specs) -> DataFrame:
@@ -155,34 +178,26 @@ def with_cells(rows: DataFrame, specs: Specs) -> DataFrame:
 
 def tax_fields(rows: DataFrame, specs: Specs, keys) -> DataFrame:
     """Long form: one row per tax row and shown field, of canonical ``rows``."""
-    coded = [
-        F.struct(
-            F.lit(order).alias("ord"),
-            F.lit(measure).alias("measure"),
-            slot_code(measure, kind).alias("code"),
-            slot_text(measure, kind, width, decimals).alias("text"),
-            (
-                formats.amount_overflows(
-                    F.col(measure), F.coalesce(F.col(f"cell_{measure}.width"), F.lit(width)), decimals
-                )
-                if kind == "amount"
-                else F.lit(False)
-            ).alias("overflow"),
+    coded = []
+    for order, measure, kind, width, decimals in shown_slots(specs, rows.columns):
+        overflow = (
+            formats.amount_overflows(measure, slot_width(measure, width), decimals) if kind == "amount" else "false"
+        )
+        coded.append(
+            f"named_struct('ord', {order}, 'measure', '{measure}', 'code', {slot_code(measure, kind)}, "
+            f"'text', {slot_text(measure, kind, width, decimals)}, 'overflow', {overflow})"
         )
-        for order, measure, kind, width, decimals in slots()
-        if measure in rows.columns
-    ]
     return (
         with_cells(rows, specs)
-        .select(*keys, F.inline(F.array(*coded)))
-        .filter(F.col("text").isNotNull())
+        .selectExpr(*keys, f"inline(array({', '.join(coded)}))")
+        .filter("text IS NOT NULL")
     )
 
 
 def tax_field_arrays(rows: DataFrame, specs: Specs, keys) -> DataFrame:
     """One row per tax row with its shown fields as an array, in slot order."""
-    texts = [slot_text(m, kind, w, d) for _, m, kind, w, d in slots() if m in rows.columns]
-    return with_cells(rows, specs).select(*keys, F.array_compact(F.array(*texts)).alias("fields"))
+    texts = [slot_text(m, kind, w, d) for _, m, kind, w, d in shown_slots(specs, rows.columns)]
+    return with_cells(rows, specs).selectExpr(*keys, f"array_compact(array({', '.join(texts)})) AS fields")
 
 
 def default_row_fields(specs: Specs) -> dict[str, list[str]]:

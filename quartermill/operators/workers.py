@@ -1,12 +1,37 @@
 """Worker side: address pivot, profile, period membership, coded fields."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from quartermill.functions.formats import quote
+from quartermill.functions.packing import NO_LINES
 from quartermill.functions.text import yes_no
 from quartermill.specs.compile import Specs, field_text
 
 ADDRESS_COLUMNS = ("line_one", "city_name", "state_code", "postal_code")
 UPPER_ADDRESS_COLUMNS = ("line_one", "city_name")
+PLAIN_COLUMNS = (
+    "ssn", "birth_date", "hire_date", "termination_date", "gender", "department_code",
+    "employee_id", "pay_rate_amount", "job_title",
+)
+
+# Code values derived from worker attributes; NULL indicators count as false.
+FLAGS = {
+    "retirement_plan_indicator": yes_no("retirement_plan_indicator"),
+    "third_party_sick_pay_indicator": yes_no("third_party_sick_pay_indicator"),
+    "replacement_worker": yes_no("replacement_worker"),
+    "corporate_officer_indicator": yes_no("corporate_officer_indicator"),
+    "pull_indicator": yes_no("w2_special_handle_indicator", "P", "M"),
+    "medical_coverage_indicator": yes_no("medical_coverage_indicator", "3", "1"),
+    "print_suppress_flag": yes_no("suppress_w2_print_indicator", "P", "N"),
+    "independent_contractor": yes_no("worker_type = 'Contractor'"),
+    "seasonal_employee": yes_no("worker_type = 'Seasonal'"),
+    "seasonal_employee_local": yes_no("worker_type = 'Seasonal'"),
+    "wfh_indicator": yes_no("work_from_home_flag"),
+    "ee_post_indicator": yes_no("post_w2_indicator"),
+    "statutory_flag": yes_no("statutory_flag"),
+    "remuneration_basis": "CASE remuneration_basis WHEN 'Hourly' THEN 'H' WHEN 'Salaried' THEN 'S' END",
+    "family_status": yes_no("ownership_percent > 50"),
+}
 
 
 def address_pivot(address: DataFrame) -> DataFrame:
@@ -14,66 +39,25 @@ def address_pivot(address: DataFrame) -> DataFrame:
     columns = []
     for kind in ("Work", "Home"):
         for name in ADDRESS_COLUMNS:
-            value = F.upper(name) if name in UPPER_ADDRESS_COLUMNS else F.col(name)
-            columns.append(F.max(F.when(F.col("type") == kind, value)).alias(f"{kind.lower()}_{name}"))
-    return address.filter(F.col("type").isin("Work", "Home")).groupBy("worker_sk").agg(*columns)
-
-
-def worker_flags() -> dict[str, Column]:
-    """Code values derived from indicators; NULL indicators count as false."""
-    c = F.col
-    return {
-        "retirement_plan_indicator": yes_no(c("retirement_plan_indicator")),
-        "third_party_sick_pay_indicator": yes_no(c("third_party_sick_pay_indicator")),
-        "replacement_worker": yes_no(c("replacement_worker")),
-        "corporate_officer_indicator": yes_no(c("corporate_officer_indicator")),
-        "pull_indicator": yes_no(c("w2_special_handle_indicator"), "P", "M"),
-        "medical_coverage_indicator": yes_no(c("medical_coverage_indicator"), "3", "1"),
-        "print_suppress_flag": yes_no(c("suppress_w2_print_indicator"), "P", "N"),
-        "independent_contractor": yes_no(c("worker_type") == "Contractor"),
-        "seasonal_employee": yes_no(c("worker_type") == "Seasonal"),
-        "seasonal_employee_local": yes_no(c("worker_type") == "Seasonal"),
-        "wfh_indicator": yes_no(c("work_from_home_flag")),
-        "ee_post_indicator": yes_no(c("post_w2_indicator")),
-        "statutory_flag": yes_no(c("statutory_flag")),
-        "remuneration_basis": F.when(c("remuneration_basis") == "Hourly", "H").when(
-            c("remuneration_basis") == "Salaried", "S"
-        ),
-        "family_status": yes_no(c("ownership_percent") > 50),
-    }
-
-
-PLAIN_COLUMNS = (
-    "ssn", "birth_date", "hire_date", "termination_date", "gender", "department_code",
-    "employee_id", "pay_rate_amount", "job_title",
-)
-
-
-def profile_columns() -> list[Column]:
-    return [
-        F.upper("family_name").alias("family_name"),
-        F.upper("given_name").alias("given_name"),
-        F.upper(F.left("middle_name", F.lit(1))).alias("middle_name"),
-        *PLAIN_COLUMNS,
-        *(column.alias(name) for name, column in worker_flags().items()),
-    ]
+            value = f"upper({name})" if name in UPPER_ADDRESS_COLUMNS else name
+            columns.append(
+                F.expr(f"max(CASE WHEN type = '{kind}' THEN {value} END) AS {kind.lower()}_{name}")
+            )
+    return address.filter("type IN ('Work', 'Home')").groupBy("worker_sk").agg(*columns)
 
 
 def worker_profile(worker: DataFrame, address: DataFrame) -> DataFrame:
     """Worker attributes in output form, with both addresses."""
-    pivot = address_pivot(address)
-    addresses = [name for name in pivot.columns if name != "worker_sk"]
-    keys = ["worker_sk", "branch_code", "company_code"]
-    carried = [name for name in ("site_id",) if name in worker.columns]
-    return (
-        worker.select(*keys, *carried, *profile_columns())
-        .join(pivot, "worker_sk", "left")
-        .select(*keys, *carried, *(n for n in _profile_names()), *addresses)
+    keys = [k for k in ("worker_sk", "branch_code", "company_code", "site_id") if k in worker.columns]
+    attributes = worker.selectExpr(
+        *keys,
+        "upper(family_name) AS family_name",
+        "upper(given_name) AS given_name",
+        "upper(left(middle_name, 1)) AS middle_name",
+        *PLAIN_COLUMNS,
+        *(f"{expression} AS {name}" for name, expression in FLAGS.items()),
     )
-
-
-def _profile_names() -> list[str]:
-    return ["family_name", "given_name", "middle_name", *PLAIN_COLUMNS, *worker_flags()]
+    return attributes.join(address_pivot(address), "worker_sk", "left")
 
 
 def workers_in_period(worker: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -93,19 +77,13 @@ def worker_counts(worker: DataFrame, snapshot: DataFrame) -> DataFrame:
 def worker_fields(profile: DataFrame, specs: Specs) -> DataFrame:
     """Long form: one row per worker and coded field."""
     coded = [
-        F.struct(
-            F.lit(row[0]).alias("ord"),
-            F.lit(row[8]).alias("level"),
-            F.lit(row[2]).alias("code"),
-            field_text(row).alias("text"),
-        )
+        f"named_struct('ord', {row[0]}, 'level', {quote(row[8])}, 'code', {quote(row[2])}, 'text', {field_text(row)})"
         for row in specs.fields
         if row[1] in profile.columns
     ]
-    return (
-        profile.select("worker_sk", "branch_code", "company_code", F.inline(F.array(*coded)))
-        .filter(F.col("text").isNotNull())
-    )
+    return profile.selectExpr(
+        "worker_sk", "branch_code", "company_code", f"inline(array({', '.join(coded)}))"
+    ).filter("text IS NOT NULL")
 
 
 def level_arrays(profile: DataFrame, specs: Specs, keys) -> DataFrame:
@@ -113,6 +91,6 @@ def level_arrays(profile: DataFrame, specs: Specs, keys) -> DataFrame:
     arrays = []
     for level in ("EE", "F", "S", "L"):
         texts = [field_text(row) for row in specs.fields if row[8] == level and row[1] in profile.columns]
-        array = F.array_compact(F.array(*texts)) if texts else F.array().cast("array<string>")
-        arrays.append(array.alias(f"{level.lower()}_fields"))
-    return profile.select(*keys, *arrays)
+        array = f"array_compact(array({', '.join(texts)}))" if texts else NO_LINES
+        arrays.append(f"{array} AS {level.lower()}_fields")
+    return profile.selectExpr(*keys, *arrays)

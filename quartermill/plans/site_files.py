@@ -8,20 +8,19 @@ then run without another exchange.
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quartermill.functions import packing
+from quartermill.functions.formats import quote
 from quartermill.functions.text import jurisdiction_class, jurisdiction_key, jurisdiction_order
 from quartermill.operators import assembly, mandatory, queue as queue_ops, taxes, workers
 from quartermill.operators.sizing import broadcast_if_small
 from quartermill.plans import hot_workers
 from quartermill.session import stage
 from quartermill.specs.compile import Specs, default_specs
+from quartermill.specs.fixed_values import FEDERAL, JURISDICTION_WIDTH
 
-TAX_ROW = (
-    "struct<juris_ord:int,juris:string,class:string,tax_type:string,is_employer_tax:boolean,"
-    "payroll_run_sk:bigint,text:string,fields:array<string>,covers:array<string>>"
-)
+ARRAY_KEYS = ("worker_sk", "branch_code", "company_code", "site_id")
 
 
 @dataclass(frozen=True)
@@ -45,12 +44,25 @@ def site_workers(inputs: Inputs, sites: DataFrame) -> DataFrame:
 
 
 def worker_arrays(inputs: Inputs, sites: DataFrame, specs: Specs, decisions=None) -> DataFrame:
-    """Per worker: site, company, the coded fields of each level, skip decisions."""
+    """Per worker: site, company, employee lines, the F, S and L fields, skip decisions.
+
+    Employee lines do not depend on the period, so they are packed here once.
+    """
     profile = workers.worker_profile(site_workers(inputs, sites), inputs.address)
-    arrays = workers.level_arrays(
-        profile, specs, ["worker_sk", "branch_code", "company_code", "site_id"]
+    arrays = workers.level_arrays(profile, specs, ARRAY_KEYS)
+    extra = []
+    if decisions:
+        arrays = decisions.attach(arrays)
+        extra = list(decisions.COLUMNS)
+    own = decisions.kept_fields("ee_fields") if decisions else "ee_fields"
+    levels = [f"{level}_fields" for level in "fsl"]
+    return arrays.selectExpr(*ARRAY_KEYS, *levels, *extra, f"{own} AS own").selectExpr(
+        *ARRAY_KEYS,
+        *levels,
+        *(f"array_join({level}_fields, '') AS {level}_text" for level in "fsl"),
+        *extra,
+        f"{packing.worker_lines('own')} AS worker_lines",
     )
-    return decisions.attach(arrays) if decisions else arrays
 
 
 def period_tax_rows(inputs: Inputs, periods: DataFrame) -> DataFrame:
@@ -61,141 +73,92 @@ def period_tax_rows(inputs: Inputs, periods: DataFrame) -> DataFrame:
     """
     quarters = broadcast_if_small(periods.select("year", "quarter").distinct())
     snapshot = inputs.snapshot.join(quarters, ["year", "quarter"], "left_semi").repartition("worker_sk")
-    window = Window.partitionBy(*taxes.RUN_KEYS).orderBy(F.desc("payroll_run_sk"))
-    complete = F.lit(True)
-    for key in taxes.STRICT_KEYS:
-        complete &= F.col(key).isNotNull()
-    latest = (
-        snapshot.withColumn("run_rank", F.rank().over(window))
-        .filter("run_rank = 1")
-        .withColumn("complete", complete)
-        .drop("run_rank")
-    )
-    amounts = taxes.out_of_state_amounts(taxes.with_amounts(latest))
-    return taxes.join_profile(amounts, inputs.profile.repartition("worker_sk"))
+    latest = taxes.rank_one(snapshot).withColumn("complete", F.expr(taxes.COMPLETE))
+    return taxes.join_profile_by_worker(taxes.with_amounts(latest), inputs.profile)
 
 
 def coded_tax_rows(rows: DataFrame, specs: Specs) -> DataFrame:
     """One row per tax row: sort keys, coded fields, mandatory codes provided."""
-    canonical = taxes.canonical_types(rows, specs).withColumn("covers", mandatory.covered_codes(specs))
-    coded = taxes.tax_field_arrays(
-        canonical,
-        specs,
-        [
-            "worker_sk", "year", "quarter", "complete", "jurisdiction", "tax_type", "is_employer_tax",
-            "payroll_run_sk", "covers",
-        ],
+    canonical = taxes.canonical_types(rows, specs).withColumn(
+        "covers", F.expr(mandatory.covered_codes(specs))
     )
-    juris = F.col("jurisdiction")
-    return coded.select(
-        "worker_sk",
-        "year",
-        "quarter",
-        "complete",
-        F.struct(
-            jurisdiction_order(juris).alias("juris_ord"),
-            jurisdiction_key(juris).alias("juris"),
-            jurisdiction_class(juris).alias("class"),
-            "tax_type",
-            "is_employer_tax",
-            "payroll_run_sk",
-            F.array_join("fields", "").alias("text"),
-            "fields",
-            "covers",
-        ).alias("row"),
+    kept = (
+        "worker_sk", "year", "quarter", "complete", "branch_code", "company_code", "jurisdiction",
+        "tax_type", "is_employer_tax", "payroll_run_sk", "covers",
     )
+    return taxes.tax_field_arrays(canonical, specs, kept)
 
 
-def _row(ord_, juris, class_, tax_type, run, fields) -> Column:
-    return F.struct(
-        ord_.alias("juris_ord"), juris.alias("juris"), class_.alias("class"), tax_type.alias("tax_type"),
-        F.lit(False).alias("is_employer_tax"), F.lit(run).cast("bigint").alias("payroll_run_sk"),
-        F.lit("").alias("text"), fields.alias("fields"), F.array().cast("array<string>").alias("covers"),
-    ).cast(TAX_ROW)
+SORTED_ROW = f"""named_struct(
+    'juris_ord', {jurisdiction_order('jurisdiction')}, 'juris', {jurisdiction_key('jurisdiction')},
+    'class', {jurisdiction_class('jurisdiction')}, 'tax_type', tax_type, 'is_employer_tax', is_employer_tax,
+    'payroll_run_sk', payroll_run_sk, 'text', array_join(fields, ''), 'fields', fields, 'covers', covers)"""
 
 
-def federal_default(tax_type: str, fields: list[str]) -> Column:
-    """The all-zero row of a mandatory tax type."""
-    return _row(
-        F.lit(0), jurisdiction_key(F.lit("F")), F.lit("F"), F.lit(tax_type), 0, F.array(*map(F.lit, fields))
+def _row(juris_ord: str, juris: str, class_: str, tax_type: str, run: int, text: str, fields: str) -> str:
+    return (
+        f"named_struct('juris_ord', {juris_ord}, 'juris', {juris}, 'class', {class_}, 'tax_type', {tax_type}, "
+        f"'is_employer_tax', false, 'payroll_run_sk', {run}L, 'text', {text}, 'fields', {fields}, "
+        f"'covers', {packing.NO_LINES})"
     )
 
 
-def default_tax_rows(rows: Column, specs: Specs, blocked=None) -> Column:
+def federal_default(tax_type: str, fields: list[str]) -> str:
+    """The all-zero row of a mandatory tax type."""
+    texts = f"array({', '.join(map(quote, fields))})"
+    key = quote(FEDERAL.ljust(JURISDICTION_WIDTH))
+    return _row("0", key, "'F'", quote(tax_type), 0, quote("".join(fields)), texts)
+
+
+def default_tax_rows(rows: str, specs: Specs, blocked=None) -> str:
     """Default rows for the mandatory tax types that ``rows`` do not fully cover.
 
-    ``blocked`` tells whether a skip decision forbids the default of a type.
+    ``blocked`` gives the condition under which a skip decision forbids the
+    default of a type.
     """
     defaults = []
     for tax_type, fields in taxes.default_row_fields(specs).items():
-        absent = F.lit(False)
-        for code, (_, code_type) in specs.mandatory().items():
-            if code_type == tax_type:
-                absent |= ~F.exists(rows, lambda r, c=code: F.array_contains(r["covers"], c))
-        if blocked is not None:
-            absent &= ~blocked(tax_type)
-        defaults.append(F.when(absent, federal_default(tax_type, fields)))
-    return F.array_compact(F.array(*defaults)) if defaults else F.array().cast(f"array<{TAX_ROW}>")
+        absent = " OR ".join(
+            f"NOT exists({rows}, r -> array_contains(r.covers, {quote(code)}))"
+            for code, (_, code_type) in specs.mandatory().items()
+            if code_type == tax_type
+        )
+        allowed = f" AND NOT {blocked(tax_type)}" if blocked else ""
+        defaults.append(f"CASE WHEN ({absent}){allowed} THEN {federal_default(tax_type, fields)} END")
+    return f"array_compact(array({', '.join(defaults)}))" if defaults else f"filter({rows}, r -> false)"
 
 
-def level_rows(rows: Column) -> Column:
+def level_rows(rows: str) -> str:
     """Worker fields that ride on each jurisdiction present, ahead of its tax rows."""
-    groups = F.array_distinct(
-        F.transform(
-            rows,
-            lambda r: F.struct(
-                r["juris_ord"].alias("juris_ord"), r["juris"].alias("juris"), r["class"].alias("class")
-            ),
-        )
+    groups = (
+        f"array_distinct(transform({rows}, r -> named_struct('juris_ord', r.juris_ord, 'juris', r.juris, 'class', r.class)))"
     )
-
-    def ride(group):
-        fields = (
-            F.when(group["class"] == "F", F.col("f_fields"))
-            .when(group["class"] == "S", F.col("s_fields"))
-            .otherwise(F.col("l_fields"))
-        )
-        return _row(group["juris_ord"], group["juris"], group["class"], F.lit(""), -1, fields)
-
-    return F.transform(groups, ride)
-
-
-def tax_items(rows: Column, keep_field=None) -> Column:
-    """Sorted rows -> ``array<struct<prefix,text>>`` for packing."""
-
-    def items(row):
-        prefix = packing.tax_prefix(row["juris"])
-        fields = row["fields"]
-        if keep_field is not None:
-            fields = F.filter(fields, lambda text: keep_field(text, row["juris"]))
-        return packing.with_prefix(fields, prefix)
-
-    return F.flatten(F.transform(F.array_sort(rows), items))
+    pick = "CASE g.class WHEN 'F' THEN f_{0} WHEN 'S' THEN s_{0} ELSE l_{0} END"
+    row = _row("g.juris_ord", "g.juris", "g.class", quote(""), -1, pick.format("text"), pick.format("fields"))
+    return f"transform({groups}, g -> {row})"
 
 
 def worker_period_lines(coded: DataFrame, arrays: DataFrame, specs: Specs, decisions=None) -> DataFrame:
-    """One packet per worker and period with its employee and tax lines."""
+    """One row per worker and period with its employee and tax lines."""
     sets = coded.groupBy("worker_sk", "year", "quarter").agg(
-        F.collect_list(F.when(F.col("complete"), F.col("row"))).alias("rows")
+        F.expr(f"collect_list(CASE WHEN complete THEN {SORTED_ROW} END) AS tax_set")
     )
     joined = sets.join(arrays, "worker_sk")
-    own, taxed = F.col("ee_fields"), F.col("rows")
-    blocked = keep_field = None
+    rows = decisions.kept_rows("tax_set") if decisions else "tax_set"
+    blocked = decisions.blocks_default if decisions else None
+    # Steps are columns of their own, so that each array is built once.
+    steps = joined.selectExpr(*arrays.columns, "year", "quarter", f"{rows} AS kept")
+    steps = steps.selectExpr("*", f"concat(kept, {default_tax_rows('kept', specs, blocked)}) AS taxed")
     if decisions:
-        joined, taxed, own = decisions.filter_packet(joined, taxed, own)
-        blocked, keep_field = decisions.blocks_default, decisions.keeps_field
-    # Intermediate arrays are columns of their own, so each is evaluated once.
-    joined = joined.withColumn("taxed", taxed).withColumn(
-        "taxed", F.concat("taxed", default_tax_rows(F.col("taxed"), specs, blocked))
-    )
+        steps = decisions.drop_tax(steps)
+    ordered = f"array_sort(concat({level_rows('taxed')}, taxed))"
     if decisions:
-        joined = decisions.drop_tax(joined)
-    joined = joined.withColumn("items", tax_items(F.concat(level_rows(F.col("taxed")), "taxed"), keep_field))
-    return joined.select(
-        "site_id", "year", "quarter", "branch_code", "company_code", "worker_sk",
-        F.lit(0).cast("bigint").alias("packet"),
-        packing.worker_lines(own).alias("worker_lines"),
-        packing.pack(F.col("items")).alias("tax_lines"),
+        ordered = decisions.kept_codes(ordered)
+    return steps.selectExpr(
+        *ARRAY_KEYS, "year", "quarter", "worker_lines", f"{ordered} AS ordered"
+    ).selectExpr(
+        "site_id", "year", "quarter", "branch_code", "company_code", "worker_sk", "0L AS packet", "worker_lines",
+        f"{packing.pack_rows('ordered', packing.tax_prefix('r.juris'))} AS tax_lines",
     )
 
 

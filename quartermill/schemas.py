@@ -1,8 +1,6 @@
 """Input contracts: declared types, and the check every loader runs."""
 
-from pyspark.sql import DataFrame, functions as F, types as T
-
-from quartermill.functions.text import blank_to_null
+from pyspark.sql import DataFrame, types as T
 
 
 def _schema(text: str) -> T.StructType:
@@ -66,13 +64,13 @@ def require_columns(df: DataFrame, columns, context: str) -> DataFrame:
 def conform(df: DataFrame, schema: T.StructType, context: str, blank_as_null: bool = True) -> DataFrame:
     """Select and cast the declared columns; columns beyond them are kept as they are."""
     require_columns(df, schema.names, context)
+    types = dict(df.dtypes)
     columns = []
     for field in schema:
-        column = F.col(field.name)
-        if dict(df.dtypes)[field.name] != field.dataType.simpleString():
-            column = column.cast(field.dataType)
+        column, declared = field.name, field.dataType.simpleString()
+        if types[column] != declared:
+            column = f"CAST({column} AS {declared})"
         if blank_as_null and field.name in _BLANK_AS_NULL:
-            column = blank_to_null(column)
-        columns.append(column.alias(field.name))
-    extra = [F.col(name) for name in df.columns if name not in schema.names]
-    return df.select(*columns, *extra)
+            column = f"nullif({column}, '')"
+        columns.append(f"{column} AS {field.name}")
+    return df.selectExpr(*columns, *(name for name in types if name not in schema.names))

@@ -13,6 +13,8 @@ def build_session(name: str = "quartermill", master: str | None = None, **settin
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Call-site capture costs two gateway calls per column function.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -200,7 +200,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables = {t: f"quartermill_{t}_{tag}" for t in TABLES}
     sql = with_clause(name, tables=tables) + f" SELECT * FROM {name}"
     for given, registered in tables.items():
-        if registered in sql:
+        if registered in sql and not spark.catalog.tableExists(registered):
             table(spark, sf_dir, given).createOrReplaceTempView(registered)
     return spark.sql(sql)
 

@@ -204,7 +204,7 @@ def tax_pairs(feed: DataFrame) -> DataFrame:
 def default_values(spec: DataFrame) -> DataFrame:
     """Default text of every numeric field row."""
     return spec.filter(F.col("format") == "decimal").select(
-        "code", formats.zero_text(F.col("width"), F.col("signed")).alias("default_value")
+        "code", F.expr(formats.zero_text("width", "signed")).alias("default_value")
     )
 
 
@@ -237,19 +237,19 @@ def specs_from_frames(
 # --- expressions -------------------------------------------------------------
 
 
-def field_text(row: tuple) -> Column:
-    """The coded text of one field specification row."""
-    _, source, code, kind, width, decimals, signed, pattern, _ = row
-    value = F.col(source)
+def field_text(row: tuple) -> str:
+    """SQL text of the coded field of one specification row."""
+    _, value, code, kind, width, decimals, signed, pattern, _ = row
+    literal = formats.quote(code)
     if kind == "date":
-        return formats.date_field(code, value, pattern)
+        return formats.date_field(literal, value, pattern)
     if kind == "decimal":
-        return formats.decimal_field(code, value, width, decimals, bool(signed))
+        return formats.decimal_field(literal, value, width, decimals, bool(signed))
     if kind == "number":
-        return formats.number_field(code, value, width, bool(signed))
+        return formats.number_field(literal, value, width, bool(signed))
     if code == fixed.IDENTITY_NUMBER_CODE:
-        return formats.identity_field(code, value)
+        return formats.identity_field(literal, value)
     if code in fixed.OVERFLOW_CODES and width and width > 0:
         mark, head = fixed.OVERFLOW_CODES[code]
-        return formats.overflow_field(code, value, width, mark, head)
-    return formats.text_field(code, value, width)
+        return formats.overflow_field(literal, value, width, mark, head)
+    return formats.text_field(literal, value, width)
