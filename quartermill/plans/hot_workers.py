@@ -5,8 +5,11 @@ from pyspark.sql import DataFrame, functions as F
 ROW_LIMIT = 1_000_000
 
 
-def find(snapshot: DataFrame, row_limit: int = ROW_LIMIT) -> DataFrame | None:
-    counts = snapshot.groupBy("worker_sk").agg(F.count("*").alias("n")).filter(F.col("n") > row_limit)
+def find(snapshot: DataFrame, profile: DataFrame, row_limit: int = ROW_LIMIT) -> DataFrame | None:
+    counts = (
+        snapshot.select("worker_sk").unionAll(profile.select("worker_sk")).groupBy("worker_sk")
+        .agg(F.count("*").alias("n")).filter(F.col("n") > row_limit)
+    )
     return None if counts.isEmpty() else counts.select("worker_sk")
 
 

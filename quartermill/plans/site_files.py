@@ -175,11 +175,13 @@ def packets(
     """
     specs = specs or default_specs()
     periods = queue_ops.site_periods(inputs.queue)
-    hot = hot_workers.find(inputs.snapshot, hot_row_limit)
-    normal = _packets(inputs, periods, specs, decisions) if hot is None else _packets(
-        replace(inputs, snapshot=inputs.snapshot.join(hot, "worker_sk", "left_anti")), periods, specs, decisions
+    hot = hot_workers.find(inputs.snapshot, inputs.profile, hot_row_limit)
+    usual = inputs if hot is None else replace(
+        inputs,
+        snapshot=inputs.snapshot.join(hot, "worker_sk", "left_anti"),
+        profile=inputs.profile.join(hot, "worker_sk", "left_anti"),
     )
-    merged = normal.withColumn("lines", F.concat("worker_lines", "tax_lines")).select(
+    merged = worker_lines_of(usual, periods, specs, decisions).withColumn("lines", F.concat("worker_lines", "tax_lines")).select(
         *assembly.PACKET, F.size("lines").alias("n_lines"), "lines"
     )
     if hot is None:
@@ -187,7 +189,8 @@ def packets(
     return merged.unionByName(hot_workers.packets(inputs, periods, specs, decisions, hot))
 
 
-def _packets(inputs: Inputs, periods: DataFrame, specs: Specs, decisions) -> DataFrame:
+def worker_lines_of(inputs: Inputs, periods: DataFrame, specs: Specs, decisions=None) -> DataFrame:
+    """Employee and tax lines per worker and queued period."""
     coded = coded_tax_rows(period_tax_rows(inputs, periods), specs)
     arrays = worker_arrays(inputs, periods.select("site_id").distinct(), specs, decisions)
     lines = worker_period_lines(coded, arrays, specs, decisions)
@@ -200,6 +203,22 @@ def site_file(inputs: Inputs, run_time: str, specs: Specs | None = None, decisio
     return assembly.numbered_lines(staged, run_time)
 
 
+def results(staged: DataFrame, periods: DataFrame, unskipped: DataFrame | None = None) -> DataFrame:
+    """Outcome per queued file: record count, or why there is none.
+
+    ``unskipped``: the (site, year, quarter) that have output before skip
+    decisions; a file empty only after them counts as skipped.
+    """
+    sizes = assembly.file_sizes(staged)
+    out = periods.join(sizes, list(assembly.FILE), "left")
+    if unskipped is None:
+        return out.withColumn("skipped", F.lit(False))
+    had = unskipped.select(*assembly.FILE).distinct().withColumn("had_output", F.lit(True))
+    return out.join(had, list(assembly.FILE), "left").selectExpr(
+        *assembly.FILE, "record_count", "record_count IS NULL AND coalesce(had_output, false) AS skipped"
+    )
+
+
 def line_rows(lines: DataFrame, column: str) -> DataFrame:
     """Exploded employee or tax lines with their position."""
     return lines.select(

@@ -134,7 +134,11 @@ SELECT event_id AS company_error_sk,
   CASE WHEN event_id % 8 = 0 THEN 'WRITTEN' ELSE 'PENDING' END AS write_status,
   CASE WHEN event_id % 7 = 2 THEN 'CA' END AS state_code, CAST(NULL AS STRING) AS local_code,
   CASE WHEN event_id % 7 = 2 AND event_id % 2 = 0 THEN 'SIT' END AS tax_type,
-  CASE WHEN event_id % 7 IN (3, 4, 5) THEN user_id END AS worker_sk, ts AS created_date_time
+  CASE WHEN event_id % 7 IN (3, 4, 5) THEN user_id END AS worker_sk, ts AS created_date_time,
+  CASE event_id % 8 WHEN 0 THEN ' payroll  &   tax ' WHEN 1 THEN 'Worker Profile' WHEN 2 THEN NULL WHEN 3 THEN ''
+    WHEN 4 THEN 'WagePlan' WHEN 5 THEN '--company--' WHEN 6 THEN '&&' ELSE 'PAYROLL' END AS raw_category,
+  CASE event_id % 9 WHEN 0 THEN 'true' WHEN 1 THEN 'Y' WHEN 2 THEN ' 1 ' WHEN 3 THEN 'False' WHEN 4 THEN NULL
+    WHEN 5 THEN 'yes' WHEN 6 THEN 'N' WHEN 7 THEN 't' ELSE '' END AS raw_flag
 FROM {events} WHERE event_type = 'error'""",
     "fx_field_raw": f"""
 SELECT {_code('p_partkey')} AS field_code,
