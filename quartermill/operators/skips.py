@@ -22,7 +22,8 @@ def of_scope(decisions: DataFrame, *scopes: str) -> DataFrame:
 
 
 def _without(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys.select(*on).distinct(), list(on), "left_anti")
+    """Anti-join; a proven small key set is broadcast, so ``df`` is not shuffled."""
+    return df.join(broadcast_if_small(keys.select(*on).distinct()), list(on), "left_anti")
 
 
 def skip_worker(df: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -167,12 +168,22 @@ class PacketDecisions:
             both.format("codes").replace("codes_skips", "code_skips"),
         )
 
-    def kept_rows(self, rows: str) -> str:
+    def keeps_row(self, juris: str = "juris", tax_type: str = "tax_type") -> str:
+        """Condition: no decision removes this tax row."""
+        return (
+            f"NOT exists(juris_skips, k -> k.juris = {juris} AND coalesce(k.tax_type = {tax_type}, true))"
+        )
+
+    def keeps_codes(self, fields: str, juris: str) -> str:
+        """Fields of a jurisdiction that no decision removes."""
         return (
-            f"filter({rows}, r -> NOT exists(juris_skips, k -> k.juris = r.juris "
-            f"AND coalesce(k.tax_type = r.tax_type, true)))"
+            f"filter({fields}, t -> NOT exists(code_skips, "
+            f"k -> k.code = left(t, 2) AND coalesce(k.juris = {juris}, true)))"
         )
 
+    def kept_rows(self, rows: str) -> str:
+        return f"filter({rows}, r -> {self.keeps_row('r.juris', 'r.tax_type')})"
+
     def blocks_default(self, tax_type: str) -> str:
         federal = quote(FEDERAL.ljust(JURISDICTION_WIDTH))
         return (
@@ -187,10 +198,7 @@ class PacketDecisions:
         return f"filter({fields}, t -> NOT exists(code_skips, k -> k.juris IS NULL AND k.code = left(t, 2)))"
 
     def kept_codes(self, rows: str) -> str:
-        kept = (
-            "filter(r.fields, t -> NOT exists(code_skips, "
-            "k -> k.code = left(t, 2) AND coalesce(k.juris = r.juris, true)))"
-        )
+        kept = self.keeps_codes("r.fields", "r.juris")
         return (
             f"CASE WHEN size(code_skips) = 0 THEN transform({rows}, r -> named_struct('juris', r.juris, 'text', r.text, 'fields', r.fields)) "
             f"ELSE transform({rows}, r -> named_struct('juris', r.juris, 'text', array_join({kept}, ''), 'fields', {kept})) END"

@@ -10,7 +10,7 @@ from quartermill.functions.text import (
     impact_flag, jurisdiction_class, jurisdiction_key, jurisdiction_order, normalize_category,
 )
 from quartermill.operators import assembly, errors, mandatory, quality, queue, skips, taxes, workers
-from quartermill.plans import site_files
+from quartermill.plans import site_files, worker_lines
 from quartermill.session import shared_folder, stage
 from quartermill.sources import feed, sample_views, text_files, warehouse
 from quartermill.specs import compile as spec_jobs
@@ -36,7 +36,7 @@ def query(run: Query) -> Query:
 # --- inputs ------------------------------------------------------------------
 
 
-def _in(spark, sf) -> site_files.Inputs:
+def _in(spark, sf) -> worker_lines.Inputs:
     return sample_views.inputs(spark, sf)
 
 
@@ -423,7 +423,7 @@ def _worker_periods(spark, sf) -> DataFrame:
     """Lines of all queued worker periods, before packets are formed."""
     inputs = _in(spark, sf)
     periods = queue.site_periods(inputs.queue)
-    return site_files.worker_lines_of(inputs, periods, spec_jobs.default_specs())
+    return worker_lines.worker_lines_of(inputs, periods, spec_jobs.default_specs())
 
 
 @query

@@ -10,7 +10,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from quartermill import schemas
-from quartermill.plans.site_files import Inputs
+from quartermill.plans.worker_lines import Inputs
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
