@@ -3,16 +3,25 @@
 from pyspark.sql import DataFrame, types as T
 
 
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(), "RATE": T.DecimalType(8, 4),
+    "AMOUNT": T.DecimalType(18, 2), "WIDE_AMOUNT": T.DecimalType(18, 4),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """``name TYPE, ..`` as a struct, without needing a session."""
+    pairs = (entry.split() for entry in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 WORKER = _schema(
     """worker_sk BIGINT, branch_code STRING, company_code STRING, family_name STRING,
     given_name STRING, middle_name STRING, ssn STRING, birth_date DATE, hire_date DATE,
     termination_date DATE, gender STRING, department_code STRING, worker_type STRING,
-    remuneration_basis STRING, ownership_percent DECIMAL(18,4), employee_id STRING,
-    pay_rate_amount DECIMAL(18,4), job_title STRING, retirement_plan_indicator BOOLEAN,
+    remuneration_basis STRING, ownership_percent WIDE_AMOUNT, employee_id STRING,
+    pay_rate_amount WIDE_AMOUNT, job_title STRING, retirement_plan_indicator BOOLEAN,
     third_party_sick_pay_indicator BOOLEAN, replacement_worker BOOLEAN,
     corporate_officer_indicator BOOLEAN, w2_special_handle_indicator BOOLEAN,
     medical_coverage_indicator BOOLEAN, suppress_w2_print_indicator BOOLEAN,
@@ -25,12 +34,12 @@ ADDRESS = _schema(
 SNAPSHOT = _schema(
     """worker_sk BIGINT, organization_unit_sk BIGINT, branch_code STRING, company_code STRING,
     payroll_run_sk BIGINT, state_code STRING, local_code STRING, tax_type STRING,
-    is_employer_tax BOOLEAN, year INT, quarter INT, tax_rate DECIMAL(8,4),
-    hours_worked DECIMAL(18,2), qtd_amount DECIMAL(18,2), qtd_taxable_amount DECIMAL(18,2),
-    qtd_subject_amount DECIMAL(18,2), qtd_gross_wages DECIMAL(18,2), ytd_amount DECIMAL(18,2),
-    ytd_taxable_amount DECIMAL(18,2), ytd_subject_amount DECIMAL(18,2),
-    ytd_gross_wages DECIMAL(18,2), qtd_overtime_amount DECIMAL(18,2),
-    ytd_overtime_amount DECIMAL(18,2), lived_in_code STRING, out_of_state STRING"""
+    is_employer_tax BOOLEAN, year INT, quarter INT, tax_rate RATE,
+    hours_worked AMOUNT, qtd_amount AMOUNT, qtd_taxable_amount AMOUNT,
+    qtd_subject_amount AMOUNT, qtd_gross_wages AMOUNT, ytd_amount AMOUNT,
+    ytd_taxable_amount AMOUNT, ytd_subject_amount AMOUNT,
+    ytd_gross_wages AMOUNT, qtd_overtime_amount AMOUNT,
+    ytd_overtime_amount AMOUNT, lived_in_code STRING, out_of_state STRING"""
 )
 PROFILE = _schema(
     """worker_sk BIGINT, branch_code STRING, company_code STRING, state_code STRING,
