@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quartermill.operators.sizing import broadcast_if_small
 from quartermill.specs import fixed_values as fixed
 
 PERIOD = ("site_id", "year", "quarter")
@@ -23,7 +24,9 @@ def site_companies(organization: DataFrame, queue: DataFrame) -> DataFrame:
     """Companies of the queued sites."""
     sites = queued(queue).select("site_id").distinct()
     return (
-        organization.select("branch_code", "company_code", "site_id").distinct().join(sites, "site_id", "left_semi")
+        organization.select("branch_code", "company_code", "site_id")
+        .distinct()
+        .join(broadcast_if_small(sites), "site_id", "left_semi")
     )
 
 
@@ -89,8 +92,9 @@ def status_changes(
         F.when(F.col("record_count").isNotNull(), "GENERATED").when(F.col("skipped"), "SKIPPED").otherwise("FAILED")
     )
     return (
-        queue.join(outcome, list(PERIOD), "left")
-        .join(known, "site_id", "left")
+        # The queue may be long and has few distinct files: do not shuffle it by file.
+        queue.join(broadcast_if_small(outcome), list(PERIOD), "left")
+        .join(broadcast_if_small(known), "site_id", "left")
         .select(
             "batch_id",
             *PERIOD,

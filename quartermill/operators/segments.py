@@ -13,7 +13,7 @@ Input rows: the group keys, ``chunk`` and the order columns, ``prefix`` and
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quartermill.operators.sizing import broadcast_if_small
 from quartermill.session import stage
@@ -130,6 +130,27 @@ def packed_lines(chunked: DataFrame, group: list[str], order: list[str]) -> Data
     return pieces.groupBy(*group, "line").agg(whole.alias("value"))
 
 
+def positioned_fields(chunked: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Fields with their position in the group: ``group.., seq, text``.
+
+    Field counts are summed per chunk, accumulated over the few chunks of a
+    group, and only inside a chunk row by row.
+    """
+    in_chunk = Window.partitionBy(*group, "chunk").orderBy(*order, "copy").rowsBetween(Window.unboundedPreceding, -1)
+    over_chunks = Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        chunked.groupBy(*group, "chunk")
+        .agg(F.sum(F.size("fields")).alias("n"))
+        .select(*group, "chunk", F.coalesce(F.sum("n").over(over_chunks), F.lit(0)).alias("offset"))
+    )
+    return (
+        chunked.withColumn("before", F.coalesce(F.sum(F.size("fields")).over(in_chunk), F.lit(0)))
+        .join(broadcast_if_small(offsets), [*group, "chunk"])
+        .select(*group, "offset", "before", F.posexplode("fields").alias("pos", "text"))
+        .select(*group, (F.col("offset") + F.col("before") + F.col("pos")).alias("seq"), "text")
+    )
+
+
 def line_packets(lines: DataFrame, group: list[str], packet_lines: int = PACKET_LINES) -> DataFrame:
     """Runs of at most ``packet_lines`` lines: ``group.., block, n_lines, lines``."""
     ordered = F.expr("transform(array_sort(collect_list(struct(line, value))), l -> l.value)")

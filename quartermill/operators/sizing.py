@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 # Rows a broadcast side may hold; the rows are a handful of short keys.
 BROADCAST_ROWS = 100_000
+# Rows of one worker that a single task may gather.
+WORKER_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -21,3 +23,17 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
     if len(rows) > max_rows:
         raise ValueError(f"{what} holds more than {max_rows} rows; it is not a specification table")
     return rows
+
+
+def hot_workers(*tables: DataFrame, row_limit: int = WORKER_ROWS) -> DataFrame | None:
+    """Workers with more than ``row_limit`` rows over all ``tables``, or None.
+
+    Counts one column, combined on the map side.  There are at most
+    ``rows / row_limit`` such workers.
+    """
+    keys = tables[0].select("worker_sk")
+    for table in tables[1:]:
+        keys = keys.unionAll(table.select("worker_sk"))
+    counts = keys.groupBy("worker_sk").agg(F.count("*").alias("n")).filter(F.col("n") > row_limit)
+    hot = counts.select("worker_sk")
+    return None if hot.isEmpty() else hot

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quartermill.functions import formats
 from quartermill.functions.text import jurisdiction
+from quartermill.operators.sizing import broadcast_if_small
 from quartermill.session import values_frame
 from quartermill.specs import fixed_values as fixed
 from quartermill.specs.compile import Specs
@@ -41,9 +42,29 @@ def rank_one(snapshot: DataFrame) -> DataFrame:
     return snapshot.withColumn("run_rank", F.rank().over(window)).filter("run_rank = 1").drop("run_rank")
 
 
-def latest_run(snapshot: DataFrame) -> DataFrame:
-    """Latest rows; rows with a NULL strict key never match themselves and drop out."""
-    return rank_one(snapshot.filter(COMPLETE))
+def top_runs(snapshot: DataFrame) -> DataFrame:
+    """The same rows by a keyed maximum and a semi join back.
+
+    For hot workers: the maximum combines before the shuffle, and the join back
+    never gathers a key, however many rows share its last run.
+    """
+    keys = list(RUN_KEYS)
+    top = snapshot.groupBy(*keys).agg(F.max("payroll_run_sk").alias("top_run"))
+    same = F.expr(" AND ".join(f"s.{k} <=> t.{k}" for k in keys) + " AND s.payroll_run_sk <=> t.top_run")
+    return snapshot.alias("s").join(broadcast_if_small(top).alias("t"), same, "left_semi")
+
+
+def latest_run(snapshot: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Latest rows; rows with a NULL strict key never match themselves and drop out.
+
+    ``hot`` names the workers with too many rows for one task.
+    """
+    complete = snapshot.filter(COMPLETE)
+    if hot is None:
+        return rank_one(complete)
+    keys = broadcast_if_small(hot)
+    usual = rank_one(complete.join(keys, "worker_sk", "left_anti"))
+    return usual.unionByName(top_runs(complete.join(keys, "worker_sk", "left_semi")))
 
 
 def with_amounts(latest: DataFrame) -> DataFrame:
@@ -103,9 +124,9 @@ def join_profile_by_worker(rows: DataFrame, profile: DataFrame) -> DataFrame:
     ).withColumn("filing_status", F.expr(FILING_CODE))
 
 
-def tax_rows(snapshot: DataFrame, profile: DataFrame) -> DataFrame:
+def tax_rows(snapshot: DataFrame, profile: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Latest tax rows with amounts, JSON amounts and profile values."""
-    return join_profile(with_amounts(latest_run(snapshot)), profile)
+    return join_profile(with_amounts(latest_run(snapshot, hot)), profile)
 
 
 def canonical_types(rows: DataFrame, specs: Specs) -> DataFrame:

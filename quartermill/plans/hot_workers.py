@@ -19,7 +19,6 @@ from quartermill.plans import worker_lines
 from quartermill.session import stage
 from quartermill.specs.compile import Specs
 
-ROW_LIMIT = 1_000_000
 # Packet ids of one jurisdiction of a worker and period.
 PACKET_SPAN = 2**40
 PERIOD = ["worker_sk", "year", "quarter"]
@@ -27,35 +26,10 @@ GROUP = [*PERIOD, "juris_ord", "juris"]
 ORDER = ["tax_type", "is_employer_tax", "payroll_run_sk", "text"]
 
 
-def find(snapshot: DataFrame, profile: DataFrame, row_limit: int = ROW_LIMIT) -> DataFrame | None:
-    """Workers with more than ``row_limit`` snapshot and profile rows, or None.
-
-    Counts one column, combined on the map side.  There are at most
-    ``rows / row_limit`` such workers.
-    """
-    counts = (
-        snapshot.select("worker_sk")
-        .unionAll(profile.select("worker_sk"))
-        .groupBy("worker_sk")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > row_limit)
-    )
-    hot = counts.select("worker_sk")
-    return None if hot.isEmpty() else hot
-
-
-def _latest(snapshot: DataFrame) -> DataFrame:
-    """Latest run per key by a keyed maximum, which combines before the shuffle."""
-    keys = list(taxes.RUN_KEYS)
-    top = snapshot.groupBy(*keys).agg(F.max("payroll_run_sk").alias("top_run"))
-    same = F.expr(" AND ".join(f"s.{k} <=> t.{k}" for k in keys) + " AND s.payroll_run_sk <=> t.top_run")
-    return snapshot.alias("s").join(broadcast_if_small(top).alias("t"), same, "left_semi")
-
-
 def _rows(inputs: worker_lines.Inputs, periods: DataFrame, specs: Specs) -> DataFrame:
     """Coded tax rows of the queued periods, one per tax row."""
     quarters = broadcast_if_small(periods.select("year", "quarter").distinct())
-    latest = _latest(inputs.snapshot.join(quarters, ["year", "quarter"], "left_semi"))
+    latest = taxes.top_runs(inputs.snapshot.join(quarters, ["year", "quarter"], "left_semi"))
     complete = latest.withColumn("complete", F.expr(taxes.COMPLETE))
     rows = taxes.join_profile(taxes.with_amounts(complete), broadcast_if_small(inputs.profile))
     return worker_lines.coded_tax_rows(rows, specs)

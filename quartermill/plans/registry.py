@@ -9,7 +9,8 @@ from quartermill.functions import formats, packing
 from quartermill.functions.text import (
     impact_flag, jurisdiction_class, jurisdiction_key, jurisdiction_order, normalize_category,
 )
-from quartermill.operators import assembly, errors, mandatory, quality, queue, skips, taxes, workers
+from quartermill.operators import assembly, errors, groups, mandatory, quality, queue, skips, taxes, workers
+from quartermill.operators.sizing import hot_workers
 from quartermill.plans import site_files, worker_lines
 from quartermill.session import shared_folder, stage
 from quartermill.sources import feed, sample_views, text_files, warehouse
@@ -73,12 +74,16 @@ def _profiled(spark, sf) -> DataFrame:
 
 
 def _amounts(spark, sf) -> DataFrame:
-    return taxes.with_amounts(taxes.latest_run(_snapshot(spark, sf)))
+    snapshot = _snapshot(spark, sf)
+    return taxes.with_amounts(taxes.latest_run(snapshot, hot_workers(snapshot)))
+
+
+def _joined(spark, sf) -> DataFrame:
+    return taxes.join_profile(_amounts(spark, sf), _profile(spark, sf))
 
 
 def _canonical(spark, sf) -> DataFrame:
-    rows = taxes.tax_rows(_snapshot(spark, sf), _profile(spark, sf))
-    return taxes.canonical_types(rows, spec_jobs.default_specs())
+    return taxes.canonical_types(_joined(spark, sf), spec_jobs.default_specs())
 
 
 def _fields(spark, sf, *keys) -> DataFrame:
@@ -306,8 +311,7 @@ def oos_amounts(spark, sf):
 
 @query
 def tax_profile_join(spark, sf):
-    rows = taxes.tax_rows(_snapshot(spark, sf), _profile(spark, sf))
-    return rows.select(*TAX_ROW, "state_code", "local_code", *taxes.PROFILE_VALUES)
+    return _joined(spark, sf).select(*TAX_ROW, "state_code", "local_code", *taxes.PROFILE_VALUES)
 
 
 @query
@@ -355,32 +359,23 @@ def tax_row_fields(spark, sf):
     return arrays.select(*TAX_ROW, F.posexplode("fields").alias("seq", "text"))
 
 
-def _grouped(spark, sf) -> DataFrame:
-    arrays = taxes.tax_field_arrays(_canonical(spark, sf), spec_jobs.default_specs(), TAX_ROW)
-    key = "tax_type, is_employer_tax, payroll_run_sk, array_join(fields, '') AS text, fields"
-    return arrays.groupBy(*PERIOD, "jurisdiction").agg(
-        F.expr(f"flatten(transform(array_sort(collect_list(struct({key}))), r -> r.fields)) AS fields")
-    )
+def _field_arrays(spark, sf) -> DataFrame:
+    return taxes.tax_field_arrays(_canonical(spark, sf), spec_jobs.default_specs(), TAX_ROW)
 
 
 @query
 def tax_groups(spark, sf):
-    return _grouped(spark, sf).selectExpr(
-        *PERIOD, f"{jurisdiction_key('jurisdiction')} AS juris", "posexplode(fields) AS (seq, text)"
-    )
+    fields = groups.ordered_fields(_field_arrays(spark, sf), hot_workers(_snapshot(spark, sf)))
+    return fields.selectExpr(*PERIOD, f"{jurisdiction_key('jurisdiction')} AS juris", "seq", "text")
 
 
 @query
 def level_merge(spark, sf):
-    """Worker fields of a jurisdiction's class ahead of its tax fields: one equality join."""
+    rows = stage(_field_arrays(spark, sf), "coded-rows")
+    fields = groups.ordered_fields(rows, hot_workers(_snapshot(spark, sf)))
+    classes = rows.select(*groups.GROUP).distinct().withColumn("juris_class", F.expr(jurisdiction_class("jurisdiction")))
     arrays = workers.level_arrays(_profiled(spark, sf), spec_jobs.default_specs(), ["worker_sk"])
-    ride = "CASE juris_class WHEN 'F' THEN f_fields WHEN 'S' THEN s_fields ELSE l_fields END"
-    return (
-        _grouped(spark, sf)
-        .withColumn("juris_class", F.expr(jurisdiction_class("jurisdiction")))
-        .join(arrays, "worker_sk", "left")
-        .selectExpr(*PERIOD, "jurisdiction", "juris_class", f"posexplode(concat({ride}, fields)) AS (seq, text)")
-    )
+    return groups.merge_levels(fields, classes, arrays)
 
 
 # --- mandatory fields -------------------------------------------------------------
@@ -419,21 +414,14 @@ def mandatory_backfill(spark, sf):
 # --- lines and files ----------------------------------------------------------------
 
 
-def _worker_periods(spark, sf) -> DataFrame:
-    """Lines of all queued worker periods, before packets are formed."""
-    inputs = _in(spark, sf)
-    periods = queue.site_periods(inputs.queue)
-    return worker_lines.worker_lines_of(inputs, periods, spec_jobs.default_specs())
-
-
 @query
 def employee_lines(spark, sf):
-    return site_files.line_rows(_worker_periods(spark, sf), "worker_lines")
+    return site_files.line_rows(_in(spark, sf))[0]
 
 
 @query
 def tax_lines(spark, sf):
-    return site_files.line_rows(_worker_periods(spark, sf), "tax_lines")
+    return site_files.line_rows(_in(spark, sf))[1]
 
 
 @query

@@ -2,20 +2,32 @@
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quartermill.operators import assembly, queue as queue_ops
+from quartermill.operators.sizing import WORKER_ROWS, broadcast_if_small, hot_workers as find_hot
 from quartermill.plans import hot_workers
 from quartermill.plans.worker_lines import Inputs, worker_lines_of
 from quartermill.session import stage
 from quartermill.specs.compile import Specs, default_specs
 
 
+def _without_hot(inputs: Inputs, hot: DataFrame | None) -> Inputs:
+    if hot is None:
+        return inputs
+    keys = broadcast_if_small(hot)
+    return replace(
+        inputs,
+        snapshot=inputs.snapshot.join(keys, "worker_sk", "left_anti"),
+        profile=inputs.profile.join(keys, "worker_sk", "left_anti"),
+    )
+
+
 def packets(
     inputs: Inputs,
     specs: Specs | None = None,
     decisions=None,
-    hot_row_limit: int = hot_workers.ROW_LIMIT,
+    hot_row_limit: int = WORKER_ROWS,
 ) -> DataFrame:
     """Finished lines of every queued file, one packet per worker and period.
 
@@ -24,12 +36,8 @@ def packets(
     """
     specs = specs or default_specs()
     periods = queue_ops.site_periods(inputs.queue)
-    hot = hot_workers.find(inputs.snapshot, inputs.profile, hot_row_limit)
-    usual = inputs if hot is None else replace(
-        inputs,
-        snapshot=inputs.snapshot.join(hot, "worker_sk", "left_anti"),
-        profile=inputs.profile.join(hot, "worker_sk", "left_anti"),
-    )
+    hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
+    usual = _without_hot(inputs, hot)
     merged = worker_lines_of(usual, periods, specs, decisions).withColumn("lines", F.concat("worker_lines", "tax_lines")).select(
         *assembly.PACKET, F.size("lines").alias("n_lines"), "lines"
     )
@@ -60,8 +68,25 @@ def results(staged: DataFrame, periods: DataFrame, unskipped: DataFrame | None =
     )
 
 
-def line_rows(lines: DataFrame, column: str) -> DataFrame:
-    """Exploded employee or tax lines with their position."""
-    return lines.select(
-        "site_id", "year", "quarter", "worker_sk", F.posexplode(column).alias("seq", "value")
+def line_rows(inputs: Inputs, specs: Specs | None = None, hot_row_limit: int = WORKER_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Employee lines and tax lines of the queued workers, with their position."""
+    specs = specs or default_specs()
+    periods = queue_ops.site_periods(inputs.queue)
+    hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
+    lines = worker_lines_of(_without_hot(inputs, hot), periods, specs)
+    keys = [*assembly.FILE, "worker_sk"]
+    own, tax = (lines.select(*keys, F.posexplode(name).alias("seq", "value")) for name in ("worker_lines", "tax_lines"))
+    if hot is None:
+        return own, tax
+    packed = hot_workers.packets(inputs, periods, specs, None, hot)
+    # Packet 0 holds the employee lines; the tax packets of a worker are few rows.
+    before = Window.partitionBy(*keys).orderBy("packet").rowsBetween(Window.unboundedPreceding, -1)
+    starts = packed.filter("packet > 0").select(
+        *keys, "packet", F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("start")
+    )
+    hot_own = packed.filter("packet = 0").select(*keys, F.posexplode("lines").alias("seq", "value"))
+    hot_tax = packed.join(starts, [*keys, "packet"]).select(*keys, "start", F.posexplode("lines").alias("pos", "value"))
+    return (
+        own.unionByName(hot_own),
+        tax.withColumn("seq", F.col("seq").cast("bigint")).unionByName(hot_tax.select(*keys, (F.col("start") + F.col("pos")).alias("seq"), "value")),
     )

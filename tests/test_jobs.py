@@ -7,6 +7,7 @@ import pytest
 
 from quartermill import schemas
 from quartermill.operators import assembly, errors, queue, skips
+from quartermill.operators.sizing import hot_workers as find_hot
 from quartermill.plans import hot_workers, site_files
 from quartermill.plans.worker_lines import Inputs
 from quartermill.session import stage
@@ -159,13 +160,37 @@ def test_hot_workers_give_the_same_files(spark, sf_dir, with_skips, monkeypatch)
     inputs = sample_views.inputs(spark, sf_dir)
     decision = skips.PacketDecisions.fold(registry._decisions(spark, sf_dir), registry._groups(spark)) if with_skips else None
     limit = 66
-    hot = hot_workers.find(inputs.snapshot, inputs.profile, limit)
+    hot = find_hot(inputs.snapshot, inputs.profile, row_limit=limit)
     assert 1 <= hot.count() <= 12
     monkeypatch.setattr(hot_workers.packets, "__defaults__", (60,))
     usual = run(inputs, None, decision)
     assert run(inputs, None, decision, hot_row_limit=limit) == usual
 
 
+def test_hot_groups_give_the_same_fields(spark, sf_dir):
+    from quartermill.operators import groups, taxes
+    from quartermill.plans import registry
+    from quartermill.specs.compile import default_specs as base
+
+    inputs = sample_views.inputs(spark, sf_dir)
+    hot = find_hot(inputs.snapshot, row_limit=66)
+
+    def fields(hot):
+        rows = taxes.canonical_types(taxes.tax_rows(inputs.snapshot, inputs.profile, hot), base())
+        arrays = taxes.tax_field_arrays(rows, base(), registry.TAX_ROW)
+        return sorted(map(tuple, groups.ordered_fields(arrays, hot, chunk_rows=60).collect()), key=repr)
+
+    assert fields(hot) == fields(None)
+
+
+def test_hot_line_rows_are_the_same(spark, sf_dir, monkeypatch):
+    inputs = sample_views.inputs(spark, sf_dir)
+    usual = [sorted(map(tuple, df.collect())) for df in site_files.line_rows(inputs)]
+    monkeypatch.setattr(hot_workers.packets, "__defaults__", (60,))
+    split = [sorted(map(tuple, df.collect())) for df in site_files.line_rows(inputs, hot_row_limit=70)]
+    assert split == usual
+
+
 def test_numbering_does_not_depend_on_block_width(spark, sf_dir, monkeypatch):
     staged = stage(site_files.packets(sample_views.inputs(spark, sf_dir)), "packets")
     wide = lines(assembly.numbered_lines(staged, RUN_TIME))
