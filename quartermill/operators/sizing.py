@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 # Rows a broadcast side may hold; the rows are a handful of short keys.
 BROADCAST_ROWS = 100_000
+# Rows of a key table that may be kept as a local relation.
+LOCAL_ROWS = 10_000
 # Rows of one worker that a single task may gather.
 WORKER_ROWS = 1_000_000
 
@@ -17,6 +19,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def local_if_small(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
+    """A key table that several joins use, computed once when it is small.
+
+    Fetches at most ``max_rows + 1`` rows.  If they are all, the result is a
+    local relation: never recomputed, and its exact size known to Catalyst.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    return df.sparkSession.createDataFrame(rows) if rows.num_rows <= max_rows else df
+
+
 def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
     """Collect a specification table; refuse one that is not small."""
     rows = df.limit(max_rows + 1).collect()

@@ -5,7 +5,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quartermill.operators import assembly, queue as queue_ops
-from quartermill.operators.sizing import WORKER_ROWS, broadcast_if_small, hot_workers as find_hot
+from quartermill.operators.sizing import WORKER_ROWS, broadcast_if_small, hot_workers as find_hot, local_if_small
 from quartermill.plans import hot_workers
 from quartermill.plans.worker_lines import Inputs, worker_lines_of
 from quartermill.session import stage
@@ -35,7 +35,7 @@ def packets(
     tasks and come out as several packets with the same lines.
     """
     specs = specs or default_specs()
-    periods = queue_ops.site_periods(inputs.queue)
+    periods = local_if_small(queue_ops.site_periods(inputs.queue))
     hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
     usual = _without_hot(inputs, hot)
     merged = worker_lines_of(usual, periods, specs, decisions).withColumn("lines", F.concat("worker_lines", "tax_lines")).select(
@@ -71,7 +71,7 @@ def results(staged: DataFrame, periods: DataFrame, unskipped: DataFrame | None =
 def line_rows(inputs: Inputs, specs: Specs | None = None, hot_row_limit: int = WORKER_ROWS) -> tuple[DataFrame, DataFrame]:
     """Employee lines and tax lines of the queued workers, with their position."""
     specs = specs or default_specs()
-    periods = queue_ops.site_periods(inputs.queue)
+    periods = local_if_small(queue_ops.site_periods(inputs.queue))
     hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
     lines = worker_lines_of(_without_hot(inputs, hot), periods, specs)
     keys = [*assembly.FILE, "worker_sk"]

@@ -14,7 +14,7 @@ from quartermill.functions import packing
 from quartermill.functions.formats import quote
 from quartermill.functions.text import jurisdiction_class, jurisdiction_key, jurisdiction_order
 from quartermill.operators import mandatory, taxes, workers
-from quartermill.operators.sizing import broadcast_if_small
+from quartermill.operators.sizing import broadcast_if_small, local_if_small
 from quartermill.specs.compile import Specs
 from quartermill.specs.fixed_values import FEDERAL, JURISDICTION_WIDTH
 
@@ -33,7 +33,7 @@ class Inputs:
 
 def site_workers(inputs: Inputs, sites: DataFrame) -> DataFrame:
     """Workers of the queued sites, with their site."""
-    companies = (
+    companies = local_if_small(
         inputs.organization.select("branch_code", "company_code", "site_id")
         .distinct()
         .join(broadcast_if_small(sites), "site_id", "left_semi")
