@@ -96,12 +96,10 @@ def merge(decisions: DataFrame) -> DataFrame:
     broadest rank per company and per worker is one small aggregate each.
     """
     broad = decisions.filter("scope_rank <= 4")
-    by_company = broad.filter("worker_sk IS NULL OR scope_rank <= 2").filter("scope_rank <= 2").groupBy(*COMPANY).agg(
-        F.min("scope_rank").alias("company_rank")
-    )
+    by_company = broad.filter("scope_rank <= 2").groupBy(*COMPANY).agg(F.min("scope_rank").alias("company_rank"))
     by_worker = broad.filter("worker_sk IS NOT NULL").groupBy("worker_sk").agg(F.min("scope_rank").alias("worker_rank"))
     return (
-        decisions.join(by_company, list(COMPANY), "left")
+        decisions.join(broadcast_if_small(by_company), list(COMPANY), "left")
         .join(by_worker, "worker_sk", "left")
         .withColumn("effective_rank", F.least("scope_rank", "company_rank", "worker_rank"))
         .selectExpr(
@@ -252,7 +250,7 @@ def audit(decisions: DataFrame, tax_rows: DataFrame, fields: DataFrame, groups:
     by_code = code_targets(decisions, groups).select(*keys, F.expr(_CODE_TARGET).alias("target")).join(codes, "target", "left")
     return (
         by_row.unionByName(by_code)
-        .join(totals, list(COMPANY), "left")
+        .join(broadcast_if_small(totals), list(COMPANY), "left")
         .selectExpr(
             *keys, "target", "coalesce(removed, 0L) AS removed", "coalesce(rows_before, 0L) AS rows_before",
             f"coalesce(rows_before, 0L) - CASE WHEN scope IN ({', '.join(map(quote, CODE_SCOPES))}) THEN 0L "

@@ -89,6 +89,21 @@ def with_amounts(latest: DataFrame) -> DataFrame:
     )
 
 
+def value_report(fields: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Per period: fields cut because they overflow, and JSON amounts that are no numbers."""
+    unreadable = " OR ".join(
+        f"(oos.{key} IS NOT NULL AND try_cast(oos.{key} AS {AMOUNT}) IS NULL)" for key in fixed.OUT_OF_STATE_KEYS.values()
+    )
+    keys = ", ".join(f"{key} STRING" for key in fixed.OUT_OF_STATE_KEYS.values())
+    cut = fields.selectExpr("year", "quarter", "CAST(overflow AS BIGINT) AS cut", "0L AS unreadable")
+    bad = snapshot.selectExpr("year", "quarter", f"from_json(out_of_state, '{keys}') AS oos").selectExpr(
+        "year", "quarter", "0L AS cut", f"CAST(coalesce({unreadable}, false) AS BIGINT) AS unreadable"
+    )
+    return cut.unionAll(bad).groupBy("year", "quarter").agg(
+        F.sum("cut").alias("overflow_count"), F.sum("unreadable").alias("unreadable_count")
+    )
+
+
 def join_profile(rows: DataFrame, profile: DataFrame) -> DataFrame:
     """Left join of the tax profile; NULL jurisdictions match each other."""
     left = rows.alias("t")

@@ -457,6 +457,13 @@ _kind = {k: ", ".join(f"'{m}'" for _, m, kk, _, _ in _slots if kk in k) for k in
 oracle("tax_amount_fields", "tfields", f"SELECT {TROW}, ord, measure, code, text, overflow FROM tfields WHERE measure IN ({_kind[('amount',)]})")
 oracle("tax_text_fields", "tfields", f"SELECT {TROW}, ord, measure, code, text FROM tfields WHERE measure IN ({_kind[('text', 'count')]})")
 oracle("lived_in_field", "tfields", f"SELECT {TROW}, ord, measure, code, text FROM tfields WHERE measure IN ({_kind[('place',)]})")
+_bad = " OR ".join(
+    f"(json_extract_string(out_of_state, '$.{k}') IS NOT NULL AND TRY_CAST(json_extract_string(out_of_state, '$.{k}') AS DECIMAL(18,2)) IS NULL)"
+    for k in fixed.OUT_OF_STATE_KEYS.values()
+)
+oracle("value_report", "tfields fx_snapshot", f"""SELECT s.year, s.quarter, coalesce(t.n, 0) AS overflow_count, s.n AS unreadable_count
+    FROM (SELECT year, quarter, count(*) FILTER ({_bad}) AS n FROM fx_snapshot GROUP BY ALL) s
+    LEFT JOIN (SELECT year, quarter, count(*) FILTER (overflow) AS n FROM tfields GROUP BY ALL) t ON t.year = s.year AND t.quarter = s.quarter""")
 oracle("tax_row_fields", "tfields", f"SELECT {TROW}, CAST(row_number() OVER (PARTITION BY rid ORDER BY ord) - 1 AS INTEGER) AS seq, text FROM tfields")
 cte("grouped", "rowtext tfields", """SELECT t.worker_sk, t.year, t.quarter, t.jurisdiction, t.text,
     row_number() OVER (PARTITION BY t.worker_sk, t.year, t.quarter, t.jurisdiction ORDER BY t.tax_type, t.is_employer_tax, t.payroll_run_sk, r.row_text, t.rid, t.ord) - 1 AS seq

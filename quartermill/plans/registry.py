@@ -353,6 +353,11 @@ def lived_in_field(spark, sf):
     return _of_kind(spark, sf, "place").drop("overflow")
 
 
+@query
+def value_report(spark, sf):
+    return taxes.value_report(_fields(spark, sf), _snapshot(spark, sf))
+
+
 @query
 def tax_row_fields(spark, sf):
     arrays = taxes.tax_field_arrays(_canonical(spark, sf), spec_jobs.default_specs(), TAX_ROW)

@@ -17,10 +17,10 @@ def parse_feed(lines: DataFrame, text: str = "value", order: str = "seq") -> Dat
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object per line; ``seq`` is the feed order.
+    """One JSON object per line, with its feed order in ``seq``.
 
-    The order column comes from the feed when it has one; file name and row
-    position stand in for it otherwise.
+    Rows without ``seq`` get the read order, which is the feed order only while
+    the feed is a single file; a feed landed in parts must carry ``seq``.
     """
     raw = spark.read.schema(f"seq BIGINT, {SCHEMA}").json(path)
     return raw.select(

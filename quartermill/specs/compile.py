@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quartermill.functions import formats
-from quartermill.operators.sizing import collect_bounded
+from quartermill.operators.sizing import broadcast_if_small, collect_bounded
 from quartermill.session import values_frame
 from quartermill.specs import fixed_values as fixed
 
@@ -160,15 +160,13 @@ def tax_spec_from_feed(feed: DataFrame, field_spec: DataFrame) -> DataFrame:
         spark, pa.schema([("token", pa.string()), ("measure", pa.string())]), fixed.table(fixed.TOKENS)
     )
     complete = feed.filter((F.col("tax_code") != "") & (F.col("field_code") != ""))
+    usable = field_spec.filter(F.col("format").isNotNull()).select(
+        F.col("code").alias("field_code"), "format", "width", "decimals", "signed"
+    )
     # max_by combines on the map side, so a cell repeated in most of the feed is no hot group.
     cells = (
         complete.join(tokens, "token")
-        .join(
-            field_spec.filter(F.col("format").isNotNull()).select(
-                F.col("code").alias("field_code"), "format", "width", "decimals", "signed"
-            ),
-            "field_code",
-        )
+        .join(broadcast_if_small(usable), "field_code")
         .groupBy("measure", F.col("tax_code").alias("tax_type"))
         .agg(F.max_by(F.struct("field_code", "format", "width", "decimals", "signed"), "seq").alias("c"))
     )
