@@ -26,11 +26,9 @@ GROUP = [*PERIOD, "juris_ord", "juris"]
 ORDER = ["tax_type", "is_employer_tax", "payroll_run_sk", "text"]
 
 
-def _rows(inputs: worker_lines.Inputs, periods: DataFrame, specs: Specs) -> DataFrame:
-    """Coded tax rows of the queued periods, one per tax row."""
-    quarters = broadcast_if_small(periods.select("year", "quarter").distinct())
-    latest = taxes.top_runs(inputs.snapshot.join(quarters, ["year", "quarter"], "left_semi"))
-    complete = latest.withColumn("complete", F.expr(taxes.COMPLETE))
+def _rows(inputs: worker_lines.Inputs, specs: Specs) -> DataFrame:
+    """Coded tax rows, one per latest tax row."""
+    complete = taxes.top_runs(inputs.snapshot).withColumn("complete", F.expr(taxes.COMPLETE))
     rows = taxes.join_profile(taxes.with_amounts(complete), broadcast_if_small(inputs.profile))
     return worker_lines.coded_tax_rows(rows, specs)
 
@@ -65,7 +63,7 @@ def packets(inputs: worker_lines.Inputs, periods: DataFrame, specs: Specs, decis
     arrays = stage(
         worker_lines.worker_arrays(inputs, periods.select("site_id").distinct(), specs, decisions), "hot-workers"
     )
-    coded = stage(_rows(inputs, periods, specs), "hot-rows")
+    coded = stage(_rows(inputs, specs), "hot-rows")
     small_arrays = broadcast_if_small(arrays)
     in_queue = broadcast_if_small(periods)
     worker_periods = (

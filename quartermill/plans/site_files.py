@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from quartermill.operators import assembly, queue as queue_ops
 from quartermill.operators.sizing import WORKER_ROWS, broadcast_if_small, hot_workers as find_hot, local_if_small
 from quartermill.plans import hot_workers
-from quartermill.plans.worker_lines import Inputs, worker_lines_of
+from quartermill.plans.worker_lines import Inputs, in_periods, worker_lines_of
 from quartermill.session import stage
 from quartermill.specs.compile import Specs, default_specs
 
@@ -36,6 +36,7 @@ def packets(
     """
     specs = specs or default_specs()
     periods = local_if_small(queue_ops.site_periods(inputs.queue))
+    inputs = replace(inputs, snapshot=in_periods(inputs.snapshot, periods))
     hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
     usual = _without_hot(inputs, hot)
     merged = worker_lines_of(usual, periods, specs, decisions).withColumn("lines", F.concat("worker_lines", "tax_lines")).select(
@@ -72,6 +73,7 @@ def line_rows(inputs: Inputs, specs: Specs | None = None, hot_row_limit: int = W
     """Employee lines and tax lines of the queued workers, with their position."""
     specs = specs or default_specs()
     periods = local_if_small(queue_ops.site_periods(inputs.queue))
+    inputs = replace(inputs, snapshot=in_periods(inputs.snapshot, periods))
     hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
     lines = worker_lines_of(_without_hot(inputs, hot), periods, specs)
     keys = [*assembly.FILE, "worker_sk"]

@@ -63,15 +63,30 @@ def worker_arrays(inputs: Inputs, sites: DataFrame, specs: Specs, decisions=None
     )
 
 
-def period_tax_rows(inputs: Inputs, periods: DataFrame) -> DataFrame:
-    """Latest tax rows of the queued periods, partitioned by worker.
+def in_periods(snapshot: DataFrame, periods: DataFrame, max_periods: int = 400) -> DataFrame:
+    """Snapshot rows of the given years and quarters.
+
+    A few periods become a literal predicate, which prunes partitions and is
+    pushed into the scan; more of them are a semi join.
+    """
+    wanted = periods.select("year", "quarter").distinct()
+    rows = wanted.limit(max_periods + 1).collect()
+    if len(rows) > max_periods:
+        return snapshot.join(wanted, ["year", "quarter"], "left_semi")
+    years: dict[int, list[int]] = {}
+    for year, quarter in sorted(map(tuple, rows)):
+        years.setdefault(year, []).append(quarter)
+    ranges = [f"(year = {y} AND quarter IN ({', '.join(map(str, qs))}))" for y, qs in years.items()]
+    return snapshot.filter(" OR ".join(ranges) or "false")
+
+
+def period_tax_rows(inputs: Inputs) -> DataFrame:
+    """Latest tax rows, partitioned by worker.
 
     Rows with a NULL strict key rank too: they give no tax line (``complete``
     is false), but they still make their worker part of the period.
     """
-    quarters = broadcast_if_small(periods.select("year", "quarter").distinct())
-    snapshot = inputs.snapshot.join(quarters, ["year", "quarter"], "left_semi").repartition("worker_sk")
-    latest = taxes.rank_one(snapshot).withColumn("complete", F.expr(taxes.COMPLETE))
+    latest = taxes.rank_one(inputs.snapshot.repartition("worker_sk")).withColumn("complete", F.expr(taxes.COMPLETE))
     return taxes.join_profile_by_worker(taxes.with_amounts(latest), inputs.profile)
 
 
@@ -161,8 +176,8 @@ def worker_period_lines(coded: DataFrame, arrays: DataFrame, specs: Specs, decis
 
 
 def worker_lines_of(inputs: Inputs, periods: DataFrame, specs: Specs, decisions=None) -> DataFrame:
-    """Employee and tax lines per worker and queued period."""
-    coded = coded_tax_rows(period_tax_rows(inputs, periods), specs)
+    """Employee and tax lines per worker and queued period; the snapshot holds those periods."""
+    coded = coded_tax_rows(period_tax_rows(inputs), specs)
     arrays = worker_arrays(inputs, periods.select("site_id").distinct(), specs, decisions)
     lines = worker_period_lines(coded, arrays, specs, decisions)
     return lines.join(broadcast_if_small(periods), ["site_id", "year", "quarter"], "left_semi")
