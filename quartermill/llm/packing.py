@@ -3,7 +3,6 @@
 import base64
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -27,14 +26,12 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-@lru_cache(1)
 def _exact(path: str):
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
-@lru_cache(1)
 def _ranks(path: str):
     import tiktoken
 
@@ -43,13 +40,21 @@ def _ranks(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def encode(texts: list[str], paths: tuple[str, str]) -> list[list[int]]:
-    """Ids of whole texts without special tokens added; both encoders hold the same merges."""
-    ranks = _ranks(paths[1])
+def encode(texts: list[str], paths: tuple[str, str], loaded: dict | None = None) -> list[list[int]]:
+    """Ids of whole texts without special tokens added; both encoders hold the same merges.
+
+    ``loaded`` keeps the encoders between calls.
+    """
+    loaded = {} if loaded is None else loaded
+    if "ranks" not in loaded:
+        loaded["ranks"] = _ranks(paths[1])
+    ranks = loaded["ranks"]
     slow = [i for i, text in enumerate(texts) if SPECIAL in text]
     out = [[] if SPECIAL in text else ranks.encode_ordinary(text) for text in texts]
     if slow:
-        found = _exact(paths[0]).encode_batch([texts[i] for i in slow], add_special_tokens=False)
+        if "exact" not in loaded:
+            loaded["exact"] = _exact(paths[0])
+        found = loaded["exact"].encode_batch([texts[i] for i in slow], add_special_tokens=False)
         for i, ids in zip(slow, found):
             out[i] = ids.ids
     return out
@@ -59,8 +64,9 @@ def tokenized(docs: DataFrame, paths: tuple[str, str], end: int = END) -> DataFr
     """doc_id, source, n (ids with the end) and ids (compressed, two bytes each) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded: dict = {}
         for block in blocks(batches):
-            ids = [np.array([*x, end], "<u2") for x in encode(block.column("text").fill_null("").to_pylist(), paths)]
+            ids = [np.array([*x, end], "<u2") for x in encode(block.column("text").fill_null("").to_pylist(), paths, loaded)]
             packed = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in ids]
             columns = [block.column("doc_id"), block.column("source"), pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "n", "ids"])

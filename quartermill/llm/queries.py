@@ -3,7 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermill.llm import line_rules, mixture, packing, sharding, simhash
+from quartermill.llm import (
+    cover_tree,
+    langid,
+    line_rules,
+    mixture,
+    ngram_bloom,
+    packing,
+    quality_cnn,
+    sharding,
+    simhash,
+    toxicity,
+)
 from quartermill.llm.common import table
 
 QUERIES = {}
@@ -23,6 +34,11 @@ def op1_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+@query
+def op2_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(table(spark, sf_dir, "documents"), with_ids=False)
@@ -37,15 +53,36 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hexed("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_piece_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_bloom_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, train = ngram_bloom.trained_on(table(spark, sf_dir, "documents"))
+    return ngram_bloom.scored(rows, train, keep=("doc_id", "held_out"))
+
+
 ORACLES: dict[str, str] = {}
