@@ -10,22 +10,37 @@ def tax_prefix(jurisdiction_key: str) -> str:
     return f"concat('{LINE_MARK}', {jurisdiction_key})"
 
 
-def _state(done: str, line: str) -> str:
-    return f"named_struct('done', {done}, 'line', {line})"
+# Items packed in one go.  Every step of an aggregate copies its state, so the
+# lines closed so far are only touched once per run of items.
+RUN = 256
 
 
-_START = _state(NO_LINES, "''")
-_FINISH = "s -> CASE WHEN s.line = '' THEN s.done ELSE array_append(s.done, s.line) END"
+def _state(closed: str, line: str) -> str:
+    return f"named_struct('closed', {closed}, 'line', {line})"
+
+
+_CLOSED = "CASE WHEN s.line = '' THEN s.closed ELSE array_append(s.closed, s.line) END"
 
 
 def _add_field(prefix: str, text: str, width: int) -> str:
     """State after one more field."""
     return f"""CASE
         WHEN {text} = '' OR {text} IS NULL THEN s
-        WHEN s.line = '' THEN {_state('s.done', f'concat({prefix}, {text})')}
-        WHEN startswith(s.line, {prefix}) AND length(s.line) + length({text}) <= {width}
-            THEN {_state('s.done', f'concat(s.line, {text})')}
-        ELSE {_state('array_append(s.done, s.line)', f'concat({prefix}, {text})')} END"""
+        WHEN s.line <> '' AND startswith(s.line, {prefix}) AND length(s.line) + length({text}) <= {width}
+            THEN {_state('s.closed', f'concat(s.line, {text})')}
+        ELSE {_state(_CLOSED, f'concat({prefix}, {text})')} END"""
+
+
+def _in_runs(items: str, step: str) -> str:
+    """Lines of ``items``, of which ``step`` is a lambda (s, item) -> s, run by run."""
+    run = (
+        f"aggregate(slice({items}, p * {RUN} + 1, {RUN}), {_state(NO_LINES, 'all.line')}, {step}, "
+        "s -> named_struct('done', array_append(all.done, s.closed), 'line', s.line))"
+    )
+    return f"""aggregate(sequence(0, greatest(0, (size({items}) - 1) div {RUN})),
+        named_struct('done', CAST(array() AS ARRAY<ARRAY<STRING>>), 'line', ''),
+        (all, p) -> {run},
+        all -> flatten(CASE WHEN all.line = '' THEN all.done ELSE array_append(all.done, array(all.line)) END))"""
 
 
 def pack(fields: str, prefix: str, width: int = LINE_WIDTH) -> str:
@@ -35,7 +50,7 @@ def pack(fields: str, prefix: str, width: int = LINE_WIDTH) -> str:
     starts where the next field would pass ``width``, and a single field longer
     than the line gets an overlong line of its own.
     """
-    return f"aggregate({fields}, {_START}, (s, x) -> {_add_field(prefix, 'x', width)}, {_FINISH})"
+    return _in_runs(fields, f"(s, x) -> {_add_field(prefix, 'x', width)}")
 
 
 def pack_rows(rows: str, prefix: str, width: int = LINE_WIDTH) -> str:
@@ -45,18 +60,14 @@ def pack_rows(rows: str, prefix: str, width: int = LINE_WIDTH) -> str:
     row whose whole text fits the open line is appended at once, which is what
     adding its fields one by one would give; only the others go field by field.
     """
-    return f"""aggregate({rows}, {_START},
-        (s, r) -> CASE
+    step = f"""(s, r) -> CASE
             WHEN r.text = '' THEN s
-            WHEN startswith(s.line, {prefix}) THEN CASE
-                WHEN length(s.line) + length(r.text) <= {width}
-                    THEN {_state('s.done', 'concat(s.line, r.text)')}
-                ELSE aggregate(r.fields, s, (s, x) -> {_add_field(prefix, 'x', width)}) END
-            WHEN length(r.text) <= {width - PREFIX_WIDTH} THEN {_state(
-                "CASE WHEN s.line = '' THEN s.done ELSE array_append(s.done, s.line) END",
-                f"concat({prefix}, r.text)")}
-            ELSE aggregate(r.fields, s, (s, x) -> {_add_field(prefix, 'x', width)}) END,
-        {_FINISH})"""
+            WHEN startswith(s.line, {prefix}) AND length(s.line) + length(r.text) <= {width}
+                THEN {_state('s.closed', 'concat(s.line, r.text)')}
+            WHEN NOT startswith(s.line, {prefix}) AND length(r.text) <= {width - PREFIX_WIDTH}
+                THEN {_state(_CLOSED, f'concat({prefix}, r.text)')}
+            ELSE aggregate(r.fields, s, (s, x) -> {_add_field(prefix, 'x', width)}) END"""
+    return _in_runs(rows, step)
 
 
 def worker_lines(fields: str) -> str:

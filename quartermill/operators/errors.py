@@ -6,7 +6,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quartermill.functions.text import impact_flag, jurisdiction, normalize_category
-from quartermill.operators.sizing import broadcast_if_small
 from quartermill.session import values_frame
 from quartermill.specs import fixed_values as fixed
 
@@ -120,7 +119,7 @@ DEFAULT_MAPPINGS = (
 )
 DEFAULT_RULES = (
     (1, "NO_IMPACT_ERROR", "NO_SKIP", [], None, None),
-    (2, "SPECIFIC_TAX_CODE_ERROR", "SKIP_CODE", ["EJ"], None, None),
+    (2, "SPECIFIC_TAX_CODE_ERROR", "SKIP_CODE", ["EJ", "CS"], None, None),
     (3, "WAGE_PLAN_ERROR", "SKIP_TAX_JURISDICTION", [], "2020-01-01", None),
     (4, "EMPLOYEE_PROFILE_ERROR", "SKIP_ENTIRE_EMPLOYEE", [], None, None),
     (5, "COMPANY_TAX_ID_ERROR", "SKIP_COMPANY_TAX_OUTPUT", [], None, "2035-12-31"),
@@ -174,7 +173,7 @@ def resolve_scopes(resolved: DataFrame, book: RuleBook, organization: DataFrame,
     rank = " ".join(f"WHEN '{scope}' THEN {i}" for i, scope in enumerate(fixed.SKIP_SCOPES, 1))
     return (
         muted.join(active_rules, "resolved_category", "left")
-        .join(broadcast_if_small(companies), "organization_unit_sk", "left")
+        .join(companies, "organization_unit_sk", "left")
         .selectExpr(
             "company_error_sk", "error_code", "resolved_category", "rule_id",
             "coalesce(scope, 'NO_SKIP') AS scope",

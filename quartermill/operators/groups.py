@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, functions as F
 
 from quartermill.operators import segments
-from quartermill.operators.sizing import broadcast_if_small
 
 GROUP = ["worker_sk", "year", "quarter", "jurisdiction"]
 ORDER = ["tax_type", "is_employer_tax", "payroll_run_sk", "text"]
@@ -16,16 +15,17 @@ def ordered_fields(arrays: DataFrame, hot: DataFrame | None = None, chunk_rows:
     numbered over range-partitioned chunks and never gathered.
     """
     rows = arrays.selectExpr(*GROUP, *ORDER[:3], "array_join(fields, '') AS text", "fields")
-    usual = rows if hot is None else rows.join(broadcast_if_small(hot), "worker_sk", "left_anti")
+    usual = rows if hot is None else rows.join(hot, "worker_sk", "left_anti")
     gathered = usual.groupBy(*GROUP).agg(
         F.expr(f"flatten(transform(array_sort(collect_list(struct({', '.join(ORDER)}, fields))), r -> r.fields)) AS fields")
     )
     fields = gathered.select(*GROUP, F.posexplode("fields").alias("seq", "text"))
+    fields = fields.withColumn("seq", F.col("seq").cast("bigint"))
     if hot is None:
         return fields
-    large = rows.join(broadcast_if_small(hot), "worker_sk", "left_semi")
+    large = rows.join(hot, "worker_sk", "left_semi")
     chunked = segments.ordered_chunks(large, GROUP, ORDER, large.count(), chunk_rows)
-    return fields.withColumn("seq", F.col("seq").cast("bigint")).unionByName(
+    return fields.unionByName(
         segments.positioned_fields(chunked, GROUP, ORDER)
     )
 

@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from quartermill.operators.sizing import broadcast_if_small
 from quartermill.session import values_frame
 import pyarrow as pa
 
@@ -117,11 +116,15 @@ def bounds_rules(rows: DataFrame, bounds=BOUNDS) -> DataFrame:
     )
 
 
-def wv_text_rules(worker: DataFrame, tax_rows: DataFrame) -> DataFrame:
-    """Job title rules for workers with West Virginia rows, and blank lived-in places."""
+def wv_text_rules(worker: DataFrame, tax_rows: DataFrame, place_states: tuple[str, ...] = ("PA",)) -> DataFrame:
+    """Job title rules for workers with West Virginia rows, and missing lived-in places.
+
+    Only rows of ``place_states`` must name a place; NULL and blank both miss.
+    """
     in_state = tax_rows.filter("state_code = 'WV'").select("worker_sk").distinct()
     titles = broken(worker.join(in_state, "worker_sk", "left_semi"), TEXT_RULES, ["worker_sk"])
-    places = tax_rows.filter("trim(lived_in_code) = ''").select("worker_sk").distinct()
+    needs_place = F.col("state_code").isin(*place_states)
+    places = tax_rows.filter(needs_place).filter("coalesce(trim(lived_in_code), '') = ''").select("worker_sk").distinct()
     return titles.unionByName(places.withColumn("rule_code", F.lit("LIV_PSD_MIS")))
 
 
@@ -170,7 +173,7 @@ def federal_rule(code_amounts: DataFrame, flagged_workers: DataFrame) -> DataFra
         total("third_party", "IA", "7A", "FL", "5Y"), total("extra_wage", "ZE"), total("extra_tax", "ZF"),
         total("credit", "EL"),
     )
-    flags = broadcast_if_small(flagged_workers.select("worker_sk").distinct().withColumn("flagged", F.lit(True)))
+    flags = flagged_workers.select("worker_sk").distinct().withColumn("flagged", F.lit(True))
     return (
         sums.join(flags, "worker_sk", "left")
         .filter(

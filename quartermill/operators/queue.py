@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quartermill.operators.sizing import broadcast_if_small
 from quartermill.specs import fixed_values as fixed
 
 PERIOD = ("site_id", "year", "quarter")
@@ -26,7 +25,7 @@ def site_companies(organization: DataFrame, queue: DataFrame) -> DataFrame:
     return (
         organization.select("branch_code", "company_code", "site_id")
         .distinct()
-        .join(broadcast_if_small(sites), "site_id", "left_semi")
+        .join(sites, "site_id", "left_semi")
     )
 
 
@@ -93,8 +92,8 @@ def status_changes(
     )
     return (
         # The queue may be long and has few distinct files: do not shuffle it by file.
-        queue.join(broadcast_if_small(outcome), list(PERIOD), "left")
-        .join(broadcast_if_small(known), "site_id", "left")
+        queue.join(outcome, list(PERIOD), "left")
+        .join(known, "site_id", "left")
         .select(
             "batch_id",
             *PERIOD,

@@ -15,7 +15,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quartermill.operators.sizing import broadcast_if_small
 from quartermill.session import stage
 from quartermill.specs.fixed_values import LINE_WIDTH, PREFIX_WIDTH
 
@@ -121,7 +120,7 @@ def packed_lines(chunked: DataFrame, group: list[str], order: list[str]) -> Data
     # One small table per chunk of a group meets here, not the group's rows.
     entries = tables.groupBy(*group).applyInPandas(_compose(keys), f"{key_schema}, entry bigint, first_line bigint")
     pieces = (
-        chunked.join(broadcast_if_small(stage(entries, "entries")), keys)
+        chunked.join(stage(entries, "entries"), keys)
         .groupBy(*keys)
         .applyInPandas(_pieces(keys, by), f"{key_schema}, line bigint, piece string")
     )
@@ -145,7 +144,7 @@ def positioned_fields(chunked: DataFrame, group: list[str], order: list[str]) ->
     )
     return (
         chunked.withColumn("before", F.coalesce(F.sum(F.size("fields")).over(in_chunk), F.lit(0)))
-        .join(broadcast_if_small(offsets), [*group, "chunk"])
+        .join(offsets, [*group, "chunk"])
         .select(*group, "offset", "before", F.posexplode("fields").alias("pos", "text"))
         .select(*group, (F.col("offset") + F.col("before") + F.col("pos")).alias("seq"), "text")
     )

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from quartermill.functions.formats import quote
 from quartermill.functions.text import jurisdiction_key
-from quartermill.operators.sizing import broadcast_if_small
 from quartermill.session import values_frame
+from quartermill.specs.compile import Specs, default_specs
 from quartermill.specs.fixed_values import FEDERAL, JURISDICTION_WIDTH
 
 COMPANY = ("branch_code", "company_code")
@@ -22,8 +22,8 @@ def of_scope(decisions: DataFrame, *scopes: str) -> DataFrame:
 
 
 def _without(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """Anti-join; a proven small key set is broadcast, so ``df`` is not shuffled."""
-    return df.join(broadcast_if_small(keys.select(*on).distinct()), list(on), "left_anti")
+    """Anti-join.  Staged decisions have a known size, so a small key set is broadcast."""
+    return df.join(keys.select(*on).distinct(), list(on), "left_anti")
 
 
 def skip_worker(df: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -43,14 +43,23 @@ def skip_company_tax(tax: DataFrame, decisions: DataFrame) -> DataFrame:
     return _without(tax, of_scope(decisions, "SKIP_COMPANY_OUTPUT", "SKIP_COMPANY_TAX_OUTPUT"), COMPANY)
 
 
+def twin_types(decisions: DataFrame, specs: Specs | None = None) -> DataFrame:
+    """Decisions per canonical tax type: a base type stands for its employee and its employer type."""
+    pairs = (specs or default_specs()).pair_frame(decisions.sparkSession).selectExpr(
+        "base_type AS tax_type", "array(employee_type, employer_type) AS twins"
+    )
+    others = [n for n in decisions.columns if n != "tax_type"]
+    return decisions.join(pairs, "tax_type", "left").selectExpr(*others, "explode(coalesce(twins, array(tax_type))) AS tax_type")
+
+
 def skip_jurisdiction(tax: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Tax rows outside the skipped jurisdictions.
+    """Tax rows (of canonical types) outside the skipped jurisdictions.
 
     A decision without a tax type covers all types of its jurisdiction, one
     without a worker all workers of its company.  The decisions are split by the
     keys they set, so each part is a plain equality anti-join.
     """
-    wanted = of_scope(decisions, "SKIP_TAX_JURISDICTION")
+    wanted = twin_types(of_scope(decisions, "SKIP_TAX_JURISDICTION"))
     for worker_set in (True, False):
         for type_set in (True, False):
             part = wanted.filter(F.col("worker_sk").isNotNull() == worker_set).filter(
@@ -90,22 +99,40 @@ def skip_codes(fields: DataFrame, decisions: DataFrame, groups: DataFrame | None
 
 
 def merge(decisions: DataFrame) -> DataFrame:
-    """Each decision with the broadest one for its entity.
+    """Each decision with the broadest one that covers all it removes.
 
-    Whole-company and whole-worker scopes dominate; narrow scopes add up.  The
-    broadest rank per company and per worker is one small aggregate each.
+    Company output covers everything of the company, a whole worker everything
+    of the worker.  The tax-only scopes cover tax decisions alone: worker tax,
+    jurisdictions, and codes inside a jurisdiction.  A jurisdiction skipped for
+    all tax types covers the codes inside it.  A code without a jurisdiction may
+    be a worker field, which only the two output scopes cover.
     """
-    broad = decisions.filter("scope_rank <= 4")
-    by_company = broad.filter("scope_rank <= 2").groupBy(*COMPANY).agg(F.min("scope_rank").alias("company_rank"))
-    by_worker = broad.filter("worker_sk IS NOT NULL").groupBy("worker_sk").agg(F.min("scope_rank").alias("worker_rank"))
-    return (
-        decisions.join(broadcast_if_small(by_company), list(COMPANY), "left")
-        .join(by_worker, "worker_sk", "left")
-        .withColumn("effective_rank", F.least("scope_rank", "company_rank", "worker_rank"))
-        .selectExpr(
-            "company_error_sk", "rule_id", "scope", *COMPANY, "worker_sk", "scope_rank", "effective_rank",
-            "effective_rank < scope_rank AS dominated",
-        )
+    def marked(where: str, keys: list[str], name: str) -> DataFrame:
+        return decisions.filter(where).select(*keys).distinct().withColumn(name, F.lit(True))
+
+    company, all_types = list(COMPANY), "scope = 'SKIP_TAX_JURISDICTION' AND tax_type IS NULL"
+    marks = (
+        (marked("scope = 'SKIP_COMPANY_OUTPUT'", company, "by_output"), company),
+        (marked("scope = 'SKIP_COMPANY_TAX_OUTPUT'", company, "by_tax"), company),
+        (marked("scope = 'SKIP_ENTIRE_EMPLOYEE'", ["worker_sk"], "by_worker"), ["worker_sk"]),
+        (marked("scope = 'SKIP_ALL_TAX_FOR_EMPLOYEE'", ["worker_sk"], "by_worker_tax"), ["worker_sk"]),
+        (marked(f"{all_types} AND worker_sk IS NULL", [*company, "jurisdiction"], "by_place"), [*company, "jurisdiction"]),
+        (marked(f"{all_types} AND worker_sk IS NOT NULL", ["worker_sk", "jurisdiction"], "by_own_place"), ["worker_sk", "jurisdiction"]),
+    )
+    out = decisions
+    for mark, keys in marks:
+        out = out.join(mark, keys, "left")
+    code = f"scope IN ({', '.join(map(quote, CODE_SCOPES))})"
+    tax_only = f"(scope IN ('SKIP_ALL_TAX_FOR_EMPLOYEE', 'SKIP_TAX_JURISDICTION') OR {code} AND jurisdiction IS NOT NULL)"
+    return out.selectExpr(
+        "*",
+        f"""CASE WHEN scope = 'NO_SKIP' THEN scope_rank ELSE least(scope_rank,
+            CASE WHEN by_output THEN 1 END, CASE WHEN by_tax AND {tax_only} THEN 2 END,
+            CASE WHEN by_worker AND scope_rank > 3 THEN 3 END, CASE WHEN by_worker_tax AND {tax_only} THEN 4 END,
+            CASE WHEN (by_place OR by_own_place) AND {code} THEN 5 END) END AS effective_rank""",
+    ).selectExpr(
+        "company_error_sk", "rule_id", "scope", *COMPANY, "worker_sk", "scope_rank", "effective_rank",
+        "effective_rank < scope_rank AS dominated",
     )
 
 
@@ -128,7 +155,7 @@ class PacketDecisions:
             *COMPANY, "worker_sk",
             f"named_struct('juris', CASE WHEN jurisdiction IS NOT NULL THEN {jurisdiction_key('jurisdiction')} END, 'code', code) AS code_skip",
         )
-        skipping = decisions.filter("scope <> 'NO_SKIP'").selectExpr(
+        skipping = twin_types(decisions.filter("scope <> 'NO_SKIP'")).selectExpr(
             *COMPANY, "worker_sk", "scope",
             f"CASE WHEN scope = 'SKIP_TAX_JURISDICTION' THEN named_struct('juris', {jurisdiction_key('jurisdiction')}, 'tax_type', tax_type) END AS juris_skip",
         )
@@ -154,7 +181,7 @@ class PacketDecisions:
 
     def attach(self, arrays: DataFrame) -> DataFrame:
         """Drop skipped workers and companies; keep the narrower decisions as columns."""
-        joined = arrays.join(broadcast_if_small(self.by_company), list(COMPANY), "left").join(
+        joined = arrays.join(self.by_company, list(COMPANY), "left").join(
             self.by_worker, "worker_sk", "left"
         )
         skipped = "coalesce(output_company_code, false) OR coalesce(output_worker_sk, false)"
@@ -205,56 +232,91 @@ class PacketDecisions:
 
 # --- audit -------------------------------------------------------------------
 
-# Scope -> key of what it removes, as SQL over a decision.
-_C, _J = "'C', branch_code, company_code", "jurisdiction"
-_DECISION_TARGET = f"""CASE
-    WHEN scope IN ('SKIP_COMPANY_OUTPUT', 'SKIP_COMPANY_TAX_OUTPUT') THEN concat_ws('|', {_C})
-    WHEN scope IN ('SKIP_ENTIRE_EMPLOYEE', 'SKIP_ALL_TAX_FOR_EMPLOYEE') THEN concat_ws('|', 'W', worker_sk)
-    WHEN scope = 'SKIP_TAX_JURISDICTION' AND worker_sk IS NULL THEN concat_ws('|', {_C}, 'J', {_J}, tax_type)
-    WHEN scope = 'SKIP_TAX_JURISDICTION' THEN concat_ws('|', 'W', worker_sk, 'J', {_J}, tax_type) END"""
-_ROW_TARGETS = f"""array(
-    concat_ws('|', {_C}), concat_ws('|', 'W', worker_sk),
-    concat_ws('|', {_C}, 'J', {_J}, tax_type), concat_ws('|', {_C}, 'J', {_J}),
-    concat_ws('|', 'W', worker_sk, 'J', {_J}, tax_type), concat_ws('|', 'W', worker_sk, 'J', {_J}))"""
-_CODE_TARGET = (
-    f"CASE WHEN worker_sk IS NULL THEN concat_ws('|', {_C}, 'K', code, {_J}) "
-    f"ELSE concat_ws('|', 'W', worker_sk, 'K', code, {_J}) END"
-)
-_FIELD_TARGETS = f"""array(
-    concat_ws('|', {_C}, 'K', code), concat_ws('|', {_C}, 'K', code, {_J}),
-    concat_ws('|', 'W', worker_sk, 'K', code), concat_ws('|', 'W', worker_sk, 'K', code, {_J}))"""
-
-
-def audit(decisions: DataFrame, tax_rows: DataFrame, fields: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """What each decision removes on its own, with the company's counts before and after.
-
-    ``tax_rows`` needs company, worker, jurisdiction and tax type; ``fields`` the
-    same with a code.  Output items are counted per target key first (combined
-    before the shuffle), so a decision meets one count row and never a group of
-    items.
+
+_KEY_PARTS = {
+    "branch": "STRING", "company": "STRING", "worker": "BIGINT", "place": "STRING", "tax": "STRING", "code": "STRING", "out": "BOOLEAN",
+}
+
+
+def _key(kind: str, **set_: str) -> str:
+    """Struct key of a target; parts that are not set are NULL."""
+    values = ", ".join(f"'{n}', CAST({set_.get(n, 'NULL')} AS {t})" for n, t in _KEY_PARTS.items())
+    return f"named_struct('kind', '{kind}', {values})"
+
+
+_C = {"branch": "branch_code", "company": "company_code"}
+_W = {"worker": "worker_sk"}
+_OUT = {"out": "true"}
+_P, _T, _K = {"place": "jurisdiction"}, {"tax": "tax_type"}, {"code": "code"}
+# What a decision removes: rows of tax output, employee lines, or single fields.
+_DECISION_KEYS = f"""CASE scope
+    WHEN 'SKIP_COMPANY_OUTPUT' THEN array({_key('row', **_C)}, {_key('row', **_C, **_OUT)})
+    WHEN 'SKIP_COMPANY_TAX_OUTPUT' THEN array({_key('row', **_C)})
+    WHEN 'SKIP_ENTIRE_EMPLOYEE' THEN array({_key('row', **_W)}, {_key('row', **_W, **_OUT)})
+    WHEN 'SKIP_ALL_TAX_FOR_EMPLOYEE' THEN array({_key('row', **_W)})
+    WHEN 'SKIP_TAX_JURISDICTION' THEN array(CASE WHEN worker_sk IS NULL THEN {_key('row', **_C, **_P, **_T)}
+        ELSE {_key('row', **_W, **_P, **_T)} END) END"""
+_ROW_KEYS = f"""array({_key('row', **_C)}, {_key('row', **_W)},
+    {_key('row', **_C, **_P, **_T)}, {_key('row', **_C, **_P)}, {_key('row', **_W, **_P, **_T)}, {_key('row', **_W, **_P)})"""
+_LINE_KEYS = f"array({_key('row', **_C, **_OUT)}, {_key('row', **_W, **_OUT)})"
+_CODE_KEY = f"CASE WHEN worker_sk IS NULL THEN {_key('field', **_C, **_K, **_P)} ELSE {_key('field', **_W, **_K, **_P)} END"
+_FIELD_KEYS = f"""array({_key('field', **_C, **_K)}, {_key('field', **_C, **_K, **_P)},
+    {_key('field', **_W, **_K)}, {_key('field', **_W, **_K, **_P)})"""
+_ENTITY = "CASE WHEN {0} THEN concat_ws('|', 'W', worker_sk) ELSE concat_ws('|', 'C', branch_code, company_code) END"
+_ROW_TEXT = _ENTITY.format("scope NOT IN ('SKIP_COMPANY_OUTPUT', 'SKIP_COMPANY_TAX_OUTPUT') AND worker_sk IS NOT NULL")
+_ROW_TEXT = f"concat_ws('|', {_ROW_TEXT}, CASE WHEN scope = 'SKIP_TAX_JURISDICTION' THEN concat_ws('|', 'J', jurisdiction, tax_type) END)"
+_CODE_TEXT = f"concat_ws('|', {_ENTITY.format('worker_sk IS NOT NULL')}, 'K', code, jurisdiction)"
+
+
+def audit(
+    decisions: DataFrame,
+    tax_rows: DataFrame,
+    fields: DataFrame,
+    worker_rows: DataFrame,
+    worker_fields: DataFrame,
+    groups: DataFrame | None = None,
+) -> DataFrame:
+    """What each decision removes on its own, with the company's tax rows before and after.
+
+    Rows are tax rows, and for the two output scopes also the workers' employee
+    lines (``worker_rows``: one row per worker).  Fields are tax fields and, for
+    codes without a jurisdiction, the workers' own fields.  Output items are
+    counted per target key first (combined before the shuffle), so a decision
+    meets a few count rows and never a group of items.  ``target`` is for
+    reading; the join uses struct keys.
     """
-    def counted(items: DataFrame, per: list[str], targets: str) -> DataFrame:
+    def counted(items: DataFrame, per: list[str], keys: str) -> DataFrame:
         # Equal items are merged before each is expanded into its target keys.
         merged = items.groupBy(*COMPANY, "worker_sk", *per).agg(F.count("*").alias("n"))
-        return merged.select(F.explode(F.array_distinct(F.expr(targets))).alias("target"), "n").groupBy("target").agg(
-            F.sum("n").alias("removed")
-        )
-
-    rows = counted(tax_rows, ["jurisdiction", "tax_type"], _ROW_TARGETS)
-    codes = counted(fields, ["jurisdiction", "code"], _FIELD_TARGETS)
+        return merged.select(F.explode(F.array_distinct(F.expr(keys))).alias("key"), "n")
+
+    worker_codes = worker_fields.withColumn("jurisdiction", F.lit(None).cast("string"))
+    counts = (
+        counted(tax_rows, ["jurisdiction", "tax_type"], _ROW_KEYS)
+        .unionByName(counted(worker_rows, [], _LINE_KEYS))
+        .unionByName(counted(fields, ["jurisdiction", "code"], _FIELD_KEYS))
+        .unionByName(counted(worker_codes, ["jurisdiction", "code"], _FIELD_KEYS))
+        .groupBy("key")
+        .agg(F.sum("n").alias("n"))
+    )
     totals = tax_rows.groupBy(*COMPANY).agg(F.count("*").alias("rows_before"))
-    keys = ["company_error_sk", "rule_id", "scope", *COMPANY, "worker_sk"]
-    by_row = decisions.filter(~F.col("scope").isin("NO_SKIP", *CODE_SCOPES)).select(
-        *keys, F.expr(_DECISION_TARGET).alias("target")
-    ).join(rows, "target", "left")
-    by_code = code_targets(decisions, groups).select(*keys, F.expr(_CODE_TARGET).alias("target")).join(codes, "target", "left")
+    # A worker-side scope without a worker, and a missing company, remove nothing.
+    found = decisions.filter(~F.col("scope").isin("NO_SKIP", *CODE_SCOPES))
+    columns = ["company_error_sk", "rule_id", "scope", *COMPANY, "worker_sk"]
+    texts = found.select(*columns, "jurisdiction", "tax_type", F.expr(_ROW_TEXT).alias("target"))
+    by_row = twin_types(texts).select(*columns, "target", F.explode(F.expr(_DECISION_KEYS)).alias("key"))
+    by_code = code_targets(decisions, groups).select(*columns, F.expr(_CODE_TEXT).alias("target"), F.expr(_CODE_KEY).alias("key"))
+    named = F.expr("CASE WHEN coalesce(key.branch, key.company, CAST(key.worker AS STRING)) IS NOT NULL THEN key END")
+    wanted = by_row.unionByName(by_code).withColumn("key", named)
+    tax = "key.kind = 'row' AND key.out IS NULL"
     return (
-        by_row.unionByName(by_code)
-        .join(broadcast_if_small(totals), list(COMPANY), "left")
+        wanted.join(counts, "key", "left")
+        .groupBy(*columns, "target")
+        .agg(F.sum("n").alias("removed"), F.expr(f"sum(CASE WHEN {tax} THEN n END) AS tax_removed"))
+        .join(totals, list(COMPANY), "left")
         .selectExpr(
-            *keys, "target", "coalesce(removed, 0L) AS removed", "coalesce(rows_before, 0L) AS rows_before",
-            f"coalesce(rows_before, 0L) - CASE WHEN scope IN ({', '.join(map(quote, CODE_SCOPES))}) THEN 0L "
-            "ELSE coalesce(removed, 0L) END AS rows_after",
+            *columns, "target", "coalesce(removed, 0L) AS removed", "coalesce(rows_before, 0L) AS rows_before",
+            "coalesce(rows_before, 0L) - coalesce(tax_removed, 0L) AS rows_after",
         )
     )
 

@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quartermill.functions import formats
 from quartermill.functions.text import jurisdiction
-from quartermill.operators.sizing import broadcast_if_small
 from quartermill.session import values_frame
 from quartermill.specs import fixed_values as fixed
 from quartermill.specs.compile import Specs
@@ -51,7 +50,7 @@ def top_runs(snapshot: DataFrame) -> DataFrame:
     keys = list(RUN_KEYS)
     top = snapshot.groupBy(*keys).agg(F.max("payroll_run_sk").alias("top_run"))
     same = F.expr(" AND ".join(f"s.{k} <=> t.{k}" for k in keys) + " AND s.payroll_run_sk <=> t.top_run")
-    return snapshot.alias("s").join(broadcast_if_small(top).alias("t"), same, "left_semi")
+    return snapshot.alias("s").join(top.alias("t"), same, "left_semi")
 
 
 def latest_run(snapshot: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -62,7 +61,7 @@ def latest_run(snapshot: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     complete = snapshot.filter(COMPLETE)
     if hot is None:
         return rank_one(complete)
-    keys = broadcast_if_small(hot)
+    keys = hot
     usual = rank_one(complete.join(keys, "worker_sk", "left_anti"))
     return usual.unionByName(top_runs(complete.join(keys, "worker_sk", "left_semi")))
 

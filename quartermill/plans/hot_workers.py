@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from quartermill.functions import packing
 from quartermill.functions.text import jurisdiction_class, jurisdiction_key, jurisdiction_order
 from quartermill.operators import assembly, mandatory, segments, taxes
-from quartermill.operators.sizing import broadcast_if_small
 from quartermill.plans import worker_lines
 from quartermill.session import stage
 from quartermill.specs.compile import Specs
@@ -29,7 +28,7 @@ ORDER = ["tax_type", "is_employer_tax", "payroll_run_sk", "text"]
 def _rows(inputs: worker_lines.Inputs, specs: Specs) -> DataFrame:
     """Coded tax rows, one per latest tax row."""
     complete = taxes.top_runs(inputs.snapshot).withColumn("complete", F.expr(taxes.COMPLETE))
-    rows = taxes.join_profile(taxes.with_amounts(complete), broadcast_if_small(inputs.profile))
+    rows = taxes.join_profile(taxes.with_amounts(complete), inputs.profile)
     return worker_lines.coded_tax_rows(rows, specs)
 
 
@@ -52,7 +51,7 @@ def _with_defaults(rows: DataFrame, worker_periods: DataFrame, specs: Specs, dec
 
 def packets(inputs: worker_lines.Inputs, periods: DataFrame, specs: Specs, decisions, hot: DataFrame, chunk_rows: int = segments.CHUNK_ROWS) -> DataFrame:
     """Packets of the hot workers, in the layout of the usual path."""
-    keys = broadcast_if_small(hot)
+    keys = hot
     inputs = replace(
         inputs,
         worker=inputs.worker.join(keys, "worker_sk", "left_semi"),
@@ -64,8 +63,8 @@ def packets(inputs: worker_lines.Inputs, periods: DataFrame, specs: Specs, decis
         worker_lines.worker_arrays(inputs, periods.select("site_id").distinct(), specs, decisions), "hot-workers"
     )
     coded = stage(_rows(inputs, specs), "hot-rows")
-    small_arrays = broadcast_if_small(arrays)
-    in_queue = broadcast_if_small(periods)
+    small_arrays = arrays
+    in_queue = periods
     worker_periods = (
         coded.select(*PERIOD).distinct().join(small_arrays, "worker_sk").join(in_queue, ["site_id", "year", "quarter"], "left_semi")
     )
@@ -111,12 +110,12 @@ def _layout(blocks: DataFrame, worker_periods: DataFrame) -> DataFrame:
     """Number the packets of a worker and period: employee lines, then jurisdictions in order."""
     per_juris = blocks.select(*GROUP).distinct()
     place = F.row_number().over(Window.partitionBy(*PERIOD).orderBy("juris_ord", "juris"))
-    placed = broadcast_if_small(per_juris.withColumn("place", place))
+    placed = per_juris.withColumn("place", place)
     company = worker_periods.select(*PERIOD, "site_id", "branch_code", "company_code")
     tax = (
         blocks.join(placed, GROUP)
         .withColumn("packet", F.col("place").cast("bigint") * PACKET_SPAN + F.col("block"))
-        .join(broadcast_if_small(company), PERIOD)
+        .join(company, PERIOD)
     )
     own = worker_periods.selectExpr(
         *PERIOD, "site_id", "branch_code", "company_code", "0L AS packet",

@@ -346,7 +346,9 @@ JURIS_HIT = f"d.scope = 'SKIP_TAX_JURISDICTION' AND {SAME_ENTITY} AND d.jurisdic
 
 
 # The same over deduplicated keys, so that the correlated part stays small.
-cte("jkeys", "decisions", "SELECT DISTINCT branch_code, company_code, worker_sk, jurisdiction, tax_type, scope FROM decisions WHERE scope = 'SKIP_TAX_JURISDICTION'")
+CTES["twins"] = ((), values("twins", "base, tax_type", [(b, t) for b, e, r in SPECS.pairs for t in (e, r)]))
+cte("jkeys", "decisions twins", """SELECT DISTINCT d.branch_code, d.company_code, d.worker_sk, d.jurisdiction, coalesce(w.tax_type, d.tax_type) AS tax_type, d.scope
+    FROM decisions d LEFT JOIN twins w ON w.base = d.tax_type WHERE d.scope = 'SKIP_TAX_JURISDICTION'""")
 for _t in ("", "_g"):
     cte(f"ckeys{_t}", f"targets{_t}", f"SELECT DISTINCT CASE WHEN worker_sk IS NULL THEN branch_code END AS branch_code, CASE WHEN worker_sk IS NULL THEN company_code END AS company_code, worker_sk, jurisdiction, code FROM targets{_t}")
     cte(f"hit_fields{_t}", f"tfields ckeys{_t}", f"""SELECT DISTINCT t.rid, t.ord FROM tfields t JOIN ckeys{_t} d ON d.code = t.code
@@ -389,7 +391,7 @@ _counted = ("fx_worker", "fx_address", "fx_snapshot", "fx_profile", "fx_queue",
 oracle("table_count", " ".join(_counted), " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _counted))
 oracle("queued_work", "queued", "SELECT batch_id, site_id, year, quarter, window_start, window_end FROM queued")
 oracle("site_companies", "fx_org queued", "SELECT DISTINCT site_id, branch_code, company_code FROM fx_org WHERE site_id IN (SELECT site_id FROM queued)")
-oracle("org_lookup", "fx_worker", "SELECT branch_code, company_code FROM fx_worker WHERE company_code = 'C007' ORDER BY branch_code LIMIT 1")
+oracle("org_lookup", "fx_org", "SELECT branch_code, company_code FROM fx_org WHERE company_code = 'C007' ORDER BY branch_code LIMIT 1")
 _known = ", ".join(f"'{s}'" for s in fixed.FILE_STATUSES)
 oracle("status_normalize", "fx_queue", f"""SELECT batch_id, CASE WHEN upper(raw_status) IN ({_known}) THEN upper(raw_status) END AS status,
     coalesce(upper(raw_status) IN ({_known}), false) AS is_valid FROM fx_queue""")
@@ -409,8 +411,9 @@ cte("compiled", "fx_field_raw levels sources", """SELECT f.field_code AS code, s
     CASE WHEN data_type = 'N' THEN signed = 'Y' END AS signed,
     CASE WHEN data_type = 'X' AND category_1 = 'DATE' THEN CASE WHEN f.field_code = 'SY' THEN 'yyyyMMdd' ELSE 'MMddyyyy' END END AS date_pattern,
     coalesce(l.level, 'EE') AS level
-    FROM (SELECT DISTINCT * FROM fx_field_raw) f LEFT JOIN sources s ON s.code = f.field_code
-    LEFT JOIN (SELECT field_code, CASE min(record_code) WHEN 'EEF' THEN 'F' WHEN 'EES' THEN 'S' WHEN 'EEL' THEN 'L' ELSE 'EE' END AS level FROM levels GROUP BY 1) l ON l.field_code = f.field_code""")
+    FROM (SELECT *, row_number() OVER (PARTITION BY field_code ORDER BY field_length DESC NULLS LAST, data_type DESC NULLS LAST, decimal_places DESC NULLS LAST,
+        signed DESC NULLS LAST, category_1 DESC NULLS LAST, category_2 DESC NULLS LAST) AS place FROM fx_field_raw) f LEFT JOIN sources s ON s.code = f.field_code
+    LEFT JOIN (SELECT field_code, CASE min(record_code) WHEN 'EEF' THEN 'F' WHEN 'EES' THEN 'S' WHEN 'EEL' THEN 'L' ELSE 'EE' END AS level FROM levels GROUP BY 1) l ON l.field_code = f.field_code WHERE f.place = 1""")
 oracle("compile_field_spec", "compiled", "SELECT * FROM compiled")
 oracle("default_values", "compiled", "SELECT code, CASE WHEN signed THEN '+' || repeat('0', width - 1) ELSE repeat('0', width) END AS default_value FROM compiled WHERE format = 'decimal'")
 cte("feed", "fx_feed_json", "SELECT seq, json_extract_string(value, '$.taxCode.code') AS tax_code, json_extract_string(value, '$.fieldCode.code') AS field_code, json_extract_string(value, '$.token.code') AS token FROM fx_feed_json")
@@ -468,8 +471,8 @@ oracle("tax_row_fields", "tfields", f"SELECT {TROW}, CAST(row_number() OVER (PAR
 cte("grouped", "rowtext tfields", """SELECT t.worker_sk, t.year, t.quarter, t.jurisdiction, t.text,
     row_number() OVER (PARTITION BY t.worker_sk, t.year, t.quarter, t.jurisdiction ORDER BY t.tax_type, t.is_employer_tax, t.payroll_run_sk, r.row_text, t.rid, t.ord) - 1 AS seq
     FROM tfields t JOIN rowtext r ON r.rid = t.rid""")
-oracle("tax_groups", "grouped", "SELECT worker_sk, year, quarter, rpad(jurisdiction, 6, ' ') AS juris, CAST(seq AS INTEGER) AS seq, text FROM grouped")
-oracle("level_merge", "grouped rowtext workers_f", """SELECT worker_sk, year, quarter, jurisdiction, juris_class, CAST(row_number() OVER (PARTITION BY worker_sk, year, quarter, jurisdiction ORDER BY part, seq) - 1 AS INTEGER) AS seq, text
+oracle("tax_groups", "grouped", "SELECT worker_sk, year, quarter, rpad(jurisdiction, 6, ' ') AS juris, CAST(seq AS BIGINT) AS seq, text FROM grouped")
+oracle("level_merge", "grouped rowtext workers_f", """SELECT worker_sk, year, quarter, jurisdiction, juris_class, CAST(row_number() OVER (PARTITION BY worker_sk, year, quarter, jurisdiction ORDER BY part, seq) - 1 AS BIGINT) AS seq, text
     FROM (SELECT *, CASE WHEN jurisdiction = 'F' THEN 'F' WHEN length(jurisdiction) <= 2 THEN 'S' ELSE 'L' END AS juris_class FROM (
         SELECT worker_sk, year, quarter, jurisdiction, 1 AS part, seq, text FROM grouped
         UNION ALL SELECT g.worker_sk, g.year, g.quarter, g.jurisdiction, 0, f.ord, f.text FROM (SELECT DISTINCT worker_sk, year, quarter, jurisdiction FROM rowtext) g
@@ -489,8 +492,8 @@ oracle("mandatory_backfill", "canon absent", """SELECT year, quarter, jurisdicti
           UNION ALL SELECT DISTINCT worker_sk, year, quarter, 'F', tax_type, false, NULL::BIGINT, 0::DECIMAL(18,2), 0::DECIMAL(18,2) FROM absent) GROUP BY ALL""")
 
 # lines and files
-oracle("employee_lines", "own_lines", "SELECT site_id, year, quarter, worker_sk, CAST(unnest(range(len(lines))) AS INTEGER) AS seq, unnest(lines) AS value FROM own_lines")
-oracle("tax_lines", "own_lines tax_lines", """SELECT o.site_id, o.year, o.quarter, o.worker_sk, CAST(unnest(range(len(t.lines))) AS INTEGER) AS seq, unnest(t.lines) AS value
+oracle("employee_lines", "own_lines", "SELECT site_id, year, quarter, worker_sk, CAST(unnest(range(len(lines))) AS BIGINT) AS seq, unnest(lines) AS value FROM own_lines")
+oracle("tax_lines", "own_lines tax_lines", """SELECT o.site_id, o.year, o.quarter, o.worker_sk, CAST(unnest(range(len(t.lines))) AS BIGINT) AS seq, unnest(t.lines) AS value
     FROM own_lines o JOIN tax_lines t ON t.worker_sk = o.worker_sk AND t.year = o.year AND t.quarter = o.quarter""")
 _hit = "regexp_matches(substr({0}, CAST(i AS BIGINT) + 1, 2), '^([A-Z][A-Z0-9]|[0-9][A-Z])$')"
 _cut = "coalesce(list_max(list_filter(range(1, {1}), lambda i: " + _hit + ")), {2})"
@@ -544,25 +547,47 @@ oracle("skip_worker", "fx_worker decisions", f"SELECT {_scan} FROM fx_worker w W
 _same_co = "d.branch_code = w.branch_code AND d.company_code = w.company_code"
 oracle("skip_company_tax", "canon decisions", f"SELECT {_R} FROM canon w WHERE NOT EXISTS (SELECT 1 FROM decisions d WHERE d.scope IN ('SKIP_COMPANY_OUTPUT', 'SKIP_COMPANY_TAX_OUTPUT') AND {_same_co})")
 oracle("skip_company", "fx_worker decisions_co", f"SELECT {_scan} FROM fx_worker w WHERE NOT EXISTS (SELECT 1 FROM decisions_co d WHERE d.scope = 'SKIP_COMPANY_OUTPUT' AND {_same_co})")
-oracle("skip_merge", "decisions", """SELECT d.company_error_sk, d.rule_id, d.scope, d.branch_code, d.company_code, d.worker_sk, d.scope_rank,
-    least(d.scope_rank, c.r, w.r) AS effective_rank, least(d.scope_rank, c.r, w.r) < d.scope_rank AS dominated FROM decisions d
-    LEFT JOIN (SELECT branch_code, company_code, min(scope_rank) AS r FROM decisions WHERE scope_rank <= 2 GROUP BY ALL) c ON c.branch_code = d.branch_code AND c.company_code = d.company_code
-    LEFT JOIN (SELECT worker_sk, min(scope_rank) AS r FROM decisions WHERE scope_rank <= 4 AND worker_sk IS NOT NULL GROUP BY ALL) w ON w.worker_sk = d.worker_sk""")
-# Counts per decision key, each by its own plain grouping.
+_tax_only = "(d.scope_rank IN (4, 5) OR d.scope_rank BETWEEN 6 AND 8 AND d.jurisdiction IS NOT NULL)"
+_co = "b.branch_code = d.branch_code AND b.company_code = d.company_code"
+# The broader decision of each entity, one lookup for each row of the dominance table.
+_broader = {
+    1: (f"b.scope_rank = 1 AND {_co}", "true"),
+    2: (f"b.scope_rank = 2 AND {_co}", _tax_only),
+    3: ("b.scope_rank = 3 AND b.worker_sk = d.worker_sk", "true"),
+    4: ("b.scope_rank = 4 AND b.worker_sk = d.worker_sk", _tax_only),
+    5: (f"b.scope_rank = 5 AND b.tax_type IS NULL AND b.jurisdiction = d.jurisdiction AND (b.worker_sk = d.worker_sk OR b.worker_sk IS NULL AND {_co})", "d.scope_rank BETWEEN 6 AND 8"),
+}
+_ranks = ", ".join(
+    f"CASE WHEN {applies} AND EXISTS (SELECT 1 FROM wide b WHERE {hit}) THEN {rank} END" for rank, (hit, applies) in _broader.items()
+)
+cte("wide", "decisions", "SELECT DISTINCT scope_rank, branch_code, company_code, worker_sk, jurisdiction, tax_type FROM decisions WHERE scope_rank <= 5")
+oracle("skip_merge", "decisions wide", f"""SELECT * EXCLUDE (n), n AS effective_rank, n < scope_rank AS dominated FROM (
+    SELECT d.company_error_sk, d.rule_id, d.scope, d.branch_code, d.company_code, d.worker_sk, d.scope_rank,
+      CAST(CASE WHEN d.scope = 'NO_SKIP' THEN d.scope_rank ELSE least(d.scope_rank, {_ranks}) END AS INTEGER) AS n FROM decisions d)""")
+# What goes when a decision is applied alone, counted by kind of item.
 cte("n_company", "canon", "SELECT branch_code, company_code, count(*) AS n FROM canon GROUP BY ALL")
 cte("n_worker", "canon", "SELECT worker_sk, count(*) AS n FROM canon GROUP BY ALL")
-cte("n_juris", "canon", "SELECT branch_code, company_code, jurisdiction, tax_type, count(*) AS n FROM canon GROUP BY ALL")
-cte("n_code", "tfields", "SELECT worker_sk, jurisdiction, code, count(*) AS n FROM tfields GROUP BY ALL")
-cte("audit", "decisions targets n_company n_worker n_juris n_code", """
-    SELECT x.* REPLACE (CAST(x.removed AS BIGINT) AS removed), coalesce(c.n, 0) AS rows_before,
-      CAST(coalesce(c.n, 0) - CASE WHEN x.scope = 'SKIP_CODE' THEN 0 ELSE x.removed END AS BIGINT) AS rows_after FROM (
-      SELECT company_error_sk, rule_id, scope, branch_code, company_code, worker_sk, 'C|' || branch_code || '|' || company_code AS target,
-        coalesce((SELECT n FROM n_company k WHERE k.branch_code = d.branch_code AND k.company_code = d.company_code), 0) AS removed FROM decisions d WHERE scope_rank <= 2
-      UNION ALL SELECT company_error_sk, rule_id, scope, branch_code, company_code, worker_sk, 'W|' || CAST(worker_sk AS VARCHAR), coalesce((SELECT n FROM n_worker k WHERE k.worker_sk = d.worker_sk), 0) FROM decisions d WHERE scope_rank IN (3, 4)
-      UNION ALL SELECT company_error_sk, rule_id, scope, branch_code, company_code, worker_sk, 'C|' || branch_code || '|' || company_code || '|J|' || jurisdiction || coalesce('|' || tax_type, ''),
-        coalesce((SELECT sum(n) FROM n_juris k WHERE k.branch_code = d.branch_code AND k.company_code = d.company_code AND k.jurisdiction = d.jurisdiction AND coalesce(k.tax_type = d.tax_type, true)), 0) FROM decisions d WHERE scope_rank = 5
-      UNION ALL SELECT company_error_sk, rule_id, scope, branch_code, company_code, worker_sk, 'W|' || CAST(worker_sk AS VARCHAR) || '|K|' || code || coalesce('|' || jurisdiction, ''),
-        coalesce((SELECT sum(n) FROM n_code k WHERE k.worker_sk = d.worker_sk AND k.code = d.code AND coalesce(k.jurisdiction = d.jurisdiction, true)), 0) FROM targets d) x
+cte("n_juris", "canon", "SELECT branch_code, company_code, worker_sk, jurisdiction, tax_type, count(*) AS n FROM canon GROUP BY ALL")
+cte("n_people", "fx_worker", "SELECT branch_code, company_code, count(*) AS n FROM fx_worker GROUP BY ALL")
+cte("n_code", "tfields workers_f", """SELECT branch_code, company_code, worker_sk, jurisdiction, code, count(*) AS n FROM tfields GROUP BY ALL
+    UNION ALL SELECT branch_code, company_code, worker_sk, NULL, code, count(*) FROM workers_f GROUP BY ALL""")
+_item = "CASE WHEN d.worker_sk IS NULL THEN k.branch_code = d.branch_code AND k.company_code = d.company_code ELSE k.worker_sk = d.worker_sk END"
+_who = "CASE WHEN d.worker_sk IS NULL THEN 'C|' || d.branch_code || '|' || d.company_code ELSE 'W|' || CAST(d.worker_sk AS VARCHAR) END"
+_dk = "d.company_error_sk, d.rule_id, d.scope, d.branch_code, d.company_code, d.worker_sk"
+_same = "k.branch_code = d.branch_code AND k.company_code = d.company_code"
+cte("audit", "decisions targets twins n_company n_worker n_juris n_code n_people fx_worker", f"""
+    SELECT x.* EXCLUDE (tax, lines) REPLACE (target AS target), CAST(x.tax + x.lines AS BIGINT) AS removed, coalesce(c.n, 0) AS rows_before,
+      CAST(coalesce(c.n, 0) - CASE WHEN x.scope = 'SKIP_CODE' THEN 0 ELSE x.tax END AS BIGINT) AS rows_after FROM (
+      SELECT {_dk}, 'C|' || d.branch_code || '|' || d.company_code AS target,
+        coalesce((SELECT n FROM n_company k WHERE {_same}), 0) AS tax,
+        CASE WHEN d.scope_rank = 1 THEN coalesce((SELECT n FROM n_people k WHERE {_same}), 0) ELSE 0 END AS lines FROM decisions d WHERE d.scope_rank <= 2
+      UNION ALL SELECT {_dk}, 'W|' || CAST(d.worker_sk AS VARCHAR), coalesce((SELECT n FROM n_worker k WHERE k.worker_sk = d.worker_sk), 0),
+        CASE WHEN d.scope_rank = 3 THEN (SELECT count(*) FROM fx_worker k WHERE k.worker_sk = d.worker_sk) ELSE 0 END FROM decisions d WHERE d.scope_rank IN (3, 4)
+      UNION ALL SELECT {_dk}, {_who} || '|J|' || d.jurisdiction || coalesce('|' || d.tax_type, ''),
+        coalesce((SELECT sum(n) FROM n_juris k WHERE {_item} AND k.jurisdiction = d.jurisdiction
+          AND coalesce(k.tax_type = d.tax_type OR (d.tax_type || ':' || k.tax_type) IN (SELECT base || ':' || tax_type FROM twins), true)), 0), 0 FROM decisions d WHERE d.scope_rank = 5
+      UNION ALL SELECT {_dk}, {_who} || '|K|' || d.code || coalesce('|' || d.jurisdiction, ''),
+        coalesce((SELECT sum(n) FROM n_code k WHERE {_item} AND k.code = d.code AND coalesce(k.jurisdiction = d.jurisdiction, d.jurisdiction IS NULL)), 0), 0 FROM targets d) x
     LEFT JOIN n_company c ON c.branch_code = x.branch_code AND c.company_code = x.company_code""")
 oracle("skip_audit", "audit", "SELECT * FROM audit")
 oracle("error_write_status", "fx_error audit", """SELECT e.company_error_sk, e.error_code, e.write_status AS old_status,
@@ -629,7 +654,7 @@ oracle("dq_cross_type", "sums", " UNION ALL ".join(f"SELECT worker_sk, year, qua
 _wv = "worker_sk IN (SELECT worker_sk FROM fx_snapshot WHERE state_code = 'WV')"
 oracle("dq_text", "fx_worker fx_snapshot", f"""SELECT worker_sk, 'WV_SUI_JOB_TTL_SOC_MIS' AS rule_code FROM fx_worker WHERE (job_title IS NULL OR trim(job_title) = '') AND {_wv}
     UNION ALL SELECT worker_sk, 'WV_SUI_JOB_TTL_SPCL_CHR' FROM fx_worker WHERE regexp_matches(job_title, '[^A-Za-z0-9 ]') AND {_wv}
-    UNION ALL SELECT DISTINCT worker_sk, 'LIV_PSD_MIS' FROM fx_snapshot WHERE trim(lived_in_code) = ''""")
+    UNION ALL SELECT DISTINCT worker_sk, 'LIV_PSD_MIS' FROM fx_snapshot WHERE state_code = 'DE' AND (lived_in_code IS NULL OR trim(lived_in_code) = '')""")
 _codes_sql = " UNION ALL ".join(f"SELECT worker_sk, year, quarter, '{c}' AS code, {m} AS amount FROM qrows WHERE tax_type = '{t}'" for t, m, c in FEDERAL_CODES)
 cte("federal", "qrows", f"""SELECT worker_sk, year, quarter, coalesce(sum(amount) FILTER (code IN ('FP', '6B')), 0) AS socsec, coalesce(sum(amount) FILTER (code = 'IC'), 0) AS medicare,
     coalesce(sum(amount) FILTER (code = 'EJ'), 0) AS fit, coalesce(sum(amount) FILTER (code IN ('IA', '7A', 'FL', '5Y')), 0) AS third_party,

@@ -97,7 +97,9 @@ def _decisions(spark, sf, scope: dict | None = None) -> DataFrame:
         for i, category, s, codes, start, end in errors.DEFAULT_RULES
     )
     book = errors.RuleBook(errors.DEFAULT_MAPPINGS, rules)
-    return errors.decide(_errors(spark, sf), errors.default_catalog(spark), _org(spark, sf), AS_OF, book)
+    decisions = errors.decide(_errors(spark, sf), errors.default_catalog(spark), _org(spark, sf), AS_OF, book)
+    # Several key sets are read from the decisions, so they are written once.
+    return stage(decisions, "decisions")
 
 
 def _groups(spark) -> DataFrame:
@@ -134,7 +136,7 @@ def site_companies(spark, sf):
 
 @query
 def org_lookup(spark, sf):
-    return queue.lookup_company(_worker(spark, sf), "C007")
+    return queue.lookup_company(_org(spark, sf), "C007")
 
 
 @query
@@ -591,8 +593,16 @@ def skip_merge(spark, sf):
 
 
 def _audit(spark, sf) -> DataFrame:
-    fields = _fields(spark, sf, "branch_code", "company_code")
-    return skips.audit(_decisions(spark, sf), _tax_rows(spark, sf), fields, _groups(spark))
+    """The coded tax rows are written once; rows, fields and totals are counted from them."""
+    entity = ("branch_code", "company_code", "worker_sk")
+    specs = spec_jobs.default_specs()
+    coded = stage(taxes.tax_field_arrays(_canonical(spark, sf), specs, [*entity, "jurisdiction", "tax_type"]), "audit-rows")
+    fields = coded.select(*entity, "jurisdiction", F.explode("fields").alias("text")).withColumn("code", F.left("text", F.lit(2)))
+    profiled = _profiled(spark, sf)
+    people = profiled.select(*entity)
+    return skips.audit(
+        _decisions(spark, sf), coded.drop("fields"), fields, people, workers.worker_fields(profiled, specs), _groups(spark)
+    )
 
 
 @query
@@ -662,13 +672,15 @@ def dq_cross_type(spark, sf):
 @query
 def dq_text(spark, sf):
     rows = sample_views.view(spark, sf, "fx_snapshot")
-    return quality.wv_text_rules(_worker(spark, sf), rows)
+    return quality.wv_text_rules(_worker(spark, sf), rows, place_states=("DE",))
 
 
 # Sample mapping of tax types to the codes of the federal rule.
 FEDERAL_CODES = (
     ("SSEE", "qtd_taxable_amount", "FP"), ("MEDEE", "qtd_taxable_amount", "IC"), ("FIT", "qtd_amount", "EJ"),
     ("COBRA-CR", "qtd_amount", "IA"), ("MEDER", "qtd_taxable_amount", "ZE"), ("MEDER", "qtd_amount", "ZF"),
+    ("SSER", "qtd_amount", "6B"), ("SIT", "qtd_amount", "7A"), ("CIT", "qtd_amount", "FL"), ("SDIEE", "qtd_amount", "5Y"),
+    ("SUIER", "qtd_amount", "EL"),
 )
 
 

@@ -5,7 +5,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quartermill.operators import assembly, queue as queue_ops
-from quartermill.operators.sizing import WORKER_ROWS, broadcast_if_small, hot_workers as find_hot, local_if_small
+from quartermill.operators.sizing import WORKER_ROWS, hot_workers as find_hot, local_if_small
 from quartermill.plans import hot_workers
 from quartermill.plans.worker_lines import Inputs, in_periods, worker_lines_of
 from quartermill.session import stage
@@ -15,7 +15,7 @@ from quartermill.specs.compile import Specs, default_specs
 def _without_hot(inputs: Inputs, hot: DataFrame | None) -> Inputs:
     if hot is None:
         return inputs
-    keys = broadcast_if_small(hot)
+    keys = hot
     return replace(
         inputs,
         snapshot=inputs.snapshot.join(keys, "worker_sk", "left_anti"),
@@ -77,7 +77,10 @@ def line_rows(inputs: Inputs, specs: Specs | None = None, hot_row_limit: int = W
     hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
     lines = worker_lines_of(_without_hot(inputs, hot), periods, specs)
     keys = [*assembly.FILE, "worker_sk"]
-    own, tax = (lines.select(*keys, F.posexplode(name).alias("seq", "value")) for name in ("worker_lines", "tax_lines"))
+    own, tax = (
+        lines.select(*keys, F.posexplode(name).alias("seq", "value")).withColumn("seq", F.col("seq").cast("bigint"))
+        for name in ("worker_lines", "tax_lines")
+    )
     if hot is None:
         return own, tax
     packed = hot_workers.packets(inputs, periods, specs, None, hot)
@@ -87,8 +90,9 @@ def line_rows(inputs: Inputs, specs: Specs | None = None, hot_row_limit: int = W
         *keys, "packet", F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("start")
     )
     hot_own = packed.filter("packet = 0").select(*keys, F.posexplode("lines").alias("seq", "value"))
+    hot_own = hot_own.withColumn("seq", F.col("seq").cast("bigint"))
     hot_tax = packed.join(starts, [*keys, "packet"]).select(*keys, "start", F.posexplode("lines").alias("pos", "value"))
     return (
         own.unionByName(hot_own),
-        tax.withColumn("seq", F.col("seq").cast("bigint")).unionByName(hot_tax.select(*keys, (F.col("start") + F.col("pos")).alias("seq"), "value")),
+        tax.unionByName(hot_tax.select(*keys, (F.col("start") + F.col("pos")).alias("seq"), "value")),
     )

@@ -14,7 +14,7 @@ from quartermill.functions import packing
 from quartermill.functions.formats import quote
 from quartermill.functions.text import jurisdiction_class, jurisdiction_key, jurisdiction_order
 from quartermill.operators import mandatory, taxes, workers
-from quartermill.operators.sizing import broadcast_if_small, local_if_small
+from quartermill.operators.sizing import local_if_small
 from quartermill.specs.compile import Specs
 from quartermill.specs.fixed_values import FEDERAL, JURISDICTION_WIDTH
 
@@ -36,9 +36,9 @@ def site_workers(inputs: Inputs, sites: DataFrame) -> DataFrame:
     companies = local_if_small(
         inputs.organization.select("branch_code", "company_code", "site_id")
         .distinct()
-        .join(broadcast_if_small(sites), "site_id", "left_semi")
+        .join(sites, "site_id", "left_semi")
     )
-    return inputs.worker.join(broadcast_if_small(companies), ["branch_code", "company_code"])
+    return inputs.worker.join(companies, ["branch_code", "company_code"])
 
 
 def worker_arrays(inputs: Inputs, sites: DataFrame, specs: Specs, decisions=None) -> DataFrame:
@@ -67,12 +67,13 @@ def in_periods(snapshot: DataFrame, periods: DataFrame, max_periods: int = 400)
     """Snapshot rows of the given years and quarters.
 
     A few periods become a literal predicate, which prunes partitions and is
-    pushed into the scan; more of them are a semi join.
+    pushed into the scan; more of them are a semi join.  A period without year
+    or quarter selects nothing either way.
     """
-    wanted = periods.select("year", "quarter").distinct()
+    wanted = periods.filter("year IS NOT NULL AND quarter IS NOT NULL").select("year", "quarter").distinct()
     rows = wanted.limit(max_periods + 1).collect()
     if len(rows) > max_periods:
-        return snapshot.join(wanted, ["year", "quarter"], "left_semi")
+        return snapshot.join(wanted, ["year", "quarter"], "left_semi").select(*snapshot.columns)
     years: dict[int, list[int]] = {}
     for year, quarter in sorted(map(tuple, rows)):
         years.setdefault(year, []).append(quarter)
@@ -180,4 +181,4 @@ def worker_lines_of(inputs: Inputs, periods: DataFrame, specs: Specs, decisions=
     coded = coded_tax_rows(period_tax_rows(inputs), specs)
     arrays = worker_arrays(inputs, periods.select("site_id").distinct(), specs, decisions)
     lines = worker_period_lines(coded, arrays, specs, decisions)
-    return lines.join(broadcast_if_small(periods), ["site_id", "year", "quarter"], "left_semi")
+    return lines.join(periods, ["site_id", "year", "quarter"], "left_semi")

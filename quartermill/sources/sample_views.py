@@ -130,16 +130,16 @@ SELECT event_id AS company_error_sk,
   CASE event_id % 7 WHEN 0 THEN 'FEIN_IS_MISSING' WHEN 1 THEN 'FEIN_NOT_CORRECT' WHEN 2 THEN 'CA_WAGE_PLAN_MISSING'
     WHEN 3 THEN 'SSN_NON_NUM' WHEN 4 THEN 'FIT_QTD_INVALID' WHEN 5 THEN 'E002' ELSE 'NOT_IN_CATALOG' END AS error_code,
   CASE event_id % 7 WHEN 0 THEN user_id % 2 WHEN 1 THEN user_id % 25 WHEN 2 THEN 3 + user_id % 5 ELSE user_id % 25 END AS organization_unit_sk,
-  CASE WHEN event_id % 3 = 0 THEN 'Resolved' ELSE 'Open' END AS resolution_status,
-  CASE WHEN event_id % 8 = 0 THEN 'WRITTEN' ELSE 'PENDING' END AS write_status,
-  CASE WHEN event_id % 7 = 2 THEN 'CA' END AS state_code, CAST(NULL AS STRING) AS local_code,
-  CASE WHEN event_id % 7 = 2 AND event_id % 2 = 0 THEN 'SIT' END AS tax_type,
+  CASE WHEN event_type <> 'error' OR event_id % 3 = 0 THEN 'Resolved' ELSE 'Open' END AS resolution_status,
+  CASE WHEN event_type = 'purchase' THEN 'SKIPPED' WHEN event_id % 8 = 0 THEN 'WRITTEN' ELSE 'PENDING' END AS write_status,
+  CASE WHEN event_id % 7 = 2 AND event_id % 5 <> 0 THEN 'CA' END AS state_code, CAST(NULL AS STRING) AS local_code,
+  CASE WHEN event_id % 7 <> 2 THEN NULL WHEN event_id % 5 = 0 THEN 'SocialSecurity' WHEN event_id % 4 = 0 THEN 'SUI' WHEN event_id % 2 = 0 THEN 'SIT' END AS tax_type,
   CASE WHEN event_id % 7 IN (3, 4, 5) THEN user_id END AS worker_sk, ts AS created_date_time,
   CASE event_id % 8 WHEN 0 THEN ' payroll  &   tax ' WHEN 1 THEN 'Worker Profile' WHEN 2 THEN NULL WHEN 3 THEN ''
     WHEN 4 THEN 'WagePlan' WHEN 5 THEN '--company--' WHEN 6 THEN '&&' ELSE 'PAYROLL' END AS raw_category,
   CASE event_id % 9 WHEN 0 THEN 'true' WHEN 1 THEN 'Y' WHEN 2 THEN ' 1 ' WHEN 3 THEN 'False' WHEN 4 THEN NULL
     WHEN 5 THEN 'yes' WHEN 6 THEN 'N' WHEN 7 THEN 't' ELSE '' END AS raw_flag
-FROM {events} WHERE event_type = 'error'""",
+FROM {events}""",
     "fx_field_raw": f"""
 SELECT {_code('p_partkey')} AS field_code,
   CAST(1 + p_partkey % 1296 % 20 AS INT) AS field_length,
@@ -148,7 +148,10 @@ SELECT {_code('p_partkey')} AS field_code,
   CASE WHEN p_partkey % 1296 % 2 = 0 THEN 'Y' ELSE 'N' END AS signed,
   CASE WHEN p_partkey % 1296 % 7 = 0 THEN 'DATE' END AS category_1,
   CASE WHEN p_partkey % 1296 % 4 = 0 THEN 'AMT' END AS category_2
-FROM {{part}}""",
+FROM {{part}}
+UNION ALL
+SELECT {_code('p_partkey')}, CAST(1 + (p_partkey % 1296 + p_partkey % 3) % 20 AS INT), 'X', NULL, 'N', NULL, 'ALT'
+FROM {{part}} WHERE p_partkey % 9 = 0""",
     "fx_level_raw": f"""
 SELECT {_code('p_partkey')} AS field_code,
   CASE p_size % 4 WHEN 0 THEN 'EEF' WHEN 1 THEN 'EES' WHEN 2 THEN 'EEL' ELSE 'EEX' END AS record_code,

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quartermill.functions import formats
-from quartermill.operators.sizing import broadcast_if_small, collect_bounded
+from quartermill.operators.sizing import collect_bounded
 from quartermill.session import values_frame
 from quartermill.specs import fixed_values as fixed
 
@@ -116,7 +116,8 @@ def compile_field_spec(raw: DataFrame, levels: DataFrame) -> DataFrame:
     """Raw field and level tables -> one format row per code.
 
     Types other than N and X get no format and are left out later.  The first
-    record code of a code decides its level; codes without one are EE.
+    record code of a code decides its level; codes without one are EE.  Of
+    several rows of a code the one that sorts last counts.
     """
     code_level = level_rows(levels).groupBy("field_code").agg(
         _record_level(F.min("record_code")).alias("level")
@@ -125,6 +126,9 @@ def compile_field_spec(raw: DataFrame, levels: DataFrame) -> DataFrame:
     is_number, is_date = kind == "N", (kind == "X") & (F.col("category_1") == "DATE")
     return (
         field_rows(raw)
+        .groupBy("field_code")
+        .agg(F.max(F.struct("field_length", "data_type", "decimal_places", "signed", "category_1", "category_2")).alias("row"))
+        .select("field_code", "row.*")
         .join(code_level, "field_code", "left")
         .join(
             source_columns(raw.sparkSession).withColumnRenamed("code", "field_code"), "field_code", "left"
@@ -166,7 +170,7 @@ def tax_spec_from_feed(feed: DataFrame, field_spec: DataFrame) -> DataFrame:
     # max_by combines on the map side, so a cell repeated in most of the feed is no hot group.
     cells = (
         complete.join(tokens, "token")
-        .join(broadcast_if_small(usable), "field_code")
+        .join(usable, "field_code")
         .groupBy("measure", F.col("tax_code").alias("tax_type"))
         .agg(F.max_by(F.struct("field_code", "format", "width", "decimals", "signed"), "seq").alias("c"))
     )
