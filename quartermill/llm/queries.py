@@ -85,4 +85,63 @@ def op10_bloom_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_bloom.scored(rows, train, keep=("doc_id", "held_out"))
 
 
-ORACLES: dict[str, str] = {}
+# --- SQL on DuckDB ------------------------------------------------------------
+# Checksums, XXH64, networks, tokenizers, Bloom filters and piece models have no
+# SQL there; their queries are tested against brute force or held-out labels.
+
+_WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op1_curriculum_mix": f"""
+WITH sized AS (SELECT doc_id, source, CAST(len({_WORDS.format('text')}) AS BIGINT) AS size FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sources),
+weighed AS (SELECT *, CASE place % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight FROM ranked),
+filled AS (SELECT *, ((SELECT sum(source_size) FROM weighed)::DOUBLE - coalesce(sum(3.0 * source_size) OVER before, 0)::DOUBLE)
+    / ((SELECT sum(weight) FROM weighed) - coalesce(sum(weight) OVER before, 0)) AS share,
+    row_number() OVER (ORDER BY 3.0 * source_size / weight, place) AS turn
+  FROM weighed WINDOW before AS (ORDER BY 3.0 * source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT coalesce(arg_min(share, turn) FILTER (share * weight < 3.0 * source_size), 0) AS share FROM filled),
+targets AS (SELECT w.source, w.source_size, w.place, CASE WHEN l.share * w.weight < 3.0 * w.source_size THEN l.share * w.weight ELSE (3.0 * w.source_size)::DOUBLE END AS target
+  FROM weighed w, level l),
+laid AS (SELECT d.*, t.source_size, t.place, t.target,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS earlier
+  FROM sized d JOIN targets t ON t.source IS NOT DISTINCT FROM d.source),
+taken AS (SELECT *, CASE WHEN size = 0 THEN 0 ELSE floor(target / source_size)::INTEGER
+    + (earlier + size / 2.0::DOUBLE <= target - floor(target / source_size) * source_size)::INTEGER END AS copies,
+    least(1.0::DOUBLE, (earlier + size / 2.0::DOUBLE) / target) AS q FROM laid)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies,
+  CASE WHEN copies > 0 THEN round(CASE place % 3 WHEN 0 THEN 2.0::DOUBLE * q / (1.5::DOUBLE + sqrt(2.25::DOUBLE - 2.0::DOUBLE * q)) WHEN 1 THEN q
+    ELSE 2.0::DOUBLE * q / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2.0::DOUBLE * q)) END, 9) END AS position
+FROM taken""",
+    "op4_line_rules": rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, text, {_WORDS.format('text')} AS words FROM documents),
+base AS (SELECT rid, doc_id, source, text, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols FROM docs),
+split AS (SELECT rid, source, text, unnest(string_split(text, chr(10))) AS line FROM docs),
+lines AS (SELECT *, {_WORDS.format('line')} AS parts FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+named AS (SELECT rid, source, text, line, len(parts) AS n, {_LOWER.format("array_to_string(parts, ' ')")} AS name FROM lines),
+dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM docs GROUP BY source),
+spread AS (SELECT source, name, count(DISTINCT text) AS holders FROM named GROUP BY source, name),
+common AS (SELECT s.source, s.name FROM spread s JOIN hosts h ON h.source IS NOT DISTINCT FROM s.source
+  WHERE s.holders > {line_rules.LEAST} AND s.holders > {line_rules.SHARE} * h.texts),
+lost AS (SELECT l.rid, sum(l.n) AS n FROM named l JOIN common c ON c.source IS NOT DISTINCT FROM l.source AND c.name = l.name GROUP BY l.rid),
+heads AS (SELECT rid, unnest(range(1, len(words) - 1)) AS i, words FROM docs WHERE len(words) > 2),
+grams AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i], words[i + 1], words[i + 2]) AS n FROM heads),
+repeats AS (SELECT rid, count(DISTINCT spot) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS spot FROM grams WHERE n > 1) GROUP BY rid),
+found AS (SELECT b.doc_id, b.n_words, b.word_chars, b.n_symbols, CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(l.n, 0) AS BIGINT) AS lost_words
+  FROM base b LEFT JOIN dups d USING (rid) LEFT JOIN repeats r USING (rid) LEFT JOIN lost l USING (rid)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM found)
+SELECT *, NOT base_failed AND lost_words <= {line_rules.DEPLETED} * n_words AS kept FROM failed""",
+    "op5_cover_tree_top_k": """
+WITH fit AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM fit q JOIN fit c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10""",
+}
