@@ -136,7 +136,8 @@ def top_centres(rows: DataFrame, sample: int = SAMPLE, most: int = CENTRES) -> d
     found = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("dim", "v").collect()
     out = {}
     for dim in {r["dim"] for r in found}:
-        points = np.array([r["v"] for r in found if r["dim"] == dim]).reshape(-1, dim)
+        own = [r["v"] for r in found if r["dim"] == dim]
+        points = np.array(own, np.float64).reshape(len(own), dim)
         chosen, gaps = [0], np.linalg.norm(points - points[0], axis=1)
         while len(chosen) < most and gaps.max() > 0:
             chosen.append(int(gaps.argmax()))
@@ -217,7 +218,7 @@ def compare(pairs: DataFrame, k: int) -> DataFrame:
                     # A score below every query's kth one so far can't be among the results.
                     best.scores[:] = row["known"] - 1
                 search(queries, query_ids, points, ids, best)
-                real = best.ids != np.iinfo(np.int64).max
+                real = (best.ids != np.iinfo(np.int64).max) & (best.scores > -np.inf)
                 scores = np.clip(best.scores[real], -(2.0**63), np.longdouble(2) ** 63 - 1).astype(np.int64)
                 columns = [np.broadcast_to(query_ids[:, None], real.shape)[real], best.ids[real], scores]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
