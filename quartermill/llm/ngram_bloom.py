@@ -62,7 +62,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """(grams, hash, count, level) of all words (grams 1) and word pairs (grams 2) of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=8 << 20):
+        for block in blocks(batches, limit=4 << 20):
             stream, _ = tokens(Words(block.column("text"), lower=True))
             for grams, keys in ((1, stream), (2, pairs(stream))):
                 found, times = np.unique(keys, return_counts=True)

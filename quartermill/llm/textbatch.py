@@ -16,7 +16,7 @@ NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of ``column`` each; a longer text stands alone."""
     for batch in batches:
         sizes = batch.column(column).cast(pa.large_string()).fill_null("")
