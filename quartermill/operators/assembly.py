@@ -7,6 +7,7 @@ n_lines, lines``.  All order in a file follows from its keys.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quartermill.session import stage
 from quartermill.specs import fixed_values as fixed
 
 FILE = ("site_id", "year", "quarter")
@@ -15,7 +16,6 @@ PACKET = (*COMPANY, "worker_sk", "packet")
 # A worker belongs to one company, so these identify a packet.
 PACKET_ID = (*FILE, "worker_sk", "packet")
 DEFAULT_TAG = "QTRFILINGS"
-WORKER_BLOCKS = 4096
 
 
 def file_header(year: Column, quarter: Column, run_time: Column, tag: str = DEFAULT_TAG) -> Column:
@@ -50,20 +50,24 @@ def trailer(line_count: Column) -> Column:
     )
 
 
-def block_width(packets: DataFrame, blocks: int = WORKER_BLOCKS) -> int:
-    """Worker key span of one numbering block, from the key range."""
-    low, high = packets.agg(F.min("worker_sk"), F.max("worker_sk")).first()
-    return 1 if low is None else (high - low) // blocks + 1
+def numbering_blocks(packets: DataFrame) -> DataFrame:
+    """Keys and line counts of the packets, each with its ``block`` in key order.
+
+    Blocks are range partitions, so they hold about the same number of packets
+    however the keys are spread.  The table is written: range bounds come from a
+    sample, and a block must not change between two reads.
+    """
+    keys = packets.select(*PACKET, "n_lines").repartitionByRange(*COMPANY, "worker_sk", "packet")
+    return stage(keys.withColumn("block", F.spark_partition_id()), "numbering-blocks")
 
 
-def _starts(packets: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+def _starts(packets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Start line of every packet, and of every company, without a per-site sort.
 
-    Line counts are summed per block of workers (partial sums before the
-    shuffle), the few block totals are accumulated per file, and only inside a
-    block are packets accumulated one by one.
+    Line counts are summed per block, the few block totals are accumulated per
+    file, and only inside a block are packets accumulated one by one.
     """
-    counts = packets.select(*PACKET, "n_lines", F.floor(F.col("worker_sk") / width).alias("block"))
+    counts = numbering_blocks(packets)
     totals = counts.groupBy(*COMPANY, "block").agg(F.sum("n_lines").alias("n"))
     in_file = Window.partitionBy(*FILE).orderBy("branch_code", "company_code", "block")
     in_company = Window.partitionBy(*COMPANY).orderBy("block")
@@ -115,7 +119,7 @@ def numbered_lines(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) ->
 
     ``packets`` should be staged: counting reads only keys and line counts.
     """
-    packet_starts, companies = _starts(packets, block_width(packets))
+    packet_starts, companies = _starts(packets)
     body = packets.join(packet_starts, list(PACKET_ID)).select(
         *FILE, "start", F.posexplode("lines").alias("pos", "value")
     ).select(*FILE, (F.col("start") + F.col("pos") + 1).alias("line_no"), "value")

@@ -86,8 +86,8 @@ def summary(rows: DataFrame, worker_periods: DataFrame, specs: Specs) -> DataFra
         .agg(F.count("*").alias("total_workers"), F.count_if(~complete).alias("incomplete_workers"))
         .withColumn(
             "status",
-            F.when(F.col("incomplete_workers") == 0, "ALL WORKERS HAVE MANDATORY FIELDS").otherwise(
-                "SOME WORKERS MISSING MANDATORY FIELDS"
+            F.when(F.col("incomplete_workers") == 0, "COMPLETE").otherwise(
+                "INCOMPLETE"
             ),
         )
     )
@@ -119,8 +119,3 @@ def default_rows(rows: DataFrame, worker_periods: DataFrame, specs: Specs) -> Da
 
 def backfill(rows: DataFrame, worker_periods: DataFrame, specs: Specs) -> DataFrame:
     return rows.unionByName(default_rows(rows, worker_periods, specs))
-
-
-def mandatory_frame(spark, specs: Specs) -> DataFrame:
-    schema = pa.schema([("code", pa.string()), ("measure", pa.string()), ("tax_type", pa.string())])
-    return values_frame(spark, schema, [(c, m, t) for c, (m, t) in specs.mandatory().items()])

@@ -138,11 +138,6 @@ def join_profile_by_worker(rows: DataFrame, profile: DataFrame) -> DataFrame:
     ).withColumn("filing_status", F.expr(FILING_CODE))
 
 
-def tax_rows(snapshot: DataFrame, profile: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Latest tax rows with amounts, JSON amounts and profile values."""
-    return join_profile(with_amounts(latest_run(snapshot, hot)), profile)
-
-
 def canonical_types(rows: DataFrame, specs: Specs) -> DataFrame:
     """Base tax types become their employee or employer type."""
     pairs = specs.pair_frame(rows.sparkSession).withColumnRenamed("base_type", "tax_type")

@@ -7,6 +7,7 @@ are folded as text.  Shared parts are CTEs, assembled per query.
 
 from quartermill.operators import errors
 from quartermill.plans.registry import (
+    SKIPPED_SITE,
     AS_OF, FEDERAL_CODES, NON_REPORTING, REPORTING, RUN_TIME,
 )
 from quartermill.sources import sample_views
@@ -484,7 +485,7 @@ oracle("mandatory_coverage", "wperiods mand absent", """SELECT p.branch_code, p.
     count(*) - count(a.code) AS workers_with, count(a.code) AS workers_missing, count(a.code) = 0 AS passed
     FROM wperiods p CROSS JOIN mand m LEFT JOIN absent a ON a.worker_sk = p.worker_sk AND a.year = p.year AND a.quarter = p.quarter AND a.code = m.code GROUP BY 1, 2, 3, 4, 5, 6""")
 oracle("mandatory_summary", "wperiods absent", """SELECT branch_code, company_code, year, quarter, count(*) AS total_workers, count(*) FILTER (missing) AS incomplete_workers,
-    CASE WHEN count(*) FILTER (missing) = 0 THEN 'ALL WORKERS HAVE MANDATORY FIELDS' ELSE 'SOME WORKERS MISSING MANDATORY FIELDS' END AS status
+    CASE WHEN count(*) FILTER (missing) = 0 THEN 'COMPLETE' ELSE 'INCOMPLETE' END AS status
     FROM (SELECT p.*, EXISTS (SELECT 1 FROM absent a WHERE a.worker_sk = p.worker_sk AND a.year = p.year AND a.quarter = p.quarter) AS missing FROM wperiods p) GROUP BY 1, 2, 3, 4""")
 oracle("mandatory_backfill", "canon absent", """SELECT year, quarter, jurisdiction, tax_type, is_employer_tax, count(*) AS row_count, count(payroll_run_sk) AS real_rows,
     CAST(sum(qtd_amount) AS DECIMAL(28,2)) AS qtd_total, CAST(sum(ytd_amount) AS DECIMAL(28,2)) AS ytd_total
@@ -513,7 +514,8 @@ oracle("company_header", "wperiods", f"SELECT DISTINCT branch_code, company_code
 oracle("company_header_160", "wperiods", f"""SELECT DISTINCT branch_code, company_code, year, quarter,
     rpad('      ' || rpad(branch_code, 2, ' ') || rpad(company_code, 4, ' ') || '{fixed.COMPANY_SUFFIX}', 160, ' ') AS value FROM wperiods""")
 oracle("site_file", "whole", "SELECT * FROM whole")
-oracle("write_site_files", "whole", "SELECT value, site_id, year, quarter FROM whole")
+oracle("write_site_files", "whole", "SELECT * FROM whole")
+oracle("output_manifest", "whole", f"SELECT site_id, year, quarter, {_name} AS outbound_file_name, count(*) AS line_count, true AS gapless FROM whole GROUP BY ALL")
 cte("changes", "fx_queue fx_org whole", f"""SELECT q.batch_id, q.site_id, q.year, q.quarter, q.file_type,
     CASE WHEN q.hot THEN CASE WHEN n.n IS NOT NULL THEN 'GENERATED' ELSE 'FAILED' END ELSE q.status END AS status,
     CASE WHEN q.hot THEN n.n END AS record_count,
@@ -523,6 +525,9 @@ cte("changes", "fx_queue fx_org whole", f"""SELECT q.batch_id, q.site_id, q.year
     FROM (SELECT *, status = 'QUEUED' AND file_type = 'QUARTER' AS hot FROM fx_queue) q
     LEFT JOIN (SELECT site_id, year, quarter, count(*) AS n FROM whole GROUP BY ALL) n ON n.site_id = q.site_id AND n.year = q.year AND n.quarter = q.quarter""")
 oracle("status_update", "changes", "SELECT * FROM changes")
+_gone = f"site_id = '{SKIPPED_SITE}' AND record_count IS NOT NULL"
+oracle("status_update_with_skips", "changes", f"""SELECT * REPLACE (CASE WHEN {_gone} THEN 'SKIPPED' ELSE status END AS status, CASE WHEN NOT ({_gone}) THEN record_count END AS record_count,
+    CASE WHEN NOT ({_gone}) THEN outbound_file_name END AS outbound_file_name, CASE WHEN NOT ({_gone}) THEN object_key END AS object_key) FROM changes""")
 oracle("batch_summary", "changes", "SELECT status, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records FROM changes WHERE file_type = 'QUARTER' GROUP BY 1")
 
 # errors

@@ -472,24 +472,55 @@ def site_file(spark, sf):
     return site_files.site_file(_in(spark, sf), RUN_TIME)
 
 
-@query
-def write_site_files(spark, sf):
-    """The files written as text in the shared folder, and read back."""
-    staged = stage(site_files.packets(_in(spark, sf)), "packets")
+def _written(spark, sf, decisions=None) -> tuple[str, DataFrame]:
+    """The files written as text in the shared folder, and their manifest."""
+    inputs = _in(spark, sf)
+    staged = stage(site_files.packets(inputs, decisions=decisions), "packets")
     path = f"{shared_folder(spark)}/site-files-{uuid.uuid4().hex}"
     text_files.write_site_files(assembly.ordered_lines(staged, RUN_TIME), path)
-    return text_files.read_site_files(spark, path)
+    names = queue.output_names(queue.site_periods(inputs.queue), RUN_TIME)
+    return path, stage(text_files.manifest(spark, path, names), "manifest")
 
 
-def _results(spark, sf) -> DataFrame:
-    inputs = _in(spark, sf)
-    staged = stage(site_files.packets(inputs), "packets")
-    return site_files.results(staged, queue.site_periods(inputs.queue))
+@query
+def write_site_files(spark, sf):
+    """The written files read back, numbered by their manifest."""
+    return text_files.read_site_files(spark, *_written(spark, sf))
+
+
+@query
+def output_manifest(spark, sf):
+    """Per file: registered name, lines over all parts, and whether the parts follow each other without a gap."""
+    _, parts = _written(spark, sf)
+    return parts.groupBy(*assembly.FILE, "outbound_file_name").agg(
+        F.sum("line_count").alias("line_count"),
+        (F.max(F.col("first_line") + F.col("line_count")) - 1 == F.sum("line_count")).alias("gapless"),
+    )
 
 
 @query
 def status_update(spark, sf):
-    return queue.status_changes(_queue(spark, sf), _results(spark, sf), _org(spark, sf), RUN_TIME)
+    """The queue after a run; counts come from the written files."""
+    _, parts = _written(spark, sf)
+    results = site_files.results(site_files.written_sizes(parts), queue.site_periods(_queue(spark, sf)))
+    return queue.status_changes(_queue(spark, sf), results, _org(spark, sf), RUN_TIME)
+
+
+SKIPPED_SITE = "S003"
+
+
+@query
+def status_update_with_skips(spark, sf):
+    """The same where the whole output of one site's companies is skipped."""
+    decisions = _org(spark, sf).filter(F.col("site_id") == SKIPPED_SITE).selectExpr(
+        "organization_unit_sk AS company_error_sk", "1 AS rule_id", "'SKIP_COMPANY_OUTPUT' AS scope", "branch_code", "company_code",
+        "CAST(NULL AS BIGINT) AS worker_sk", "CAST(NULL AS STRING) AS jurisdiction", "CAST(NULL AS STRING) AS tax_type",
+        "CAST(array() AS ARRAY<STRING>) AS codes",
+    )
+    _, parts = _written(spark, sf, skips.PacketDecisions.fold(decisions))
+    periods = queue.site_periods(_queue(spark, sf))
+    results = site_files.results(site_files.written_sizes(parts), periods, site_files.files_with_workers(_in(spark, sf)))
+    return queue.status_changes(_queue(spark, sf), results, _org(spark, sf), RUN_TIME)
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from quartermill.operators import assembly, queue as queue_ops
 from quartermill.operators.sizing import WORKER_ROWS, hot_workers as find_hot, local_if_small
 from quartermill.plans import hot_workers
-from quartermill.plans.worker_lines import Inputs, in_periods, worker_lines_of
+from quartermill.plans.worker_lines import Inputs, in_periods, site_workers, worker_lines_of
 from quartermill.session import stage
 from quartermill.specs.compile import Specs, default_specs
 
@@ -47,19 +47,34 @@ def packets(
     return merged.unionByName(hot_workers.packets(inputs, periods, specs, decisions, hot))
 
 
-def site_file(inputs: Inputs, run_time: str, specs: Specs | None = None, decisions=None, **options) -> DataFrame:
+def site_file(
+    inputs: Inputs, run_time: str, specs: Specs | None = None, decisions=None, tag: str = assembly.DEFAULT_TAG, **options
+) -> DataFrame:
     """Numbered lines of all queued files."""
     staged = stage(packets(inputs, specs, decisions, **options), "packets")
-    return assembly.numbered_lines(staged, run_time)
+    return assembly.numbered_lines(staged, run_time, tag)
+
+
+def files_with_workers(inputs: Inputs) -> DataFrame:
+    """The queued (site, year, quarter) with any worker row, whatever decisions remove later."""
+    periods = local_if_small(queue_ops.site_periods(inputs.queue))
+    rows = in_periods(inputs.snapshot, periods).select("worker_sk", "year", "quarter").distinct()
+    people = site_workers(inputs, periods.select("site_id").distinct()).select("worker_sk", "site_id")
+    return rows.join(people, "worker_sk").select(*assembly.FILE).distinct().join(periods, list(assembly.FILE), "left_semi")
+
+
+def written_sizes(parts: DataFrame) -> DataFrame:
+    """Record count of every written file, from its manifest."""
+    return parts.groupBy(*assembly.FILE).agg(F.sum("line_count").alias("record_count"))
 
 
-def results(staged: DataFrame, periods: DataFrame, unskipped: DataFrame | None = None) -> DataFrame:
+def results(sizes: DataFrame, periods: DataFrame, unskipped: DataFrame | None = None) -> DataFrame:
     """Outcome per queued file: record count, or why there is none.
 
+    ``sizes``: the record count per file, of what was written (``written_sizes``).
     ``unskipped``: the (site, year, quarter) that have output before skip
     decisions; a file empty only after them counts as skipped.
     """
-    sizes = assembly.file_sizes(staged)
     out = periods.join(sizes, list(assembly.FILE), "left")
     if unskipped is None:
         return out.withColumn("skipped", F.lit(False))

@@ -56,5 +56,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_STAGED: list[str] = []
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Delete the tables that ``stage`` wrote in this process; call it when a job's results are stored."""
+    removed = 0
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed

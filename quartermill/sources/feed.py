@@ -2,30 +2,31 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_CODE = "STRUCT<code: STRING>"
-SCHEMA = f"taxCode {_CODE}, fieldCode {_CODE}, token {_CODE}"
+KEYS = ("taxCode", "fieldCode", "token")
 
 
-def parse_feed(lines: DataFrame, text: str = "value", order: str = "seq") -> DataFrame:
-    """JSON text rows with an order column -> ``seq, tax_code, field_code, token``."""
-    return lines.select(F.col(order).alias("seq"), F.from_json(text, SCHEMA).alias("item")).select(
-        "seq",
-        F.col("item.taxCode.code").alias("tax_code"),
-        F.col("item.fieldCode.code").alias("field_code"),
-        F.col("item.token.code").alias("token"),
-    )
+def _schema(keys: tuple[str, str, str]) -> str:
+    return ", ".join(f"`{key}` STRUCT<code: STRING>" for key in keys)
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
+def _columns(keys: tuple[str, str, str], at: str = "") -> list:
+    return [F.col(f"{at}`{key}`.code").alias(name) for key, name in zip(keys, ("tax_code", "field_code", "token"))]
+
+
+def parse_feed(lines: DataFrame, text: str = "value", order: str = "seq", keys: tuple[str, str, str] = KEYS) -> DataFrame:
+    """JSON text rows with an order column -> ``seq, tax_code, field_code, token``.
+
+    ``keys`` are the feed's names of the tax code, the field code and the token.
+    """
+    items = lines.select(F.col(order).alias("seq"), F.from_json(text, _schema(keys)).alias("item"))
+    return items.select("seq", *_columns(keys, "item."))
+
+
+def read_feed(spark: SparkSession, path: str, keys: tuple[str, str, str] = KEYS) -> DataFrame:
     """One JSON object per line, with its feed order in ``seq``.
 
     Rows without ``seq`` get the read order, which is the feed order only while
     the feed is a single file; a feed landed in parts must carry ``seq``.
     """
-    raw = spark.read.schema(f"seq BIGINT, {SCHEMA}").json(path)
-    return raw.select(
-        F.coalesce("seq", F.monotonically_increasing_id()).alias("seq"),
-        F.col("taxCode.code").alias("tax_code"),
-        F.col("fieldCode.code").alias("field_code"),
-        F.col("token.code").alias("token"),
-    )
+    raw = spark.read.schema(f"seq BIGINT, {_schema(keys)}").json(path)
+    return raw.select(F.coalesce("seq", F.monotonically_increasing_id()).alias("seq"), *_columns(keys))

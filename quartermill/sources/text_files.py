@@ -1,6 +1,6 @@
 """Ordered text sink: one folder per site and period, parts in line order."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quartermill.operators.assembly import FILE
 from quartermill.schemas import require_columns
@@ -28,6 +28,33 @@ def write_site_files(lines: DataFrame, path: str, pad_to: int | None = None) ->
     )
 
 
-def read_site_files(spark, path: str) -> DataFrame:
+def _read(spark: SparkSession, path: str) -> DataFrame:
     schema = "value string, site_id string, year int, quarter int"
-    return spark.read.schema(schema).text(path)
+    found = spark.read.schema(schema).text(path)
+    return found.select(*FILE, "value", F.col("_metadata.file_path").alias("part_path"), F.col("_metadata.file_block_start").alias("start"))
+
+
+def manifest(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
+    """The written parts of every file, in order, under the file's registered name.
+
+    ``names``: site, year, quarter, outbound_file_name.  The parts of a file,
+    joined by ``part_no``, are the file: ``first_line`` and ``line_count`` tell
+    which lines a part holds.
+    """
+    parts = _read(spark, path).groupBy(*FILE, "part_path").agg(F.count("*").alias("line_count"))
+    in_file = Window.partitionBy(*FILE).orderBy("part_path")
+    before = F.sum("line_count").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        parts.withColumn("part_no", F.row_number().over(in_file))
+        .withColumn("first_line", F.lit(1) + F.coalesce(before, F.lit(0)))
+        .join(names.select(*FILE, "outbound_file_name"), list(FILE), "left")
+        .select(*FILE, "outbound_file_name", "part_no", "part_path", "first_line", "line_count")
+    )
+
+
+def read_site_files(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
+    """All lines of the written files with their line number, which the manifest ``parts`` gives."""
+    in_part = Window.partitionBy("part_path").orderBy("start", "place")
+    lines = _read(spark, path).withColumn("place", F.monotonically_increasing_id())
+    lines = lines.withColumn("line", F.row_number().over(in_part) - 1).select("part_path", "line", "value")
+    return lines.join(parts, "part_path").select(*FILE, (F.col("first_line") + F.col("line")).alias("line_no"), "value")

@@ -175,17 +175,17 @@ QUEUE_FILE_TYPE = "QUARTER"
 # --- Fixed values: error category -> area, scope, rationale ------------------
 CATEGORY_CLASSES = (
     ("COMPANY", "PERIODIC", "COMPANY",
-     "Meeting rule: Company category is treated as Periodic/payment-related."),
+     "A company error concerns deposits, so it belongs to periodic work."),
     ("WORKER_PROFILE", "QUARTER", "WORKER",
-     "Meeting rule: Worker Profile category is treated as Quarter/filing-related."),
+     "A worker profile error shows in the quarterly file."),
     ("PAYROLL", "QUARTER", "WORKER",
-     "Meeting rule: Payroll & Tax category is treated as Quarter/filing-related."),
+     "A payroll or tax error shows in the quarterly file."),
     ("PAYROLL_AND_TAX", "QUARTER", "WORKER",
-     "Meeting rule: Payroll & Tax category is treated as Quarter/filing-related."),
+     "A payroll or tax error shows in the quarterly file."),
     ("PAYROLL_TAX", "QUARTER", "WORKER",
-     "Meeting rule: Payroll & Tax category is treated as Quarter/filing-related."),
+     "A payroll or tax error shows in the quarterly file."),
 )
-UNCLASSIFIED_RATIONALE = "No confirmed meeting rule exists for this category."
+UNCLASSIFIED_RATIONALE = "Nothing assigns this category to an area."
 TRUE_WORDS = ("true", "t", "1", "y", "yes")
 
 # --- Fixed values: error catalog

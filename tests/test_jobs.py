@@ -4,13 +4,14 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from quartermill import schemas
 from quartermill.operators import assembly, errors, queue, skips
 from quartermill.operators.sizing import hot_workers as find_hot
 from quartermill.plans import hot_workers, site_files
 from quartermill.plans.worker_lines import Inputs
-from quartermill.session import stage
+from quartermill.session import remove_staged, stage
 from quartermill.sources import sample_views, text_files
 from quartermill.specs.compile import Specs, default_specs
 
@@ -125,10 +126,11 @@ def test_company_output_skip_ends_as_skipped(spark, company, short_specs):
     after = stage(site_files.packets(company, short_specs, decision), "packets")
     assert after.count() == 0
     periods = queue.site_periods(company.queue)
-    results = site_files.results(after, periods, before)
+    sizes = assembly.file_sizes(after)
+    results = site_files.results(sizes, periods, before)
     changes = queue.status_changes(company.queue, results, company.organization, RUN_TIME)
     assert changes.first()["status"] == "SKIPPED"
-    failed = queue.status_changes(company.queue, site_files.results(after, periods), company.organization, RUN_TIME).first()
+    failed = queue.status_changes(company.queue, site_files.results(sizes, periods), company.organization, RUN_TIME).first()
     assert (failed["status"], failed["error_message"]) == ("FAILED", "No worker data found for site: S059")
 
 
@@ -191,11 +193,20 @@ def test_hot_line_rows_are_the_same(spark, sf_dir, monkeypatch):
     assert split == usual
 
 
-def test_numbering_does_not_depend_on_block_width(spark, sf_dir, monkeypatch):
-    staged = stage(site_files.packets(sample_views.inputs(spark, sf_dir)), "packets")
-    wide = lines(assembly.numbered_lines(staged, RUN_TIME))
-    monkeypatch.setattr(assembly, "block_width", lambda packets: 3)
-    assert lines(assembly.numbered_lines(staged, RUN_TIME)) == wide
+def test_an_outlier_key_does_not_collapse_the_numbering_blocks(spark):
+    keys = spark.range(20_000).selectExpr(
+        "'S' AS site_id", "1995 AS year", "1 AS quarter", "'B' AS branch_code", "'C' AS company_code",
+        "CASE WHEN id = 19999 THEN 4611686018427387904L ELSE id END AS worker_sk", "0L AS packet", "2 AS n_lines", "array('x', 'y') AS lines",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in assembly.numbering_blocks(keys).groupBy("block").count().collect()]
+        numbered = assembly.numbered_lines(stage(keys, "packets"), RUN_TIME)
+        got = numbered.agg(F.min("line_no"), F.max("line_no"), F.count_distinct("line_no")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 20_000 / 4
+    assert tuple(got) == (1, 40_003, 40_003)
 
 
 def test_sink_writes_parts_in_line_order(spark, sf_dir, tmp_path):
@@ -216,3 +227,13 @@ def test_sink_writes_parts_in_line_order(spark, sf_dir, tmp_path):
 def test_sink_refuses_lines_without_value(spark, tmp_path):
     with pytest.raises(ValueError, match="value"):
         text_files.write_site_files(spark.range(1), str(tmp_path))
+
+
+def test_staged_tables_can_be_removed(spark):
+    rows = stage(spark.range(10), "rows")
+    path = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    import os
+
+    assert os.path.isdir(path)
+    assert remove_staged(spark) >= 1 and not os.path.isdir(path)
+    assert remove_staged(spark) == 0
