@@ -178,7 +178,7 @@ def test_hot_groups_give_the_same_fields(spark, sf_dir):
     hot = find_hot(inputs.snapshot, row_limit=66)
 
     def fields(hot):
-        rows = taxes.canonical_types(taxes.tax_rows(inputs.snapshot, inputs.profile, hot), base())
+        rows = taxes.canonical_types(taxes.join_profile(taxes.with_amounts(taxes.latest_run(inputs.snapshot, hot)), inputs.profile), base())
         arrays = taxes.tax_field_arrays(rows, base(), registry.TAX_ROW)
         return sorted(map(tuple, groups.ordered_fields(arrays, hot, chunk_rows=60).collect()), key=repr)
 
