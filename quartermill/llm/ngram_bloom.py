@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +13,8 @@ from quartermill.llm.common import joined, placed, remainder
 from quartermill.llm.textbatch import Words, blocks, mixed
 from quartermill.session import stage
 
-#: The end token; no word holds a line feed.
-END = np.uint64(xxhash.xxh64_intdigest(b"\n"))
+#: Stands for the end token among word hashes.
+END = np.uint64(0x2545F4914F6CDD1D)
 #: A count c is kept as level 1 + floor(log(c) / log(BASE)).
 BASE = 1.5
 #: Bits for each inserted (n-gram, level) and the probes for one.
@@ -85,19 +84,19 @@ class Filter:
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which a key was inserted, 0 if at none; errs only upwards, rarely."""
         found = np.zeros(len(keys), np.int64)
-        bits = np.uint64(self.sections.shape[1] * 8)
+        size = self.sections.shape[1]
+        flat, mask = self.sections.reshape(-1), np.uint64(size * 8 - 1)
         active, level = np.arange(len(keys)), 1
+        start = section_of(keys, len(self.sections)) * size
         while len(active) and level < 127:
-            keep = active
-            section = section_of(keys[active], len(self.sections))
-            first, step = draws(keys[active], level, bits)
+            at, step = draws(keys, level, mask)
             for probe in range(PROBES):
-                at = (first + np.uint64(probe) * step) % bits
-                hit = (self.sections[section, (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-                hit = hit.astype(bool)
-                keep, section, first, step = keep[hit], section[hit], first[hit], step[hit]
-            found[keep] = level
-            active, level = keep, level + 1
+                byte = flat[start + (at >> np.uint64(3)).view(np.int64)]
+                hit = np.flatnonzero(byte >> (at & np.uint64(7)).astype(np.uint8) & 1)
+                active, keys, start, step = active[hit], keys[hit], start[hit], step[hit]
+                at = (at[hit] + step) & mask
+            found[active] = level
+            level += 1
         return found
 
 
@@ -105,11 +104,11 @@ def section_of(keys: np.ndarray, sections: int) -> np.ndarray:
     return (mixed(keys ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(sections)).astype(np.int64)
 
 
-def draws(keys: np.ndarray, level: int, bits: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """First bit and step between the bits of a key at a level."""
+def draws(keys: np.ndarray, level: int, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """First bit and (odd) step between the bits of a key at a level; a section has ``mask`` + 1 bits, a power of two."""
     with np.errstate(over="ignore"):
         hashed = mixed(keys + np.uint64((level * 0xD1B54A32D192ED03) & (1 << 64) - 1))
-    return (hashed >> np.uint64(32)) % bits, (hashed & np.uint64(0xFFFFFFFF)) % (bits - np.uint64(1)) + np.uint64(1)
+    return hashed >> np.uint64(32) & mask, hashed & mask | np.uint64(1)
 
 
 def build(counts: DataFrame, histogram: list, max_bytes: int = MAX_FILTER_BYTES) -> Filter:
@@ -126,7 +125,7 @@ def build(counts: DataFrame, histogram: list, max_bytes: int = MAX_FILTER_BYTES)
         while entries > room and cut[grams] <= top:
             entries -= sum(r["level"] * r["n"] for r in histogram if (r["grams"], r["level"]) == (grams, cut[grams]))
             cut[grams] += 1
-    size = min(SECTION_BYTES, max(64, entries * BITS_PER_ENTRY // 8))
+    size = min(SECTION_BYTES, 1 << max(6, (entries * BITS_PER_ENTRY // 8).bit_length()))
     sections = max(1, math.ceil(entries * BITS_PER_ENTRY / 8 / size))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,9 +140,10 @@ def build(counts: DataFrame, histogram: list, max_bytes: int = MAX_FILTER_BYTES)
             keys, levels = batch.column("hash").to_numpy().view(np.uint64), batch.column("level").to_numpy()
             own = batch.column("section")[0].as_py()
             for level in range(1, int(levels.max(initial=0)) + 1):
-                first, step = draws(keys[levels >= level], level, np.uint64(len(bits)))
-                for probe in range(PROBES):
-                    bits[((first + np.uint64(probe) * step) % np.uint64(len(bits))).astype(np.int64)] = True
+                at, step = draws(keys[levels >= level], level, np.uint64(len(bits) - 1))
+                for _ in range(PROBES):
+                    bits[at.view(np.int64)] = True
+                    at = (at + step) & np.uint64(len(bits) - 1)
         packed = np.packbits(bits, bitorder="little").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([packed], pa.binary())], ["section", "bits"])
 
@@ -208,8 +208,7 @@ def scored(
             c = np.where(known, word_counts[at] if len(words) else 0, 0)
             one = weight[levels(found)]
             single = (one + 1.0) / (total + distinct + 1.0)
-            pair_keys, pair_where = np.unique(pairs(stream), return_inverse=True)
-            two = weight[levels(pair_keys)][pair_where]
+            two = weight[levels(pairs(stream))]
             last = np.concatenate([[END], stream[:-1]])
             end_count = one[np.searchsorted(found, END)] if len(found) else 0.0
             history = np.concatenate([[end_count], one[where[:-1]]]) if len(stream) else one
