@@ -21,6 +21,7 @@ def word_count(text: str) -> Column:
 def with_targets(sources: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
     """Adds ``rank`` (0, 1, ... by source, null last), ``weight`` and ``target`` to (source, source_size).
 
+    The rank needs one order over the distinct sources, never over documents.
     Targets share the sum of all sizes by weight. Sources over ``most`` times
     their size stop there and the excess is shared again, until none is above.
     Each turn aggregates the source table once.

@@ -21,7 +21,7 @@ CATEGORIES = {
 }
 LAST = "toxic"
 #: Words and word beginnings of PREFIX bytes are hashed to this many features.
-FEATURES, PREFIX = 1 << 20, 5
+FEATURES, PREFIX = 1 << 20, 8
 #: Bound of the labelled sample, and of the features that may carry weight.
 SAMPLE_DOCS, MOST_FEATURES = 8_000, 2_000
 #: A feature must be in so many toxic documents, and so surely more often there.
