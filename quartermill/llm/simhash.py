@@ -16,6 +16,8 @@ from quartermill.session import stage
 BITS = 64
 #: A bucket with more fingerprints than this is searched by longer keys.
 BUCKET = 256
+#: Rows of a group in order: the first one stands for it.
+ROW_ORDER = "struct(doc_id is null as no_id, doc_id, text_key)"
 
 
 def fingerprints_of(texts: pa.Array, words: int = 3, seed: int = 42) -> np.ndarray:
@@ -147,9 +149,13 @@ def near_groups(docs: DataFrame, distance: int = 3, words: int = 3, segments: in
     Empty table: no rows. Other columns are ignored.
     """
     rows = stage(fingerprint_rows(docs, words), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    nodes = stage(rows.groupBy("fp").agg(F.min(order).alias("least")), "nodes")
-    roots = components(near_links(nodes.select("fp"), distance, segments, bucket), "a", "b")
+    nodes = stage(rows.groupBy("fp").agg(F.min(F.expr(ROW_ORDER)).alias("least")), "nodes")
+    return grouped(rows, nodes, near_links(nodes.select("fp"), distance, segments, bucket))
+
+
+def grouped(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``near_groups`` of ``rows`` (doc_id, text_key, fp) whose nodes (fp, least row) hang together by ``links`` (a, b)."""
+    roots = components(links, "a", "b")
     linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     heads = linked.groupBy("root").agg(F.min("least").alias("head"))
     labels = linked.join(heads, "root").select("fp", "head")
@@ -172,7 +178,12 @@ def keep_one(docs: DataFrame, distance: int = 3) -> DataFrame:
     The row that stands for its group stays. Only keys of the other rows are
     joined; a row repeated with equal doc_id and text stays once.
     """
-    groups = stage(near_groups(docs, distance), "near-groups")
+    return first_rows(docs, near_groups(docs, distance))
+
+
+def first_rows(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand for their group in ``groups`` (as of ``near_groups``)."""
+    groups = stage(groups, "near-groups")
     lost = groups.where("not first_row").select(F.col("doc_id").alias("lost_id"), F.col("text_key").alias("lost_key")).distinct()
     key = F.xxhash64(docs["text"].cast("string"))
     kept = docs.join(lost, docs["doc_id"].eqNullSafe(lost["lost_id"]) & (key == lost["lost_key"]), "left_anti")
