@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermill.llm.common import block_count, hash_block, joined, placed, running_total
@@ -15,6 +16,8 @@ from quartermill.llm.textbatch import blocks
 from quartermill.session import stage
 
 WINDOW, END = 2048, 1
+#: An order has the part in its upper and the row in its lower bits; shares of the sources are held in so many spans of it.
+ROW_BITS, SPANS = 33, 64
 #: A queue sends its documents in packets of at most this many ids.
 PACKET = 256
 #: The only special string of the vocabulary; texts that hold it take the slower encoder, which gives it its id.
@@ -60,19 +63,33 @@ def encode(texts: list[str], paths: tuple[str, str], loaded: dict | None = None)
     return out
 
 
-def tokenized(docs: DataFrame, paths: tuple[str, str], end: int = END) -> DataFrame:
-    """doc_id, source, n (ids with the end) and ids (compressed, two bytes each) of every row."""
+def tokenized(docs: DataFrame, paths: tuple[str, str], end: int = END, order: Column | None = None) -> DataFrame:
+    """doc_id, source, rank (the value of ``order``), n (ids with the end) and ids (compressed, two bytes each) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded: dict = {}
         for block in blocks(batches):
             ids = [np.array([*x, end], "<u2") for x in encode(block.column("text").fill_null("").to_pylist(), paths, loaded)]
             packed = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in ids]
-            columns = [block.column("doc_id"), block.column("source"), pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "n", "ids"])
+            columns = [*[block.column(c) for c in ("doc_id", "source", "rank")], pa.array([len(x) for x in ids], pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "rank", "n", "ids"])
 
-    rows = docs.select(*[F.col(c).cast(t).alias(c) for c, t in (("doc_id", "long"), ("source", "string"), ("text", "string"))])
-    return rows.mapInArrow(run, "doc_id long, source string, n long, ids binary")
+    rank = (F.lit(None) if order is None else order).cast("long").alias("rank")
+    rows = docs.select(*[F.col(c).cast(t).alias(c) for c, t in (("doc_id", "long"), ("source", "string"), ("text", "string"))], rank)
+    return rows.mapInArrow(run, "doc_id long, source string, rank long, n long, ids binary")
+
+
+def row_order(docs: DataFrame) -> Column:
+    """The order of the rows as written: number of the part file, then row in it; without files the order of the partitions."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index").schema
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    part = F.regexp_extract("_metadata.file_path", r"part-(\d+)[^/]*$", 1)
+    # Files that a task cuts its part into are numbered at the end of their names.
+    file = F.coalesce(F.regexp_extract("_metadata.file_path", r"-c(\d+)[^/]*$", 1).try_cast("long"), F.lit(0))
+    part = F.coalesce(part.try_cast("long"), F.lit(0))
+    return F.shiftleft(part * 1024 + file, ROW_BITS) + F.col("_metadata.row_index")
 
 
 def scheduled(queue: DataFrame, weights: dict | None = None, window: int = WINDOW, packet: int = PACKET) -> DataFrame:
@@ -98,7 +115,7 @@ def scheduled(queue: DataFrame, weights: dict | None = None, window: int = WINDO
         pairs = [F.when(F.col("source").eqNullSafe(F.lit(s)), F.lit(float(w))) for s, w in weights.items()]
         totals = totals.withColumn("weight", F.coalesce(*pairs, F.lit(1.0)))
     totals = stage(totals, "queues")
-    size = queue.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("ids"), F.sum(F.ceil(F.col("n") / packet)).alias("packets")).first()
+    size = _size(queue, packet)
     weight = totals.agg(F.sum("weight")).first()[0] or 1.0
     hashed = F.xxhash64("place")
     rows = queue.withColumn("hash", hashed).withColumn("block", hash_block(F.col("hash"), block_count(size["rows"])))
@@ -109,6 +126,44 @@ def scheduled(queue: DataFrame, weights: dict | None = None, window: int = WINDO
     rows = rows.withColumn("length", F.least(F.lit(packet).cast("long"), F.col("n") - F.col("start")))
     end = (F.col("queue_at") + F.col("start") + F.col("length")).cast("double")
     rows = rows.withColumn("round", F.ceil(end / (F.lit(float(window)) * F.col("weight") / F.lit(float(weight)))).cast("long"))
+    return _laid(rows, size, window)
+
+
+def in_order(queue: DataFrame, window: int = WINDOW, packet: int = PACKET, spans: int = SPANS) -> DataFrame:
+    """``scheduled`` for a ``queue`` with ``rank``, the order that the documents come in (no two alike).
+
+    The ids are cut into ``spans`` equal spans in that order, a document
+    belongs to the span that it begins in. A source's credit in the rounds of a
+    span is its share of the span's ids, and its queue is in the order too. So
+    shares that move along the order move along the windows.
+    """
+    size = _size(queue, packet)
+    bits = max(1, block_count(size["rows"]).bit_length())
+    rows = queue.withColumn("block", F.shiftright("rank", bits))
+    rows = running_total(rows, [], "block", ["rank"], "n", "all_at")
+    rows = rows.withColumn("part", F.floor(F.col("all_at") / max(1.0, (size["ids"] or 1) / spans)).cast("long"))
+    rows = stage(rows.select("place", "source", "n", "rank", "block", "part"), "queue-spans")
+    shares = rows.groupBy("part", "source").agg(F.sum("n").alias("part_source"))
+    parts = rows.groupBy("part").agg(F.sum("n").alias("part_ids"))
+    # At most ``spans`` rows.
+    parts = parts.withColumn("part_at", F.coalesce(F.sum("part_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    shares = stage(joined(shares, parts, ["part"]), "span-shares")
+    rows = running_total(rows, ["source", "part"], "block", ["rank"], "n", "queue_at")
+    rows = joined(rows.drop("block", "rank"), shares, ["part", "source"])
+    packets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(packet).cast("long")))
+    rows = rows.withColumn("start", packets).withColumn("length", F.least(F.lit(packet).cast("long"), F.col("n") - F.col("start")))
+    end = (F.col("queue_at") + F.col("start") + F.col("length")) / F.col("part_source")
+    rows = rows.withColumn("round", F.ceil((F.col("part_at") + end * F.col("part_ids")) / window).cast("long"))
+    # Where spans meet in a round, the earlier one's packets of a source come first.
+    return _laid(rows.withColumn("queue_at", F.col("part_at") + F.col("queue_at")), size, window)
+
+
+def _size(queue: DataFrame, packet: int):
+    return queue.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("ids"), F.sum(F.ceil(F.col("n") / packet)).alias("packets")).first()
+
+
+def _laid(rows: DataFrame, size, window: int) -> DataFrame:
+    """Pieces of the packets (place, source, start, length, round, queue_at) when all rounds are laid end to end."""
     # With weights the last rounds hold few ids; rounds are cut into spans by the ids they can hold.
     spans = block_count(size["packets"] or 1)
     step = max(1.0, (size["ids"] or 1) / window / spans)
@@ -151,6 +206,7 @@ def packed(
     end: int = END,
     paths: tuple[str, str] | None = None,
     with_ids: bool = True,
+    order: Column | None = None,
 ) -> DataFrame:
     """The pieces of all documents in sequences of ``window`` ids: PIECES, ``ids`` null if not asked for.
 
@@ -163,8 +219,11 @@ def packed(
     Repeated rows are packed each. Empty table: no rows. Other columns are
     ignored.
     """
-    rows = placed(tokenized(docs, paths or vocabulary(), end), "ids")
-    pieces = scheduled(rows.select("place", "source", "n"), weights, window, packet)
+    rows = placed(tokenized(docs, paths or vocabulary(), end, order), "ids")
+    if order is None:
+        pieces = scheduled(rows.select("place", "source", "n"), weights, window, packet)
+    else:
+        pieces = in_order(rows.select("place", "source", "n", "rank"), window, packet)
     pieces = pieces.groupBy("place").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
     rows = rows.select("place", "doc_id", "source", "n", "ids").join(pieces, "place").drop("place")
 

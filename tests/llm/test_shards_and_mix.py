@@ -188,3 +188,26 @@ def test_given_weights_hold_while_all_queues_last(spark):
     early = [p for p in pieces if p["sequence_id"] < 10]
     share = sum(p["length"] for p in early if p["source"] == "a") / sum(p["length"] for p in early)
     assert share == pytest.approx(0.75, abs=0.03)
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_packing_follows_the_curriculum(spark, written, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, f"alpha beta gamma {i} " * (20 + i % 50), f"s{i % 3}") for i in range(1500)]
+    mixed = corpus_pipeline.mix(spark, plain(spark, rows), "")
+    if written:
+        mixed.write.parquet(str(tmp_path / "mix"))
+        mixed = spark.read.parquet(str(tmp_path / "mix"))
+    else:
+        mixed = spark.createDataFrame(mixed.toArrow())
+    pieces = corpus_pipeline.pack(spark, mixed, "").select("source", "sequence_id", "length").collect()
+    last = max(p["sequence_id"] for p in pieces)
+    assert last > 60
+    halves = [defaultdict(int), defaultdict(int)]
+    for p in pieces:
+        halves[2 * p["sequence_id"] > last][p["source"]] += p["length"]
+    share = {s: halves[0][s] / (halves[0][s] + halves[1][s]) for s in ("s0", "s1", "s2")}
+    # The first source fades (5/8 of it in the first half of the time), the third grows.
+    assert share["s0"] > share["s1"] + 0.05 > share["s2"] + 0.1
+    check_packing(mixed, 512, packet=32, order=packing.row_order(mixed))
