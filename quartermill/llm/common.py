@@ -82,6 +82,17 @@ def placed(df: DataFrame, name: str) -> DataFrame:
     return stage(df.withColumn("place", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()), name)
 
 
+def one_row_each(rows: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (with text) joined to the few ``chosen`` ones by ``keys``: the row of the least text hash of each key.
+
+    The least hashes come from an aggregate on keys, so only equal texts of a
+    key are left for the last step.
+    """
+    found = rows.join(F.broadcast(chosen), keys).withColumn("text_hash", F.xxhash64("text"))
+    least = found.groupBy(*keys).agg(F.min("text_hash").alias("text_hash"))
+    return found.join(F.broadcast(least), [*keys, "text_hash"]).dropDuplicates(keys).drop("text_hash")
+
+
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """Connected components of long nodes: (node, root), root the smallest node; only linked nodes occur.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermill.llm.common import remainder
+from quartermill.llm.common import one_row_each, remainder
 from quartermill.llm.textbatch import blocks
 
 #: A chunk is two neighbouring halves, so chunks overlap by half.
@@ -160,8 +160,9 @@ def fit(chunks: list[list[bytes]], labels: np.ndarray, epochs: int = EPOCHS, see
 def sampled(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS, chunks: int = SAMPLE_CHUNKS):
     """(chunks, label) of at most ``most`` labelled documents, chosen by a hash of the id.
 
-    Of each document ``chunks`` chunks are taken, evenly over all of it. Only
-    chosen ids and chunks reach the driver.
+    Of each document ``chunks`` chunks are taken, evenly over all of it; of
+    rows that share an id one counts, that of the least text hash. Only chosen
+    ids and chunks reach the driver.
     """
     chosen = labels.where("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("quality"))
     chosen = chosen.groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -179,7 +180,7 @@ def sampled(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS, chunks:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "chunks"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    rows = one_row_each(rows, chosen, ["doc_id"]).select("doc_id", "quality", "text")
     found = rows.mapInArrow(run, "doc_id long, quality int, chunks array<binary>").toArrow()
     order = np.lexsort([found["doc_id"].to_numpy()]) if found.num_rows else []
     parts, marks = found["chunks"].to_pylist(), found["quality"].to_numpy()

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.llm.common import remainder
+from quartermill.llm.common import one_row_each, remainder
 from quartermill.llm.textbatch import NOT_LETTER, Words, blocks
 
 #: Categories in the order of the chain, with seed words. A labelled toxic
@@ -120,7 +120,7 @@ def fit(rows: list[tuple[int, np.ndarray, int]], categories: dict = CATEGORIES)
 def sampled(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> list[tuple[int, np.ndarray, int]]:
     """(fold, feature ids, toxic) of at most ``most`` labelled documents, chosen by a hash of the id.
 
-    Whole texts are read; a row that reaches the driver holds at most FEATURES numbers.
+    Of rows that share an id one counts, that of the least text hash. Whole texts are read; a row that reaches the driver holds at most FEATURES numbers.
     """
     chosen = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = chosen.withColumn("fold", remainder("doc_id", FOLDS)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -135,7 +135,7 @@ def sampled(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> list
             yield pa.RecordBatch.from_arrays([*columns, lists], ["doc_id", "fold", "toxic", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("fold").cast("long").alias("fold"), "toxic", "text")
+    rows = one_row_each(rows, chosen, ["doc_id"]).select("doc_id", F.col("fold").cast("long").alias("fold"), "toxic", "text")
     found = rows.mapInArrow(run, "doc_id long, fold long, toxic int, ids array<int>").toArrow().combine_chunks()
     lists = [np.asarray(x.values) for x in found["ids"]]
     folds, marks, names = (found[c].to_pylist() for c in ("fold", "toxic", "doc_id"))

@@ -259,3 +259,18 @@ def test_pipeline_of_hard_rows(spark):
         assert out.columns == docs.columns
         out.count()
     assert corpus_pipeline.STAGES[-1][1](spark, empty(spark), SMALL).count() == 0
+
+
+# --- samples ------------------------------------------------------------------------
+
+
+def test_samples_hold_one_row_of_a_repeated_id(spark):
+    rows = [(1, f"text number {n // 2} of a repeated id", "s") for n in range(60)] + [(2, "another one", "s"), (3, None, "s"), (3, None, "s")]
+    docs = plain(spark, rows)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    chunks, marks = quality_cnn.sampled(docs, labels)
+    assert len(chunks) == 3 and marks.tolist() == [1, 0, 1]
+    assert chunks == quality_cnn.sampled(docs.repartition(7), labels)[0]
+    assert [mark for _, _, mark in toxicity.sampled(docs, labels)] == [0, 1, 0]
+    counts = langid.sample_counts(docs)["en"]
+    assert counts[b"repeated"] == 1 and counts[b"another"] == 1
