@@ -122,13 +122,20 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
     return computed
 
 
-def vectors(df: DataFrame, scale: int = 1024) -> DataFrame:
-    """vec_id, v (floor(scale * x) of every component) and dim, of the rows that take part; one row an id."""
+def vectors(df: DataFrame, scale: int = 1024, copies: int | None = None) -> DataFrame:
+    """vec_id, v (floor(scale * x) of every component) and dim, of the rows that take part.
+
+    One row an id, or every row if ``copies`` is given: of rows with equal id
+    and vector at most so many, for no more of them can be among the best.
+    """
     x = F.col("embedding")
     whole = F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")).cast("double"))
     unfit = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     rows = df.where(F.col("vec_id").isNotNull() & x.isNotNull()).where(~unfit).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    if copies is None:
+        return rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    rows = rows.groupBy("vec_id", "v").agg(F.least(F.count(F.lit(1)), F.lit(copies)).alias("n"))
+    return rows.select("vec_id", "v", F.size("v").alias("dim"), F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("n")).drop("n")
 
 
 def top_centres(rows: DataFrame, sample: int = SAMPLE, most: int = CENTRES) -> dict[int, np.ndarray]:
@@ -176,12 +183,12 @@ def in_cells(rows: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
 def in_parts(rows: DataFrame, size: int = PART) -> DataFrame:
     """One row for each part of a cell: dim, cell, part, n, ids, matrix, centre, radius.
 
-    A cell is cut into parts of about ``size`` rows by a hash of the id, so a
-    cell of equal vectors is cut as well.
+    A cell is cut into parts of about ``size`` rows by a hash of id and vector,
+    so a cell of equal vectors or of one id is cut as well.
     """
     parts = rows.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
     rows = joined(rows, parts, ["dim", "cell"])
-    rows = rows.withColumn("part", F.expr("pmod(xxhash64(vec_id), parts)").cast("int")).select("dim", "cell", "part", "vec_id", "v")
+    rows = rows.withColumn("part", F.expr("pmod(xxhash64(vec_id, v), parts)").cast("int")).select("dim", "cell", "part", "vec_id", "v")
 
     def gather(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(group))
@@ -226,7 +233,7 @@ def compare(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
 
 
-def top_k(df: DataFrame, is_query: Column, k: int = K, part: int = PART) -> DataFrame:
+def top_k(df: DataFrame, is_query: Column, k: int = K, part: int = PART, every_row: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of every query, ties to smaller ids.
 
     Rows are dealt to the cells of a top tree level whose centres come from a
@@ -236,11 +243,12 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, part: int = PART) -> Data
     radii, lies below. The pairs left are searched by dual trees.
 
     Null ids, null vectors and vectors that hold null or non-finite components
-    take no part. Of several rows with one id the least vector counts. Vectors
-    of different length never meet; of length 0 all scores are 0. Fewer than k
+    take no part. Of several rows with one id the least vector counts, or
+    with ``every_row`` each: candidates are all rows of other ids, and the best
+    of all rows of a query's id are ranked together. Vectors of different length never meet; of length 0 all scores are 0. Fewer than k
     candidates: all of them. Empty table: no rows. Other columns are ignored.
     """
-    rows = vectors(df)
+    rows = vectors(df, copies=k if every_row else None)
     rows = stage(in_cells(rows, top_centres(rows)), "vectors")
     parts = stage(in_parts(rows, part), "candidate-parts")
     queries = in_parts(rows.where(is_query), part // 2)

@@ -55,7 +55,7 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, every_row=True)
 
 
 @query

@@ -72,3 +72,18 @@ def test_tree_covers_its_points():
                 check(child)
 
     check(cover_tree.build(points))
+
+
+def test_query_equals_its_sql_on_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    from quartermill.llm.queries import ORACLES, QUERIES
+
+    rng = np.random.default_rng(7)
+    rows = [(int(i), rng.normal(0, 1, 4).astype(np.float32).tolist(), 0, 1, 2) for i in rng.integers(0, 250, 900)]
+    rows += [(5, [4.0, 4.0, 4.0, 4.0], 0, 1, 2)] * 30 + [(100, [1.0, 1.0, 1.0, 1.0], 0, 1, 2)] * 15
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["op5_cover_tree_top_k"](spark, str(tmp_path)).collect())
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert got and got == sorted(duck.sql(ORACLES["op5_cover_tree_top_k"]).fetchall())
