@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quartermill.llm.common import joined, placed, remainder
 from quartermill.llm.textbatch import Words, blocks, mixed
@@ -19,7 +21,7 @@ END = np.uint64(0x2545F4914F6CDD1D)
 BASE = 1.5
 #: Bits for each inserted (n-gram, level) and the probes for one.
 BITS_PER_ENTRY, PROBES = 12, 6
-#: The filter never exceeds this size; n-grams of the lowest levels stay out beyond it.
+#: A filter up to this size is broadcast; a larger one stays in sections that are probed by shuffle.
 MAX_FILTER_BYTES = 64 << 20
 SECTION_BYTES = 256 << 10
 #: Exact counts of at most this many words are broadcast; rarer words are joined by shuffle.
@@ -125,8 +127,23 @@ def build(counts: DataFrame, histogram: list, max_bytes: int = MAX_FILTER_BYTES)
         while entries > room and cut[grams] <= top:
             entries -= sum(r["level"] * r["n"] for r in histogram if (r["grams"], r["level"]) == (grams, cut[grams]))
             cut[grams] += 1
+    size, sections = layout(entries)
+    low = F.when(F.col("grams") == 1, cut[1]).otherwise(cut[2])
+    out = np.zeros((sections, size), np.uint8)
+    # At most max_bytes in all; the sections arrive one partition at a time.
+    for row in filled(counts.where(F.col("level") >= low), size, sections).toLocalIterator():
+        out[row["section"]] = np.frombuffer(row["bits"], np.uint8)
+    return Filter(out)
+
+
+def layout(entries: int) -> tuple[int, int]:
+    """Bytes of a section, and the number of sections, of a filter for so many (n-gram, level) entries."""
     size = min(SECTION_BYTES, 1 << max(6, (entries * BITS_PER_ENTRY // 8).bit_length()))
-    sections = max(1, math.ceil(entries * BITS_PER_ENTRY / 8 / size))
+    return size, max(1, math.ceil(entries * BITS_PER_ENTRY / 8 / size))
+
+
+def filled(counts: DataFrame, size: int, sections: int) -> DataFrame:
+    """(section, bits) of the filter of all n-grams in ``counts``."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,13 +164,51 @@ def build(counts: DataFrame, histogram: list, max_bytes: int = MAX_FILTER_BYTES)
         packed = np.packbits(bits, bitorder="little").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([packed], pa.binary())], ["section", "bits"])
 
-    low = F.when(F.col("grams") == 1, cut[1]).otherwise(cut[2])
-    rows = counts.where(F.col("level") >= low).select("hash", "level").mapInArrow(number, "section int, hash long, level int")
-    out = np.zeros((sections, size), np.uint8)
-    # At most max_bytes in all; the sections arrive one partition at a time.
-    for row in rows.groupBy("section").applyInArrow(fill, "section int, bits binary").toLocalIterator():
-        out[row["section"]] = np.frombuffer(row["bits"], np.uint8)
-    return Filter(out)
+    rows = counts.select("hash", "level").mapInArrow(number, "section int, hash long, level int")
+    return rows.groupBy("section").applyInArrow(fill, "section int, bits binary")
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Adds ``text_block``, the number of the block of about 2 MB of text that a row belongs to, and writes the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
+        for n, block in enumerate(blocks(batches)):
+            own = pa.array(np.full(block.num_rows, first + n, np.int64))
+            yield pa.RecordBatch.from_arrays([*block.columns, own], [*block.schema.names, "text_block"])
+
+    return stage(rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("text_block", T.LongType())])), "score-blocks")
+
+
+def probed(texts: DataFrame, counts: DataFrame, entries: int) -> DataFrame:
+    """(text_block, hash, level) of the words and word pairs of each block that are in the filter.
+
+    The distinct keys of each block meet the section that holds them, so no
+    task holds more than a section and the filter grows with the n-grams.
+    """
+    size, sections = layout(entries)
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column("text_block").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for a, b in zip(edges, edges[1:]):
+                if b > a:
+                    stream, _ = tokens(Words(batch.column("text").slice(a, b - a), lower=True))
+                    keys = np.unique(np.concatenate([stream, pairs(stream)]))
+                    columns = [section_of(keys, sections).astype(np.int32), np.full(len(keys), numbers[a]), keys.view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["section", "text_block", "hash"])
+
+    def probe(keys: pa.Table, section: pa.Table) -> pa.Table:
+        levels = np.zeros(keys.num_rows, np.int64)
+        if keys.num_rows and section.num_rows:
+            bits = np.frombuffer(section["bits"][0].as_py(), np.uint8).reshape(1, -1)
+            levels = Filter(bits).levels(keys["hash"].to_numpy().view(np.uint64))
+        return keys.select(["text_block", "hash"]).append_column("level", pa.array(levels)).filter(pa.array(levels > 0))
+
+    asked = texts.select("text_block", "text").mapInArrow(keys_of, "section int, text_block long, hash long")
+    found = asked.groupBy("section").cogroup(filled(counts, size, sections).groupBy("section"))
+    return found.applyInArrow(probe, "text_block long, hash long, level long")
 
 
 def scored(
@@ -167,8 +222,9 @@ def scored(
     """The columns ``keep`` of ``docs``, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     ``train`` is a table of texts. Its words and word pairs are counted by
-    Spark; the counts, cut to levels, go into the Bloom filter that is
-    broadcast. A text's probability is the product over its tokens of
+    Spark; the counts, cut to levels, go into the Bloom filter, which grows
+    with the n-grams. Up to ``max_bytes`` it is broadcast; beyond it the keys
+    of each block of texts go to the filter's sections. A text's probability is the product over its tokens of
     (c(previous, token) + prior * p(token)) / (c(previous) + prior), where p is
     the add-one word estimate and every c comes from repeated membership
     probes. ``base_score`` uses exact word counts: those of the commonest words
@@ -191,16 +247,18 @@ def scored(
     exact = counts.where((F.col("grams") == 1) & (F.col("level") >= common)).select("hash", "count").toArrow()
     names, times = exact["hash"].to_numpy().view(np.uint64), exact["count"].to_numpy()
     order = np.argsort(names)
-    bloom = build(counts, histogram, max_bytes)
-    shared = spark.sparkContext.broadcast((bloom.sections, names[order], times[order].astype(np.int64)))
+    entries = sum(r["level"] * r["n"] for r in histogram)
+    size, sections = layout(entries)
+    fits = size * sections <= max_bytes
+    bits = build(counts, histogram, size * sections).sections if fits else None
+    shared = spark.sparkContext.broadcast((bits, names[order], times[order].astype(np.int64)))
     base = math.log10(total + distinct + 1)
     weight = count_of_levels()
     whole = held == distinct
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sections, words, word_counts = shared.value
-        levels = Filter(sections).levels
-        for block in blocks(batches):
+    def score(found_blocks: Iterator[pa.RecordBatch], levels) -> Iterator[pa.RecordBatch]:
+        _, words, word_counts = shared.value
+        for block in found_blocks:
             stream, bounds = tokens(Words(block.column("text"), lower=True))
             found, where = np.unique(stream, return_inverse=True)
             at = np.minimum(np.searchsorted(words, found), max(len(words) - 1, 0))
@@ -227,9 +285,29 @@ def scored(
                 rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(stream[unknown].view(np.int64)))
             yield pa.RecordBatch.from_arrays([*columns, rest], [*keep, "n_tokens", "n_known", "base_score", "score", "rest"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return score(blocks(batches), Filter(shared.value[0]).levels)
+
+    def run_block(texts: pa.Table, known: pa.Table) -> pa.Table:
+        place = np.argsort(known["hash"].to_numpy())
+        hashes, held = known["hash"].to_numpy()[place], known["level"].to_numpy()[place]
+
+        def levels(keys: np.ndarray) -> np.ndarray:
+            if not len(hashes):
+                return np.zeros(len(keys), np.int64)
+            at = np.minimum(np.searchsorted(hashes, keys.view(np.int64)), len(hashes) - 1)
+            return np.where(hashes[at] == keys.view(np.int64), held[at], 0)
+
+        return pa.Table.from_batches(score(blocks(texts.combine_chunks().to_batches()), levels))
+
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.drop("text").dtypes)
-    out = rows.mapInArrow(run, f"{schema}, n_tokens long, n_known long, base_score double, score double, rest array<long>")
+    schema = f"{schema}, n_tokens long, n_known long, base_score double, score double, rest array<long>"
+    if fits:
+        out = rows.mapInArrow(run, schema)
+    else:
+        rows = in_blocks(rows)
+        out = rows.groupBy("text_block").cogroup(probed(rows, counts, entries).groupBy("text_block")).applyInArrow(run_block, schema)
     if not whole:
         # Words outside the broadcast table are few tokens of each text.
         out = placed(out, "scores")

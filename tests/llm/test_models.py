@@ -274,3 +274,17 @@ def test_samples_hold_one_row_of_a_repeated_id(spark):
     assert [mark for _, _, mark in toxicity.sampled(docs, labels)] == [0, 1, 0]
     counts = langid.sample_counts(docs)["en"]
     assert counts[b"repeated"] == 1 and counts[b"another"] == 1
+
+
+# --- filters beyond the broadcast bound ----------------------------------------------
+
+
+def test_scores_do_not_depend_on_the_broadcast_bound(spark):
+    texts = [r[1] for r in hard_rows()] + [f"rare{i} common words here {i % 7} END" for i in range(60)]
+    docs = plain(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    train = docs.where("doc_id % 3 <> 1")
+    large, small = (
+        [tuple(r) for r in ngram_bloom.scored(docs, train, max_bytes=b).orderBy("doc_id").collect()]
+        for b in (ngram_bloom.MAX_FILTER_BYTES, 100)
+    )
+    assert len(large) == len(texts) and small == large
