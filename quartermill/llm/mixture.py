@@ -127,12 +127,6 @@ def plan(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, most: float = MO
     )
 
 
-def in_order(planned: DataFrame) -> DataFrame:
-    """One row per taken copy, range-sorted by training position."""
-    copies = planned.select("doc_id", "source", "size", F.explode("positions").alias("position"))
-    return copies.orderBy("position", "source", "doc_id")
-
-
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it is taken, sorted by training position.
 
