@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 
 from quartermill.llm import (
     cover_tree,
+    fill_middle,
     langid,
     line_rules,
+    merkle,
     mixture,
+    multiset_hash,
     ngram_bloom,
     packing,
     quality_cnn,
@@ -85,6 +88,29 @@ def op10_bloom_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_bloom.scored(rows, train, keep=("doc_id", "held_out"))
 
 
+@query
+def op11_secondary_sort_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digested(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = multiset_hash.compared(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        *[multiset_hash.hexed(F.col(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")],
+        "near_edited",
+        "near_next",
+    )
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proved(table(spark, sf_dir, "documents"), merkle.fifth())
+
+
 # --- SQL on DuckDB ------------------------------------------------------------
 # Checksums, XXH64, networks, tokenizers, Bloom filters and piece models have no
 # SQL there; their queries are tested against brute force or held-out labels.
@@ -92,6 +118,21 @@ def op10_bloom_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: CRC-32 bit by bit: each byte enters with the first of its eight steps.
+_CRC32 = (
+    "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, length({0}) + 1), "
+    "lambda i: [CAST(ascii(substr({0}, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), "
+    "lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END), 4294967295)"
+)
+_LEAF = " || ".join(
+    f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')"
+    for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "{0}")
+)
+_SIDES = ", ".join(
+    f"coalesce(string_agg(node, '') OVER (PARTITION BY {{0}} ORDER BY idx ROWS BETWEEN {rows}), '') AS {name}"
+    for rows, name in (("UNBOUNDED PRECEDING AND 1 PRECEDING", "before"), ("1 FOLLOWING AND UNBOUNDED FOLLOWING", "after"))
+)
+
 ORACLES: dict[str, str] = {
     "op1_curriculum_mix": f"""
 WITH sized AS (SELECT doc_id, source, CAST(len({_WORDS.format('text')}) AS BIGINT) AS size FROM documents),
@@ -144,4 +185,39 @@ scores AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c
   FROM fit q JOIN fit c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10""",
+    "op11_secondary_sort_fim": r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+drawn AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda a: CAST('0x' || substr(h, a, 8) AS BIGINT)) AS r FROM docs),
+formed AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS low, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS high,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 50 THEN 'plain'
+      WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(u[1:low], '') AS p, array_to_string(u[low + 1:high], '') AS m, array_to_string(u[high + 1:n], '') AS s FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS rid, doc_id, source, lang, n_chars, text,
+    {_CRC32.format("CAST(doc_id AS VARCHAR)")} % 5 = 0 AS tampered FROM documents),
+rows AS (SELECT rid, doc_id, source, sha256({_LEAF.format('text')}) AS leaf,
+    sha256(CASE WHEN tampered THEN {_LEAF.format(_LOWER.format('text'))} ELSE {_LEAF.format('text')} END) AS used FROM docs),
+laid AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM rows),
+up AS (SELECT source, 0 AS lvl, idx, leaf AS node, n FROM laid
+  UNION ALL SELECT source, lvl + 1, idx // 16, sha256(string_agg(node, '' ORDER BY idx)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY source, lvl, idx // 16, n),
+sides AS (SELECT source, lvl, idx, {_SIDES.format("source, lvl, idx // 16")} FROM up WHERE n > 1),
+hosts AS (SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS lvl, idx, node, n FROM hosts
+  UNION ALL SELECT lvl + 1, idx // 16, sha256(string_agg(node, '' ORDER BY idx)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY lvl, idx // 16, n),
+over_sides AS (SELECT lvl, idx, {_SIDES.format("lvl, idx // 16")} FROM top WHERE n > 1),
+fold AS (SELECT rid, source, 0 AS lvl, idx AS at, used AS node, '' AS proof FROM laid
+  UNION ALL SELECT f.rid, f.source, f.lvl + 1, f.at // 16, sha256(s.before || f.node || s.after), f.proof || s.before || s.after
+  FROM fold f JOIN sides s ON s.source IS NOT DISTINCT FROM f.source AND s.lvl = f.lvl AND s.idx = f.at),
+inner_end AS (SELECT rid, arg_max(node, lvl) AS node, arg_max(proof, lvl) AS proof FROM fold GROUP BY rid),
+over_fold AS (SELECT e.rid, 0 AS lvl, h.idx AS at, e.node, e.proof FROM inner_end e JOIN laid l USING (rid) JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source
+  UNION ALL SELECT f.rid, f.lvl + 1, f.at // 16, sha256(s.before || f.node || s.after), f.proof || s.before || s.after
+  FROM over_fold f JOIN over_sides s ON s.lvl = f.lvl AND s.idx = f.at),
+ends AS (SELECT rid, arg_max(node, lvl) AS node, arg_max(proof, lvl) AS proof FROM over_fold GROUP BY rid)
+SELECT l.doc_id, l.leaf, h.node AS subroot, t.node AS root, sha256(e.proof) AS proof_sha256, e.node AS folded_root, e.node = t.node AS verified
+FROM laid l JOIN ends e USING (rid) JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source JOIN top t ON t.n = 1""",
 }
