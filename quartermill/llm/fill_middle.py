@@ -5,7 +5,8 @@ and place in the output. ``repartitionAndSortWithinPartitions`` brings a
 document's pieces together in that order, so that they pass through an
 incremental digest one at a time: no text is ever built in memory as a whole.
 The restoration reads only that stream and the form, keys what it finds by its
-place in the text, and sorts once more.
+place in the text, and sorts once more; documents stay in their task, so that
+second sort moves no piece over the network.
 """
 
 import hashlib
@@ -18,7 +19,9 @@ import zstandard
 from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
+from quartermill.llm.common import joined
 from quartermill.llm.textbatch import Words, blocks
 
 SEED, FIM_PERCENT, SPM_PERCENT = 42, 50, 80
@@ -29,7 +32,9 @@ PIECE = 64 << 10
 SEGMENT, HEADER = 1 << 40, -1
 _MARK = re.compile(rb"<[PSM]>")
 _ORDER = {PREFIX: 0, MIDDLE: 1, SUFFIX: 2}
-_PIECES = "row long, place long, doc_id long, n long, form string, prefix_chars long, middle_chars long, piece binary"
+_KEY = [("doc_id", pa.int64()), ("text_key", pa.int64())]
+_PIECES = pa.schema([*_KEY, ("place", pa.int64()), ("form", pa.string()), ("piece", pa.binary())])
+_CUTS = pa.schema([*_KEY, ("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64())])
 
 
 def draws(doc_id: int | None, seed: int = SEED) -> list[int]:
@@ -49,120 +54,149 @@ def cut(start: int, stop: int, ends: np.ndarray, size: int = PIECE) -> Iterator[
     yield at, stop
 
 
+def _cut_texts(block: pa.RecordBatch, seed: int, fim: int, spm: int) -> Iterator[tuple]:
+    """Of every text: its number, units, form, code points of prefix and middle, the segments in their output's order, its units' ends."""
+    found = Words(block.column("text"))
+    data = found.data.tobytes()
+    letters = (found.data & 0xC0) != 0x80
+    offsets, first = found.offsets.tolist(), found.first.tolist()
+    for i, doc_id in enumerate(block.column("doc_id").to_pylist()):
+        a, b = offsets[i], offsets[i + 1]
+        ends = found.ends[first[i] : first[i + 1]]
+        words = len(ends)
+        n = words + (b > a and (not words or int(ends[-1]) < b))
+        h1, h2, h3, h4 = draws(doc_id, seed)
+        if a == b or h3 % 100 >= fim or any(data.find(m, a, b) >= 0 for m in _ORDER):
+            yield i, n, "plain", None, None, [(b"", a, b)], ends, data
+            continue
+        low, high = sorted((h1 % (n + 1), h2 % (n + 1)))
+        p, m = (a if k == 0 else int(ends[k - 1]) if k <= words else b for k in (low, high))
+        form = "spm" if h4 % 100 < spm else "psm"
+        head, tail = (PREFIX, a, p), (SUFFIX, m, b)
+        segments = [*((head, tail) if form == "psm" else (tail, head)), (MIDDLE, p, m)]
+        yield i, n, form, int(np.count_nonzero(letters[a:p])), int(np.count_nonzero(letters[p:m])), segments, ends, data
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.withColumn("text_key", F.xxhash64("text"))
+
+
+def cuts(docs: DataFrame, seed: int = SEED, fim: int = FIM_PERCENT, spm: int = SPM_PERCENT) -> DataFrame:
+    """doc_id, text_key (a hash of the text), n (units), form, prefix_chars and middle_chars of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            rows = [found[1:5] for found in _cut_texts(block, seed, fim, spm)]
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(_CUTS)[2:])]
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("text_key"), *columns], schema=_CUTS)
+
+    return _keyed(docs).mapInArrow(run, from_arrow_schema(_CUTS))
+
+
 def _pieces(seed: int, fim: int, spm: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for block in blocks(batches):
-            found = Words(block.column("text"))
-            data = found.data.tobytes()
-            letters = (found.data & 0xC0) != 0x80
-            offsets, first = found.offsets.tolist(), found.first.tolist()
-            out: list[list] = [[] for _ in range(8)]
-            for i, (row, doc_id) in enumerate(zip(block.column("row").to_pylist(), block.column("doc_id").to_pylist())):
-                a, b = offsets[i], offsets[i + 1]
-                ends = found.ends[first[i] : first[i + 1]]
-                words = len(ends)
-                n = words + (b > a and (not words or int(ends[-1]) < b))
-                h1, h2, h3, h4 = draws(doc_id, seed)
-                marked = any(data.find(m, a, b) >= 0 for m in _ORDER)
-                if a == b or marked or h3 % 100 >= fim:
-                    form, parts, chars = "plain", [(b"", a, b)], (None, None)
-                else:
-                    low, high = sorted((h1 % (n + 1), h2 % (n + 1)))
-                    p, m = (a if k == 0 else int(ends[k - 1]) if k <= words else b for k in (low, high))
-                    form = "spm" if h4 % 100 < spm else "psm"
-                    chars = int(np.count_nonzero(letters[a:p])), int(np.count_nonzero(letters[p:m]))
-                    head, tail = (PREFIX, a, p), (SUFFIX, m, b)
-                    parts = [*((head, tail) if form == "psm" else (tail, head)), (MIDDLE, p, m)]
-                known = (row, doc_id, n, form, *chars)
+            owner, places, forms, pieces = [], [], [], []
+            for i, _, form, _, _, segments, ends, data in _cut_texts(block, seed, fim, spm):
                 rows = [(HEADER, b"")]
-                for segment, (mark, start, stop) in enumerate(parts):
+                for segment, (mark, start, stop) in enumerate(segments):
                     for number, (x, y) in enumerate(cut(start, stop, ends)):
                         rows.append((segment * SEGMENT + number, pack((b"" if number else mark) + data[x:y])))
-                for place, piece in rows:
-                    for column, value in zip(out, (known[0], place, *known[1:], piece)):
-                        column.append(value)
-            names = [part.split()[0] for part in _PIECES.split(", ")]
-            kinds = [pa.int64()] * 4 + [pa.string()] + [pa.int64()] * 2 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
+                owner += [i] * len(rows)
+                forms += [form] * len(rows)
+                places += [place for place, _ in rows]
+                pieces += [piece for _, piece in rows]
+            key = [block.column(c).take(pa.array(owner, pa.int64())) for c in ("doc_id", "text_key")]
+            yield pa.RecordBatch.from_arrays([*key, pa.array(places, pa.int64()), pa.array(forms), pa.array(pieces, pa.binary())], schema=_PIECES)
 
     return run
 
 
 def _task(key: tuple) -> int:
-    """Task of a document: its row number, mixed, so that any number of tasks is dealt evenly."""
-    return ((key[0] ^ (key[0] >> 33)) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 32
+    """Task of a document: a mix of its id and text, so that any number of tasks is dealt evenly."""
+    return ((key[1] ^ key[2]) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 32
+
+
+def _merged(records: Iterator) -> Iterator:
+    """Records of rows with equal id and text come several times, one after another; each once."""
+    last = None
+    for key, value in records:
+        if key != last:
+            yield key, value
+        last = key
 
 
 def output_pieces(docs: DataFrame, seed: int = SEED, fim: int = FIM_PERCENT, spm: int = SPM_PERCENT) -> RDD:
-    """Records ((row, place), value), each document's together and in the order of its output.
+    """Records ((no_id, doc_id, text_key, place), value), each document's together and in the order of its output.
 
-    The first one of a document has the place ``HEADER`` and the value (doc_id,
-    n, form, prefix_chars, middle_chars); the others hold compressed bytes of
-    the output.
+    The first one of a document has the place ``HEADER`` and its form as value;
+    the others hold compressed bytes of the output. Keys are made of the row
+    alone, so a repeated task sends the same; rows equal in id and text are one
+    document.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-    )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def keyed(found) -> tuple:
-        if found.place == HEADER:
-            return (found.row, HEADER), (found.doc_id, found.n, found.form, found.prefix_chars, found.middle_chars)
-        return (found.row, found.place), bytes(found.piece)
+        value = found.form if found.place == HEADER else bytes(found.piece)
+        return (found.doc_id is None, found.doc_id or 0, found.text_key, found.place), value
 
-    records = rows.mapInArrow(_pieces(seed, fim, spm), _PIECES).rdd.map(keyed)
-    return records.repartitionAndSortWithinPartitions(parts, _task)
+    rows = _keyed(docs).mapInArrow(_pieces(seed, fim, spm), from_arrow_schema(_PIECES))
+    return rows.rdd.map(keyed).repartitionAndSortWithinPartitions(parts, _task).mapPartitions(_merged, True)
 
 
 def _streamed(records: Iterator) -> Iterator:
     """Digests outputs as they stream by; sends on what the restoration finds in them, under its place in the text."""
     unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
-    row, known, digest = None, (), None
+    document, form, digest = None, None, None
 
     def header() -> tuple:
         # The output of a plain document is its text, in the text's order.
         seen = digest.hexdigest()
-        return (row, HEADER), (*known, seen, seen if known[2] == "plain" else None)
+        return (*document, HEADER), (seen, seen if form == "plain" else None)
 
-    for (at, place), value in records:
+    for (*key, place), value in records:
         if place == HEADER:
-            if row is not None:
+            if document is not None:
                 yield header()
-            row, known, digest = at, value, hashlib.sha256()
+            document, form, digest = key, value, hashlib.sha256()
             segment = number = 0
             continue
         piece = unpack(value)
         digest.update(piece)
-        if known[2] == "plain":
+        if form == "plain":
             continue
         start = 0
         for mark in [*_MARK.finditer(piece), None]:
             stop = mark.start() if mark else len(piece)
             if stop > start:
-                yield (row, segment * SEGMENT + number), pack(piece[start:stop])
+                yield (*document, segment * SEGMENT + number), pack(piece[start:stop])
                 number += 1
             if mark:
                 segment, number, start = _ORDER[mark.group()], 0, mark.end()
-    if row is not None:
+    if document is not None:
         yield header()
 
 
 def _restored(records: Iterator) -> Iterator[tuple]:
-    """Digests the restored texts as they stream by."""
+    """Digests the restored texts as they stream by: (doc_id, text_key, output's digest, text's digest)."""
     unpack = zstandard.ZstdDecompressor().decompress
-    known, digest = None, None
-    for (_, place), value in records:
+    document, seen, digest = None, None, None
+
+    def row() -> tuple:
+        no_id, doc_id, text_key = document
+        return None if no_id else doc_id, text_key, seen[0], seen[1] or digest.hexdigest()
+
+    for (*key, place), value in records:
         if place == HEADER:
-            if known is not None:
-                yield (*known[:6], known[6] or digest.hexdigest())
-            known, digest = value, hashlib.sha256()
+            if document is not None:
+                yield row()
+            document, seen, digest = key, value, hashlib.sha256()
         else:
             digest.update(unpack(value))
-    if known is not None:
-        yield (*known[:6], known[6] or digest.hexdigest())
+    if document is not None:
+        yield row()
 
 
 def digested(docs: DataFrame, seed: int = SEED, fim: int = FIM_PERCENT, spm: int = SPM_PERCENT) -> DataFrame:
@@ -171,32 +205,34 @@ def digested(docs: DataFrame, seed: int = SEED, fim: int = FIM_PERCENT, spm: int
     A unit is a word with the blanks before it, or the blanks after the last
     word. Null text: empty, plain. Texts that hold a marker are plain. A null
     doc_id draws its cuts from the seed alone; rows of one id share their
-    draws and are transformed each on its own, equal rows alike. Empty table:
+    draws and are transformed each on its own; rows equal in id and text are
+    transformed once, and each has the result. Empty table:
     no rows. Other columns are ignored.
     """
     outputs = output_pieces(docs, seed, fim, spm)
-    parts = outputs.getNumPartitions()
-    texts = outputs.mapPartitions(_streamed, True).repartitionAndSortWithinPartitions(parts, _task)
-    schema = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output_sha256 string, restored_sha256 string"
-    return docs.sparkSession.createDataFrame(texts.mapPartitions(_restored, True), schema, verifySchema=False)
+    # The streams stay with their task, so the second sort moves nothing between tasks.
+    texts = outputs.mapPartitions(_streamed, True).repartitionAndSortWithinPartitions(outputs.getNumPartitions(), _task)
+    schema = "doc_id long, text_key long, output_sha256 string, restored_sha256 string"
+    found = docs.sparkSession.createDataFrame(texts.mapPartitions(_restored, True), schema, verifySchema=False)
+    return joined(cuts(docs, seed, fim, spm), found, ["doc_id", "text_key"]).drop("text_key")
 
 
 def transformed(docs: DataFrame, seed: int = SEED, fim: int = FIM_PERCENT, spm: int = SPM_PERCENT) -> DataFrame:
-    """The outputs themselves: row (a number of the document), doc_id, form, place and piece (bytes), in order inside a document.
+    """The outputs themselves: doc_id, text_key, form, place and piece (bytes), in order inside a document.
 
     Concatenated by place, a document's pieces are its output; an empty one has
-    one empty piece.
+    one empty piece. Rows equal in id and text are one document here.
     """
 
     def rows(records: Iterator) -> Iterator[tuple]:
         unpack = zstandard.ZstdDecompressor().decompress
-        known = ()
-        for (row, place), value in records:
+        form = None
+        for (no_id, doc_id, text_key, place), value in records:
             if place == HEADER:
-                known = value
+                form = value
             else:
-                yield row, known[0], known[2], place, unpack(value)
+                yield None if no_id else doc_id, text_key, form, place, unpack(value)
 
-    schema = "row long, doc_id long, form string, place long, piece binary"
+    schema = "doc_id long, text_key long, form string, place long, piece binary"
     found = output_pieces(docs, seed, fim, spm).mapPartitions(rows, True)
     return docs.sparkSession.createDataFrame(found, schema, verifySchema=False)
