@@ -141,15 +141,20 @@ def compared(docs: DataFrame, share: int = 4) -> DataFrame:
     keyed = fingerprinted(docs)
     order = followers(keyed.select("doc_id", "id_key", "text_hash", F.char_length("text").cast("long").alias("n_chars")))
     texts = keyed.withColumn("items", paragraphs(F.col("text"))).select("id_key", "text_hash", "text", vector("items").alias("vector"))
-    nexts = texts.toDF("next_id", "next_hash", "next_text", "next_vector")
-    heads = order.join(nexts, ["next_id", "next_hash"]).select(
-        "doc_id", "id_key", "text_hash", "n_chars", "next_vector",
-        F.substring("next_text", F.lit(1), F.floor(F.col("n_chars") / share).cast("int")).alias("head"),
-    )
+    # The columns aren't renamed below the join: then both sides have one plan, and their shuffle is reused.
+    nexts, wanted = texts.alias("nexts"), order.toDF("doc_id", "to_key", "to_hash", "n_chars", "next_id", "next_hash")
+    heads = wanted.join(nexts, F.expr("next_id = nexts.id_key AND next_hash = nexts.text_hash")).select(
+        "doc_id",
+        "to_key",
+        "to_hash",
+        "n_chars",
+        F.col("nexts.vector").alias("next_vector"),
+        F.substring("nexts.text", F.lit(1), F.floor(F.col("n_chars") / share).cast("int")).alias("head"),
+    )
     counts = keyed.select("id_key", "text_hash").groupBy("id_key", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     if not counts.where("n > 1").isEmpty():  # each of the equal rows has found the one before
-        heads = heads.dropDuplicates(["id_key", "text_hash"])
-    rows = texts.join(heads, ["id_key", "text_hash"]).withColumn("kept_chars", F.col("n_chars") - F.floor(F.col("n_chars") / share))
+        heads = heads.dropDuplicates(["to_key", "to_hash"])
+    rows = texts.join(heads, F.expr("id_key = to_key AND text_hash = to_hash")).withColumn("kept_chars", F.col("n_chars") - F.floor(F.col("n_chars") / share))
     rows = rows.withColumn("items", paragraphs(F.col("text"))).withColumn("whole", _whole(F.col("items"), F.col("kept_chars")))
     rest = F.substring("text", F.col("whole.start") + 1, (F.col("kept_chars") - F.col("whole.start")).cast("int"))
     gone = F.slice("items", F.col("whole.held") + 1, F.greatest(F.size("items"), F.lit(1)))
