@@ -2,7 +2,7 @@
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -16,109 +16,152 @@ K = 10
 #: Bound of the sample that the top level's centres are chosen from, and of the centres.
 SAMPLE, CENTRES = 4_096, 64
 #: Rows of a cell's part, the unit of one tree; and of a leaf.
-PART, LEAF = 2_048, 32
+PART, LEAF = 2_048, 64
+#: Scores that are cheaper to compute than to rule out; and candidates scored at once.
+DIRECT, CHUNK = 8_192, 4_096
 
 
 @dataclass
-class Node:
-    """Rows of a point matrix within ``radius`` of ``centre``."""
+class Indexed:
+    """A point matrix with its cover tree, rows in the tree's order.
 
-    rows: np.ndarray
-    centre: np.ndarray
-    radius: float
-    children: list["Node"] = field(default_factory=list)
+    A node is the rows ``start`` to ``stop``, all within its radius of the
+    first of them; its children are the nodes ``first`` to ``first + count``.
+    """
+
+    points: np.ndarray
+    ids: np.ndarray
+    nodes: np.ndarray  # start, stop, first, count
+    radii: np.ndarray
+
+    def __post_init__(self):
+        self.lengths = np.linalg.norm(self.points[self.nodes[:, 0]], axis=1)
+        self.largest = np.abs(self.points).max(initial=0.0)
+
+    def below(self, node: int) -> np.ndarray:
+        """Children of a node; a leaf stands for itself."""
+        _, _, first, count = self.nodes[node]
+        return np.arange(first, first + count) if count else np.array([node])
 
 
-def build(points: np.ndarray, rows: np.ndarray | None = None, leaf: int = LEAF) -> Node:
-    """Cover tree of the points: children cover a node with balls of at most half its radius.
+def build(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cover tree of the points: the rows in its order, nodes and radii (see ``Indexed``).
 
-    Centres are points, each next one the farthest from those before. Equal
-    points end in one leaf of radius 0, however many there are.
+    Children cover a node with balls of at most half its radius. Centres are
+    points, each next one the farthest from those before. Equal points end in
+    one leaf of radius 0, however many there are.
     """
-    rows = np.arange(len(points)) if rows is None else rows
-    centre = points[rows[0]]
-    gaps = np.linalg.norm(points[rows] - centre, axis=1)
-    node = Node(rows, centre, float(gaps.max(initial=0.0)))
-    if len(rows) <= leaf or node.radius == 0:
-        return node
-    owner = np.zeros(len(rows), np.int64)
-    count = 1
-    while gaps.max() > node.radius / 2 and count < 16:
-        far = int(gaps.argmax())
-        new = np.linalg.norm(points[rows] - points[rows[far]], axis=1)
-        closer = new < gaps
-        gaps[closer], owner[closer] = new[closer], count
-        owner[far], gaps[far] = count, 0.0
-        count += 1
-    for k in range(count):
-        own = rows[owner == k]
-        if len(own):
-            node.children.append(build(points, own, leaf))
-    return node
+    order = np.arange(len(points))
+    nodes, radii = [[0, len(points), 0, 0]], []
+    for start, stop, *_ in nodes:  # grows while it is read
+        rows = order[start:stop]
+        gaps = np.linalg.norm(points[rows] - points[rows[0]], axis=1)
+        radius = float(gaps.max(initial=0.0))
+        here = len(radii)
+        radii.append(radius)
+        if len(rows) <= leaf or radius == 0:
+            continue
+        owner = np.zeros(len(rows), np.int64)
+        count = 1
+        while gaps.max() > radius / 2 and count < 16:
+            far = int(gaps.argmax())
+            new = np.linalg.norm(points[rows] - points[rows[far]], axis=1)
+            closer = new < gaps
+            gaps[closer], owner[closer] = new[closer], count
+            owner[far], gaps[far] = count, 0.0
+            count += 1
+        # The node's centre comes first in its first child, so it stays the node's first row.
+        order[start:stop] = rows[np.argsort(owner, kind="stable")]
+        bounds = start + np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))])
+        filled = [[int(x), int(y), 0, 0] for x, y in zip(bounds, bounds[1:]) if y > x]
+        nodes[here][2:] = [len(nodes), len(filled)]
+        nodes.extend(filled)
+    return order, np.array(nodes, np.int32), np.array(radii)
+
+
+def indexed(points: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> Indexed:
+    order, nodes, radii = build(points, leaf)
+    return Indexed(points[order], ids[order], nodes, radii)
 
 
 class Best:
     """The k best (score, id) of each query: higher scores first, ties to smaller ids."""
 
-    def __init__(self, queries: int, k: int):
+    def __init__(self, queries: int, k: int, kind: type = np.longdouble):
         self.k = k
         # Long doubles hold every 64-bit integer.
-        self.scores = np.full((queries, k), -np.inf, np.longdouble)
+        self.scores = np.full((queries, k), -np.inf, kind)
         self.ids = np.full((queries, k), np.iinfo(np.int64).max, np.int64)
 
-    def worst(self, rows: np.ndarray) -> float:
-        return float(self.scores[rows, -1].min())
+    def worst(self, start: int, stop: int) -> float:
+        return float(self.scores[start:stop, -1].min())
+
+    def add(self, start: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        """``scores`` is (query, candidate) for the queries from ``start`` on."""
+        least = self.scores[start : start + len(scores), -1]
+        good = np.flatnonzero(scores.max(axis=1, initial=-np.inf) >= least)
+        if not len(good):
+            return
+        least = least[good]
+        if scores.shape[1] > 4 * self.k:
+            # All that reach a query's kth score of these, ties included.
+            least = np.maximum(least, np.partition(scores[good], -self.k, axis=1)[:, -self.k])
+        for i, low in zip(good.tolist(), least):
+            found = np.flatnonzero(scores[i] >= low)
+            all_scores = np.concatenate([self.scores[start + i], scores[i, found]])
+            all_ids = np.concatenate([self.ids[start + i], ids[found]])
+            order = np.lexsort([all_ids, -all_scores])[: self.k]
+            self.scores[start + i], self.ids[start + i] = all_scores[order], all_ids[order]
 
-    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """``scores`` is (query, candidate) for the queries ``rows``."""
-        good = (scores >= self.scores[rows, -1:]).any(axis=1)
-        if good.any():
-            rows, scores = rows[good], scores[good]
-            all_scores = np.concatenate([self.scores[rows], scores], axis=1)
-            all_ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-            order = np.lexsort([all_ids, -all_scores], axis=-1)[:, : self.k]
-            self.scores[rows] = np.take_along_axis(all_scores, order, axis=1)
-            self.ids[rows] = np.take_along_axis(all_ids, order, axis=1)
 
+def number_kind(queries: Indexed, points: Indexed) -> type:
+    """float64 where every partial sum of a product is exact in it, else long double."""
+    return np.float64 if queries.largest * points.largest * max(1, points.points.shape[1]) < 2**53 else np.longdouble
 
-def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids: np.ndarray, best: Best) -> int:
-    """Brings ``best`` up to date with the points; returns the number of scores computed.
+
+def search(queries: Indexed, points: Indexed, best: Best) -> int:
+    """Brings ``best`` (a row for each of the queries, in their order) up to date with the points; returns the number of scores computed.
 
     Pairs of nodes are visited in the order of their bound. For a query q in a
     ball (c, r) and a point p in a ball (d, s), q.p is at most c.d + |c| s +
     |d| r + r s. A pair whose bound is below every kth score of its queries is
-    dropped.
+    dropped. Where none of the pairs of children could be, or few scores are
+    left, the pair is scored as one matrix product.
     """
-    top = [build(queries), build(points)]
+    kind = number_kind(queries, points)
+    left, right = queries.points.astype(kind, copy=False), points.points.astype(kind, copy=False)
     order, computed = 0, 0
-    largest = np.abs(queries).max(initial=0.0) * np.abs(points).max(initial=0.0) * max(1, points.shape[1])
-    exact = np.float64 if largest < 2**53 else np.longdouble
 
-    def bound(a: Node, b: Node) -> float:
-        c, d = np.linalg.norm(a.centre), np.linalg.norm(b.centre)
-        highest = float(a.centre @ b.centre) + c * b.radius + d * a.radius + a.radius * b.radius
-        return highest + 1e-9 * (c * d + abs(highest) + 1.0)
+    def bounds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        c, d = queries.lengths[a][:, None], points.lengths[b][None, :]
+        r, s = queries.radii[a][:, None], points.radii[b][None, :]
+        highest = queries.points[queries.nodes[a, 0]] @ points.points[points.nodes[b, 0]].T + c * s + d * r + r * s
+        return highest + 1e-9 * (c * d + np.abs(highest) + 1.0)
 
-    heap = [(-bound(*top), order, *top)]
+    heap = [(-np.inf, order, 0, 0)]
     while heap:
         low, _, a, b = heapq.heappop(heap)
-        if -low < best.worst(a.rows):
+        (start, stop), (first, last) = queries.nodes[a, :2], points.nodes[b, :2]
+        if -low < best.worst(start, stop):
             continue
-        if not a.children and not b.children:
-            for some in range(0, len(b.rows), 4 * LEAF):
-                rows = b.rows[some : some + 4 * LEAF]
-                scores = queries[a.rows].astype(exact) @ points[rows].astype(exact).T
-                scores[query_ids[a.rows][:, None] == ids[rows][None, :]] = -np.inf
+        children = queries.below(a), points.below(b)
+        small = (stop - start) * (last - first) <= DIRECT or len(children[0]) == len(children[1]) == 1
+        if not small:
+            values = bounds(*children)
+            worst = np.array([best.worst(*queries.nodes[x, :2]) for x in children[0]])
+            kept = values >= worst[:, None]
+            small = kept.all() and worst.min() > -np.inf
+        if small:
+            for at in range(first, last, CHUNK):
+                end = min(last, at + CHUNK)
+                scores = left[start:stop] @ right[at:end].T
+                scores[queries.ids[start:stop, None] == points.ids[None, at:end]] = -np.inf
                 computed += scores.size
-                best.add(a.rows, scores, ids[rows])
+                best.add(start, scores, points.ids[at:end])
             continue
-        split_a = a.children and (not b.children or a.radius > b.radius)
-        for child in a.children if split_a else b.children:
-            pair = (child, b) if split_a else (a, child)
-            value = bound(*pair)
-            if value >= best.worst(pair[0].rows):
-                order += 1
-                heapq.heappush(heap, (-value, order, *pair))
+        for i, j in np.argwhere(kept).tolist():
+            order += 1
+            heapq.heappush(heap, (-values[i, j], order, int(children[0][i]), int(children[1][j])))
     return computed
 
 
@@ -181,7 +224,7 @@ def in_cells(rows: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
 
 
 def in_parts(rows: DataFrame, size: int = PART) -> DataFrame:
-    """One row for each part of a cell: dim, cell, part, n, ids, matrix, centre, radius.
+    """One row for each part of a cell: dim, cell, part, n, ids, matrix, centre, radius, and its tree (nodes, radii).
 
     A cell is cut into parts of about ``size`` rows by a hash of id and vector,
     so a cell of equal vectors or of one id is cut as well.
@@ -195,39 +238,48 @@ def in_parts(rows: DataFrame, size: int = PART) -> DataFrame:
         dim, cell, part = (table[c][0].as_py() for c in ("dim", "cell", "part"))
         points = np.asarray(table["v"].combine_chunks().flatten()).reshape(table.num_rows, dim)
         ids = table["vec_id"].to_numpy()
-        radius = float(np.linalg.norm(points - points[0], axis=1).max())
-        values = [dim, cell, part, len(ids), ids.astype("<i8").tobytes(), _pack(points), points[0].tolist(), radius]
+        tree = indexed(points, ids)
+        values = [dim, cell, part, len(ids), tree.ids.astype("<i8").tobytes(), _pack(tree.points), tree.points[0].tolist(), float(tree.radii[0])]
+        values += [tree.nodes.astype("<i4").tobytes(), tree.radii.astype("<f8").tobytes()]
         yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _PART_TYPES)], _PART_NAMES)
 
     return rows.groupBy("dim", "cell", "part").applyInArrow(gather, _PART_SCHEMA)
 
 
-_PART_NAMES = ["dim", "cell", "part", "n", "ids", "matrix", "centre", "radius"]
-_PART_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.float64()]
-_PART_SCHEMA = "dim int, cell int, part int, n int, ids binary, matrix binary, centre array<double>, radius double"
+_PART_NAMES = ["dim", "cell", "part", "n", "ids", "matrix", "centre", "radius", "nodes", "radii"]
+_PART_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.float64(), pa.binary(), pa.binary()]
+#: What a comparison reads of a part.
+SIDE = ("n", "ids", "matrix", "nodes", "radii")
+_PART_SCHEMA = "dim int, cell int, part int, n int, ids binary, matrix binary, centre array<double>, radius double, nodes binary, radii binary"
 
 
 def compare(pairs: DataFrame, k: int) -> DataFrame:
     """query_id, vec_id, score of each query part's best in one part of the candidates.
 
-    ``pairs`` has q_n, q_ids, q_matrix, n, ids, matrix, dim and known (worst kth
-    score of the query part so far, null for none).
+    ``pairs`` has the columns of ``SIDE`` of both sides, with q_ for the query
+    part, dim, and known (worst kth score of the query part so far, null for
+    none). The trees come with the parts.
     """
 
+    def part(row: dict, prefix: str) -> Indexed:
+        ids, matrix, n = (row[prefix + c] for c in ("ids", "matrix", "n"))
+        nodes = np.frombuffer(row[prefix + "nodes"], "<i4").reshape(-1, 4)
+        return Indexed(_matrix(matrix, row["dim"], n), np.frombuffer(ids, "<i8"), nodes, np.frombuffer(row[prefix + "radii"], "<f8"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                queries, points = _matrix(row["q_matrix"], row["dim"], row["q_n"]), _matrix(row["matrix"], row["dim"], row["n"])
-                query_ids, ids = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
-                best = Best(len(queries), k)
+                queries, points = part(row, "q_"), part(row, "")
+                best = Best(len(queries.ids), k, number_kind(queries, points))
                 if row["known"] is not None:
                     # A score below every query's kth one so far can't be among the results.
-                    best.scores[:] = row["known"] - 1
-                search(queries, query_ids, points, ids, best)
+                    best.scores[:] = best.scores.dtype.type(row["known"]) - 1
+                search(queries, points, best)
                 real = (best.ids != np.iinfo(np.int64).max) & (best.scores > -np.inf)
-                scores = np.clip(best.scores[real], -(2.0**63), np.longdouble(2) ** 63 - 1).astype(np.int64)
-                columns = [np.broadcast_to(query_ids[:, None], real.shape)[real], best.ids[real], scores]
+                found = best.scores[real].astype(np.longdouble)
+                scores = np.clip(found, -(np.longdouble(2) ** 63), np.longdouble(2) ** 63 - 1).astype(np.int64)
+                columns = [np.broadcast_to(queries.ids[:, None], real.shape)[real], best.ids[real], scores]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
     return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
@@ -240,7 +292,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, part: int = PART, every_r
     bounded sample; every row is indexed. Query parts and candidate parts are
     matrices of bounded size. A query part first searches one part of its own
     cell; its worst kth score then drops all cells whose bound, from both
-    radii, lies below. The pairs left are searched by dual trees.
+    radii, lies below. The pairs left are searched by dual trees, which are
+    built once and kept with their parts.
 
     Null ids, null vectors and vectors that hold null or non-finite components
     take no part. Of several rows with one id the least vector counts, or
@@ -255,15 +308,16 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, part: int = PART, every_r
     queries = queries.select("dim", "cell", *[F.col(c).alias(f"q_{c}") for c in _PART_NAMES[2:]])
     queries = stage(queries, "query-parts")
     first = queries.join(parts.where("part = 0"), ["dim", "cell"])
-    first = stage(compare(first.withColumn("known", F.lit(None).cast("double")), k), "first-scores")
+    sides = [*[f"q_{c}" for c in SIDE], *SIDE, "dim", "known"]
+    first = stage(compare(first.withColumn("known", F.lit(None).cast("long")).select(sides), k), "first-scores")
     # The kth score of each query so far, the least of them for each query part.
     ranked = first.withColumn("rank", F.row_number().over(_order()))
     kth = ranked.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
     owners = queries.select("dim", "cell", "q_part", F.explode(F.expr("sequence(0, q_n - 1)")).alias("i"), "q_ids")
     owners = owners.select("dim", "cell", "q_part", F.expr("conv(hex(reverse(substring(q_ids, 8 * i + 1, 8))), 16, -10)").cast("long").alias("query_id"))
     known = owners.join(kth, "query_id", "left").groupBy("dim", "cell", "q_part")
-    known = known.agg(F.min(F.coalesce(F.col("kth").cast("double"), F.lit(float("-inf")))).alias("known"))
-    queries = queries.join(known, ["dim", "cell", "q_part"]).withColumn("known", F.when(F.col("known") > float("-inf"), F.col("known")))
+    known = known.agg(F.when(F.count("kth") == F.count(F.lit(1)), F.min("kth")).alias("known"))
+    queries = queries.join(known, ["dim", "cell", "q_part"])
     # A cell's ball holds those of its parts; there are at most CENTRES cells a dimension.
     spread = F.aggregate(F.zip_with("centre", "mid", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
     mids = parts.where("part = 0").select("dim", "cell", F.col("centre").alias("mid"))
@@ -282,7 +336,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, part: int = PART, every_r
     pairs = pairs.where(F.col("known").isNull() | (highest >= F.col("known")))
     pairs = pairs.withColumnRenamed("cell", "q_cell").withColumn("cell", F.col("c.cell")).drop("c")
     pairs = pairs.join(parts, ["dim", "cell"]).where(~((F.col("cell") == F.col("q_cell")) & (F.col("part") == 0)))
-    rest = compare(pairs.select("q_n", "q_ids", "q_matrix", "n", "ids", "matrix", "dim", "known"), k)
+    rest = compare(pairs.select(sides), k)
     out = first.unionByName(rest).withColumn("rank", F.row_number().over(_order()))
     return out.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

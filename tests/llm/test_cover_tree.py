@@ -52,9 +52,10 @@ def test_search_prunes(spark):
     ids = np.arange(len(points))
     queries = points[1500:1532]
     best = cover_tree.Best(32, 5)
-    computed = cover_tree.search(queries, ids[1500:1532], points, ids, best)
-    exact = queries @ points.T
-    exact[np.arange(32), ids[1500:1532]] = -np.inf
+    tree = cover_tree.indexed(queries, ids[1500:1532])
+    computed = cover_tree.search(tree, cover_tree.indexed(points, ids), best)
+    exact = tree.points @ points.T
+    exact[np.arange(32), tree.ids] = -np.inf
     assert (np.sort(exact, axis=1)[:, ::-1][:, :5] == best.scores).all()
     assert computed < 0.5 * exact.size
 
@@ -62,16 +63,13 @@ def test_search_prunes(spark):
 def test_tree_covers_its_points():
     rng = np.random.default_rng(4)
     points = np.floor(rng.normal(0, 1000, (600, 6)))
-
-    def check(node):
-        gaps = np.linalg.norm(points[node.rows] - node.centre, axis=1)
-        assert gaps.max() <= node.radius + 1e-6
-        if node.children:
-            assert sorted(np.concatenate([c.rows for c in node.children]).tolist()) == sorted(node.rows.tolist())
-            for child in node.children:
-                check(child)
-
-    check(cover_tree.build(points))
+    tree = cover_tree.indexed(points, np.arange(len(points)))
+    assert sorted(tree.ids.tolist()) == list(range(len(points)))
+    for (start, stop, first, count), radius in zip(tree.nodes.tolist(), tree.radii):
+        gaps = np.linalg.norm(tree.points[start:stop] - tree.points[start], axis=1)
+        assert gaps.max() <= radius + 1e-6
+        below = tree.nodes[first : first + count, :2].tolist()
+        assert not below or [start, *[y for _, y in below]] == [*[x for x, _ in below], stop]
 
 
 def test_query_equals_its_sql_on_repeated_ids(spark, tmp_path):
