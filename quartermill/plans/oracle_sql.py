@@ -543,8 +543,18 @@ oracle("active_errors", "active", "SELECT * FROM active")
 oracle("resolve_category", "resolved", "SELECT company_error_sk, error_code, resolved_category, resolved_by FROM resolved")
 oracle("resolve_scopes", "decisions", "SELECT * FROM decisions")
 _R = f"branch_code, company_code, {TROW}"
-oracle("skip_code", "tfields hit_fields", f"SELECT {', '.join('t.' + k for k in TROW.split(', '))}, t.code, t.text FROM tfields t ANTI JOIN hit_fields h ON h.rid = t.rid AND h.ord = t.ord")
-oracle("skip_group", "tfields hit_fields_g", f"SELECT {', '.join('t.' + k for k in TROW.split(', '))}, t.code, t.text FROM tfields t ANTI JOIN hit_fields_g h ON h.rid = t.rid AND h.ord = t.ord")
+# Fields without row numbers, and a plain equality anti-join for each kind of target.
+for _plain, _of in (("pcanon", "canon"), ("punpivoted", "unpivoted"), ("pcoded", "tcoded")):
+    _needs, _text = CTES[_of]
+    for _from, _to in (("row_number() OVER () AS rid, ", ""), ("SELECT rid, ", "SELECT "), ("FROM canon)", "FROM pcanon)"), ("FROM unpivoted x", "FROM punpivoted x")):
+        _text = _text.replace(_from, _to)
+    CTES[_plain] = (tuple({"canon": "pcanon", "unpivoted": "punpivoted"}.get(n, n) for n in _needs), _text.replace(f"{_of} AS MATERIALIZED", f"{_plain} AS NOT MATERIALIZED", 1))
+_targeted = " ".join(
+    f"ANTI JOIN (SELECT DISTINCT {who}, code{juris} FROM {{0}} WHERE worker_sk IS {'NOT ' if who == 'worker_sk' else ''}NULL AND jurisdiction IS {'NOT ' if juris else ''}NULL) k{i} USING ({who}, code{juris})"
+    for i, (who, juris) in enumerate((w, j) for w in ("worker_sk", "branch_code, company_code") for j in (", jurisdiction", ""))
+)
+for _name_, _keys in (("skip_code", "targets"), ("skip_group", "targets_g")):
+    oracle(_name_, f"pcoded {_keys}", f"SELECT {TROW}, code, text FROM (SELECT * FROM pcoded WHERE text IS NOT NULL) {_targeted.format(_keys)}")
 oracle("skip_jurisdiction", "canon hit_rows", f"SELECT {_R} FROM canon WHERE rid NOT IN (SELECT rid FROM hit_rows)")
 oracle("skip_worker_tax", "canon decisions_wt", f"SELECT {_R} FROM canon c WHERE NOT EXISTS (SELECT 1 FROM decisions_wt d WHERE d.scope IN ('SKIP_ENTIRE_EMPLOYEE', 'SKIP_ALL_TAX_FOR_EMPLOYEE') AND d.worker_sk = c.worker_sk)")
 _scan = "worker_sk, branch_code, company_code, family_name, given_name, ssn, hire_date"
