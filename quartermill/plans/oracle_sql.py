@@ -8,7 +8,7 @@ are folded as text.  Shared parts are CTEs, assembled per query.
 from quartermill.operators import errors
 from quartermill.plans.registry import (
     SKIPPED_SITE,
-    AS_OF, FEDERAL_CODES, NON_REPORTING, REPORTING, RUN_TIME,
+    AS_OF, DAMAGE, FEDERAL_CODES, NON_REPORTING, REPORTING, RUN_TIME,
 )
 from quartermill.sources import sample_views
 from quartermill.specs import fixed_values as fixed
@@ -528,6 +528,24 @@ oracle("status_update", "changes", "SELECT * FROM changes")
 _gone = f"site_id = '{SKIPPED_SITE}' AND record_count IS NOT NULL"
 oracle("status_update_with_skips", "changes", f"""SELECT * REPLACE (CASE WHEN {_gone} THEN 'SKIPPED' ELSE status END AS status, CASE WHEN NOT ({_gone}) THEN record_count END AS record_count,
     CASE WHEN NOT ({_gone}) THEN outbound_file_name END AS outbound_file_name, CASE WHEN NOT ({_gone}) THEN object_key END AS object_key) FROM changes""")
+
+# unreadable input
+_at = {"fx_address": "NULL, NULL"}
+_rejects = " UNION ALL ".join(
+    f"SELECT '{v.removeprefix('fx_')}' AS input, {_at.get(v, 'branch_code, company_code')}, "
+    f"{repr(bad) if c == 'worker_sk' else 'CAST(worker_sk AS VARCHAR)'} AS worker_sk, '{c}' AS column_name, '{bad}' AS value, 'UNREADABLE' AS reason FROM {v} WHERE {rows}"
+    for v, c, bad, rows in DAMAGE
+)
+cte("rejects", "fx_snapshot fx_worker fx_address", _rejects, "input, branch_code, company_code, worker_sk, column_name, value, reason")
+oracle("quarantine", "rejects", "SELECT * FROM rejects")
+cte("bad_companies", "rejects", "SELECT DISTINCT branch_code, company_code FROM rejects WHERE company_code IS NOT NULL")
+cte("qperiods_q", "qperiods bad_companies", "SELECT q.* FROM qperiods q ANTI JOIN bad_companies b ON b.branch_code = q.branch_code AND b.company_code = q.company_code")
+line_ctes("_q", "qperiods_q", "workers_l", "workers_l", "rowtext", "absent")
+CTES["changes_q"] = (tuple(n.replace("whole", "whole_q") for n in CTES["changes"][0]), CTES["changes"][1].replace("changes AS", "changes_q AS", 1).replace("FROM whole ", "FROM whole_q "))
+cte("lacking", "fx_org bad_companies", "SELECT o.site_id, count(*) AS n, min(o.branch_code || '/' || o.company_code) AS first FROM (SELECT DISTINCT site_id, branch_code, company_code FROM fx_org) o JOIN bad_companies b USING (branch_code, company_code) GROUP BY 1")
+oracle("status_update_with_quarantine", "changes_q lacking queued", """SELECT c.* REPLACE (CASE WHEN l.n IS NOT NULL AND c.batch_id IN (SELECT batch_id FROM queued)
+    THEN concat_ws('; ', c.error_message, CAST(l.n AS VARCHAR) || ' companies left out for unreadable input, first: ' || l.first) ELSE c.error_message END AS error_message)
+    FROM changes_q c LEFT JOIN lacking l USING (site_id)""")
 oracle("batch_summary", "changes", "SELECT status, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records FROM changes WHERE file_type = 'QUARTER' GROUP BY 1")
 
 # errors

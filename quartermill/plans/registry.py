@@ -9,7 +9,7 @@ from quartermill.functions import formats, packing
 from quartermill.functions.text import (
     impact_flag, jurisdiction_class, jurisdiction_key, jurisdiction_order, normalize_category,
 )
-from quartermill.operators import assembly, errors, groups, mandatory, quality, queue, skips, taxes, workers
+from quartermill.operators import assembly, errors, groups, mandatory, quality, quarantine, queue, skips, taxes, workers
 from quartermill.operators.sizing import hot_workers
 from quartermill.plans import site_files, worker_lines
 from quartermill.session import shared_folder, stage
@@ -472,9 +472,9 @@ def site_file(spark, sf):
     return site_files.site_file(_in(spark, sf), RUN_TIME)
 
 
-def _written(spark, sf, decisions=None) -> tuple[str, DataFrame]:
+def _written(spark, sf, decisions=None, inputs=None) -> tuple[str, DataFrame]:
     """The files written as text in the shared folder, and their manifest."""
-    inputs = _in(spark, sf)
+    inputs = inputs or _in(spark, sf)
     staged = stage(site_files.packets(inputs, decisions=decisions), "packets")
     path = f"{shared_folder(spark)}/site-files-{uuid.uuid4().hex}"
     text_files.write_site_files(assembly.ordered_lines(staged, RUN_TIME), path)
@@ -523,6 +523,51 @@ def status_update_with_skips(spark, sf):
     return queue.status_changes(_queue(spark, sf), results, _org(spark, sf), RUN_TIME)
 
 
+# --- unreadable input --------------------------------------------------------------------
+
+# Sample damage: (input, column, damaged value, rows).
+DAMAGE = (
+    ("fx_snapshot", "qtd_amount", "12,50x", "company_code = 'C003' AND payroll_run_sk % 7 = 0"),
+    ("fx_snapshot", "year", "19x6", "company_code = 'C003' AND payroll_run_sk % 11 = 0"),
+    ("fx_worker", "birth_date", "1990-13-45", "company_code = 'C008' AND worker_sk % 3 = 0"),
+    ("fx_address", "worker_sk", "W?", "worker_sk % 97 = 0 AND type = 'Mail'"),
+)
+
+
+def _raw(spark, sf) -> dict[str, DataFrame]:
+    """The inputs as delivered: damaged columns are text."""
+    out = {}
+    for name, view in sample_views.INPUT_VIEWS.items():
+        df = sample_views.view(spark, sf, view)
+        for _, column, value, rows in (d for d in DAMAGE if d[0] == view):
+            df = df.withColumn(f"{column}_text", F.expr(f"CASE WHEN {rows} THEN '{value}' ELSE CAST({column} AS STRING) END"))
+        for _, column, *_ in (d for d in DAMAGE if d[0] == view):
+            df = df.drop(column).withColumnRenamed(f"{column}_text", column)
+        out[name] = df
+    return out
+
+
+@query
+def quarantine_(spark, sf):
+    """Every value that can't be read, with its row's company and worker."""
+    return quarantine.check(_raw(spark, sf)).rejects
+
+
+def _status_without_damaged(spark, sf, partial: str) -> DataFrame:
+    checked = quarantine.check(_raw(spark, sf))
+    inputs = worker_lines.Inputs(**checked.inputs)
+    _, parts = _written(spark, sf, inputs=inputs)
+    results = site_files.results(site_files.written_sizes(parts), queue.site_periods(inputs.queue))
+    changes = queue.status_changes(inputs.queue, results, inputs.organization, RUN_TIME)
+    return quarantine.mark_status(changes, inputs.queue, checked.companies, inputs.organization, partial)
+
+
+@query
+def status_update_with_quarantine(spark, sf):
+    """The queue after a run over damaged inputs: two companies are left out, all other lines are written."""
+    return _status_without_damaged(spark, sf, "GENERATED")
+
+
 @query
 def batch_summary(spark, sf):
     return queue.batch_summary(status_update(spark, sf))
@@ -727,3 +772,4 @@ def dq_federal(spark, sf):
 
 
 QUERIES["normalize_category"] = QUERIES.pop("normalize_category_")
+QUERIES["quarantine"] = QUERIES.pop("quarantine_")

@@ -212,6 +212,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql)
 
 
+#: View of each input of the filing job.
+INPUT_VIEWS = {
+    "worker": "fx_worker", "address": "fx_address", "snapshot": "fx_snapshot", "profile": "fx_profile",
+    "organization": "fx_org", "queue": "fx_queue",
+}
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     load = {
         "worker": ("fx_worker", schemas.WORKER),
