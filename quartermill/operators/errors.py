@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quartermill.functions.text import impact_flag, jurisdiction, normalize_category
 from quartermill.session import values_frame
@@ -19,14 +19,23 @@ def catalog_rows() -> list[tuple]:
     ]
 
 
+_CATALOG_SCHEMA = pa.schema(
+    [
+        ("error_code", _TEXT), ("legacy_error_code", _TEXT), ("error_type", _TEXT), ("category", _TEXT),
+        ("impacts_deposit", pa.bool_()), ("impacts_filing", pa.bool_()),
+    ]
+)
+
+
 def default_catalog(spark: SparkSession) -> DataFrame:
-    schema = pa.schema(
-        [
-            ("error_code", _TEXT), ("legacy_error_code", _TEXT), ("error_type", _TEXT), ("category", _TEXT),
-            ("impacts_deposit", pa.bool_()), ("impacts_filing", pa.bool_()),
-        ]
-    )
-    return values_frame(spark, schema, catalog_rows())
+    return values_frame(spark, _CATALOG_SCHEMA, catalog_rows())
+
+
+def versioned_catalog(spark: SparkSession, versions: tuple = ()) -> DataFrame:
+    """The built-in catalog with ``effective_from``: empty for its own rows, and further (row, time) ``versions``."""
+    schema = pa.schema([*_CATALOG_SCHEMA, ("effective_from", _TEXT)])
+    rows = [(*row, None) for row in catalog_rows()] + [(*row, time) for row, time in versions]
+    return values_frame(spark, schema, rows).withColumn("effective_from", F.to_timestamp("effective_from"))
 
 
 def classify(errors: DataFrame, category: str = "category") -> DataFrame:
@@ -49,8 +58,30 @@ def classify(errors: DataFrame, category: str = "category") -> DataFrame:
     )
 
 
+def catalog_spans(catalog: DataFrame) -> DataFrame:
+    """Catalog rows with the span in which each counts: ``effective_from`` up to, but not at, ``effective_to``.
+
+    A row without ``effective_from`` counts from the beginning. Of several rows
+    of one code and time the one that sorts last counts. Only catalog rows meet
+    in a window, never errors.
+    """
+    facts = ["error_type", "category", "impacts_deposit", "impacts_filing"]
+    one = catalog.groupBy("error_code", "effective_from").agg(F.max(F.struct(*facts)).alias("fact"))
+    later = Window.partitionBy("error_code").orderBy(F.col("effective_from").asc_nulls_first())
+    return one.select("error_code", "fact.*", "effective_from", F.lead("effective_from").over(later).alias("effective_to"))
+
+
 def active_errors(errors: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Open and pending errors with their catalog row, if there is one."""
+    """Open and pending errors with their catalog row, if there is one.
+
+    A catalog with ``effective_from`` is read as of each error's
+    ``created_date_time``: an equality join with a condition on spans that
+    don't overlap, so an error has one row at most however many versions and
+    repeats its code has. An error without a date takes the newest version.
+    """
+    versioned = "effective_from" in catalog.columns
+    if versioned:
+        catalog = catalog_spans(catalog)
     facts = catalog.select(
         "error_code",
         "error_type",
@@ -58,15 +89,20 @@ def active_errors(errors: DataFrame, catalog: DataFrame) -> DataFrame:
         impact_flag(F.col("impacts_deposit")).alias("impacts_deposit"),
         impact_flag(F.col("impacts_filing")).alias("impacts_filing"),
         F.lit(True).alias("in_catalog"),
+        *(["effective_from", "effective_to"] if versioned else []),
     )
-    return (
-        errors.filter("resolution_status = 'Open' AND write_status = 'PENDING'")
-        .select(
-            "company_error_sk", "organization_unit_sk", "error_code", "state_code", "local_code", "tax_type", "worker_sk"
-        )
-        .join(facts, "error_code", "left")
-        .withColumn("in_catalog", F.coalesce("in_catalog", F.lit(False)))
-    )
+    wanted = errors.filter("resolution_status = 'Open' AND write_status = 'PENDING'").select(
+        "company_error_sk", "organization_unit_sk", "error_code", "state_code", "local_code", "tax_type", "worker_sk",
+        *(["created_date_time"] if versioned else []),
+    )
+    if not versioned:
+        return wanted.join(facts, "error_code", "left").withColumn("in_catalog", F.coalesce("in_catalog", F.lit(False)))
+    facts = facts.withColumnRenamed("error_code", "catalog_code")
+    at_time = """error_code = catalog_code
+        AND (effective_from IS NULL OR created_date_time IS NULL OR created_date_time >= effective_from)
+        AND (effective_to IS NULL OR created_date_time < effective_to)"""
+    found = wanted.join(facts, F.expr(at_time), "left").withColumn("in_catalog", F.coalesce("in_catalog", F.lit(False)))
+    return found.drop("catalog_code", "effective_to", "created_date_time")
 
 
 def catalog_profile(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quartermill.functions.formats import quote
 from quartermill.functions.text import jurisdiction_key
+from quartermill.operators.queue import queued
 from quartermill.session import values_frame
 from quartermill.specs.compile import Specs, default_specs
 from quartermill.specs.fixed_values import FEDERAL, JURISDICTION_WIDTH
@@ -329,3 +330,29 @@ def error_write_status(errors: DataFrame, audit_rows: DataFrame) -> DataFrame:
         """CASE WHEN NOT (resolution_status = 'Open' AND write_status = 'PENDING') THEN write_status
                 WHEN coalesce(removed, 0L) > 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS write_status""",
     )
+
+
+def seen_units(changes: DataFrame, queue: DataFrame, organization: DataFrame) -> DataFrame:
+    """Organization units (``organization_unit_sk``) of which a file of this run ended GENERATED or SKIPPED.
+
+    ``changes``: the queue after the run; only rows that were queued before it
+    belong to the run.
+    """
+    run = queued(queue).select("batch_id").distinct()
+    ended = changes.where(F.col("status").isin("GENERATED", "SKIPPED")).join(run, "batch_id", "left_semi")
+    sites = ended.select("site_id").distinct()
+    return organization.join(sites, "site_id", "left_semi").select("organization_unit_sk").distinct()
+
+
+def write_status_after_run(errors: DataFrame, audit_rows: DataFrame, units: DataFrame) -> DataFrame:
+    """``error_write_status`` where the run reached the error: an error of no unit of ``units`` stays as it was.
+
+    A file that failed, or was not queued, has neither shown its company's
+    errors nor skipped anything for them, so the next run takes them up again.
+    """
+    seen = units.select("organization_unit_sk", F.lit(True).alias("seen"))
+    status = error_write_status(errors, audit_rows)
+    reached = errors.join(seen, "organization_unit_sk", "left").select("company_error_sk", F.coalesce("seen", F.lit(False)).alias("seen"))
+    return status.join(reached, "company_error_sk").select(
+        "company_error_sk", "error_code", "old_status", F.when(F.col("seen"), F.col("write_status")).otherwise(F.col("old_status")).alias("write_status"), "seen"
+    )

@@ -8,7 +8,7 @@ are folded as text.  Shared parts are CTEs, assembled per query.
 from quartermill.operators import errors
 from quartermill.plans.registry import (
     SKIPPED_SITE,
-    AS_OF, DAMAGE, FEDERAL_CODES, NON_REPORTING, REPORTING, RUN_TIME,
+    AS_OF, CATALOG_VERSIONS, DAMAGE, FAILED_SITE, FEDERAL_CODES, NON_REPORTING, REPORTING, RUN_TIME, UNQUEUED_SITE,
 )
 from quartermill.sources import sample_views
 from quartermill.specs import fixed_values as fixed
@@ -626,6 +626,20 @@ oracle("skip_audit", "audit", "SELECT * FROM audit")
 oracle("error_write_status", "fx_error audit", """SELECT e.company_error_sk, e.error_code, e.write_status AS old_status,
     CASE WHEN NOT (e.resolution_status = 'Open' AND e.write_status = 'PENDING') THEN e.write_status WHEN coalesce(a.removed, 0) > 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS write_status
     FROM fx_error e LEFT JOIN (SELECT company_error_sk, sum(removed) AS removed FROM audit GROUP BY 1) a ON a.company_error_sk = e.company_error_sk""")
+# With skips, a file with workers ends GENERATED or SKIPPED.
+oracle("error_write_status_after_run", "fx_error fx_org audit qperiods", f"""SELECT company_error_sk, error_code, old_status, seen,
+    CASE WHEN NOT seen OR NOT (resolution_status = 'Open' AND old_status = 'PENDING') THEN old_status WHEN removed > 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS write_status
+    FROM (SELECT e.company_error_sk, e.error_code, e.resolution_status, e.write_status AS old_status, coalesce(a.removed, 0) AS removed,
+      e.organization_unit_sk IN (SELECT organization_unit_sk FROM fx_org WHERE site_id IN (SELECT site_id FROM qperiods WHERE site_id NOT IN ('{FAILED_SITE}', '{UNQUEUED_SITE}'))) AS seen
+      FROM fx_error e LEFT JOIN (SELECT company_error_sk, sum(removed) AS removed FROM audit GROUP BY 1) a USING (company_error_sk))""")
+CTES["versions"] = ((), values("versions", "error_code, legacy, error_type, category, impacts_deposit, impacts_filing, since",
+    [(*r, "0001-01-01 00:00:00") for r in errors.catalog_rows()] + [(*r, t) for r, t in CATALOG_VERSIONS]))
+oracle("active_errors_as_of", "fx_error versions", """SELECT e.company_error_sk, e.organization_unit_sk, e.error_code, e.state_code, e.local_code, e.tax_type, e.worker_sk,
+    c.error_type, c.category, c.impacts_deposit, c.impacts_filing, c.error_code IS NOT NULL AS in_catalog, CASE WHEN c.since > TIMESTAMP '0001-01-01' THEN strftime(c.since, '%Y-%m-%d %H:%M:%S') END AS effective_from
+    FROM (SELECT * FROM fx_error WHERE resolution_status = 'Open' AND write_status = 'PENDING') e
+    ASOF LEFT JOIN (SELECT error_code, CAST(since AS TIMESTAMP) AS since, error_type, category, impacts_deposit, impacts_filing FROM versions
+      QUALIFY row_number() OVER (PARTITION BY error_code, since ORDER BY error_type DESC, category DESC, impacts_deposit DESC, impacts_filing DESC) = 1) c
+    ON c.error_code = e.error_code AND e.created_date_time >= c.since""")
 oracle("site_file_with_skips", "whole_s", "SELECT * FROM whole_s")
 
 # quality

@@ -1,6 +1,7 @@
 """Registered queries: every operator and job over the sample views."""
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -691,6 +692,47 @@ def error_write_status(spark, sf):
     return skips.error_write_status(_errors(spark, sf), _audit(spark, sf))
 
 
+# Sample run: one site's workers are missing, so its files fail; one site is not queued.
+FAILED_SITE, UNQUEUED_SITE = "S002", "S001"
+
+
+@query
+def error_write_status_after_run(spark, sf):
+    """Write status after a run with skips in which one site fails and one is not queued."""
+    inputs, organization = _in(spark, sf), _org(spark, sf)
+    missing = organization.where(F.col("site_id") == FAILED_SITE).select("branch_code", "company_code").distinct()
+    inputs = replace(
+        inputs,
+        worker=inputs.worker.join(missing, ["branch_code", "company_code"], "left_anti").select(*inputs.worker.columns),
+        queue=inputs.queue.where(f"NOT (site_id <=> '{UNQUEUED_SITE}' AND status <=> 'QUEUED')"),
+    )
+    _, parts = _written(spark, sf, skips.PacketDecisions.fold(_decisions(spark, sf), _groups(spark)), inputs)
+    periods = queue.site_periods(inputs.queue)
+    results = site_files.results(site_files.written_sizes(parts), periods, site_files.files_with_workers(inputs))
+    changes = queue.status_changes(inputs.queue, results, organization, RUN_TIME)
+    units = skips.seen_units(changes, inputs.queue, organization)
+    return skips.write_status_after_run(_errors(spark, sf), _audit(spark, sf), units)
+
+
+# Later versions of catalog rows, with repeats: (code, legacy code, type, category, deposit, filing), from.
+CATALOG_VERSIONS = (
+    (("SSN_NON_NUM", "SSN1", "SSN", "REGISTRATION", True, True), "2024-01-10 00:00:00"),
+    (("SSN_NON_NUM", "SSN1", "SSN", "WAGEPLAN", False, True), "2024-01-20 00:00:00"),
+    (("SSN_NON_NUM", "SSN1", "SSN", "WAGEPLAN", False, True), "2024-01-20 00:00:00"),
+    (("FEIN_IS_MISSING", "F1", "TAX_ID", "PAYROLL", False, False), "2024-01-15 12:00:00"),
+    (("FEIN_IS_MISSING", "F2", "TAX_ID", "WAGEPLAN", True, False), "2024-01-15 12:00:00"),
+    (("NOT_IN_CATALOG", "N1", "OTHER", "PAYROLL", True, True), "2024-01-25 00:00:00"),
+    (("E002", "E2", "SSN", "REGISTRATION", True, True), "2099-01-01 00:00:00"),
+)
+
+
+@query
+def active_errors_as_of(spark, sf):
+    """Open errors with the catalog version of their date."""
+    found = errors.active_errors(_errors(spark, sf), errors.versioned_catalog(spark, CATALOG_VERSIONS))
+    return found.withColumn("effective_from", F.date_format("effective_from", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def site_file_with_skips(spark, sf):
     decisions = skips.PacketDecisions.fold(_decisions(spark, sf), _groups(spark))
