@@ -626,6 +626,49 @@ oracle("skip_audit", "audit", "SELECT * FROM audit")
 oracle("error_write_status", "fx_error audit", """SELECT e.company_error_sk, e.error_code, e.write_status AS old_status,
     CASE WHEN NOT (e.resolution_status = 'Open' AND e.write_status = 'PENDING') THEN e.write_status WHEN coalesce(a.removed, 0) > 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS write_status
     FROM fx_error e LEFT JOIN (SELECT company_error_sk, sum(removed) AS removed FROM audit GROUP BY 1) a ON a.company_error_sk = e.company_error_sk""")
+# Each narrow effect packs the lines of its workers again, under worker numbers of its own.
+_VID = 1_000_000_000
+_narrow = "branch_code, company_code, worker_sk, scope, jurisdiction, tax_type, codes"
+cte("narrow", "decisions", f"""SELECT company_error_sk, rule_id, CASE WHEN worker_sk IS NULL THEN branch_code END AS branch_code, CASE WHEN worker_sk IS NULL THEN company_code END AS company_code,
+    worker_sk, scope, jurisdiction, tax_type, codes FROM decisions WHERE scope IN ('SKIP_TAX_JURISDICTION', 'SKIP_CODE')""")
+cte("effects", "narrow twins", f"""SELECT row_number() OVER () AS eid, *, CASE WHEN tax_type IS NOT NULL THEN coalesce((SELECT list(w.tax_type) FROM twins w WHERE w.base = n.tax_type), [tax_type]) END AS types,
+    CASE WHEN scope = 'SKIP_CODE' THEN string_split(codes, ',') ELSE [] END AS code_list FROM (SELECT DISTINCT {_narrow} FROM narrow) n""")
+cte("vw", "effects site_workers", f"""SELECT e.eid, e.eid * {_VID} + w.worker_sk AS vid, w.worker_sk, e.scope, e.jurisdiction, e.types, e.code_list FROM effects e JOIN site_workers w
+    ON CASE WHEN e.worker_sk IS NULL THEN w.branch_code = e.branch_code AND w.company_code = e.company_code ELSE w.worker_sk = e.worker_sk END""")
+_gone_code = "(list_contains(v.code_list, {0}) AND coalesce(v.jurisdiction = {1}, v.jurisdiction IS NULL))"
+_gone_row = "(v.scope = 'SKIP_TAX_JURISDICTION' AND v.jurisdiction = {0}.jurisdiction AND (v.types IS NULL OR list_contains(v.types, {0}.tax_type)))"
+cte("qperiods_v", "qperiods vw", "SELECT v.vid AS worker_sk, q.branch_code, q.company_code, q.year, q.quarter, q.site_id FROM qperiods q JOIN vw v ON v.worker_sk = q.worker_sk")
+cte("fields_v", "workers_f vw", f"""SELECT v.vid AS worker_sk, t.ord, t.level, t.code, t.text, NULL::VARCHAR AS only_jurisdiction FROM workers_f t JOIN vw v ON v.worker_sk = t.worker_sk
+    WHERE NOT {_gone_code.format('t.code', 'NULL')}""")
+cte("rows_v", "rowtext vw", f"""SELECT r.* REPLACE (v.vid AS worker_sk, list_filter(r.fields, lambda x: NOT {_gone_code.format('left(x, 2)', 'r.jurisdiction')}) AS fields)
+    FROM rowtext r JOIN vw v ON v.worker_sk = r.worker_sk WHERE NOT coalesce({_gone_row.format('r')}, false)""")
+cte("absent_v", "wperiods mand rows_v vw", f"""SELECT v.vid AS worker_sk, t.branch_code, t.company_code, t.year, t.quarter, m.code, m.tax_type FROM wperiods t JOIN vw v ON v.worker_sk = t.worker_sk CROSS JOIN mand m
+    WHERE NOT EXISTS (SELECT 1 FROM rows_v r WHERE r.worker_sk = v.vid AND r.year = t.year AND r.quarter = t.quarter AND r.tax_type = m.tax_type)
+    AND NOT coalesce(v.scope = 'SKIP_TAX_JURISDICTION' AND v.jurisdiction = 'F' AND (v.types IS NULL OR list_contains(v.types, m.tax_type)), false)""")
+line_ctes("_v", "qperiods_v", "fields_v", "fields_v", "rows_v", "absent_v")
+CTES["all_defaults_v"] = (CTES["defaults_v"][0], CTES["defaults_v"][1].replace("defaults_v AS", "all_defaults_v AS", 1))
+cte("defaults_v", "all_defaults_v vw", f"SELECT d.* FROM all_defaults_v d JOIN vw v ON v.vid = d.worker_sk WHERE NOT {_gone_code.format('left(d.text, 2)', 'd.jurisdiction')}")
+_file = "site_id, year, quarter, branch_code, company_code"
+for _t in ("", "_v"):
+    cte(f"sized{_t}", f"own_lines{_t} tax_lines{_t}", f"""SELECT o.worker_sk // {_VID} AS eid, o.worker_sk % {_VID} AS worker_sk, o.site_id, o.year, o.quarter, o.branch_code, o.company_code,
+        len(o.lines) AS own, coalesce(len(t.lines), 0) AS tax FROM own_lines{_t} o LEFT JOIN tax_lines{_t} t ON t.worker_sk = o.worker_sk AND t.year = o.year AND t.quarter = o.quarter""")
+cte("file_sums", "sized", f"SELECT {_file}, sum(own) AS own, sum(tax) AS tax FROM sized GROUP BY ALL")
+cte("less", "sized sized_v", f"SELECT v.eid, {', '.join('b.' + c for c in _file.split(', '))}, sum(b.own - v.own) AS own, sum(b.tax - v.tax) AS tax FROM sized_v v JOIN sized b USING (worker_sk, site_id, year, quarter) GROUP BY ALL")
+_of_company = "(d.worker_sk IS NULL OR d.scope IN ('SKIP_COMPANY_OUTPUT', 'SKIP_COMPANY_TAX_OUTPUT'))"
+cte("reached", "decisions file_sums sized", f"""SELECT d.company_error_sk, d.rule_id, d.scope, {', '.join('k.' + c for c in _file.split(', '))}, k.own, k.tax FROM decisions d JOIN file_sums k ON {_of_company} AND {_same} AND d.scope NOT IN ('SKIP_ENTIRE_EMPLOYEE', 'SKIP_ALL_TAX_FOR_EMPLOYEE')
+    UNION ALL SELECT d.company_error_sk, d.rule_id, d.scope, {', '.join('k.' + c for c in _file.split(', '))}, k.own, k.tax FROM decisions d JOIN sized k ON NOT {_of_company} AND k.worker_sk = d.worker_sk""")
+_n = "CAST(coalesce({0}, 0) AS BIGINT)"
+oracle("skip_audit_lines", "decisions active narrow effects reached file_sums less", f"""SELECT d.company_error_sk, d.rule_id, d.error_code, a.category, d.resolved_category, a.impacts_deposit, a.impacts_filing, d.scope, d.worker_sk, d.jurisdiction, d.tax_type,
+    r.site_id, r.year, r.quarter, coalesce(r.branch_code, d.branch_code) AS branch_code, coalesce(r.company_code, d.company_code) AS company_code,
+    {_n.format('f.own')} AS worker_lines_before, {_n.format("f.own - CASE WHEN d.scope IN ('SKIP_COMPANY_OUTPUT', 'SKIP_ENTIRE_EMPLOYEE') THEN r.own ELSE coalesce(l.own, 0) END")} AS worker_lines_after,
+    {_n.format('f.tax')} AS tax_lines_before, {_n.format("f.tax - CASE WHEN d.scope IN ('SKIP_COMPANY_OUTPUT', 'SKIP_ENTIRE_EMPLOYEE', 'SKIP_COMPANY_TAX_OUTPUT', 'SKIP_ALL_TAX_FOR_EMPLOYEE') THEN r.tax ELSE coalesce(l.tax, 0) END")} AS tax_lines_after
+    FROM decisions d JOIN active a ON a.company_error_sk = d.company_error_sk
+    LEFT JOIN reached r ON r.company_error_sk = d.company_error_sk AND r.rule_id IS NOT DISTINCT FROM d.rule_id
+    LEFT JOIN file_sums f ON {' AND '.join(f'f.{c} = r.{c}' for c in _file.split(', '))}
+    LEFT JOIN narrow n ON n.company_error_sk = d.company_error_sk AND n.rule_id IS NOT DISTINCT FROM d.rule_id
+    LEFT JOIN effects e ON {' AND '.join(f'e.{c} IS NOT DISTINCT FROM n.{c}' for c in _narrow.split(', '))}
+    LEFT JOIN less l ON l.eid = e.eid AND {' AND '.join(f'l.{c} = r.{c}' for c in _file.split(', '))}
+    WHERE d.scope <> 'NO_SKIP'""")
 # With skips, a file with workers ends GENERATED or SKIPPED.
 oracle("error_write_status_after_run", "fx_error fx_org audit qperiods", f"""SELECT company_error_sk, error_code, old_status, seen,
     CASE WHEN NOT seen OR NOT (resolution_status = 'Open' AND old_status = 'PENDING') THEN old_status WHEN removed > 0 THEN 'SKIPPED' ELSE 'WRITTEN' END AS write_status

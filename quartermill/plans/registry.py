@@ -12,7 +12,7 @@ from quartermill.functions.text import (
 )
 from quartermill.operators import assembly, errors, groups, mandatory, quality, quarantine, queue, skips, taxes, workers
 from quartermill.operators.sizing import hot_workers
-from quartermill.plans import site_files, worker_lines
+from quartermill.plans import line_audit, site_files, worker_lines
 from quartermill.session import shared_folder, stage
 from quartermill.sources import feed, sample_views, text_files, warehouse
 from quartermill.specs import compile as spec_jobs
@@ -692,6 +692,12 @@ def error_write_status(spark, sf):
     return skips.error_write_status(_errors(spark, sf), _audit(spark, sf))
 
 
+@query
+def skip_audit_lines(spark, sf):
+    """Per decision and file of its company: worker lines and tax lines without it and with it alone."""
+    return line_audit.audit(_in(spark, sf), _decisions(spark, sf), active_errors(spark, sf))
+
+
 # Sample run: one site's workers are missing, so its files fail; one site is not queued.
 FAILED_SITE, UNQUEUED_SITE = "S002", "S001"
 
