@@ -186,6 +186,32 @@ def resolve_category(active: DataFrame, book: RuleBook) -> DataFrame:
     )
 
 
+def _muted(resolved: DataFrame) -> DataFrame:
+    """An error without impact on deposit or filing skips nothing unless a rule names its code."""
+    return resolved.withColumn(
+        "resolved_category",
+        F.expr(
+            "CASE WHEN in_catalog AND NOT impacts_deposit AND NOT impacts_filing AND resolved_by <> 'RULE' "
+            "THEN 'NO_IMPACT_ERROR' ELSE resolved_category END"
+        ),
+    )
+
+
+def _decision_columns() -> list[str]:
+    rank = " ".join(f"WHEN '{scope}' THEN {i}" for i, scope in enumerate(fixed.SKIP_SCOPES, 1))
+    return [
+        "company_error_sk", "error_code", "resolved_category", "rule_id",
+        "coalesce(scope, 'NO_SKIP') AS scope",
+        "rule_id IS NULL AS unmapped",
+        f"CASE coalesce(scope, 'NO_SKIP') {rank} END AS scope_rank",
+        "branch_code", "company_code", "worker_sk",
+        f"CASE WHEN scope = 'SKIP_TAX_JURISDICTION' OR state_code IS NOT NULL "
+        f"THEN {jurisdiction('state_code', 'local_code')} END AS jurisdiction",
+        "tax_type",
+        "coalesce(codes, CAST(array() AS ARRAY<STRING>)) AS codes",
+    ]
+
+
 def resolve_scopes(resolved: DataFrame, book: RuleBook, organization: DataFrame, as_of: str) -> DataFrame:
     """One decision per error and active rule of its category.
 
@@ -199,28 +225,49 @@ def resolve_scopes(resolved: DataFrame, book: RuleBook, organization: DataFrame,
         f"coalesce(CAST(active_from AS DATE), {day}) <= {day} AND coalesce(CAST(active_to AS DATE), {day}) >= {day}"
     ).select("rule_id", "resolved_category", "scope", "codes")
     companies = organization.select("organization_unit_sk", "branch_code", "company_code").distinct()
-    muted = resolved.withColumn(
-        "resolved_category",
-        F.expr(
-            "CASE WHEN in_catalog AND NOT impacts_deposit AND NOT impacts_filing AND resolved_by <> 'RULE' "
-            "THEN 'NO_IMPACT_ERROR' ELSE resolved_category END"
-        ),
+    return (
+        _muted(resolved).join(active_rules, "resolved_category", "left")
+        .join(companies, "organization_unit_sk", "left")
+        .selectExpr(*_decision_columns())
     )
-    rank = " ".join(f"WHEN '{scope}' THEN {i}" for i, scope in enumerate(fixed.SKIP_SCOPES, 1))
+
+
+#: Columns of a rule table; a null side is BOTH, a null date is no limit, a null ``active`` is true.
+RULE_TABLE = """rule_id INT, resolved_category STRING, side STRING, scope STRING, target STRING, codes ARRAY<STRING>,
+    reporting_group STRING, needs_place BOOLEAN, active BOOLEAN, effective_from DATE, effective_to DATE"""
+
+
+def resolve_by_table(
+    resolved: DataFrame, errors: DataFrame, rules: DataFrame | None, organization: DataFrame, group_codes: DataFrame | None = None
+) -> DataFrame:
+    """``resolve_scopes`` with rules from a table (``RULE_TABLE``), in force on the day of each error; adds side and target.
+
+    ``side`` WORKER or TAX limits a code rule to worker fields or to fields of
+    tax rows. A rule with a ``reporting_group`` skips that group's codes of
+    ``group_codes`` (reporting_group, code) too. A rule that ``needs_place``
+    is for errors with a state only. An error without a date meets rules
+    without limits. Without a rule table nothing is skipped, and every error is
+    marked ``unmapped``.
+    """
+    spark = resolved.sparkSession
+    rules = spark.createDataFrame([], RULE_TABLE) if rules is None else rules
+    groups = spark.createDataFrame([], "reporting_group STRING, code STRING") if group_codes is None else group_codes
+    listed = groups.groupBy("reporting_group").agg(F.collect_set("code").alias("group_list"))
+    rules = rules.where("coalesce(active, true)").join(listed, "reporting_group", "left")
+    rules = rules.selectExpr(
+        "rule_id", "resolved_category AS rule_category", "coalesce(upper(side), 'BOTH') AS side",
+        "CASE WHEN reporting_group IS NOT NULL THEN 'SKIP_CODE' ELSE scope END AS scope", "target",
+        "array_sort(array_distinct(concat(coalesce(codes, array()), coalesce(group_list, array())))) AS codes",
+        "coalesce(needs_place, false) AS needs_place", "effective_from", "effective_to",
+    )
+    raised = errors.select("company_error_sk", F.to_date("created_date_time").alias("raised_on"))
+    companies = organization.select("organization_unit_sk", "branch_code", "company_code").distinct()
+    in_force = """resolved_category = rule_category AND (NOT needs_place OR state_code IS NOT NULL)
+        AND (effective_from IS NULL OR effective_from <= raised_on) AND (effective_to IS NULL OR effective_to >= raised_on)"""
     return (
-        muted.join(active_rules, "resolved_category", "left")
+        _muted(resolved).join(raised, "company_error_sk", "left").join(rules, F.expr(in_force), "left")
         .join(companies, "organization_unit_sk", "left")
-        .selectExpr(
-            "company_error_sk", "error_code", "resolved_category", "rule_id",
-            "coalesce(scope, 'NO_SKIP') AS scope",
-            "rule_id IS NULL AS unmapped",
-            f"CASE coalesce(scope, 'NO_SKIP') {rank} END AS scope_rank",
-            "branch_code", "company_code", "worker_sk",
-            f"CASE WHEN scope = 'SKIP_TAX_JURISDICTION' OR state_code IS NOT NULL "
-            f"THEN {jurisdiction('state_code', 'local_code')} END AS jurisdiction",
-            "tax_type",
-            "coalesce(codes, CAST(array() AS ARRAY<STRING>)) AS codes",
-        )
+        .selectExpr(*_decision_columns(), "coalesce(side, 'BOTH') AS side", "target")
     )
 
 

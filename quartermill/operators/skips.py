@@ -78,7 +78,9 @@ def reporting_groups(spark, reporting: list[str], non_reporting: list[str]) -> D
 
 def code_targets(decisions: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Decisions per code: listed codes, and the codes of a reporting group."""
-    keys = ["company_error_sk", "rule_id", "scope", *COMPANY, "worker_sk", "jurisdiction"]
+    if "side" not in decisions.columns:
+        decisions = decisions.withColumn("side", F.lit("BOTH"))
+    keys = ["company_error_sk", "rule_id", "scope", *COMPANY, "worker_sk", "jurisdiction", "side"]
     listed = of_scope(decisions, "SKIP_CODE").select(*keys, F.explode("codes").alias("code"))
     if groups is None:
         return listed
@@ -154,7 +156,7 @@ class PacketDecisions:
         """Sets are collected distinct, so their size is bounded by the codes and jurisdictions."""
         targets = code_targets(decisions, groups).selectExpr(
             *COMPANY, "worker_sk",
-            f"named_struct('juris', CASE WHEN jurisdiction IS NOT NULL THEN {jurisdiction_key('jurisdiction')} END, 'code', code) AS code_skip",
+            f"named_struct('juris', CASE WHEN jurisdiction IS NOT NULL THEN {jurisdiction_key('jurisdiction')} END, 'code', code, 'side', side) AS code_skip",
         )
         skipping = twin_types(decisions.filter("scope <> 'NO_SKIP'")).selectExpr(
             *COMPANY, "worker_sk", "scope",
@@ -200,11 +202,11 @@ class PacketDecisions:
             f"NOT exists(juris_skips, k -> k.juris = {juris} AND coalesce(k.tax_type = {tax_type}, true))"
         )
 
-    def keeps_codes(self, fields: str, juris: str) -> str:
-        """Fields of a jurisdiction that no decision removes."""
+    def keeps_codes(self, fields: str, juris: str, tax_type: str = "tax_type") -> str:
+        """Fields of a jurisdiction that no decision removes; worker fields that ride on it have no tax type."""
         return (
-            f"filter({fields}, t -> NOT exists(code_skips, "
-            f"k -> k.code = left(t, 2) AND coalesce(k.juris = {juris}, true)))"
+            f"filter({fields}, t -> NOT exists(code_skips, k -> k.code = left(t, 2) AND coalesce(k.juris = {juris}, true) "
+            f"AND k.side <> CASE WHEN {tax_type} = '' THEN 'TAX' ELSE 'WORKER' END))"
         )
 
     def kept_rows(self, rows: str) -> str:
@@ -221,10 +223,10 @@ class PacketDecisions:
 
     def kept_fields(self, fields: str) -> str:
         """Worker fields outside any jurisdiction."""
-        return f"filter({fields}, t -> NOT exists(code_skips, k -> k.juris IS NULL AND k.code = left(t, 2)))"
+        return f"filter({fields}, t -> NOT exists(code_skips, k -> k.juris IS NULL AND k.code = left(t, 2) AND k.side <> 'TAX'))"
 
     def kept_codes(self, rows: str) -> str:
-        kept = self.keeps_codes("r.fields", "r.juris")
+        kept = self.keeps_codes("r.fields", "r.juris", "r.tax_type")
         return (
             f"CASE WHEN size(code_skips) = 0 THEN transform({rows}, r -> named_struct('juris', r.juris, 'text', r.text, 'fields', r.fields)) "
             f"ELSE transform({rows}, r -> named_struct('juris', r.juris, 'text', array_join({kept}, ''), 'fields', {kept})) END"

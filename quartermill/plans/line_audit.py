@@ -63,7 +63,7 @@ def effects(decisions: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Narrow decisions with what they skip (``juris_skips``, ``code_skips``) and a key of their effect."""
     codes = code_targets(decisions, groups).selectExpr(
         *DECISION, *COMPANY, "worker_sk",
-        f"named_struct('juris', CASE WHEN jurisdiction IS NOT NULL THEN {jurisdiction_key('jurisdiction')} END, 'code', code) AS code_skip",
+        f"named_struct('juris', CASE WHEN jurisdiction IS NOT NULL THEN {jurisdiction_key('jurisdiction')} END, 'code', code, 'side', side) AS code_skip",
     )
     places = twin_types(of_scope(decisions, "SKIP_TAX_JURISDICTION")).selectExpr(
         *DECISION, *COMPANY, "worker_sk", f"named_struct('juris', {jurisdiction_key('jurisdiction')}, 'tax_type', tax_type) AS juris_skip"

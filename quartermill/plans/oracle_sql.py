@@ -5,10 +5,12 @@ aggregate joined back, fields are unpivoted and joined to the cell list, lines
 are folded as text.  Shared parts are CTEs, assembled per query.
 """
 
+import re
+
 from quartermill.operators import errors
 from quartermill.plans.registry import (
     SKIPPED_SITE,
-    AS_OF, CATALOG_VERSIONS, DAMAGE, FAILED_SITE, FEDERAL_CODES, NON_REPORTING, REPORTING, RUN_TIME, UNQUEUED_SITE,
+    AS_OF, CATALOG_VERSIONS, DAMAGE, FAILED_SITE, FEDERAL_CODES, GROUP_CODES, NON_REPORTING, REPORTING, RULE_ROWS, RUN_TIME, UNQUEUED_SITE,
 )
 from quartermill.sources import sample_views
 from quartermill.specs import fixed_values as fixed
@@ -378,6 +380,37 @@ cte("absent_s", "wperiods mand canon hit_rows no_tax jkeys", """SELECT t.*, m.co
     AND NOT EXISTS (SELECT 1 FROM jkeys d WHERE d.jurisdiction = 'F' AND coalesce(d.tax_type = m.tax_type, true) AND d.worker_sk = t.worker_sk)""")
 line_ctes("_s", "qperiods_s", "fields_s", "level_s", "rows_s", "absent_s")
 
+# The same with a rule table: sides, groups, dates of the errors.
+_grouped = [
+    (*r[:2], r[2] or "BOTH", "SKIP_CODE" if r[6] else r[3], r[4], ",".join(sorted({*r[5], *(c for g, c in GROUP_CODES if g == r[6])})), *r[7:]) for r in RULE_ROWS
+]
+CTES["rule_table"] = ((), values("rule_table", "rule_id, cat, side, scope, target, codes, needs_place, active, since, until", _grouped))
+_ranks_r = " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(fixed.SKIP_SCOPES, 1))
+cte("decisions_r", "resolved rule_table fx_org fx_error", f"""SELECT m.company_error_sk, m.error_code, m.resolved_category, CAST(r.rule_id AS INTEGER) AS rule_id,
+    coalesce(r.scope, 'NO_SKIP') AS scope, r.rule_id IS NULL AS unmapped, CAST(CASE coalesce(r.scope, 'NO_SKIP') {_ranks_r} END AS INTEGER) AS scope_rank,
+    o.branch_code, o.company_code, m.worker_sk,
+    CASE WHEN r.scope = 'SKIP_TAX_JURISDICTION' OR m.state_code IS NOT NULL THEN
+      CASE WHEN m.state_code IS NULL THEN 'F' WHEN m.local_code IS NULL THEN m.state_code ELSE m.state_code || right(m.local_code, 4) END END AS jurisdiction,
+    m.tax_type, coalesce(r.codes, '') AS codes, coalesce(r.side, 'BOTH') AS side, r.target
+    FROM (SELECT * REPLACE (CASE WHEN in_catalog AND NOT impacts_deposit AND NOT impacts_filing AND resolved_by <> 'RULE' THEN 'NO_IMPACT_ERROR' ELSE resolved_category END AS resolved_category) FROM resolved) m
+    JOIN fx_error e ON e.company_error_sk = m.company_error_sk
+    LEFT JOIN rule_table r ON r.cat = m.resolved_category AND r.active IS DISTINCT FROM false AND (r.needs_place IS DISTINCT FROM true OR m.state_code IS NOT NULL)
+      AND (r.since IS NULL OR CAST(r.since AS DATE) <= CAST(e.created_date_time AS DATE)) AND (r.until IS NULL OR CAST(r.until AS DATE) >= CAST(e.created_date_time AS DATE))
+    LEFT JOIN fx_org o ON o.organization_unit_sk = m.organization_unit_sk""")
+for _side, _other in (("t", "WORKER"), ("w", "TAX")):
+    cte(f"ckeys_{_side}", "decisions_r", f"""SELECT DISTINCT CASE WHEN worker_sk IS NULL THEN branch_code END AS branch_code, CASE WHEN worker_sk IS NULL THEN company_code END AS company_code,
+        worker_sk, jurisdiction, unnest(string_split(codes, ',')) AS code FROM decisions_r WHERE scope = 'SKIP_CODE' AND side <> '{_other}'""")
+_again = {"decisions": "decisions_r", "jkeys": "jkeys_r", "hit_rows": "hit_rows_r", "hit_fields": "hit_fields_r", "no_tax": "no_tax_r", "qperiods_s": "qperiods_r",
+          "fields_s": "fields_r", "level_s": "level_r", "rows_s": "rows_r", "absent_s": "absent_r"}
+for _name in list(_again)[1:]:
+    _swap = _again | {"ckeys": "ckeys_t" if _name == "hit_fields" else "ckeys_w"}
+    _needs, _text = CTES[_name]
+    CTES[_again[_name]] = (tuple(_swap.get(n, n) for n in _needs), re.sub(r"\b(" + "|".join(_swap) + r")\b", lambda m: _swap[m.group()], _text))
+line_ctes("_r", "qperiods_r", "fields_r", "level_r", "rows_r", "absent_r")
+CTES["all_defaults_r"] = (CTES["defaults_r"][0], CTES["defaults_r"][1].replace("defaults_r AS", "all_defaults_r AS", 1))
+cte("defaults_r", "all_defaults_r fx_worker ckeys_t", f"""SELECT a.* FROM all_defaults_r a JOIN fx_worker t ON t.worker_sk = a.worker_sk
+    WHERE NOT EXISTS (SELECT 1 FROM ckeys_t d WHERE d.code = left(a.text, 2) AND {SAME_ENTITY} AND coalesce(d.jurisdiction = a.jurisdiction, true))""")
+
 # --- queries -----------------------------------------------------------------------------
 
 ORACLES: dict[str, str] = {}
@@ -683,6 +716,8 @@ oracle("active_errors_as_of", "fx_error versions", """SELECT e.company_error_sk,
     ASOF LEFT JOIN (SELECT error_code, CAST(since AS TIMESTAMP) AS since, error_type, category, impacts_deposit, impacts_filing FROM versions
       QUALIFY row_number() OVER (PARTITION BY error_code, since ORDER BY error_type DESC, category DESC, impacts_deposit DESC, impacts_filing DESC) = 1) c
     ON c.error_code = e.error_code AND e.created_date_time >= c.since""")
+oracle("resolve_scopes_by_table", "decisions_r", "SELECT * FROM decisions_r")
+oracle("site_file_with_rule_table", "whole_r", "SELECT * FROM whole_r")
 oracle("site_file_with_skips", "whole_s", "SELECT * FROM whole_s")
 
 # quality

@@ -698,6 +698,40 @@ def skip_audit_lines(spark, sf):
     return line_audit.audit(_in(spark, sf), _decisions(spark, sf), active_errors(spark, sf))
 
 
+# Sample rule table: (id, category, side, scope, target, codes, group, needs place, active, from, to).
+RULE_ROWS = (
+    (1, "NO_IMPACT_ERROR", None, "NO_SKIP", None, [], None, None, None, None, None),
+    (2, "SPECIFIC_TAX_CODE_ERROR", "TAX", "SKIP_CODE", "CODES", ["CS", "EJ"], None, None, None, "2024-01-05", None),
+    (3, "WAGE_PLAN_ERROR", "TAX", "SKIP_TAX_JURISDICTION", "JURISDICTION", [], None, True, True, None, None),
+    (4, "EMPLOYEE_PROFILE_ERROR", "WORKER", "SKIP_REPORTING_CODES", "GROUP", ["EK"], "IDENTITY", None, True, "2024-01-10", "2024-01-25"),
+    (5, "COMPANY_TAX_ID_ERROR", "BOTH", "SKIP_COMPANY_TAX_OUTPUT", "COMPANY", [], None, None, True, None, "2024-01-04"),
+    (6, "COMPANY_TAX_ID_ERROR", "BOTH", "SKIP_COMPANY_OUTPUT", "COMPANY", [], None, None, False, None, None),
+)
+GROUP_CODES = (("IDENTITY", "DD"), ("IDENTITY", "SY"), ("OTHER", "EJ"))
+
+
+def _table_decisions(spark, sf) -> DataFrame:
+    text = errors.RULE_TABLE.replace("DATE", "STRING")
+    rules = spark.createDataFrame(list(RULE_ROWS), text).selectExpr(
+        "* EXCEPT (effective_from, effective_to)", "CAST(effective_from AS DATE) AS effective_from", "CAST(effective_to AS DATE) AS effective_to"
+    )
+    group_codes = spark.createDataFrame(list(GROUP_CODES), "reporting_group STRING, code STRING")
+    resolved = errors.resolve_category(active_errors(spark, sf), errors.default_rules())
+    return stage(errors.resolve_by_table(resolved, _errors(spark, sf), rules, _org(spark, sf), group_codes), "decisions")
+
+
+@query
+def resolve_scopes_by_table(spark, sf):
+    """Decisions from a rule table with sides, groups and dates."""
+    return _table_decisions(spark, sf).withColumn("codes", F.array_join("codes", ","))
+
+
+@query
+def site_file_with_rule_table(spark, sf):
+    """All lines where code rules hold for one side."""
+    return site_files.site_file(_in(spark, sf), RUN_TIME, decisions=skips.PacketDecisions.fold(_table_decisions(spark, sf)))
+
+
 # Sample run: one site's workers are missing, so its files fail; one site is not queued.
 FAILED_SITE, UNQUEUED_SITE = "S002", "S001"
 
