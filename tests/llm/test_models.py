@@ -4,8 +4,10 @@ import itertools
 import math
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -120,7 +122,7 @@ def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(2)
     table_ = np.vstack([rng.random((len(pieces), 3)), np.zeros((1, 3))])
     model = langid.Model(["x", "y", "z"], pieces, table_)
-    words = [b"abcabc", b"a", b"zz", "é".encode(), b"bcbcab"]
+    words = [b"abcabc", b"a", b"zz", "é".encode(), b"bcbcab", b""]
     got = np.exp(model.log_sums(langid.Lattice(pieces), words))
     number = {p: i for i, p in enumerate(pieces)}
     for word, sums in zip(words, got):
@@ -132,20 +134,75 @@ def test_expected_counts_are_those_of_all_segmentations():
     pieces = sorted({bytes([b]) for b in range(256)} | {b" a", b"ab", b"bc", b" abc"})
     lattice, number = langid.Lattice(pieces), {p: i for i, p in enumerate(pieces)}
     rng = np.random.default_rng(6)
-    table_ = np.vstack([rng.random((len(pieces), 2)), np.zeros((1, 2))])
-    word = b" abcab"
-    matrix = np.frombuffer(word, np.uint8).reshape(1, -1)
-    found = lattice.find(matrix)
-    got = lattice.expected(found, table_, len(word), lattice.forward(found, table_, len(word)), np.array([[3.0, 5.0]]))
-    weights = [(s, np.prod([table_[number[p]] for p in s], axis=0)) for s in segmentations(word, set(pieces))]
-    total = sum(w for _, w in weights)
-    brute = np.zeros((len(pieces) + 1, 2))
-    for parts, w in weights:
-        for p in parts:
-            brute[number[p]] += w / total * np.array([3.0, 5.0])
+    table_ = rng.random((len(pieces), 2))
+    words, counts = [b" abcab", b" bcz", b"a"], np.array([[3.0, 5.0], [1.0, 0.0], [2.0, 7.0]])
+    got = lattice.expected(words, table_, counts)
+    brute = np.zeros((len(pieces), 2))
+    for word, n in zip(words, counts):
+        weights = [(s, np.prod([table_[number[p]] for p in s], axis=0)) for s in segmentations(word, set(pieces))]
+        total = sum(w for _, w in weights)
+        for parts, w in weights:
+            for p in parts:
+                brute[number[p]] += w / total * n
     assert got == pytest.approx(brute)
 
 
+def slow_log_sums(word, pieces, table_):
+    """Logarithm of the sum over all segmentations by language, prefix by prefix in exact fractions of two powers."""
+    number, longest = {p: i for i, p in enumerate(pieces)}, max(map(len, pieces))
+    out = []
+    for column in table_.T:
+        sums = [Fraction(1)]
+        for end in range(1, len(word) + 1):
+            found = [(n, number.get(word[end - n : end])) for n in range(1, min(longest, end) + 1)]
+            sums.append(sum(sums[end - n] * Fraction(float(column[i])) for n, i in found if i is not None))
+        out.append(math.log(sums[-1].numerator) - math.log(sums[-1].denominator))
+    return out
+
+
+@pytest.mark.parametrize("step", [langid._STEP, 37])
+def test_long_words_and_pieces_are_summed_whole(monkeypatch, step):
+    """Words far over 48 bytes, pieces over 8 bytes, unseen scripts: nothing is cut, nothing underflows."""
+    monkeypatch.setattr(langid, "_STEP", step)
+    long_pieces = {b" international", b"ternational", b"nationalisation", "言語".encode() * 3, "ያልታወቀ".encode()}
+    pieces = sorted({bytes([b]) for b in range(256)} | {b" in", b"ter", b"nation", b"al", b"isation"} | long_pieces)
+    rng = np.random.default_rng(4)
+    table_ = rng.random((len(pieces), 3)) * np.array([1e-2, 1e-6, 1e-9])
+    model = langid.Model(["x", "y", "z"], pieces, table_)
+    words = [b"internationalisation", b"internationalisation" * 6, ("言語" * 40).encode(), "𐌰𐌱ያልታወቀ".encode() * 9, b"q" * 200, b"a"]
+    got = model.log_sums(langid.Lattice(pieces), words)
+    for word, logs in zip(words, got):
+        assert logs == pytest.approx(slow_log_sums(b" " + word, pieces, table_), rel=1e-9)
+
+
+def test_whole_vocabulary_takes_part():
+    pieces = langid.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    assert max(map(len, pieces)) > 20 and len(pieces) > 31_000
+    lattice = langid.Lattice(pieces)
+    long = [p for p in pieces if len(p) > 8]
+    data = np.frombuffer(b"".join(long), np.uint8).astype(np.int64)
+    ends = np.cumsum([len(p) for p in long])
+    starts = ends - [len(p) for p in long]
+    at, size, ids = lattice.hits(data, starts, ends)
+    assert {(a, n) for a, n in zip(at.tolist(), size.tolist())} >= set(zip(starts.tolist(), (ends - starts).tolist()))
+    assert all(pieces[i] == bytes(data[a : a + n].astype(np.uint8)) for a, n, i in zip(at, size, ids))
+
+
+def test_long_words_are_learnt_from_end_to_end():
+    word = "ж".encode() * 5_000
+    parts = langid.learnt_from(word + b"z")
+    assert len(parts) == langid.WORD_SPANS and parts[0][:1] == b" " and parts[-1][-1:] == b"z"
+    assert all(len(p) <= langid.SPAN_BYTES + 6 and p.decode() for p in parts)
+    assert langid.learnt_from(b"short") == [b" short"]
+
+
+def test_sample_is_that_of_the_least_hashes(spark):
+    docs = plain(spark, [(i, f"w{i} again", "s") for i in range(700)])
+    found = langid.sample_counts(docs.repartition(5), per_language=40)["en"]
+    order = [r[0] for r in docs.orderBy(F.xxhash64("doc_id")).select("doc_id").limit(40).collect()]
+    assert {k for k in found if k != b" again"} == {f" w{i}".encode() for i in order} and found[b" again"] == 40
+
+
 def test_language_of_held_out_documents(spark):
     docs = table(spark, SMALL, "documents")
     rows = langid.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
@@ -273,7 +330,7 @@ def test_samples_hold_one_row_of_a_repeated_id(spark):
     assert chunks == quality_cnn.sampled(docs.repartition(7), labels)[0]
     assert [mark for _, _, mark in toxicity.sampled(docs, labels)] == [0, 1, 0]
     counts = langid.sample_counts(docs)["en"]
-    assert counts[b"repeated"] == 1 and counts[b"another"] == 1
+    assert counts[b" repeated"] == 1 and counts[b" another"] == 1
 
 
 # --- filters beyond the broadcast bound ----------------------------------------------
