@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermill.llm.common import WORD, block_count, joined, running_total
+from quartermill.llm.common import WORD, block_count, hash_block, joined, running_total
 from quartermill.session import stage
 
 #: Weights by source rank, repeating.
@@ -69,7 +69,7 @@ def time_of(share: Column, schedule) -> Column:
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, most: float = MOST) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, positions.
+    """One row per row of ``docs``: doc_id, source, size, row (its number among equal ones), source_size, target, copies, taken, positions.
 
     Within its source a document lies at a place given by a hash of its id.
     Every document is taken floor(target / source size) times, and once more
@@ -119,6 +119,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, most: float = MO
         "doc_id",
         "source",
         "size",
+        "row",
         "source_size",
         "target",
         "copies",
@@ -130,20 +131,34 @@ def plan(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, most: float = MO
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it is taken, sorted by training position.
 
-    Rows that share doc_id, source and size take part with their own texts.
+    Rows that share doc_id, source and size take part with their own texts:
+    they get the key's places in the order of their digests, so the same table
+    gives the same order however it is partitioned. Equal rows are one row with
+    a number of copies; the copies are numbered through running totals in
+    blocks, never by a window over a whole key.
     """
     planned = stage(plan(docs, **options), "mix-plan")
     keys = ["mix_id", "mix_source", "mix_size"]
     taken = planned.select(
-        F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), F.col("positions").alias("mix_positions")
+        F.col("doc_id").alias("mix_id"),
+        F.col("source").alias("mix_source"),
+        F.col("size").alias("mix_size"),
+        F.col("row").alias("mix_no"),
+        F.col("positions").alias("mix_positions"),
     )
     rows = docs.select(F.struct(*docs.columns).alias("mix_row"))
     rows = rows.select("mix_row", F.col("mix_row.doc_id").alias("mix_id"), F.col("mix_row.source").alias("mix_source"))
     rows = rows.withColumn("mix_size", word_count("mix_row.text"))
-    repeated = taken.groupBy(*keys).agg(F.count(F.lit(1)).alias("mix_n")).where("mix_n > 1")
-    if not repeated.isEmpty():
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-        taken, rows = taken.withColumn("mix_no", number), rows.withColumn("mix_no", number)
-        keys = [*keys, "mix_no"]
-    rows = joined(rows, taken, keys).select("mix_row", F.explode("mix_positions").alias("mix_position"))
-    return rows.orderBy("mix_position").select("mix_row.*")
+    order = ["mix_position", "mix_id", "mix_source", "mix_size"]
+    if not taken.where("mix_no > 0").isEmpty():
+        rows = rows.withColumn("mix_digest", F.sha2(F.to_json("mix_row", {"ignoreNullFields": "false"}), 256))
+        own = [*keys, "mix_digest"]
+        copies = stage(rows.groupBy(*own).agg(F.count(F.lit(1)).alias("mix_rows")), "mix-copies")
+        block = hash_block(F.xxhash64("mix_digest"), block_count(copies.count()))
+        copies = running_total(copies.withColumn("mix_block", block), keys, "mix_block", ["mix_digest"], "mix_rows", "mix_before")
+        number = F.explode(F.sequence(F.col("mix_before"), F.col("mix_before") + F.col("mix_rows") - 1))
+        taken = joined(taken, copies.select(*own, number.alias("mix_no")), [*keys, "mix_no"])
+        rows = rows.groupBy(*own).agg(F.first("mix_row").alias("mix_row"))
+        keys, order = own, [*order, "mix_digest"]
+    rows = joined(rows, taken.drop("mix_no"), keys).withColumn("mix_position", F.explode("mix_positions"))
+    return rows.orderBy(*order).select("mix_row.*")

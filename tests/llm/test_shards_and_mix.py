@@ -3,7 +3,7 @@
 import math
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -82,6 +82,19 @@ def test_mix_of_hard_rows(spark):
     assert mixture.plan(empty(spark)).count() == 0 and mixture.mix(empty(spark)).count() == 0
 
 
+def test_mix_order_of_repeated_ids_does_not_depend_on_partitions(spark):
+    rows = [(7, f"same size text {n // 2}", "s") for n in range(40)] + [(n, f"another text here {n}", "t") for n in range(8, 60)]
+    docs = plain(spark, rows)
+    orders = [[tuple(r) for r in mixture.mix(docs.repartition(n, "text")).collect()] for n in (1, 3, 7)]
+    assert orders[0] == orders[1] == orders[2]
+    # Every text of the id takes part, as often as its rows.
+    planned = mixture.plan(docs)
+    assert len(orders[0]) == planned.agg({"copies": "sum"}).first()[0]
+    found = Counter(r[1] for r in orders[0] if r[0] == 7)
+    each = sorted(r["copies"] for r in planned.where("doc_id = 7").collect())
+    assert sum(found.values()) == sum(each) and (each[0] == 0 or len(found) == 20)
+
+
 def test_targets_and_taken_words(spark):
     rng = np.random.default_rng(3)
     counts = {"s0": 900, "s1": 300, "s2": 40, "s3": 5, None: 60}
