@@ -22,6 +22,9 @@ MIN_WORDS, MAX_REPEATED = 50, 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
+#: What ends a word; other blanks, as U+00A0, are words.
+BLANKS = " \t\n\x0b\x0c\r"
+
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -150,8 +153,9 @@ def filtered(docs: DataFrame, **options) -> DataFrame:
         & rows["row.source"].eqNullSafe(verdicts["host"])
         & (rows["text_key"] == verdicts["text_key"])
     )
-    rows = rows.join(verdicts, key).select("row.*", "lines")
     at, names = docs.columns.index("text"), docs.columns
+    # By place, so that a column of ``docs`` may have any name.
+    rows = rows.join(verdicts, key).select("row.*", "lines").toDF(*[f"c{i}" for i in range(len(names) + 1)])
     length = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,4 +178,4 @@ def without(text: str | None, common: list[int] | None) -> str | None:
     if not common or text is None:
         return text
     gone = set(common)
-    return "\n".join(line for line in text.split("\n") if not line.strip() or line_hash(line.encode()) not in gone)
+    return "\n".join(line for line in text.split("\n") if not line.strip(BLANKS) or line_hash(line.encode()) not in gone)

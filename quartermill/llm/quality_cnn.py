@@ -223,5 +223,8 @@ def judged(docs: DataFrame, labels: DataFrame, divisor: int = 5, held_out: int =
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject."""
-    return scored(docs, learnt(docs, labels)).where(F.col(SCORE) >= THRESHOLD).select(*docs.columns)
+    """The rows of ``docs`` that the classifier does not reject; any column name may occur in ``docs``."""
+    names = docs.columns
+    rows = docs.toDF(*[name if name == "text" else f"c{i}" for i, name in enumerate(names)])
+    kept = scored(rows, learnt(docs, labels)).where(F.col(SCORE) >= THRESHOLD)
+    return kept.drop(SCORE).toDF(*names)

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quartermill.llm import common, line_rules, simhash
+from quartermill.llm import common, line_rules, mixture, quality_cnn, simhash
 from tests.llm.data import PROSE, empty, hard, hard_rows, plain
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -169,3 +169,23 @@ def test_null_source_is_a_host(spark):
     rows = [(i, f"{page(i)}\n{PROSE}", None) for i in range(20)]
     got = line_rules.judged(plain(spark, rows), least=8).collect()
     assert all(r["lost_words"] == len(PROSE.split()) for r in got)
+
+
+def test_only_ascii_blanks_make_a_line_blank():
+    common = [line_rules.line_hash("\u00a0".encode()), line_rules.line_hash("\u3000\u0085".encode())]
+    assert line_rules.without("a\n\u00a0\n\x0b \n\u3000\u0085\nb\n", common) == "a\n\x0b \nb\n"
+
+
+def test_stages_stand_columns_of_any_name(spark):
+    names = ["lines", "quality_cnn_score", "row", "host", "text_key", "fold", "h", "c0", "common_lines", "mix_row", "mix_no"]
+    docs = plain(spark, [(n, "\n".join([" ".join(f"w{n}x{k}{c}" for c in "abcde") for k in range(12)] + ["subscribe to our letter now"]), "s") for n in range(30)])
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    kept = line_rules.filtered(docs, depleted=0.9)
+    assert kept.columns == docs.columns and kept.count() == 30
+    assert {r[n] for r in kept.collect() for n in names} == set(names)
+    assert all("subscribe" not in r["text"] and r["n_chars"] == len(r["text"]) for r in kept.collect())
+    labels = spark.createDataFrame([(n, int(n % 2), 0) for n in range(30)], "doc_id long, quality int, toxic int")
+    good = quality_cnn.accepted(docs, labels)
+    assert good.columns == docs.columns and {r[n] for r in good.collect() for n in names} <= set(names)
+    assert mixture.mix(docs).columns == docs.columns and mixture.mix(docs).count() == 30
