@@ -24,7 +24,7 @@ FLOOR = 0.01
 CACHE = 400_000
 UNKNOWN = "und"
 #: Slices of the hash range that the sample's documents are counted by.
-SLICES = 65_536
+SLICES = 4_096
 #: Prefix sums are scaled after this many bytes, pieces are looked up for this
 #: many bytes of a word at once, and for about this many bytes of all words.
 _SCALE_EVERY, _STEP, _BATCH = 16, 1 << 14, 1 << 18
