@@ -10,7 +10,8 @@ import re
 from quartermill.operators import errors
 from quartermill.plans.registry import (
     SKIPPED_SITE,
-    AS_OF, CATALOG_VERSIONS, DAMAGE, FAILED_SITE, FEDERAL_CODES, GROUP_CODES, NON_REPORTING, REPORTING, RULE_ROWS, RUN_TIME, UNQUEUED_SITE,
+    AS_OF, CATALOG_VERSIONS, DAMAGE, FAILED_SITE, FEDERAL_CODES, GROUP_CODES, LOST_SITE, NON_REPORTING, REPEATED_QUARTER, REPORTING, RULE_ROWS, RUN_TIME, RUNS,
+    UNQUEUED_SITE,
 )
 from quartermill.sources import sample_views
 from quartermill.specs import fixed_values as fixed
@@ -579,6 +580,16 @@ cte("lacking", "fx_org bad_companies", "SELECT o.site_id, count(*) AS n, min(o.b
 oracle("status_update_with_quarantine", "changes_q lacking queued", """SELECT c.* REPLACE (CASE WHEN l.n IS NOT NULL AND c.batch_id IN (SELECT batch_id FROM queued)
     THEN concat_ws('; ', c.error_message, CAST(l.n AS VARCHAR) || ' companies left out for unreadable input, first: ' || l.first) ELSE c.error_message END AS error_message)
     FROM changes_q c LEFT JOIN lacking l USING (site_id)""")
+_lost = f"(hot AND (c.status = 'FAILED' OR site_id = '{LOST_SITE}'))"
+_open = f"(hot AND c.status = 'GENERATED' AND site_id = '{LOST_SITE}' AND quarter = {REPEATED_QUARTER})"
+_stamps = [r[1].replace("-", "").replace(":", "").replace(" ", "_") for r in RUNS]
+_renamed = f"CASE WHEN site_id = '{LOST_SITE}' THEN replace({{0}}, '{_stamps[0]}', '{_stamps[1]}') ELSE {{0}} END AS {{0}}"
+oracle("status_history", "changes queued fx_org", f"""SELECT batch_id, site_id, year, quarter, file_type, CASE WHEN {_open} THEN 'GENERATING' ELSE c.status END AS status, record_count,
+    {_renamed.format('outbound_file_name')}, {_renamed.format('object_key')},
+    CASE WHEN {_lost} THEN CASE WHEN site_id IN (SELECT site_id FROM fx_org) THEN 'No worker data found for site: ' ELSE 'No companies found for site_id: ' END || site_id END AS error_message,
+    CAST(CAST(hot AS INT) + CAST({_lost} AS INT) + CAST({_open} AS INT) AS BIGINT) AS attempts, CASE WHEN hot THEN '{RUNS[0][1]}' END AS created_at,
+    CASE WHEN {_open} THEN '{RUNS[2][1]}' WHEN {_lost} THEN '{RUNS[1][2]}' WHEN hot THEN '{RUNS[0][2]}' END AS updated_at
+    FROM (SELECT *, batch_id IN (SELECT batch_id FROM queued) AS hot FROM changes) c""")
 oracle("batch_summary", "changes", "SELECT status, count(*) AS files, CAST(sum(record_count) AS BIGINT) AS records FROM changes WHERE file_type = 'QUARTER' GROUP BY 1")
 
 # errors

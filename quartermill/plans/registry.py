@@ -10,7 +10,7 @@ from quartermill.functions import formats, packing
 from quartermill.functions.text import (
     impact_flag, jurisdiction_class, jurisdiction_key, jurisdiction_order, normalize_category,
 )
-from quartermill.operators import assembly, errors, groups, mandatory, quality, quarantine, queue, skips, taxes, workers
+from quartermill.operators import assembly, errors, groups, history, mandatory, quality, quarantine, queue, skips, taxes, workers
 from quartermill.operators.sizing import hot_workers
 from quartermill.plans import line_audit, site_files, worker_lines
 from quartermill.session import shared_folder, stage
@@ -569,6 +569,42 @@ def status_update_with_quarantine(spark, sf):
     return _status_without_damaged(spark, sf, "GENERATED")
 
 
+# Sample runs: start and end. The first loses one site's files, the second repeats what failed, the third never ends.
+RUNS = (
+    ("run-1", RUN_TIME, "2026-01-15 09:10:00"),
+    ("run-2", "2026-01-16 08:30:00", "2026-01-16 08:45:00"),
+    ("run-3", "2026-01-17 08:30:00", None),
+)
+LOST_SITE, REPEATED_QUARTER = "S002", 1
+
+
+@query
+def status_history(spark, sf):
+    """The queue after three runs, folded from their events; the first run's events are written twice."""
+    path = f"{shared_folder(spark)}/file-events-{uuid.uuid4().hex}"
+    files, organization = _queue(spark, sf), _org(spark, sf)
+    _, parts = _written(spark, sf)
+    outcome = site_files.results(site_files.written_sizes(parts), queue.site_periods(files))
+    lost = outcome.withColumn("record_count", F.when(F.col("site_id") != LOST_SITE, F.col("record_count")))
+
+    def run(number, of, outcome):
+        run_id, start, end = RUNS[number]
+        entries = history.started(of, run_id, start)
+        history.write_events(entries, path)
+        if end:
+            history.write_events(history.ended(queue.status_changes(of, outcome, organization, start), entries, run_id, end), path)
+
+    run(0, files, lost)
+    run(0, files, lost)
+    state = history.folded(files, history.read_events(spark, path))
+    run(1, stage(history.requeued(state), "requeued"), outcome)
+    state = history.folded(files, history.read_events(spark, path))
+    again = state.filter((F.col("site_id") == LOST_SITE) & (F.col("quarter") == REPEATED_QUARTER))
+    run(2, stage(history.requeued(again, ("GENERATED",)), "requeued"), outcome)
+    state = history.folded(files, history.read_events(spark, path))
+    return state.withColumns({n: F.date_format(n, "yyyy-MM-dd HH:mm:ss") for n in ("created_at", "updated_at")})
+
+
 @query
 def batch_summary(spark, sf):
     return queue.batch_summary(status_update(spark, sf))
