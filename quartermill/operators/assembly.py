@@ -130,33 +130,27 @@ def numbered_lines(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) ->
     return header.unionByName(headers).unionByName(body).unionByName(closing)
 
 
-def ordered_lines(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) -> DataFrame:
-    """All lines with sort keys instead of numbers, for the sink.
+def ordered_packets(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) -> DataFrame:
+    """Headers, packets and trailers with sort keys instead of numbers, lines still together, for the sink.
 
     The sink sorts by these keys anyway, so it needs no numbering pass.
     """
-    low, high = F.lit(-(2**63)), F.lit(2**63 - 1)
-    key = [*FILE, "branch_code", "company_code", "worker_sk", "packet", "pos", "value"]
-    body = packets.select(*PACKET, F.posexplode("lines").alias("pos", "value"))
-    companies = (
-        packets.select(*COMPANY)
-        .distinct()
-        .select(
-            *COMPANY,
-            low.alias("worker_sk"),
-            F.lit(0).cast("bigint").alias("packet"),
-            F.lit(0).alias("pos"),
-            company_header(F.col("branch_code"), F.col("company_code")).alias("value"),
-        )
-    )
+    low, high, none = F.lit(-(2**63)), F.lit(2**63 - 1), F.lit(None).cast("string")
     header, closing = _edges(packets, run_time, tag)
 
-    def edge(df: DataFrame, rank: Column, worker: Column) -> DataFrame:
+    def one(df: DataFrame, part: int, worker: Column, value: Column, branch: Column = none, company: Column = none) -> DataFrame:
         return df.select(
-            *FILE, F.lit(None).cast("string").alias("branch_code"), F.lit(None).cast("string").alias("company_code"),
-            worker.alias("worker_sk"), F.lit(0).cast("bigint").alias("packet"), F.lit(0).alias("pos"), "value",
-            rank.alias("part"),
-        )
+            *FILE, F.lit(part).alias("part"), branch.alias("branch_code"), company.alias("company_code"), worker.alias("worker_sk"),
+            F.lit(0).cast("bigint").alias("packet"), F.array(value).alias("lines"),
+        )
 
-    middle = body.select(*key).unionByName(companies.select(*key)).withColumn("part", F.lit(1))
-    return middle.unionByName(edge(header, F.lit(0), low)).unionByName(edge(closing, F.lit(2), high))
+    branch, company = F.col("branch_code"), F.col("company_code")
+    body = packets.select(*FILE, F.lit(1).alias("part"), branch, company, "worker_sk", F.col("packet").cast("bigint"), "lines")
+    headers = one(packets.select(*COMPANY).distinct(), 1, low, company_header(branch, company), branch, company)
+    return body.unionByName(headers).unionByName(one(header, 0, low, F.col("value"))).unionByName(one(closing, 2, high, F.col("value")))
+
+
+def ordered_lines(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) -> DataFrame:
+    """The same with one row a line and its place ``pos`` in the packet."""
+    together = ordered_packets(packets, run_time, tag)
+    return together.select(*(c for c in together.columns if c != "lines"), F.posexplode("lines").alias("pos", "value"))

@@ -478,7 +478,7 @@ def _written(spark, sf, decisions=None, inputs=None) -> tuple[str, DataFrame]:
     inputs = inputs or _in(spark, sf)
     staged = stage(site_files.packets(inputs, decisions=decisions), "packets")
     path = f"{shared_folder(spark)}/site-files-{uuid.uuid4().hex}"
-    text_files.write_site_files(assembly.ordered_lines(staged, RUN_TIME), path)
+    text_files.write_site_files(assembly.ordered_packets(staged, RUN_TIME), path)
     names = queue.output_names(queue.site_periods(inputs.queue), RUN_TIME)
     return path, stage(text_files.manifest(spark, path, names), "manifest")
 

@@ -1,31 +1,46 @@
 """Ordered text sink: one folder per site and period, parts in line order."""
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quartermill.operators.assembly import FILE
 from quartermill.schemas import require_columns
 
-ORDER = ("part", "branch_code", "company_code", "worker_sk", "packet", "pos")
+PACKET_ORDER = ("part", "branch_code", "company_code", "worker_sk", "packet")
+ORDER = (*PACKET_ORDER, "pos")
 
 
-def write_site_files(lines: DataFrame, path: str, pad_to: int | None = None) -> None:
-    """Write ordered lines as text, partitioned by site and period.
+def arranged(rows: DataFrame, pad_to: int | None = None) -> DataFrame:
+    """Lines as the sink writes them: range partitions, sorted inside.
+
+    ``rows`` are packets with their ``lines`` (``assembly.ordered_packets``) or
+    single lines.  Packets are shuffled whole and become lines only afterwards,
+    so no line carries its keys through the shuffle.
+    """
+    if "lines" in rows.columns:
+        require_columns(rows, [*FILE, *PACKET_ORDER], "packets")
+        rows = rows.repartitionByRange(*FILE, *PACKET_ORDER)
+        lines = rows.select(*FILE, *PACKET_ORDER, F.posexplode("lines").alias("pos", "value"))
+    else:
+        require_columns(rows, [*FILE, *ORDER, "value"], "lines")
+        lines = rows.repartitionByRange(*FILE, *ORDER)
+    value = F.rpad("value", F.greatest(F.length("value"), F.lit(pad_to)), " ") if pad_to else F.col("value")
+    return lines.withColumn("value", value).sortWithinPartitions(*FILE, *ORDER).select(*FILE, "value")
+
+
+def write_site_files(rows: DataFrame, path: str, pad_to: int | None = None) -> None:
+    """Write ordered packets or lines as text, partitioned by site and period.
 
     Range partitioning splits a large site over many tasks; the part files of a
-    folder, taken by name, are in line order.  The sort starts with the folder
+    folder, taken by number, are in line order.  The sort starts with the folder
     columns, so the writer keeps it.
     """
-    require_columns(lines, [*FILE, *ORDER, "value"], "lines")
-    value = F.rpad("value", F.greatest(F.length("value"), F.lit(pad_to)), " ") if pad_to else F.col("value")
-    (
-        lines.withColumn("value", value)
-        .repartitionByRange(*FILE, *ORDER)
-        .sortWithinPartitions(*FILE, *ORDER)
-        .select(*FILE, "value")
-        .write.mode("overwrite")
-        .partitionBy(*FILE)
-        .text(path)
-    )
+    arranged(rows, pad_to).write.mode("overwrite").partitionBy(*FILE).text(path)
+
+
+def part_number(path: Column) -> list[Column]:
+    """Order of part files: by number, not by name, whose digits grow beyond five at part 100,000."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return [F.regexp_extract(name, pattern, 1).try_cast("bigint") for pattern in (r"^part-(\d+)", r"\.c(\d+)\.")] + [path]
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +57,7 @@ def manifest(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
     which lines a part holds.
     """
     parts = _read(spark, path).groupBy(*FILE, "part_path").agg(F.count("*").alias("line_count"))
-    in_file = Window.partitionBy(*FILE).orderBy("part_path")
+    in_file = Window.partitionBy(*FILE).orderBy(*part_number(F.col("part_path")))
     before = F.sum("line_count").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
     return (
         parts.withColumn("part_no", F.row_number().over(in_file))

@@ -209,12 +209,13 @@ def test_an_outlier_key_does_not_collapse_the_numbering_blocks(spark):
     assert tuple(got) == (1, 40_003, 40_003)
 
 
-def test_sink_writes_parts_in_line_order(spark, sf_dir, tmp_path):
+@pytest.mark.parametrize("ordered", [assembly.ordered_lines, assembly.ordered_packets])
+def test_sink_writes_parts_in_line_order(spark, sf_dir, tmp_path, ordered):
     import glob
 
     staged = stage(site_files.packets(sample_views.inputs(spark, sf_dir)), "packets")
     out = str(tmp_path / "files")
-    text_files.write_site_files(assembly.ordered_lines(staged, RUN_TIME), out, pad_to=160)
+    text_files.write_site_files(ordered(staged, RUN_TIME), out, pad_to=160)
     expected = {}
     for row in assembly.numbered_lines(staged, RUN_TIME).orderBy("line_no").collect():
         expected.setdefault((row["site_id"], row["year"], row["quarter"]), []).append(row["value"].ljust(160))
@@ -224,6 +225,21 @@ def test_sink_writes_parts_in_line_order(spark, sf_dir, tmp_path):
         assert written == wanted
 
 
+def test_packets_become_lines_after_the_shuffle(spark, sf_dir):
+    staged = stage(site_files.packets(sample_views.inputs(spark, sf_dir)), "packets")
+    plan = text_files.arranged(assembly.ordered_packets(staged, RUN_TIME))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    generate, exchange = ([i for i, line in enumerate(plan) if name in line] for name in ("Generate posexplode", "RepartitionByExpression"))
+    # A plan is printed from its end: lines come out of the packets after the one shuffle.
+    assert len(generate) == len(exchange) == 1 and generate[0] < exchange[0]
+
+
+def test_parts_follow_by_number(spark):
+    names = ["part-99999-u.c000.txt", "part-100000-u.c000.txt", "part-99999-u.c001.txt", "part-100000-u.c000.txt.gz", "other.txt"]
+    rows = spark.createDataFrame([(f"file:/x/site_id=S1/part-9/{n}",) for n in names], "path string")
+    got = [r.path.rsplit("/", 1)[1] for r in rows.orderBy(*text_files.part_number(F.col("path"))).collect()]
+    assert got == ["other.txt", names[0], names[2], names[1], names[3]]
+
+
 def test_sink_refuses_lines_without_value(spark, tmp_path):
     with pytest.raises(ValueError, match="value"):
         text_files.write_site_files(spark.range(1), str(tmp_path))
