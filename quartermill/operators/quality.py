@@ -1,5 +1,7 @@
 """Data-quality rules; each result row names the broken rule."""
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, functions as F
 
 from quartermill.session import values_frame
@@ -182,3 +184,104 @@ def federal_rule(code_amounts: DataFrame, flagged_workers: DataFrame) -> DataFra
         )
         .select(*ROW_KEYS, "socsec", "medicare", "fit", "third_party")
     )
+
+
+# --- Row rules as a table -------------------------------------------------------
+CHECK_SCHEMA = pa.schema([(name, pa.string()) for name in ("rule_code", "state_code", "tax_types", "measure", "operator", "operand")])
+MAX_CHECKS = 10_000
+
+
+def _no_wage_checks(*rules):
+    return [
+        check
+        for rule, tax_type, span in rules
+        for check in ((rule, None, tax_type, f"{span}_amount", "<>", "0"), (rule, None, tax_type, f"{span}_taxable_amount", "none", None))
+    ]
+
+
+def _no_hours_checks(*rules):
+    return [
+        check
+        for rule, state, types, wage, measure, operator, operand in rules
+        for check in ((rule, state, types, wage, ">", "0"), (rule, state, types, measure, operator, operand))
+    ]
+
+
+#: Conditions of the row rules; those of one rule must all hold.  ``tax_types``:
+#: a comma-separated list; state and types None mean any.  ``operand``: a number or
+#: a column.  Operators besides the comparisons: ``missing`` (NULL), ``none`` (NULL
+#: or zero), ``outside`` (``low..high``, either side may be empty).
+ROW_CHECKS = (
+    *_no_wage_checks(
+        ("YD_FIT_TAX_MIS", "FIT", "ytd"), ("YD_FIT_WG_MIS", "FIT", "ytd"), ("YD_SIT_WG_MIS", "SIT", "ytd"),
+        ("QD_FIT_WG_MIS", "FIT", "qtd"), ("YD_SSAE_WG_MIS", "SSEE", "ytd"), ("SSAE_WG_MIS", "SSEE", "ytd"),
+    ),
+    ("SUI_SUBWG_LT_TAXWG", None, "SUIEE,SUIER", "qtd_subject_amount", "<", "qtd_taxable_amount"),
+    ("SUI_TAXWG_LT_SUBWG", None, "SUIEE,SUIER", "qtd_taxable_amount", "<", "qtd_subject_amount"),
+    ("QD_MED_TAX_WG_NE", None, "MEDEE", "qtd_taxable_amount", "<", "0"),
+    ("YD_MED_TAX_WG_NE", None, "MEDEE", "ytd_taxable_amount", "<", "0"),
+    ("QD_EMP_MED_TAX_NEG", None, "MEDEE", "qtd_amount", "<", "0"),
+    ("YD_EMP_MED_TAX_NG", None, "MEDEE", "ytd_amount", "<", "0"),
+    ("YD_COBRA_MED_NEG", None, "COBRA-CR", "ytd_amount", "<", "0"),
+    *_no_hours_checks(
+        ("DE_PFML_WG_HRS_MIS", "DE", "FLI", "qtd_taxable_amount", "hours_worked", "missing", None),
+        ("DE_PFML_WG_WKS_MIS", "DE", "FLI", "qtd_taxable_amount", "qtd_weeks_worked", "missing", None),
+        ("SUIER_TX_RT_MIS", None, "SUIER", "qtd_taxable_amount", "tax_rate", "none", None),
+        ("WG_GT_0_HRS_0_NO_RSN", "WA", "SUIEE,SUIER", "qtd_gross_wages", "hours_worked", "none", None),
+        ("SC_SUI_WG_GT_0_HRS_LE_0", "SC", "SUIEE,SUIER", "qtd_gross_wages", "hours_worked", "<=", "0"),
+        ("SC_SUI_WG_GT_0_HRS_MIS", "SC", "SUIEE,SUIER", "qtd_gross_wages", "hours_worked", "missing", None),
+    ),
+    *((rule, state, None, measure, "outside", f"{'' if low is None else low}..{high}") for rule, state, measure, low, high in BOUNDS),
+)
+
+
+def check_table(spark, rows=ROW_CHECKS) -> DataFrame:
+    return values_frame(spark, CHECK_SCHEMA, rows)
+
+
+def _condition(check, columns) -> F.Column:
+    """One row of a check table as a condition; its NULL counts as not broken."""
+    def operand(text: str) -> F.Column:
+        return F.col(text) if text in columns else F.lit(Decimal(text))
+
+    if check.measure not in columns:
+        raise ValueError(f"rule {check.rule_code}: no column {check.measure}")
+    measure = F.col(check.measure)
+    compare = {"<": "__lt__", "<=": "__le__", ">": "__gt__", ">=": "__ge__", "=": "__eq__", "<>": "__ne__"}
+    try:
+        if check.operator in compare:
+            out = getattr(measure, compare[check.operator])(operand(check.operand))
+        elif check.operator == "missing":
+            out = measure.isNull()
+        elif check.operator == "none":
+            out = F.coalesce(measure, F.lit(0)) == 0
+        elif check.operator == "outside":
+            low, high = check.operand.split("..")
+            out = (measure < operand(low) if low else F.lit(False)) | (measure > operand(high) if high else F.lit(False))
+        else:
+            raise ValueError(f"operator {check.operator}")
+    except (ArithmeticError, AttributeError, TypeError, ValueError) as problem:
+        raise ValueError(f"rule {check.rule_code}: can't read {check.operator} {check.operand}") from problem
+    if check.state_code is not None:
+        out &= F.col("state_code") == check.state_code
+    if check.tax_types is not None:
+        out &= F.col("tax_type").isin(*(t.strip() for t in check.tax_types.split(",")))
+    return out
+
+
+def table_rules(rows: DataFrame, checks: DataFrame) -> DataFrame:
+    """One row per tax row and rule of the table ``checks`` whose conditions all hold.
+
+    The rules become one projection, so all of them together cost one scan and
+    no shuffle.  A table of more than MAX_CHECKS conditions, an unknown column,
+    operator or operand is refused; no conditions: no rows.
+    """
+    found = checks.select(*CHECK_SCHEMA.names).limit(MAX_CHECKS + 1).collect()
+    if len(found) > MAX_CHECKS:
+        raise ValueError(f"more than {MAX_CHECKS} conditions")
+    rules: dict[str, F.Column] = {}
+    for check in found:
+        condition = _condition(check, rows.columns)
+        rules[check.rule_code] = rules[check.rule_code] & condition if check.rule_code in rules else condition
+    marks = F.array(*(F.when(condition, F.lit(rule)) for rule, condition in rules.items())) if rules else F.array().cast("array<string>")
+    return rows.select(*ROW_KEYS, "payroll_run_sk", "tax_type", F.explode(F.array_compact(marks)).alias("rule_code"))

@@ -748,7 +748,11 @@ oracle("dq_missing", "fx_org fx_worker", """SELECT branch_code, company_code, NU
 _Q = "worker_sk, year, quarter, payroll_run_sk, tax_type"
 
 
+ROW_RULES: dict[str, str] = {}
+
+
 def rules(name: str, checks: dict) -> None:
+    ROW_RULES.update(checks)
     oracle(name, "qrows", " UNION ALL ".join(f"SELECT {_Q}, '{r}' AS rule_code FROM qrows WHERE {p}" for r, p in checks.items()))
 
 
@@ -778,6 +782,8 @@ _bounds = [
     ("MA_MLI_EE_PCT_OOR", "MA", "contribution_percent", "> 40")]
 oracle("dq_bounds", "qrows", " UNION ALL ".join(
     f"SELECT worker_sk, year, quarter, payroll_run_sk, '{r}' AS rule_code, CAST({m} AS DECIMAL(18,2)) AS value FROM qrows WHERE state_code = '{s}' AND {m} {p}" for r, s, m, p in _bounds))
+rules("dq_all", ROW_RULES | {r: f"state_code = '{s}' AND {m} {p}" for r, s, m, p in _bounds}
+      | {"NY_SIT_TAX_GT_WAGE": "state_code = 'NY' AND tax_type = 'SIT' AND qtd_amount > qtd_taxable_amount AND qtd_amount >= 100.5"})
 _sum = "sum({1}) FILTER (tax_type IN ({0}){2})"
 cte("sums", "qrows", f"""SELECT worker_sk, year, quarter, {_sum.format("'SIT', 'CIT'", 'qtd_amount', " AND state_code = 'NY'")} AS withheld, {_sum.format("'FIT'", 'qtd_taxable_amount', '')} AS fit_wage,
     {_sum.format("'SDIEE'", 'qtd_taxable_amount', '')} AS sdi_ee, {_sum.format("'SDIER'", 'qtd_taxable_amount', '')} AS sdi_er, {_sum.format("'SUIER'", 'qtd_taxable_amount', '')} AS sui_er,

@@ -858,6 +858,16 @@ def dq_bounds(spark, sf):
     return quality.bounds_rules(_quality_rows(spark, sf))
 
 
+# A rule that a site adds by rows of its own: two conditions.
+ADDED_CHECKS = (("NY_SIT_TAX_GT_WAGE", "NY", "SIT", "qtd_amount", ">", "qtd_taxable_amount"), ("NY_SIT_TAX_GT_WAGE", "NY", "SIT", "qtd_amount", ">=", "100.5"))
+
+
+@query
+def dq_all(spark, sf):
+    """All row rules and bounds, and one added by rows, in one scan."""
+    return quality.table_rules(_quality_rows(spark, sf), quality.check_table(spark, quality.ROW_CHECKS + ADDED_CHECKS))
+
+
 @query
 def dq_cross_type(spark, sf):
     return quality.cross_type_rules(_quality_rows(spark, sf))
