@@ -21,9 +21,11 @@ END = np.uint64(0x2545F4914F6CDD1D)
 BASE = 1.5
 #: Bits for each inserted (n-gram, level) and the probes for one.
 BITS_PER_ENTRY, PROBES = 12, 6
-#: A filter up to this size is broadcast; a larger one stays in sections that are probed by shuffle.
+#: A filter up to this size is broadcast; a larger one stays in buckets that are probed by shuffle.
 MAX_FILTER_BYTES = 64 << 20
 SECTION_BYTES = 256 << 10
+#: Text of a block, whose n-grams are counted or asked for together, and text whose n-grams make a bucket.
+BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
 #: Exact counts of at most this many words are broadcast; rarer words are joined by shuffle.
 MAX_WORDS = 2_000_000
 #: Weight of the word model in a bigram's estimate, in counts.
@@ -59,156 +61,217 @@ def pairs(stream: np.ndarray) -> np.ndarray:
         return mixed(before * np.uint64(0x9E3779B97F4A7C15) + stream)
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """(grams, hash, count, level) of all words (grams 1) and word pairs (grams 2) of the texts."""
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The hash range cut into equal spans: sorted keys lie in ascending buckets."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte plane by byte plane, compressed."""
+    planes = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def counted(docs: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, grams, n, keys, counts) of the words (grams 1) and word pairs (grams 2) of each block of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=4 << 20):
+        for block in blocks(batches, limit=BLOCK_BYTES):
             stream, _ = tokens(Words(block.column("text"), lower=True))
             for grams, keys in ((1, stream), (2, pairs(stream))):
                 found, times = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), grams, np.int8)), pa.array(found.view(np.int64)), pa.array(times)],
-                    ["grams", "hash", "count"],
-                )
+                edges = np.searchsorted(bucket_of(found, buckets), np.arange(buckets + 1))
+                own = np.flatnonzero(np.diff(edges))
+                spans = [slice(edges[i], edges[i + 1]) for i in own]
+                counts = [pa.compress(times[at].astype(np.uint32).tobytes(), "zstd", asbytes=True) for at in spans]
+                columns = [
+                    pa.array(own.astype(np.int32)),
+                    pa.array(np.full(len(own), grams, np.int8)),
+                    pa.array(np.diff(edges)[own].astype(np.int32)),
+                    pa.array([packed(found[at]) for at in spans], pa.binary()),
+                    pa.array(counts, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "grams", "n", "keys", "counts"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "bucket int, grams byte, n int, keys binary, counts binary")
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts."""
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order].astype(np.int64), first)
+
+
+def section_of(keys: np.ndarray, sections: np.ndarray) -> np.ndarray:
+    return (mixed(keys ^ np.uint64(0x5851F42D4C957F2D)) % sections).astype(np.int64)
+
+
+def draws(keys: np.ndarray, level: int, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bit and (odd) step between the bits of a key at a level; a section has ``mask`` + 1 bits, a power of two."""
+    with np.errstate(over="ignore"):
+        hashed = mixed(keys + np.uint64((level * 0xD1B54A32D192ED03) & (1 << 64) - 1))
+    return hashed >> np.uint64(32) & mask, hashed & mask | np.uint64(1)
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "grams byte, hash long, count long")
-    rows = rows.groupBy("grams", "hash").agg(F.sum("count").alias("count"))
-    return rows.withColumn("level", level_of(F.col("count")))
+
+def filled(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """(sections, bytes of a section) of the Bloom filter of a bucket's n-grams."""
+    need = int(levels.sum()) * BITS_PER_ENTRY // 8
+    size = min(SECTION_BYTES, 1 << max(6, need.bit_length()))
+    out = np.zeros((max(1, math.ceil(need / size)), size), np.uint8)
+    own = section_of(keys, np.uint64(len(out)))
+    order = np.argsort(own, kind="stable")
+    edges = np.searchsorted(own[order], np.arange(len(out) + 1))
+    mask = np.uint64(size * 8 - 1)
+    for section in range(len(out)):
+        at = order[edges[section] : edges[section + 1]]
+        bits = np.zeros(size * 8, bool)
+        for level in range(1, int(levels[at].max(initial=0)) + 1):
+            place, step = draws(keys[at[levels[at] >= level]], level, mask)
+            for _ in range(PROBES):
+                bits[place.view(np.int64)] = True
+                place = (place + step) & mask
+        out[section] = np.packbits(bits, bitorder="little")
+    return out
 
 
 @dataclass
 class Filter:
-    """Bit sections of equal size; a key's section and probes follow from its hash."""
+    """Bit sections of some buckets, one after another; a key's bucket, section and probes follow from its hash."""
 
+    bits: np.ndarray
+    start: np.ndarray
     sections: np.ndarray
+    size: np.ndarray
+
+    @staticmethod
+    def of(found: dict[int, np.ndarray], buckets: int) -> "Filter":
+        """From the sections by bucket; a bucket without any holds nothing."""
+        parts = [found.get(i, np.zeros((1, 64), np.uint8)) for i in range(buckets)]
+        sections, size = (np.array([p.shape[i] for p in parts], np.int64) for i in (0, 1))
+        start = np.concatenate([[0], np.cumsum(sections * size)[:-1]])
+        return Filter(np.concatenate([p.reshape(-1) for p in parts]), start, sections, size)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which a key was inserted, 0 if at none; errs only upwards, rarely."""
         found = np.zeros(len(keys), np.int64)
-        size = self.sections.shape[1]
-        flat, mask = self.sections.reshape(-1), np.uint64(size * 8 - 1)
+        bucket = bucket_of(keys, len(self.start))
+        size = self.size[bucket]
+        start = self.start[bucket] + section_of(keys, self.sections[bucket].astype(np.uint64)) * size
+        mask = (size * 8 - 1).astype(np.uint64)
         active, level = np.arange(len(keys)), 1
-        start = section_of(keys, len(self.sections)) * size
         while len(active) and level < 127:
             at, step = draws(keys, level, mask)
-            for probe in range(PROBES):
-                byte = flat[start + (at >> np.uint64(3)).view(np.int64)]
+            for _ in range(PROBES):
+                byte = self.bits[start + (at >> np.uint64(3)).view(np.int64)]
                 hit = np.flatnonzero(byte >> (at & np.uint64(7)).astype(np.uint8) & 1)
-                active, keys, start, step = active[hit], keys[hit], start[hit], step[hit]
+                active, keys, start, step, mask = active[hit], keys[hit], start[hit], step[hit], mask[hit]
                 at = (at[hit] + step) & mask
             found[active] = level
             level += 1
         return found
 
 
-def section_of(keys: np.ndarray, sections: int) -> np.ndarray:
-    return (mixed(keys ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(sections)).astype(np.int64)
+def learnt(train: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, size, bits, words, times): the filter of each bucket of n-grams, and its words with their exact counts.
 
-
-def draws(keys: np.ndarray, level: int, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """First bit and (odd) step between the bits of a key at a level; a section has ``mask`` + 1 bits, a power of two."""
-    with np.errstate(over="ignore"):
-        hashed = mixed(keys + np.uint64((level * 0xD1B54A32D192ED03) & (1 << 64) - 1))
-    return hashed >> np.uint64(32) & mask, hashed & mask | np.uint64(1)
-
-
-def build(counts: DataFrame, histogram: list, max_bytes: int = MAX_FILTER_BYTES) -> Filter:
-    """The filter of the n-grams in ``counts``, built section by section on the executors.
-
-    ``histogram`` holds (grams, level, n) rows. If all entries need more than
-    ``max_bytes``, pairs of the lowest levels stay out, then words; an n-gram
-    that is out counts 0 and its probability falls back on the shorter one.
+    Block counts meet once, by bucket, and are summed and put into the filter
+    in the same task. A bucket holds the n-grams of about BUCKET_BYTES of text.
     """
-    room = max_bytes * 8 // BITS_PER_ENTRY
-    cut, entries = {1: 1, 2: 1}, sum(r["level"] * r["n"] for r in histogram)
-    top = max((r["level"] for r in histogram), default=0)
-    for grams in (2, 1):
-        while entries > room and cut[grams] <= top:
-            entries -= sum(r["level"] * r["n"] for r in histogram if (r["grams"], r["level"]) == (grams, cut[grams]))
-            cut[grams] += 1
-    size, sections = layout(entries)
-    low = F.when(F.col("grams") == 1, cut[1]).otherwise(cut[2])
-    out = np.zeros((sections, size), np.uint8)
-    # At most max_bytes in all; the sections arrive one partition at a time.
-    for row in filled(counts.where(F.col("level") >= low), size, sections).toLocalIterator():
-        out[row["section"]] = np.frombuffer(row["bits"], np.uint8)
-    return Filter(out)
-
-
-def layout(entries: int) -> tuple[int, int]:
-    """Bytes of a section, and the number of sections, of a filter for so many (n-gram, level) entries."""
-    size = min(SECTION_BYTES, 1 << max(6, (entries * BITS_PER_ENTRY // 8).bit_length()))
-    return size, max(1, math.ceil(entries * BITS_PER_ENTRY / 8 / size))
-
-
-def filled(counts: DataFrame, size: int, sections: int) -> DataFrame:
-    """(section, bits) of the filter of all n-grams in ``counts``."""
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("hash").to_numpy().view(np.uint64)
-            own = pa.array(section_of(keys, sections).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([own, batch.column("hash"), batch.column("level")], ["section", "hash", "level"])
 
-    def fill(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, own = np.zeros(size * 8, bool), None
+    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, own = {1: [], 2: []}, None
         for batch in group:
-            keys, levels = batch.column("hash").to_numpy().view(np.uint64), batch.column("level").to_numpy()
-            own = batch.column("section")[0].as_py()
-            for level in range(1, int(levels.max(initial=0)) + 1):
-                at, step = draws(keys[levels >= level], level, np.uint64(len(bits) - 1))
-                for _ in range(PROBES):
-                    bits[at.view(np.int64)] = True
-                    at = (at + step) & np.uint64(len(bits) - 1)
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([packed], pa.binary())], ["section", "bits"])
-
-    rows = counts.select("hash", "level").mapInArrow(number, "section int, hash long, level int")
-    return rows.groupBy("section").applyInArrow(fill, "section int, bits binary")
+            for row in batch.to_pylist():
+                own = row["bucket"]
+                times = np.frombuffer(pa.decompress(row["counts"], 4 * row["n"], "zstd", asbytes=True), np.uint32)
+                parts[row["grams"]].append((unpacked(row["keys"], row["n"]), times))
+        words, times = summed(parts[1])
+        both, counts = summed(parts[2])
+        counts = np.concatenate([times, counts])
+        levels = np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64) + 1
+        sections = filled(np.concatenate([words, both]), levels)
+        columns = [
+            pa.array([own], pa.int32()),
+            pa.array([sections.shape[1]], pa.int32()),
+            pa.array([sections.tobytes()], pa.binary()),
+            pa.array([words.view(np.int64)], pa.list_(pa.int64())),
+            pa.array([times], pa.list_(pa.int64())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "size", "bits", "words", "times"])
+
+    schema = "bucket int, size int, bits binary, words array<long>, times array<long>"
+    return stage(counted(train, buckets).groupBy("bucket").applyInArrow(run, schema), "ngram-filter")
+
+
+def sections_in(row: dict) -> np.ndarray:
+    return np.frombuffer(row["bits"], np.uint8).reshape(-1, row["size"])
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
-    """Adds ``text_block``, the number of the block of about 2 MB of text that a row belongs to, and writes the rows."""
+    """Adds the block of about BLOCK_BYTES of text that a row belongs to and its place there, and writes the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 33
-        for n, block in enumerate(blocks(batches)):
-            own = pa.array(np.full(block.num_rows, first + n, np.int64))
-            yield pa.RecordBatch.from_arrays([*block.columns, own], [*block.schema.names, "text_block"])
+        for n, block in enumerate(blocks(batches, limit=BLOCK_BYTES)):
+            own = [pa.array(np.full(block.num_rows, first + n, np.int64)), pa.array(np.arange(block.num_rows, dtype=np.int32))]
+            yield pa.RecordBatch.from_arrays([*block.columns, *own], [*block.schema.names, "text_block", "text_place"])
 
-    return stage(rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("text_block", T.LongType())])), "score-blocks")
+    added = [T.StructField("text_block", T.LongType()), T.StructField("text_place", T.IntegerType())]
+    return stage(rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added])), "score-blocks")
 
 
-def probed(texts: DataFrame, counts: DataFrame, entries: int) -> DataFrame:
-    """(text_block, hash, level) of the words and word pairs of each block that are in the filter.
+def keys_of(texts: pa.Array) -> np.ndarray:
+    """The distinct words and word pairs of some texts, ascending."""
+    stream, _ = tokens(Words(texts, lower=True))
+    return np.unique(np.concatenate([stream, pairs(stream)]))
 
-    The distinct keys of each block meet the section that holds them, so no
-    task holds more than a section and the filter grows with the n-grams.
+
+def probed(texts: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
+    """(text_block, first, last, bucket, levels) of each run of rows of a block.
+
+    ``levels`` has a byte for each of the run's distinct keys in the bucket, in
+    key order. The keys of a run meet the bucket's filter as one packed row, so
+    no task holds more than a bucket and the filter grows with the n-grams.
     """
-    size, sections = layout(entries)
 
-    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers = batch.column("text_block").to_numpy()
+            numbers, places = batch.column("text_block").to_numpy(), batch.column("text_place").to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
             for a, b in zip(edges, edges[1:]):
                 if b > a:
-                    stream, _ = tokens(Words(batch.column("text").slice(a, b - a), lower=True))
-                    keys = np.unique(np.concatenate([stream, pairs(stream)]))
-                    columns = [section_of(keys, sections).astype(np.int32), np.full(len(keys), numbers[a]), keys.view(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["section", "text_block", "hash"])
-
-    def probe(keys: pa.Table, section: pa.Table) -> pa.Table:
-        levels = np.zeros(keys.num_rows, np.int64)
-        if keys.num_rows and section.num_rows:
-            bits = np.frombuffer(section["bits"][0].as_py(), np.uint8).reshape(1, -1)
-            levels = Filter(bits).levels(keys["hash"].to_numpy().view(np.uint64))
-        return keys.select(["text_block", "hash"]).append_column("level", pa.array(levels)).filter(pa.array(levels > 0))
-
-    asked = texts.select("text_block", "text").mapInArrow(keys_of, "section int, text_block long, hash long")
-    found = asked.groupBy("section").cogroup(filled(counts, size, sections).groupBy("section"))
-    return found.applyInArrow(probe, "text_block long, hash long, level long")
+                    keys = keys_of(batch.column("text").slice(a, b - a))
+                    cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+                    own = np.flatnonzero(np.diff(cuts))
+                    columns = [own.astype(np.int32), np.full(len(own), numbers[a]), np.full(len(own), places[a]), np.full(len(own), places[b - 1])]
+                    columns = [pa.array(c) for c in [*columns, np.diff(cuts)[own].astype(np.int32)]]
+                    columns.append(pa.array([packed(keys[cuts[i] : cuts[i + 1]]) for i in own], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "text_block", "first", "last", "n", "keys"])
+
+    def probe(asked: pa.Table, found: pa.Table) -> pa.Table:
+        held = Filter.of({0: sections_in(row) for row in found.to_pylist()}, 1)
+        answers = []
+        for keys, n in zip(asked["keys"], asked["n"]):
+            levels = held.levels(unpacked(keys.as_py(), n.as_py())).astype(np.uint8)
+            answers.append(pa.compress(levels.tobytes(), "zstd", asbytes=True))
+        out = asked.select(["text_block", "first", "last", "bucket", "n"])
+        return out.append_column("levels", pa.array(answers, pa.binary()))
+
+    asked = texts.select("text_block", "text_place", "text")
+    asked = asked.mapInArrow(ask, "bucket int, text_block long, first int, last int, n int, keys binary")
+    met = asked.groupBy("bucket").cogroup(filters.select("bucket", "size", "bits").groupBy("bucket"))
+    return met.applyInArrow(probe, "text_block long, first int, last int, bucket int, n int, levels binary")
 
 
 def scored(
@@ -221,10 +284,11 @@ def scored(
 ) -> DataFrame:
     """The columns ``keep`` of ``docs``, n_tokens, n_known, train_tokens, base_score and score of every row.
 
-    ``train`` is a table of texts. Its words and word pairs are counted by
-    Spark; the counts, cut to levels, go into the Bloom filter, which grows
-    with the n-grams. Up to ``max_bytes`` it is broadcast; beyond it the keys
-    of each block of texts go to the filter's sections. A text's probability is the product over its tokens of
+    ``train`` is a table of texts. Its words and word pairs are counted in
+    blocks and summed by bucket of their hash; the counts, cut to levels, go
+    into the bucket's Bloom filter, so the filter grows with the n-grams. Up to
+    ``max_bytes`` it is broadcast; beyond it the distinct keys of each block of
+    texts go to the buckets. A text's probability is the product over its tokens of
     (c(previous, token) + prior * p(token)) / (c(previous) + prior), where p is
     the add-one word estimate and every c comes from repeated membership
     probes. ``base_score`` uses exact word counts: those of the commonest words
@@ -235,22 +299,26 @@ def scored(
     scored alike. Empty table: no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    counts = stage(counted(train), "ngram-counts")
-    histogram = counts.groupBy("grams", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("total")).collect()
-    total = sum(r["total"] for r in histogram if r["grams"] == 1)
-    distinct = sum(r["n"] for r in histogram if r["grams"] == 1)
-    held, common = 0, 1 + max((r["level"] for r in histogram if r["grams"] == 1), default=0)
-    for r in sorted((r for r in histogram if r["grams"] == 1), key=lambda r: -r["level"]):
+    size = train.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(1, math.ceil(size / BUCKET_BYTES))
+    filters = learnt(train, buckets)
+    counts = filters.select(F.inline(F.arrays_zip(F.col("words").alias("hash"), F.col("times").alias("count"))))
+    counts = counts.withColumn("level", level_of(F.col("count")))
+    histogram = counts.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("total")).collect()
+    total = sum(r["total"] for r in histogram)
+    distinct = sum(r["n"] for r in histogram)
+    held, common = 0, 1 + max((r["level"] for r in histogram), default=0)
+    for r in sorted(histogram, key=lambda r: -r["level"]):
         if held + r["n"] > max_words:
             break
         held, common = held + r["n"], r["level"]
-    exact = counts.where((F.col("grams") == 1) & (F.col("level") >= common)).select("hash", "count").toArrow()
+    exact = counts.where(F.col("level") >= common).select("hash", "count").toArrow()
     names, times = exact["hash"].to_numpy().view(np.uint64), exact["count"].to_numpy()
     order = np.argsort(names)
-    entries = sum(r["level"] * r["n"] for r in histogram)
-    size, sections = layout(entries)
-    fits = size * sections <= max_bytes
-    bits = build(counts, histogram, size * sections).sections if fits else None
+    fits = (filters.agg(F.sum(F.length("bits"))).first()[0] or 0) <= max_bytes
+    # At most max_bytes in all; the buckets arrive one partition at a time.
+    arriving = filters.select("bucket", "size", "bits").toLocalIterator() if fits else []
+    bits = Filter.of({row["bucket"]: sections_in(row) for row in arriving}, buckets) if fits else None
     shared = spark.sparkContext.broadcast((bits, names[order], times[order].astype(np.int64)))
     base = math.log10(total + distinct + 1)
     weight = count_of_levels()
@@ -286,19 +354,21 @@ def scored(
             yield pa.RecordBatch.from_arrays([*columns, rest], [*keep, "n_tokens", "n_known", "base_score", "score", "rest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return score(blocks(batches), Filter(shared.value[0]).levels)
-
-    def run_block(texts: pa.Table, known: pa.Table) -> pa.Table:
-        place = np.argsort(known["hash"].to_numpy())
-        hashes, held = known["hash"].to_numpy()[place], known["level"].to_numpy()[place]
-
-        def levels(keys: np.ndarray) -> np.ndarray:
-            if not len(hashes):
-                return np.zeros(len(keys), np.int64)
-            at = np.minimum(np.searchsorted(hashes, keys.view(np.int64)), len(hashes) - 1)
-            return np.where(hashes[at] == keys.view(np.int64), held[at], 0)
-
-        return pa.Table.from_batches(score(blocks(texts.combine_chunks().to_batches()), levels))
+        return score(blocks(batches), shared.value[0].levels)
+
+    def run_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        texts = texts.sort_by("text_place").combine_chunks()
+        answers = answers.sort_by([("first", "ascending"), ("bucket", "ascending")])
+        first, n = answers["first"].to_numpy(), answers["n"].to_numpy()
+        out = []
+        for at in np.unique(first):
+            of_run = np.flatnonzero(first == at)
+            run = texts.slice(at, answers["last"][int(of_run[0])].as_py() - at + 1).combine_chunks().to_batches()[0]
+            hashes = keys_of(run.column("text"))
+            bytes_ = [pa.decompress(answers["levels"][int(i)].as_py(), int(n[i]), "zstd", asbytes=True) for i in of_run]
+            held = np.frombuffer(b"".join(bytes_), np.uint8).astype(np.int64)
+            out += score(iter([run]), lambda keys, hashes=hashes, held=held: held[np.searchsorted(hashes, keys)])
+        return pa.Table.from_batches(out)
 
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.drop("text").dtypes)
@@ -307,12 +377,12 @@ def scored(
         out = rows.mapInArrow(run, schema)
     else:
         rows = in_blocks(rows)
-        out = rows.groupBy("text_block").cogroup(probed(rows, counts, entries).groupBy("text_block")).applyInArrow(run_block, schema)
+        out = rows.groupBy("text_block").cogroup(probed(rows, filters, buckets).groupBy("text_block")).applyInArrow(run_block, schema)
     if not whole:
         # Words outside the broadcast table are few tokens of each text.
         out = placed(out, "scores")
         rest = out.select("place", F.explode("rest").alias("hash")).groupBy("place", "hash").agg(F.count(F.lit(1)).alias("times"))
-        rare = counts.where((F.col("grams") == 1) & (F.col("level") < common)).select("hash", "count")
+        rare = counts.where(F.col("level") < common).select("hash", "count")
         rest = joined(rest, rare, ["hash"], "left").withColumn("c", F.coalesce("count", F.lit(0)))
         rest = rest.groupBy("place").agg(
             F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"),

@@ -264,22 +264,30 @@ def test_scores_of_hard_rows(spark):
     assert ngram_bloom.scored(rows, train).count() == 0
 
 
-def test_filter_never_forgets_and_seldom_invents(spark):
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_filter_never_forgets_and_seldom_invents(buckets):
     rng = np.random.default_rng(8)
-    keys = rng.integers(-(2**62), 2**62, 20_000)
+    keys = np.unique(rng.integers(0, 2**64, 20_000, dtype=np.uint64))
     counts = rng.geometric(0.3, len(keys)) ** 2
-    frame = spark.createDataFrame(pa.table({"grams": pa.array([2] * len(keys), pa.int8()), "hash": keys, "count": counts}))
-    frame = frame.withColumn("level", ngram_bloom.level_of(F.col("count")))
-    histogram = frame.groupBy("grams", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("total")).collect()
-    bloom = ngram_bloom.build(frame, histogram)
     levels = np.array([1 + math.floor(math.log(c) / math.log(ngram_bloom.BASE) + 1e-9) for c in counts])
-    got = bloom.levels(keys.view(np.uint64))
+    own = ngram_bloom.bucket_of(keys, buckets)
+    assert (np.diff(own) >= 0).all() and set(own) == set(range(buckets))
+    bloom = ngram_bloom.Filter.of({b: ngram_bloom.filled(keys[own == b], levels[own == b]) for b in range(buckets)}, buckets)
+    got = bloom.levels(keys)
     assert (got >= levels).all() and (got > levels).mean() < 0.02
-    assert (bloom.levels(rng.integers(-(2**62), 2**62, 20_000).view(np.uint64)) > 0).mean() < 0.02
-    # Beyond the bound the rarest stay out, the common stay in.
-    small = ngram_bloom.build(frame, histogram, max_bytes=8_000)
-    assert small.sections.size <= 8_000 + ngram_bloom.SECTION_BYTES and small.sections.size < bloom.sections.size
-    assert (small.levels(keys[levels == levels.max()].view(np.uint64)) == levels.max()).all()
+    assert (bloom.levels(rng.integers(0, 2**64, 20_000, dtype=np.uint64)) > 0).mean() < 0.02
+    # A bucket without n-grams holds nothing.
+    assert not ngram_bloom.Filter.of({}, buckets).levels(keys).any()
+
+
+def test_keys_come_back_from_their_packed_form():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 5_000):
+        keys = np.unique(np.append(rng.integers(0, 2**64, n, dtype=np.uint64), [np.uint64(0), np.uint64(2**64 - 1)][: n % 3]))
+        assert (ngram_bloom.unpacked(ngram_bloom.packed(keys), len(keys)) == keys).all()
+    parts = [(np.array([1, 5, 9], np.uint64), np.array([1, 2, 3], np.uint32)), (np.array([5, 9], np.uint64), np.array([2**32 - 1, 1], np.uint32))]
+    found, sums = ngram_bloom.summed(parts)
+    assert found.tolist() == [1, 5, 9] and sums.tolist() == [1, 2**32 + 1, 4]
 
 
 # --- pipeline -----------------------------------------------------------------------
@@ -336,7 +344,10 @@ def test_samples_hold_one_row_of_a_repeated_id(spark):
 # --- filters beyond the broadcast bound ----------------------------------------------
 
 
-def test_scores_do_not_depend_on_the_broadcast_bound(spark):
+@pytest.mark.parametrize("block_bytes, bucket_bytes", [(4 << 20, 16 << 20), (700, 900)])
+def test_scores_do_not_depend_on_the_broadcast_bound(spark, monkeypatch, block_bytes, bucket_bytes):
+    monkeypatch.setattr(ngram_bloom, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(ngram_bloom, "BUCKET_BYTES", bucket_bytes)
     texts = [r[1] for r in hard_rows()] + [f"rare{i} common words here {i % 7} END" for i in range(60)]
     docs = plain(spark, [(i, t, "s") for i, t in enumerate(texts)])
     train = docs.where("doc_id % 3 <> 1")
