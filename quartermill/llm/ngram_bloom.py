@@ -77,29 +77,49 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def counted(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, grams, n, keys, counts) of the words (grams 1) and word pairs (grams 2) of each block of texts."""
+def keys_of(texts: pa.Array, of_texts: np.ndarray | None = None) -> list[np.ndarray]:
+    """Words and word pairs of the texts, of the marked ones if marks are given; each list ascending and distinct unless marked."""
+    stream, bounds = tokens(Words(texts, lower=True))
+    if of_texts is None:
+        return [np.unique(stream), np.unique(pairs(stream))]
+    mark = np.repeat(of_texts, np.diff(bounds))
+    return [stream[mark], pairs(stream)[mark]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=BLOCK_BYTES):
-            stream, _ = tokens(Words(block.column("text"), lower=True))
-            for grams, keys in ((1, stream), (2, pairs(stream))):
-                found, times = np.unique(keys, return_counts=True)
-                edges = np.searchsorted(bucket_of(found, buckets), np.arange(buckets + 1))
-                own = np.flatnonzero(np.diff(edges))
-                spans = [slice(edges[i], edges[i + 1]) for i in own]
-                counts = [pa.compress(times[at].astype(np.uint32).tobytes(), "zstd", asbytes=True) for at in spans]
-                columns = [
-                    pa.array(own.astype(np.int32)),
-                    pa.array(np.full(len(own), grams, np.int8)),
-                    pa.array(np.diff(edges)[own].astype(np.int32)),
-                    pa.array([packed(found[at]) for at in spans], pa.binary()),
-                    pa.array(counts, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "grams", "n", "keys", "counts"])
-
-    rows = docs.select(F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "bucket int, grams byte, n int, keys binary, counts binary")
+
+def sent(block: pa.RecordBatch, number: int, buckets: int) -> pa.RecordBatch:
+    """(bucket, text_block, grams, n, keys, counts) of a block: its distinct n-grams and how often its learnt rows hold each.
+
+    ``text_block`` is null where no row asks for an answer.
+    """
+    texts, asked = block.column("text"), block.column("asked").to_numpy(zero_copy_only=False).any()
+    learnt = block.column("learnt").to_numpy(zero_copy_only=False)
+    columns = [[], [], [], []]
+    for grams, found, held in zip((1, 2), keys_of(texts), keys_of(texts, learnt)):
+        held, times = np.unique(held, return_counts=True)
+        counts = np.zeros(len(found), np.uint32)
+        counts[np.searchsorted(found, held)] = times
+        if not asked:
+            found, counts = found[counts > 0], counts[counts > 0]
+        edges = np.searchsorted(bucket_of(found, buckets), np.arange(buckets + 1))
+        for i in np.flatnonzero(np.diff(edges)):
+            at = slice(edges[i], edges[i + 1])
+            row = (i, grams, packed(found[at]), pa.compress(counts[at].tobytes(), "zstd", asbytes=True))
+            for column, value in zip(columns, row):
+                column.append(value)
+        columns.append(np.diff(edges)[np.diff(edges) > 0])
+    n = np.concatenate(columns[4:]).astype(np.int32)
+    out = [
+        pa.array(columns[0], pa.int32()),
+        pa.array([number if asked else None] * len(n), pa.int64()),
+        pa.array(columns[1], pa.int8()),
+        pa.array(n, pa.int32()),
+        pa.array(columns[2], pa.binary()),
+        pa.array(columns[3], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(out, ["bucket", "text_block", "grams", "n", "keys", "counts"])
+
+
+SENT = "bucket int, text_block long, grams byte, n int, keys binary, counts binary"
 
 
 def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -182,36 +202,46 @@ class Filter:
         return found
 
 
-def learnt(train: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, size, bits, words, times): the filter of each bucket of n-grams, and its words with their exact counts.
+def met(keys: DataFrame, with_bits: bool) -> DataFrame:
+    """Counts summed, the filter filled and asked, all in the task of a bucket; the result is written.
 
-    Block counts meet once, by bucket, and are summed and put into the filter
-    in the same task. A bucket holds the n-grams of about BUCKET_BYTES of text.
+    A row for each row of ``keys`` that asks: text_block, bucket, grams, n and
+    ``levels``, a byte for each of its keys. A row for each bucket: its words
+    with their exact counts and, if wanted, the bits of its filter. A bucket
+    holds the n-grams of about BUCKET_BYTES of text, however long the table.
     """
 
     def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, own = {1: [], 2: []}, None
-        for batch in group:
-            for row in batch.to_pylist():
-                own = row["bucket"]
-                times = np.frombuffer(pa.decompress(row["counts"], 4 * row["n"], "zstd", asbytes=True), np.uint32)
-                parts[row["grams"]].append((unpacked(row["keys"], row["n"]), times))
+        rows = [row for batch in group for row in batch.to_pylist()]
+        parts = {1: [], 2: []}
+        for row in rows:
+            times = np.frombuffer(pa.decompress(row["counts"], 4 * row["n"], "zstd", asbytes=True), np.uint32)
+            if times.any():
+                parts[row["grams"]].append((unpacked(row["keys"], row["n"])[times > 0], times[times > 0]))
         words, times = summed(parts[1])
         both, counts = summed(parts[2])
         counts = np.concatenate([times, counts])
         levels = np.floor(np.log(counts) / math.log(BASE) + 1e-9).astype(np.int64) + 1
         sections = filled(np.concatenate([words, both]), levels)
-        columns = [
-            pa.array([own], pa.int32()),
-            pa.array([sections.shape[1]], pa.int32()),
-            pa.array([sections.tobytes()], pa.binary()),
-            pa.array([words.view(np.int64)], pa.list_(pa.int64())),
-            pa.array([times], pa.list_(pa.int64())),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["bucket", "size", "bits", "words", "times"])
+        held = Filter.of({0: sections}, 1)
+        out = [{"bucket": rows[0]["bucket"], "words": words.view(np.int64), "times": times}]
+        if with_bits:
+            out[0] |= {"size": sections.shape[1], "bits": sections.tobytes()}
+        for row in rows:
+            if row["text_block"] is not None:
+                found = held.levels(unpacked(row["keys"], row["n"])).astype(np.uint8)
+                levels = pa.compress(found.tobytes(), "zstd", asbytes=True)
+                out.append({c: row[c] for c in ("text_block", "bucket", "grams", "n")} | {"levels": levels})
+        yield pa.RecordBatch.from_pylist(out, schema=MET)
 
-    schema = "bucket int, size int, bits binary, words array<long>, times array<long>"
-    return stage(counted(train, buckets).groupBy("bucket").applyInArrow(run, schema), "ngram-filter")
+    schema = "text_block long, bucket int, grams byte, n int, levels binary, size int, bits binary, words array<long>, times array<long>"
+    return stage(keys.groupBy("bucket").applyInArrow(run, schema), "ngram-answers")
+
+
+MET = pa.schema(
+    [("text_block", pa.int64()), ("bucket", pa.int32()), ("grams", pa.int8()), ("n", pa.int32()), ("levels", pa.binary())]
+    + [("size", pa.int32()), ("bits", pa.binary()), ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
+)
 
 
 def sections_in(row: dict) -> np.ndarray:
@@ -219,64 +249,28 @@ def sections_in(row: dict) -> np.ndarray:
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
-    """Adds the block of about BLOCK_BYTES of text that a row belongs to and its place there, and writes the rows."""
+    """(text_block, asks, rows): blocks of rows with about BLOCK_BYTES of text, each written as one compressed value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 33
         for n, block in enumerate(blocks(batches, limit=BLOCK_BYTES)):
-            own = [pa.array(np.full(block.num_rows, first + n, np.int64)), pa.array(np.arange(block.num_rows, dtype=np.int32))]
-            yield pa.RecordBatch.from_arrays([*block.columns, *own], [*block.schema.names, "text_block", "text_place"])
-
-    added = [T.StructField("text_block", T.LongType()), T.StructField("text_place", T.IntegerType())]
-    return stage(rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added])), "score-blocks")
-
-
-def keys_of(texts: pa.Array) -> np.ndarray:
-    """The distinct words and word pairs of some texts, ascending."""
-    stream, _ = tokens(Words(texts, lower=True))
-    return np.unique(np.concatenate([stream, pairs(stream)]))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, block.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(block)
+            asked = block.column("asked").to_numpy(zero_copy_only=False).any()
+            columns = [pa.array([first + n], pa.int64()), pa.array([asked]), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["text_block", "asks", "rows"])
 
+    return stage(rows.mapInArrow(run, "text_block long, asks boolean, rows binary"), "score-blocks")
 
-def probed(texts: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
-    """(text_block, first, last, bucket, levels) of each run of rows of a block.
 
-    ``levels`` has a byte for each of the run's distinct keys in the bucket, in
-    key order. The keys of a run meet the bucket's filter as one packed row, so
-    no task holds more than a bucket and the filter grows with the n-grams.
-    """
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers, places = batch.column("text_block").to_numpy(), batch.column("text_place").to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
-            for a, b in zip(edges, edges[1:]):
-                if b > a:
-                    keys = keys_of(batch.column("text").slice(a, b - a))
-                    cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-                    own = np.flatnonzero(np.diff(cuts))
-                    columns = [own.astype(np.int32), np.full(len(own), numbers[a]), np.full(len(own), places[a]), np.full(len(own), places[b - 1])]
-                    columns = [pa.array(c) for c in [*columns, np.diff(cuts)[own].astype(np.int32)]]
-                    columns.append(pa.array([packed(keys[cuts[i] : cuts[i + 1]]) for i in own], pa.binary()))
-                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "text_block", "first", "last", "n", "keys"])
-
-    def probe(asked: pa.Table, found: pa.Table) -> pa.Table:
-        held = Filter.of({0: sections_in(row) for row in found.to_pylist()}, 1)
-        answers = []
-        for keys, n in zip(asked["keys"], asked["n"]):
-            levels = held.levels(unpacked(keys.as_py(), n.as_py())).astype(np.uint8)
-            answers.append(pa.compress(levels.tobytes(), "zstd", asbytes=True))
-        out = asked.select(["text_block", "first", "last", "bucket", "n"])
-        return out.append_column("levels", pa.array(answers, pa.binary()))
-
-    asked = texts.select("text_block", "text_place", "text")
-    asked = asked.mapInArrow(ask, "bucket int, text_block long, first int, last int, n int, keys binary")
-    met = asked.groupBy("bucket").cogroup(filters.select("bucket", "size", "bits").groupBy("bucket"))
-    return met.applyInArrow(probe, "text_block long, first int, last int, bucket int, n int, levels binary")
+def rows_in(value: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(value.as_buffer()).read_next_batch()
 
 
 def scored(
     docs: DataFrame,
-    train: DataFrame,
+    train: DataFrame | str,
     max_bytes: int = MAX_FILTER_BYTES,
     max_words: int = MAX_WORDS,
     prior: float = PRIOR,
@@ -284,11 +278,13 @@ def scored(
 ) -> DataFrame:
     """The columns ``keep`` of ``docs``, n_tokens, n_known, train_tokens, base_score and score of every row.
 
-    ``train`` is a table of texts. Its words and word pairs are counted in
+    ``train`` is a table of texts, or the name of a boolean column of ``docs``
+    that marks the rows to learn from. Words and word pairs are counted in
     blocks and summed by bucket of their hash; the counts, cut to levels, go
-    into the bucket's Bloom filter, so the filter grows with the n-grams. Up to
-    ``max_bytes`` it is broadcast; beyond it the distinct keys of each block of
-    texts go to the buckets. A text's probability is the product over its tokens of
+    into the bucket's Bloom filter, which grows with the n-grams. A filter that
+    surely has at most ``max_bytes`` is broadcast. Beyond that the n-grams of a
+    block go to their buckets once, to be counted and asked for; the answers
+    meet the block again. A text's probability is the product over its tokens of
     (c(previous, token) + prior * p(token)) / (c(previous) + prior), where p is
     the add-one word estimate and every c comes from repeated membership
     probes. ``base_score`` uses exact word counts: those of the commonest words
@@ -299,10 +295,35 @@ def scored(
     scored alike. Empty table: no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    size = train.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    buckets = max(1, math.ceil(size / BUCKET_BYTES))
-    filters = learnt(train, buckets)
-    counts = filters.select(F.inline(F.arrays_zip(F.col("words").alias("hash"), F.col("times").alias("count"))))
+    text = F.col("text").cast("string").alias("text")
+    if isinstance(train, str):
+        rows = docs.select(*keep, text, F.coalesce(F.col(train), F.lit(False)).alias("learnt"), F.lit(True).alias("asked"))
+    else:
+        rows = docs.select(*keep, text, F.lit(False).alias("learnt"), F.lit(True).alias("asked"))
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in docs.select(*keep).schema]
+        rows = rows.unionByName(train.select(*none, text, F.lit(True).alias("learnt"), F.lit(False).alias("asked")))
+    length = F.octet_length("text")
+    size = rows.agg(F.sum(length), F.sum(F.when(F.col("learnt"), length)), F.count_if("learnt")).first()
+    buckets = max(1, math.ceil((size[0] or 0) / BUCKET_BYTES))
+    # A text has at most (bytes + 3) / 2 tokens and a token two n-grams, each an entry at most: this is sure before anything is counted.
+    fits = ((size[1] or 0) + 3 * size[2]) * BITS_PER_ENTRY // 8 + buckets * SECTION_BYTES <= max_bytes
+
+    def of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, limit=BLOCK_BYTES):
+            yield sent(block, 0, buckets)
+
+    def of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, value in zip(batch.column("text_block"), batch.column("rows")):
+                yield sent(rows_in(value), number.as_py(), buckets)
+
+    if fits:
+        learnt = rows.where("learnt").select("text", "learnt", F.lit(False).alias("asked"))
+        answers = met(learnt.mapInArrow(of_rows, SENT), True)
+    else:
+        held_rows = in_blocks(rows)
+        answers = met(held_rows.mapInArrow(of_blocks, SENT), False)
+    counts = answers.where("words is not null").select(F.inline(F.arrays_zip(F.col("words").alias("hash"), F.col("times").alias("count"))))
     counts = counts.withColumn("level", level_of(F.col("count")))
     histogram = counts.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("total")).collect()
     total = sum(r["total"] for r in histogram)
@@ -315,9 +336,8 @@ def scored(
     exact = counts.where(F.col("level") >= common).select("hash", "count").toArrow()
     names, times = exact["hash"].to_numpy().view(np.uint64), exact["count"].to_numpy()
     order = np.argsort(names)
-    fits = (filters.agg(F.sum(F.length("bits"))).first()[0] or 0) <= max_bytes
     # At most max_bytes in all; the buckets arrive one partition at a time.
-    arriving = filters.select("bucket", "size", "bits").toLocalIterator() if fits else []
+    arriving = answers.where("bits is not null").select("bucket", "size", "bits").toLocalIterator() if fits else []
     bits = Filter.of({row["bucket"]: sections_in(row) for row in arriving}, buckets) if fits else None
     shared = spark.sparkContext.broadcast((bits, names[order], times[order].astype(np.int64)))
     base = math.log10(total + distinct + 1)
@@ -356,28 +376,23 @@ def scored(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return score(blocks(batches), shared.value[0].levels)
 
-    def run_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = texts.sort_by("text_place").combine_chunks()
-        answers = answers.sort_by([("first", "ascending"), ("bucket", "ascending")])
-        first, n = answers["first"].to_numpy(), answers["n"].to_numpy()
-        out = []
-        for at in np.unique(first):
-            of_run = np.flatnonzero(first == at)
-            run = texts.slice(at, answers["last"][int(of_run[0])].as_py() - at + 1).combine_chunks().to_batches()[0]
-            hashes = keys_of(run.column("text"))
-            bytes_ = [pa.decompress(answers["levels"][int(i)].as_py(), int(n[i]), "zstd", asbytes=True) for i in of_run]
-            held = np.frombuffer(b"".join(bytes_), np.uint8).astype(np.int64)
-            out += score(iter([run]), lambda keys, hashes=hashes, held=held: held[np.searchsorted(hashes, keys)])
-        return pa.Table.from_batches(out)
-
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.drop("text").dtypes)
+    def run_block(block: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = rows_in(block["rows"][0])
+        answers = answers.sort_by([("grams", "ascending"), ("bucket", "ascending")])
+        parts = [pa.decompress(x.as_py(), n.as_py(), "zstd", asbytes=True) for x, n in zip(answers["levels"], answers["n"])]
+        hashes, found = np.concatenate(keys_of(rows.column("text"))), np.frombuffer(b"".join(parts), np.uint8)
+        order = np.argsort(hashes, kind="stable")
+        hashes, found = hashes[order], found[order].astype(np.int64)
+        rows = rows.filter(rows.column("asked"))
+        return pa.Table.from_batches(score(blocks(iter([rows])), lambda keys: found[np.searchsorted(hashes, keys)]))
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.select(*keep).dtypes)
     schema = f"{schema}, n_tokens long, n_known long, base_score double, score double, rest array<long>"
     if fits:
-        out = rows.mapInArrow(run, schema)
+        out = rows.where("asked").mapInArrow(run, schema)
     else:
-        rows = in_blocks(rows)
-        out = rows.groupBy("text_block").cogroup(probed(rows, filters, buckets).groupBy("text_block")).applyInArrow(run_block, schema)
+        answered = answers.where("text_block is not null").select("text_block", "bucket", "grams", "n", "levels")
+        out = held_rows.where("asks").groupBy("text_block").cogroup(answered.groupBy("text_block")).applyInArrow(run_block, schema)
     if not whole:
         # Words outside the broadcast table are few tokens of each text.
         out = placed(out, "scores")
@@ -395,7 +410,7 @@ def scored(
 
 
 def trained_on(docs: DataFrame, divisor: int = 7, held_out: int = 2) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with held_out, and the rows to learn from; rows without an id are neither held out nor learnt from."""
-    rows = docs.select("doc_id", "text").withColumn("fold", remainder("doc_id", divisor))
-    train = rows.where(F.col("fold") != held_out)
-    return rows.withColumn("held_out", F.coalesce(F.col("fold") == held_out, F.lit(False))).drop("fold"), train
+    """``docs`` with held_out and learnt, and the rows to learn from; rows without an id are neither held out nor learnt from."""
+    fold = remainder("doc_id", divisor)
+    rows = docs.select("doc_id", "text").withColumn("learnt", F.coalesce(fold != held_out, F.lit(False)))
+    return rows.withColumn("held_out", F.coalesce(fold == held_out, F.lit(False))), rows.where("learnt")

@@ -84,8 +84,8 @@ def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_bloom_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, train = ngram_bloom.trained_on(table(spark, sf_dir, "documents"))
-    return ngram_bloom.scored(rows, train, keep=("doc_id", "held_out"))
+    rows, _ = ngram_bloom.trained_on(table(spark, sf_dir, "documents"))
+    return ngram_bloom.scored(rows, "learnt", keep=("doc_id", "held_out"))
 
 
 @query

@@ -349,10 +349,15 @@ def test_scores_do_not_depend_on_the_broadcast_bound(spark, monkeypatch, block_b
     monkeypatch.setattr(ngram_bloom, "BLOCK_BYTES", block_bytes)
     monkeypatch.setattr(ngram_bloom, "BUCKET_BYTES", bucket_bytes)
     texts = [r[1] for r in hard_rows()] + [f"rare{i} common words here {i % 7} END" for i in range(60)]
-    docs = plain(spark, [(i, t, "s") for i, t in enumerate(texts)])
-    train = docs.where("doc_id % 3 <> 1")
-    large, small = (
-        [tuple(r) for r in ngram_bloom.scored(docs, train, max_bytes=b).orderBy("doc_id").collect()]
+    docs = plain(spark, [(i, t, "s") for i, t in enumerate(texts)]).withColumn("learnt", F.expr("doc_id % 3 <> 1"))
+    train = docs.where("learnt")
+    scores = [
+        [tuple(r) for r in ngram_bloom.scored(docs, learn, max_bytes=b).orderBy("doc_id").collect()]
         for b in (ngram_bloom.MAX_FILTER_BYTES, 100)
-    )
-    assert len(large) == len(texts) and small == large
+        for learn in (train, "learnt")
+    ]
+    assert len(scores[0]) == len(texts)
+    # Both ways to broadcast or shuffle give the same; the buckets of a separate table follow from both tables' texts.
+    assert scores[0] == scores[2] and scores[1] == scores[3]
+    assert [r[:-1] for r in scores[0]] == [r[:-1] for r in scores[1]]
+    assert bucket_bytes < 1 << 20 or scores[0] == scores[1]
