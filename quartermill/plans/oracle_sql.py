@@ -457,6 +457,12 @@ oracle("tax_spec_from_feed", "feed tokens compiled", """SELECT measure, tax_code
     coalesce(signed, true) AS signed, field_code IN ('7H', '5E') AS mandatory
     FROM (SELECT t.measure, f.tax_code, f.field_code, c.width, c.decimals, c.signed, row_number() OVER (PARTITION BY t.measure, f.tax_code ORDER BY f.seq DESC) AS rn
           FROM feed f JOIN tokens t ON t.token = f.token JOIN compiled c ON c.code = f.field_code AND c.format IS NOT NULL WHERE f.tax_code <> '' AND f.field_code <> '') WHERE rn = 1""")
+_code_of = "json_extract_string(CASE WHEN json_valid(value) THEN value END, '$.{}.code')"
+cte("feed_checked", "fx_feed_damaged", f"""SELECT *, CASE WHEN trim(coalesce(value, '')) = '' THEN 'empty' WHEN NOT json_valid(value) THEN 'malformed'
+    WHEN coalesce(tax_code, '') = '' THEN 'no taxCode' WHEN coalesce(field_code, '') = '' THEN 'no fieldCode' WHEN coalesce(token, '') = '' THEN 'no token' END AS reason
+    FROM (SELECT seq, value, {_code_of.format("taxCode")} AS tax_code, {_code_of.format("fieldCode")} AS field_code, {_code_of.format("token")} AS token FROM fx_feed_damaged)""")
+oracle("feed_rejects", "feed_checked", "SELECT seq, value, reason FROM feed_checked WHERE reason IS NOT NULL")
+oracle("feed_accepted", "feed_checked", "SELECT seq, tax_code, field_code, token FROM feed_checked WHERE reason IS NULL")
 oracle("tax_pairs", "feed", """SELECT DISTINCT a.tax_code[:-3] AS base_type, a.tax_code AS employee_type, b.tax_code AS employer_type FROM feed a JOIN feed b
     ON b.tax_code = a.tax_code[:-3] || 'ER' WHERE a.tax_code LIKE '%EE'""")
 CTES["field_list"] = ((), values("field_list", "ord, source_column, code, format, width, decimals, signed, date_pattern, level", SPECS.fields))

@@ -179,6 +179,20 @@ def tax_pairs(spark, sf):
     return spec_jobs.tax_pairs(feed.parse_feed(sample_views.view(spark, sf, "fx_feed_json")))
 
 
+def _checked_feed(spark, sf):
+    return feed.checked(sample_views.view(spark, sf, "fx_feed_damaged"))
+
+
+@query
+def feed_rejects(spark, sf):
+    return feed.rejects(_checked_feed(spark, sf))
+
+
+@query
+def feed_accepted(spark, sf):
+    return feed.accepted(_checked_feed(spark, sf))
+
+
 @query
 def default_values(spark, sf):
     return spec_jobs.default_values(compile_field_spec(spark, sf))

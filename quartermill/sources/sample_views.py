@@ -165,9 +165,16 @@ SELECT p_partkey AS seq,
     CASE p_partkey % 8 WHEN 0 THEN 'QTDT' WHEN 1 THEN 'YTDT' WHEN 2 THEN 'QTDTAXW' WHEN 3 THEN 'QTDW' WHEN 4 THEN 'QTD-HOUR-WORK'
       WHEN 5 THEN 'YTD-HOUR-WORK' WHEN 6 THEN 'CD-MARITAL-STS' ELSE 'NOT-A-TOKEN' END || '"}}}}' AS value
 FROM {{part}}""",
+    # The feed with lines that are cut, empty, no JSON, or lack a key.
+    "fx_feed_damaged": """
+SELECT seq, CASE seq % 31 WHEN 0 THEN left(value, length(value) - 3) WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN NULL WHEN 4 THEN 'not a row'
+  WHEN 5 THEN replace(value, '"fieldCode"', '"field"') WHEN 6 THEN replace(value, '"token"', '"tok"') WHEN 7 THEN replace(value, '"taxCode": {"code"', '"taxCode": {"name"')
+  ELSE value END AS value
+FROM fx_feed_json""",
 }
 
 DEPENDS = {
+    "fx_feed_damaged": ("fx_feed_json",),
     "fx_worker": ("fx_org",),
     "fx_address": ("fx_worker",),
     "fx_snapshot": ("fx_worker",),

@@ -91,6 +91,32 @@ def test_feed_reader(spark, tmp_path):
     assert [tuple(r)[1:] for r in got] == [("FIT", "EJ", "QTDT"), (None, None, None)]
 
 
+def test_feed_lines_of_no_use_are_kept_with_a_reason(spark, tmp_path):
+    good = '{"taxCode": {"code": "FIT"}, "fieldCode": {"code": "EJ"}, "token": {"code": "QTDT"}, "other": [1]}'
+    lines = {
+        good: None,
+        good[:-2]: "malformed",
+        "{}": "no taxCode",
+        '{"taxCode": "FIT", "fieldCode": {"code": "EJ"}, "token": {"code": "QTDT"}}': "malformed",
+        "null": "malformed",
+        '{"taxCode": {"code": "FIT"}, "fieldCode": null, "token": {"code": "QTDT"}}': "no fieldCode",
+        '{"taxCode": {"code": "FIT"}, "fieldCode": {"code": "EJ"}, "token": {"code": ""}}': "no token",
+        "   ": "empty",
+        "\u00e4": "malformed",
+    }
+    (tmp_path / "feed.json").write_text("\n".join(lines) + "\n")
+    found = feed.checked(feed.read_lines(spark, str(tmp_path)))
+    assert {r["value"]: r["reason"] for r in found.collect()} == lines
+    bad = feed.rejects(found)
+    assert bad.columns == ["seq", "file", "value", "reason"] and bad.count() == len(lines) - 1
+    assert all(r["file"].endswith("feed.json") for r in bad.collect())
+    assert [tuple(r)[1:] for r in feed.accepted(found).collect()] == [("FIT", "EJ", "QTDT")]
+    # Other key names, and an empty feed.
+    other = spark.createDataFrame([(1, '{"a": {"code": "x"}, "b": {"code": "y"}}')], "seq bigint, value string")
+    assert feed.checked(other, keys=("a", "b", "c")).first()["reason"] == "no c"
+    assert feed.rejects(feed.checked(other.limit(0))).count() == 0
+
+
 def test_loader_checks_and_casts(spark):
     with pytest.raises(ValueError, match="misses columns"):
         schemas.conform(spark.range(1), schemas.PROFILE, "profile")
