@@ -7,14 +7,15 @@ n_lines, lines``.  All order in a file follows from its keys.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quartermill.operators.sizing import local_if_small
 from quartermill.session import stage
 from quartermill.specs import fixed_values as fixed
 
 FILE = ("site_id", "year", "quarter")
 COMPANY = (*FILE, "branch_code", "company_code")
 PACKET = (*COMPANY, "worker_sk", "packet")
-# A worker belongs to one company, so these identify a packet.
-PACKET_ID = (*FILE, "worker_sk", "packet")
+# Order of packets in a file; ``part`` sets header, body and trailer apart.
+PACKET_ORDER = ("part", "branch_code", "company_code", "worker_sk", "packet")
 DEFAULT_TAG = "QTRFILINGS"
 
 
@@ -50,48 +51,6 @@ def trailer(line_count: Column) -> Column:
     )
 
 
-def numbering_blocks(packets: DataFrame) -> DataFrame:
-    """Keys and line counts of the packets, each with its ``block`` in key order.
-
-    Blocks are range partitions, so they hold about the same number of packets
-    however the keys are spread.  The table is written: range bounds come from a
-    sample, and a block must not change between two reads.
-    """
-    keys = packets.select(*PACKET, "n_lines").repartitionByRange(*COMPANY, "worker_sk", "packet")
-    return stage(keys.withColumn("block", F.spark_partition_id()), "numbering-blocks")
-
-
-def _starts(packets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Start line of every packet, and of every company, without a per-site sort.
-
-    Line counts are summed per block, the few block totals are accumulated per
-    file, and only inside a block are packets accumulated one by one.
-    """
-    counts = numbering_blocks(packets)
-    totals = counts.groupBy(*COMPANY, "block").agg(F.sum("n_lines").alias("n"))
-    in_file = Window.partitionBy(*FILE).orderBy("branch_code", "company_code", "block")
-    in_company = Window.partitionBy(*COMPANY).orderBy("block")
-    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        totals.withColumn("opens", F.when(F.row_number().over(in_company) == 1, 1).otherwise(0))
-        .withColumn(
-            # 1 for the file header, plus all earlier lines and company headers.
-            "block_start",
-            F.lit(1) + F.coalesce(F.sum(F.col("n") + F.col("opens")).over(before), F.lit(0)) + F.col("opens"),
-        )
-    )
-    inside = (
-        Window.partitionBy(*COMPANY, "block").orderBy("worker_sk", "packet").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    packet_starts = (
-        counts.withColumn("in_block", F.coalesce(F.sum("n_lines").over(inside), F.lit(0)))
-        .join(blocks.select(*COMPANY, "block", "block_start"), [*COMPANY, "block"])
-        .select(*PACKET_ID, (F.col("block_start") + F.col("in_block")).alias("start"))
-    )
-    companies = blocks.filter("opens = 1").select(*COMPANY, F.col("block_start").alias("line_no"))
-    return packet_starts, companies
-
-
 def file_sizes(packets: DataFrame) -> DataFrame:
     """Physical lines per file: header, company headers, lines, trailer."""
     return (
@@ -114,20 +73,36 @@ def _edges(packets: DataFrame, run_time: str, tag: str) -> tuple[DataFrame, Data
     return header, closing
 
 
+def numbering_blocks(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) -> DataFrame:
+    """All lines in order inside blocks: ``site_id, year, quarter, value, block, place``.
+
+    Blocks are range partitions of whole packets, so they hold about the same
+    number of packets however the keys are spread; ``place`` ascends by one in a
+    block.  The table is written: range bounds come from a sample, and a block
+    must not change between two reads.
+    """
+    together = ordered_packets(packets, run_time, tag)
+    order = [*FILE, *PACKET_ORDER]
+    sorted_packets = together.repartitionByRange(*order).sortWithinPartitions(*order)
+    lines = sorted_packets.select(*FILE, F.explode("lines").alias("value"))
+    return stage(lines.withColumns({"block": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "numbered-lines")
+
+
 def numbered_lines(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) -> DataFrame:
     """All lines of all files with their line number: ``site_id, year, quarter, line_no, value``.
 
-    ``packets`` should be staged: counting reads only keys and line counts.
+    ``packets`` should be staged: sizes are counted from keys and line counts.
+    Lines move once, as whole packets.  Of each file and block only the count and the
+    first place are kept; accumulated over a file's blocks they give the shift
+    from place to line number, a table of files plus blocks rows, which Catalyst
+    broadcasts while it is small.
     """
-    packet_starts, companies = _starts(packets)
-    body = packets.join(packet_starts, list(PACKET_ID)).select(
-        *FILE, "start", F.posexplode("lines").alias("pos", "value")
-    ).select(*FILE, (F.col("start") + F.col("pos") + 1).alias("line_no"), "value")
-    headers = companies.select(
-        *FILE, "line_no", company_header(F.col("branch_code"), F.col("company_code")).alias("value")
-    )
-    header, closing = _edges(packets, run_time, tag)
-    return header.unionByName(headers).unionByName(body).unionByName(closing)
+    lines = numbering_blocks(packets, run_time, tag)
+    spans = lines.groupBy(*FILE, "block").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = Window.partitionBy(*FILE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.lit(1) + F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    shifts = local_if_small(spans.select(*FILE, "block", shift.alias("shift")))
+    return lines.join(shifts, [*FILE, "block"]).select(*FILE, (F.col("place") + F.col("shift")).alias("line_no"), "value")
 
 
 def ordered_packets(packets: DataFrame, run_time: str, tag: str = DEFAULT_TAG) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from quartermill.operators.assembly import FILE
+from quartermill.operators.assembly import FILE, PACKET_ORDER
 from quartermill.schemas import require_columns
 
-PACKET_ORDER = ("part", "branch_code", "company_code", "worker_sk", "packet")
 ORDER = (*PACKET_ORDER, "pos")
 
 
