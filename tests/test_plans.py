@@ -8,7 +8,8 @@ from pathlib import Path
 
 import pytest
 
-from quartermill.plans import site_files
+from quartermill.operators import taxes
+from quartermill.plans import registry, site_files
 from quartermill.plans.worker_lines import Inputs, in_periods
 from quartermill.session import stage
 from quartermill.sources import sample_views
@@ -77,3 +78,8 @@ def test_entry_stands_a_missing_library():
         "from quartermill.plans.registry import QUERIES; assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())"
     )
     subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], check=True)
+
+
+def test_audit_counts_only_workers_of_decisions(spark, sf_dir):
+    plan = registry._audit(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 4
