@@ -92,8 +92,9 @@ def line_rows(inputs: Inputs, specs: Specs | None = None, hot_row_limit: int = W
     hot = find_hot(inputs.snapshot, inputs.profile, row_limit=hot_row_limit)
     lines = worker_lines_of(_without_hot(inputs, hot), periods, specs)
     keys = [*assembly.FILE, "worker_sk"]
+    # For an inner explode the optimizer tests the array's size below the join, and so packs every line twice.
     own, tax = (
-        lines.select(*keys, F.posexplode(name).alias("seq", "value")).withColumn("seq", F.col("seq").cast("bigint"))
+        lines.select(*keys, F.posexplode_outer(name).alias("seq", "value")).where("seq IS NOT NULL").withColumn("seq", F.col("seq").cast("bigint"))
         for name in ("worker_lines", "tax_lines")
     )
     if hot is None:

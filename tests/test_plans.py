@@ -83,3 +83,10 @@ def test_entry_stands_a_missing_library():
 def test_audit_counts_only_workers_of_decisions(spark, sf_dir):
     plan = registry._audit(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftSemi") == 4
+
+
+def test_lines_are_packed_once(spark, stored):
+    """An inner explode would add a test of the size of the packed lines below the join."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    for rows in site_files.line_rows(stored):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("aggregate(sequence(") == 1
