@@ -90,3 +90,26 @@ def test_lines_are_packed_once(spark, stored):
     spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
     for rows in site_files.line_rows(stored):
         assert rows._jdf.queryExecution().optimizedPlan().toString().count("aggregate(sequence(") == 1
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_latest_rows_meet_their_profile_where_they_are(spark, sf_dir, no_broadcast):
+    plan = registry._joined(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and not [e for e in exchanges if "branch_code" in e or "state_code" in e]
+
+
+def test_profile_joins_are_the_same(spark, sf_dir):
+    """By worker and by all five keys, with profiles of one key repeated."""
+    rows, profile = registry._amounts(spark, sf_dir), registry._profile(spark, sf_dir)
+    profile = profile.unionByName(profile.where("worker_sk % 7 = 1"))
+    one, two = taxes.join_profile(rows, profile), taxes.join_profile_where_they_are(rows, profile)
+    assert one.columns == two.columns
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and not one.isEmpty()
