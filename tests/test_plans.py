@@ -113,3 +113,10 @@ def test_profile_joins_are_the_same(spark, sf_dir):
     one, two = taxes.join_profile(rows, profile), taxes.join_profile_where_they_are(rows, profile)
     assert one.columns == two.columns
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and not one.isEmpty()
+
+
+def test_rows_read_one_by_one_move_by_order_only(spark, sf_dir):
+    both = [sample_views.view(spark, sf_dir, "fx_snapshot", lines_once=flag) for flag in (False, True)]
+    assert both[0].exceptAll(both[1]).isEmpty() and both[1].exceptAll(both[0]).isEmpty()
+    conditions = re.findall(r"Join Inner, \((\w+)#\S+ = (\w+)#", registry._quality_rows(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString())
+    assert set(conditions[0]) == {"l_orderkey", "o_orderkey"}
