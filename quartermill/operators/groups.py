@@ -17,7 +17,7 @@ def ordered_fields(arrays: DataFrame, hot: DataFrame | None = None, chunk_rows:
     rows = arrays.selectExpr(*GROUP, *ORDER[:3], "array_join(fields, '') AS text", "fields")
     usual = rows if hot is None else rows.join(hot, "worker_sk", "left_anti")
     gathered = usual.groupBy(*GROUP).agg(
-        F.expr(f"flatten(transform(array_sort(collect_list(struct({', '.join(ORDER)}, fields))), r -> r.fields)) AS fields")
+        F.expr(f"flatten(transform(sort_array(collect_list(struct({', '.join(ORDER)}, fields))), r -> r.fields)) AS fields")
     )
     fields = gathered.select(*GROUP, F.posexplode("fields").alias("seq", "text"))
     fields = fields.withColumn("seq", F.col("seq").cast("bigint"))

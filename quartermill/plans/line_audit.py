@@ -51,7 +51,7 @@ def counted(rows: DataFrame, specs: Specs, decisions: PacketDecisions | None = N
         steps = rows.withColumn("kept", F.expr(decisions.kept_rows("tax_set")))
     blocked = decisions.blocks_default if decisions else None
     steps = steps.withColumn("taxed", F.expr(f"concat(kept, {default_tax_rows('kept', specs, blocked)})"))
-    ordered = f"array_sort(concat({level_rows('taxed')}, taxed))"
+    ordered = f"sort_array(concat({level_rows('taxed')}, taxed))"
     steps = steps.withColumn("ordered", F.expr(decisions.kept_codes(ordered) if decisions else ordered))
     own = decisions.kept_fields("ee_fields") if decisions else "ee_fields"
     steps = steps.withColumn("own_fields", F.expr(own))

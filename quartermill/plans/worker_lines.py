@@ -165,7 +165,7 @@ def worker_period_lines(coded: DataFrame, arrays: DataFrame, specs: Specs, decis
     steps = steps.selectExpr("*", f"concat(kept, {default_tax_rows('kept', specs, blocked)}) AS taxed")
     if decisions:
         steps = decisions.drop_tax(steps)
-    ordered = f"array_sort(concat({level_rows('taxed')}, taxed))"
+    ordered = f"sort_array(concat({level_rows('taxed')}, taxed))"
     if decisions:
         ordered = decisions.kept_codes(ordered)
     return steps.selectExpr(

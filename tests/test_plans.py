@@ -11,7 +11,7 @@ import pytest
 from quartermill.operators import taxes
 from quartermill.plans import registry, site_files
 from quartermill.plans.worker_lines import Inputs, in_periods
-from quartermill.session import stage
+from quartermill.session import METHOD_LIMIT, stage
 from quartermill.sources import sample_views
 
 
@@ -120,3 +120,16 @@ def test_rows_read_one_by_one_move_by_order_only(spark, sf_dir):
     assert both[0].exceptAll(both[1]).isEmpty() and both[1].exceptAll(both[0]).isEmpty()
     conditions = re.findall(r"Join Inner, \((\w+)#\S+ = (\w+)#", registry._quality_rows(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString())
     assert set(conditions[0]) == {"l_orderkey", "o_orderkey"}
+
+
+def test_queries_keep_methods_small_enough_to_be_compiled(spark, sf_dir):
+    key, limit = METHOD_LIMIT
+    try:
+        spark.conf.set(key, "9000")
+        registry.QUERIES["scan_worker"](spark, sf_dir)
+        assert spark.conf.get(key) == "9000"
+        spark.conf.unset(key)
+        registry.QUERIES["scan_worker"](spark, sf_dir)
+        assert spark.conf.get(key) == limit
+    finally:
+        spark.conf.set(key, limit)
