@@ -6,6 +6,8 @@ from quartermill.operators.assembly import FILE, PACKET_ORDER
 from quartermill.schemas import require_columns
 
 ORDER = (*PACKET_ORDER, "pos")
+# Lines of a part file: about 16 MB of text.
+PART_LINES = 100_000
 
 
 def arranged(rows: DataFrame, pad_to: int | None = None) -> DataFrame:
@@ -26,14 +28,20 @@ def arranged(rows: DataFrame, pad_to: int | None = None) -> DataFrame:
     return lines.withColumn("value", value).sortWithinPartitions(*FILE, *ORDER).select(*FILE, "value")
 
 
-def write_site_files(rows: DataFrame, path: str, pad_to: int | None = None) -> None:
+def write_site_files(
+    rows: DataFrame, path: str, pad_to: int | None = None, compression: str = "none", part_lines: int = PART_LINES
+) -> None:
     """Write ordered packets or lines as text, partitioned by site and period.
 
     Range partitioning splits a large site over many tasks; the part files of a
     folder, taken by number, are in line order.  The sort starts with the folder
-    columns, so the writer keeps it.
+    columns, so the writer keeps it.  ``compression``: ``none`` or ``gzip``,
+    whose parts, joined by number, are one gzip file.  A part holds at most
+    ``part_lines`` lines, so that one task can number it.
     """
-    arranged(rows, pad_to).write.mode("overwrite").partitionBy(*FILE).text(path)
+    writer = arranged(rows, pad_to).write.mode("overwrite").option("maxRecordsPerFile", part_lines)
+    # Lines repeat much of each other: the fast level makes them nearly as small.
+    writer.option("zlib.compress.level", "BEST_SPEED").partitionBy(*FILE).text(path, compression=compression)
 
 
 def part_number(path: Column) -> list[Column]:
@@ -42,10 +50,11 @@ def part_number(path: Column) -> list[Column]:
     return [F.regexp_extract(name, pattern, 1).try_cast("bigint") for pattern in (r"^part-(\d+)", r"\.c(\d+)\.")] + [path]
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """Lines of the part files, or the parts as one value each."""
     schema = "value string, site_id string, year int, quarter int"
-    found = spark.read.schema(schema).text(path)
-    return found.select(*FILE, "value", F.col("_metadata.file_path").alias("part_path"), F.col("_metadata.file_block_start").alias("start"))
+    found = spark.read.schema(schema).text(path, wholetext=whole)
+    return found.select(*FILE, "value", F.col("_metadata.file_path").alias("part_path"))
 
 
 def manifest(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
@@ -67,8 +76,17 @@ def manifest(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
 
 
 def read_site_files(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
-    """All lines of the written files with their line number, which the manifest ``parts`` gives."""
-    in_part = Window.partitionBy("part_path").orderBy("start", "place")
-    lines = _read(spark, path).withColumn("place", F.monotonically_increasing_id())
-    lines = lines.withColumn("line", F.row_number().over(in_part) - 1).select("part_path", "line", "value")
-    return lines.join(parts, "part_path").select(*FILE, (F.col("first_line") + F.col("line")).alias("line_no"), "value")
+    """All lines of the written files with their line number, which the manifest ``parts`` gives.
+
+    A part is read as one value, which tells the place of each of its lines, so
+    lines need no shuffle to be numbered; parts are of bounded size.  The
+    manifest, a row for a part, goes to the parts.
+    """
+    starts = F.broadcast(parts.select("part_path", "first_line", "line_count"))
+    whole = _read(spark, path, whole=True).join(starts, "part_path")
+    # A single character is split without a pattern, which is many times faster.
+    texts = F.when(F.contains("value", F.lit("\r")), F.split("value", r"\r\n|\r|\n")).otherwise(F.split("value", "\n"))
+    # For an inner explode the optimizer splits every part once more to test the number of its lines.
+    lines = whole.select(*FILE, "first_line", "line_count", F.posexplode_outer(texts).alias("line", "value"))
+    # What follows the last line's end is no line.
+    return lines.where("line < line_count").select(*FILE, (F.col("first_line") + F.col("line")).alias("line_no"), "value")

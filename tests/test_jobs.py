@@ -225,6 +225,26 @@ def test_sink_writes_parts_in_line_order(spark, sf_dir, tmp_path, ordered):
         assert written == wanted
 
 
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_written_lines_are_numbered_without_a_shuffle(spark, tmp_path, compression):
+    values = ["a", "", "b  ", "\u00e9", "x" * 300, " ", "c\rd"]
+    rows = [("S1", 2024, q, 1, "00", f"C{w % 3}", w, 0, [values[(w + i) % (6 if w % 10 else 7)] for i in range(7)]) for q in (1, 2) for w in range(50)]
+    schema = "site_id string, year int, quarter int, part int, branch_code string, company_code string, worker_sk long, packet long, lines array<string>"
+    out = str(tmp_path / "files")
+    text_files.write_site_files(spark.createDataFrame(rows, schema), out, compression=compression, part_lines=16)
+    names = spark.createDataFrame([("S1", 2024, q, f"n{q}") for q in (1, 2)], "site_id string, year int, quarter int, outbound_file_name string")
+    parts = stage(text_files.manifest(spark, out, names), "manifest")
+    assert parts.agg(F.max("line_count")).first()[0] <= 16 + 5 and parts.count() >= 2 * 350 // 16
+    read = text_files.read_site_files(spark, out, parts)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    got = {q: [r.value for r in read.where(f"quarter = {q}").orderBy("line_no").collect()] for q in (1, 2)}
+    # Text with a carriage return is read as two lines, by the manifest too.
+    wanted = [v for r in sorted((r for r in rows if r[2] == 1), key=lambda r: (r[5], r[6])) for text in r[8] for v in text.split("\r")]
+    assert got == {1: wanted, 2: wanted} and len(wanted) == 355
+    assert read.agg(F.count_distinct("quarter", "line_no"), F.max("line_no")).first() == (710, 355)
+
+
 def test_numbering_moves_no_line(spark, sf_dir):
     staged = stage(site_files.packets(sample_views.inputs(spark, sf_dir)), "packets")
     plan = assembly.numbered_lines(staged, RUN_TIME)._jdf.queryExecution().executedPlan().toString()
