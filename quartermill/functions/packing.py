@@ -60,16 +60,56 @@ def pack_rows(rows: str, prefix: str, width: int = LINE_WIDTH) -> str:
     row whose whole text fits the open line is appended at once, which is what
     adding its fields one by one would give; only the others go field by field.
     """
+    # A row's fields start from an empty list of closed lines, as every step copies it.
+    fresh = _state(f"CASE WHEN s.line = '' OR startswith(s.line, {prefix}) THEN {NO_LINES} ELSE array(s.line) END",
+                   f"CASE WHEN startswith(s.line, {prefix}) THEN s.line ELSE '' END")
+    add = f"""CASE
+        WHEN x = '' OR x IS NULL THEN t
+        WHEN t.line <> '' AND length(t.line) + length(x) <= {width} THEN {_state('t.closed', 'concat(t.line, x)')}
+        ELSE {_state(_CLOSED.replace('s.', 't.'), f'concat({prefix}, x)')} END"""
     step = f"""(s, r) -> CASE
             WHEN r.text = '' THEN s
             WHEN startswith(s.line, {prefix}) AND length(s.line) + length(r.text) <= {width}
                 THEN {_state('s.closed', 'concat(s.line, r.text)')}
             WHEN NOT startswith(s.line, {prefix}) AND length(r.text) <= {width - PREFIX_WIDTH}
                 THEN {_state(_CLOSED, f'concat({prefix}, r.text)')}
-            ELSE aggregate(r.fields, s, (s, x) -> {_add_field(prefix, 'x', width)}) END"""
+            ELSE aggregate(r.fields, {fresh}, (t, x) -> {add}, t -> {_state('concat(s.closed, t.closed)', 't.line')}) END"""
     return _in_runs(rows, step)
 
 
+# Numbers of lines.  A state is one number: lines opened so far in the upper
+# half, the length of the open line (0: none) in the lower.
+_LENGTH = 2**32 - 1
+
+
+def _count_field(width: int) -> str:
+    """Step (v, x) -> v of one more field."""
+    return f"""(v, x) -> CASE
+        WHEN x = '' OR x IS NULL THEN v
+        WHEN (v & {_LENGTH}L) > 0 AND (v & {_LENGTH}L) + length(x) <= {width} THEN v + length(x)
+        ELSE (v | {_LENGTH}L) + {PREFIX_WIDTH + 1} + length(x) END"""
+
+
+def count(fields: str, width: int = LINE_WIDTH) -> str:
+    """Number of lines that ``pack`` makes of the fields, from their lengths alone."""
+    return f"aggregate({fields}, 0L, {_count_field(width)}, v -> shiftright(v, 32))"
+
+
+def count_rows(rows: str, width: int = LINE_WIDTH) -> str:
+    """Number of lines that ``pack_rows`` makes of rows with their jurisdiction key ``juris``."""
+
+    def state(number: str, juris: str = "r.juris") -> str:
+        return f"named_struct('v', {number}, 'juris', {juris})"
+
+    step = f"""(s, r) -> CASE
+        WHEN r.text = '' THEN s
+        WHEN s.juris = r.juris AND (s.v & {_LENGTH}L) + length(r.text) <= {width} THEN {state('s.v + length(r.text)')}
+        WHEN s.juris <> r.juris AND length(r.text) <= {width - PREFIX_WIDTH}
+            THEN {state(f'(s.v | {_LENGTH}L) + {PREFIX_WIDTH + 1} + length(r.text)')}
+        ELSE {state(f"aggregate(r.fields, CASE WHEN s.juris = r.juris THEN s.v ELSE s.v - (s.v & {_LENGTH}L) END, {_count_field(width)})")} END"""
+    return f"aggregate({rows}, {state('0L', chr(39) * 2)}, {step}, s -> shiftright(s.v, 32))"
+
+
 def worker_lines(fields: str) -> str:
     """Employee lines; a worker without fields still gets the bare prefix line."""
     return (
@@ -78,6 +118,11 @@ def worker_lines(fields: str) -> str:
     )
 
 
+def count_worker_lines(fields: str) -> str:
+    """Number of the employee lines."""
+    return f"greatest(1L, {count(fields)})"
+
+
 def tax_lines(fields: str, jurisdiction_key: str) -> str:
     """Lines of one jurisdiction; no fields, no line."""
     return pack(fields, tax_prefix(jurisdiction_key))

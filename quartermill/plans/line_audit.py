@@ -19,7 +19,7 @@ from quartermill.operators import queue as queue_ops, workers
 from quartermill.operators.sizing import local_if_small
 from quartermill.operators.skips import CODE_SCOPES, COMPANY, PacketDecisions, code_targets, of_scope, twin_types
 from quartermill.plans.worker_lines import (
-    ARRAY_KEYS, SORTED_ROW, Inputs, coded_tax_rows, default_tax_rows, in_periods, level_rows, period_tax_rows, site_workers,
+    ARRAY_KEYS, Inputs, coded_tax_rows, default_tax_rows, in_periods, level_rows, period_tax_rows, site_workers, tax_sets,
 )
 from quartermill.session import stage
 from quartermill.specs.compile import Specs, default_specs
@@ -35,17 +35,19 @@ def field_rows(inputs: Inputs, specs: Specs) -> DataFrame:
     periods = local_if_small(queue_ops.site_periods(inputs.queue))
     inputs = replace(inputs, snapshot=in_periods(inputs.snapshot, periods))
     coded = coded_tax_rows(period_tax_rows(inputs), specs)
-    sets = coded.groupBy("worker_sk", "year", "quarter").agg(F.expr(f"collect_list(CASE WHEN complete THEN {SORTED_ROW} END) AS tax_set"))
+    sets = tax_sets(coded)
     people = workers.worker_profile(site_workers(inputs, periods.select("site_id").distinct()), inputs.address)
     arrays = workers.level_arrays(people, specs, ARRAY_KEYS)
-    rows = sets.join(arrays, "worker_sk").join(periods, ["site_id", "year", "quarter"], "left_semi")
     texts = [F.array_join(f"{level}_fields", "").alias(f"{level}_text") for level in "fsl"]
-    return rows.select("*", *texts)
+    # Employee lines are the same in every period.
+    arrays = arrays.select("*", *texts, F.expr(f"{packing.count_worker_lines('ee_fields')} AS own"))
+    rows = sets.join(arrays, "worker_sk").join(periods, ["site_id", "year", "quarter"], "left_semi")
+    return rows
 
 
 def counted(rows: DataFrame, specs: Specs, decisions: PacketDecisions | None = None) -> DataFrame:
     """``rows`` with the numbers of their employee lines and tax lines (``own``, ``tax``)."""
-    others = [c for c in rows.columns if c not in ("tax_set", "ee_fields")]
+    others = [c for c in rows.columns if c not in ("tax_set", "ee_fields", "own")]
     steps = rows if decisions else rows.withColumn("kept", F.col("tax_set"))
     if decisions:
         steps = rows.withColumn("kept", F.expr(decisions.kept_rows("tax_set")))
@@ -53,10 +55,11 @@ def counted(rows: DataFrame, specs: Specs, decisions: PacketDecisions | None = N
     steps = steps.withColumn("taxed", F.expr(f"concat(kept, {default_tax_rows('kept', specs, blocked)})"))
     ordered = f"sort_array(concat({level_rows('taxed')}, taxed))"
     steps = steps.withColumn("ordered", F.expr(decisions.kept_codes(ordered) if decisions else ordered))
-    own = decisions.kept_fields("ee_fields") if decisions else "ee_fields"
-    steps = steps.withColumn("own_fields", F.expr(own))
-    lines = packing.pack_rows("ordered", packing.tax_prefix("r.juris"))
-    return steps.selectExpr(*others, f"size({packing.worker_lines('own_fields')}) AS own", f"size({lines}) AS tax")
+    own = "own"
+    if decisions:
+        cut = "exists(code_skips, k -> k.juris IS NULL AND k.side <> 'TAX')"
+        own = f"CASE WHEN {cut} THEN {packing.count_worker_lines(decisions.kept_fields('ee_fields'))} ELSE own END AS own"
+    return steps.selectExpr(*others, own, f"{packing.count_rows('ordered')} AS tax")
 
 
 def effects(decisions: DataFrame, groups: DataFrame | None = None) -> DataFrame:

@@ -152,11 +152,16 @@ def level_rows(rows: str) -> str:
     return f"transform({groups}, g -> {row})"
 
 
+def tax_sets(coded: DataFrame) -> DataFrame:
+    """The complete rows of a worker and period as one array, ``tax_set``."""
+    # A collected expression is interpreted; the entry, read twice, stays a column and is compiled.
+    entries = coded.select("worker_sk", "year", "quarter", F.expr(f"CASE WHEN complete THEN {SORTED_ROW} END AS entry"))
+    return entries.groupBy("worker_sk", "year", "quarter").agg(F.expr("collect_list(entry) FILTER (WHERE entry IS NOT NULL) AS tax_set"))
+
+
 def worker_period_lines(coded: DataFrame, arrays: DataFrame, specs: Specs, decisions=None) -> DataFrame:
     """One row per worker and period with its employee and tax lines."""
-    sets = coded.groupBy("worker_sk", "year", "quarter").agg(
-        F.expr(f"collect_list(CASE WHEN complete THEN {SORTED_ROW} END) AS tax_set")
-    )
+    sets = tax_sets(coded)
     joined = sets.join(arrays, "worker_sk")
     rows = decisions.kept_rows("tax_set") if decisions else "tax_set"
     blocked = decisions.blocks_default if decisions else None

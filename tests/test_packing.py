@@ -118,3 +118,23 @@ def test_segments_match_greedy_loop(spark):
         merged = [line for p in got if p["g"] == group for line in p["lines"]]
         fields = [t for r in sorted((r for r in rows if r[0] == group), key=lambda r: r[1]) for t in r[3]]
         assert merged == greedy(fields, PREFIX)
+
+
+def test_counts_are_those_of_the_packed_lines(spark):
+    rng = random.Random(3)
+    cases = []
+    for i in range(200):
+        rows = []
+        for juris in sorted(rng.sample(["F     ", "CA    ", "NJ0001", "NY    "], rng.randint(0, 4))):
+            for _ in range(rng.randint(1, 6)):
+                fields = random_fields(rng)[: rng.randint(0, 6)]
+                rows.append((juris, "".join(x or "" for x in fields), fields))
+        cases.append((i, rows, random_fields(rng)))
+    schema = "id int, rows array<struct<juris:string,text:string,fields:array<string>>>, fields array<string>"
+    lines = packing.pack_rows("rows", packing.tax_prefix("r.juris"))
+    found = spark.createDataFrame(cases, schema).selectExpr(
+        f"size({lines}) AS tax", f"{packing.count_rows('rows')} AS tax_count",
+        f"size({packing.worker_lines('fields')}) AS own", f"{packing.count_worker_lines('fields')} AS own_count",
+    ).collect()
+    assert sum(r.tax for r in found) > 1_000
+    assert all(r.tax == r.tax_count and r.own == r.own_count for r in found)
