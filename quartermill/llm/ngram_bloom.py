@@ -77,13 +77,32 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def keys_of(texts: pa.Array, of_texts: np.ndarray | None = None) -> list[np.ndarray]:
-    """Words and word pairs of the texts, of the marked ones if marks are given; each list ascending and distinct unless marked."""
+def keys_of(texts: pa.Array) -> list[np.ndarray]:
+    """Words and word pairs of the texts; each list ascending and distinct."""
+    stream, _ = tokens(Words(texts, lower=True))
+    return [np.unique(stream), np.unique(pairs(stream))]
+
+
+def counted_keys(texts: pa.Array, learnt: np.ndarray, asked: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of the words and of the word pairs: how often the marked texts hold each.
+
+    Keys ascend. Texts are hashed once and every token is sorted once: those of
+    the other texts, which are wanted if ``asked``, join with a count of zero.
+    """
     stream, bounds = tokens(Words(texts, lower=True))
-    if of_texts is None:
-        return [np.unique(stream), np.unique(pairs(stream))]
-    mark = np.repeat(of_texts, np.diff(bounds))
-    return [stream[mark], pairs(stream)[mark]]
+    mark = np.repeat(learnt, np.diff(bounds))
+    out = []
+    for keys in (stream, pairs(stream)):
+        held, times = np.unique(keys[mark], return_counts=True)
+        if asked and not mark.all():
+            rest = np.unique(keys[~mark])
+            at = np.searchsorted(held, rest)
+            new = np.ones(len(rest), bool)
+            inside = at < len(held)
+            new[inside] = held[at[inside]] != rest[inside]
+            held, times = np.insert(held, at[new], rest[new]), np.insert(times, at[new], 0)
+        out.append((held, times.astype(np.uint32)))
+    return out
 
 
 def sent(block: pa.RecordBatch, number: int, buckets: int) -> pa.RecordBatch:
@@ -94,12 +113,7 @@ def sent(block: pa.RecordBatch, number: int, buckets: int) -> pa.RecordBatch:
     texts, asked = block.column("text"), block.column("asked").to_numpy(zero_copy_only=False).any()
     learnt = block.column("learnt").to_numpy(zero_copy_only=False)
     columns = [[], [], [], []]
-    for grams, found, held in zip((1, 2), keys_of(texts), keys_of(texts, learnt)):
-        held, times = np.unique(held, return_counts=True)
-        counts = np.zeros(len(found), np.uint32)
-        counts[np.searchsorted(found, held)] = times
-        if not asked:
-            found, counts = found[counts > 0], counts[counts > 0]
+    for grams, (found, counts) in zip((1, 2), counted_keys(texts, learnt, asked)):
         edges = np.searchsorted(bucket_of(found, buckets), np.arange(buckets + 1))
         for i in np.flatnonzero(np.diff(edges)):
             at = slice(edges[i], edges[i + 1])

@@ -42,3 +42,28 @@ def test_blocks_keep_all_rows_in_order():
     assert [n for p in parts for n in p.column("n").to_pylist()] == [*range(10), 3, 4, 5, 6]
     assert len(parts) > 4
     assert list(blocks(iter([batch.slice(0, 0)]))) == []
+
+
+def test_ngrams_are_counted_in_one_reading(monkeypatch):
+    from collections import Counter
+
+    from quartermill.llm import ngram_bloom as model
+
+    texts = pa.array(["a b a b c", "", None, "c c d e", "a b", "e f g"])
+    learnt = np.array([True, False, True, False, True, False])
+    read = []
+    tokens = model.tokens
+    monkeypatch.setattr(model, "tokens", lambda words: read.append(1) or tokens(words))
+    for marks in (learnt, ~learnt, np.ones(6, bool), np.zeros(6, bool)):
+        for asked in (True, False):
+            read.clear()
+            got = model.counted_keys(texts, marks, asked)
+            assert read == [1]
+            stream, bounds = tokens(model.Words(texts, lower=True))
+            mark = np.repeat(marks, np.diff(bounds))
+            for (keys, counts), all_keys in zip(got, (stream, model.pairs(stream))):
+                wanted = Counter(all_keys[mark].tolist())
+                if asked:
+                    wanted.update({k: 0 for k in all_keys.tolist()})
+                assert keys.tolist() == sorted(wanted) and counts.tolist() == [wanted[k] for k in sorted(wanted)]
+                assert counts.dtype == np.uint32 and keys.dtype == np.uint64
